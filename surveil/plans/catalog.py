@@ -123,3 +123,38 @@ def q_features_brand_all120(spark, sf):
 def q_features_user(spark, sf):
     w = win.observation_window(fx.user_bars(spark, sf), fx.user_cases(spark, sf), lookback_bars=90)
     return round_doubles(feat.transform(w))
+
+
+# ---------------------------------------------------------------------------
+# V — evaluation metrics on F_score
+# ---------------------------------------------------------------------------
+
+from surveil.operators import metrics as met  # noqa: E402
+
+_SCORES = {"lineitem": (fx.lineitem_scores, osql.LINEITEM_SCORES_SQL), "events": (fx.event_scores, osql.EVENT_SCORES_SQL)}
+
+
+def _metric_queries():
+    for src, (builder, ssql) in _SCORES.items():
+        register(f"v1_confusion_{src}", osql.confusion_sql(ssql, "0.5"))(
+            lambda spark, sf, b=builder: met.confusion(b(spark, sf), 0.5))
+        register(f"v2_rates_{src}", osql.rates_sql(osql.confusion_sql(ssql, "0.3")))(
+            lambda spark, sf, b=builder: met.with_rates(met.confusion(b(spark, sf), 0.3)))
+        register(f"v3_v4_rank_metrics_{src}", osql.rank_metrics_sql(ssql))(
+            lambda spark, sf, b=builder: met.rank_metrics(b(spark, sf)))
+        register(f"v6_threshold_sweep_{src}", osql.sweep_sql(ssql, 0.05, 0.95, 19))(
+            lambda spark, sf, b=builder: met.threshold_sweep(b(spark, sf)))
+        register(f"v7_optimal_threshold_{src}",
+                 f"SELECT * EXCLUDE (raw_threshold) FROM ({osql.sweep_sql(ssql, 0.01, 0.99, 99)}) z "
+                 f"ORDER BY cost, raw_threshold LIMIT 1")(
+            lambda spark, sf, b=builder: met.optimise_threshold(b(spark, sf)))
+    register("v8_holdout_report_events",
+             f"SELECT * EXCLUDE (raw_threshold), 'fixed' AS mode FROM ({osql.sweep_sql(osql.EVENT_SCORES_SQL, 0.5, 0.5, 1)}) z"
+             .replace("CASE WHEN i = 0 THEN CAST('0.5' AS DOUBLE) ELSE i * ((CAST('0.5' AS DOUBLE) - CAST('0.5' AS DOUBLE)) / 0) + CAST('0.5' AS DOUBLE) END", "CAST('0.5' AS DOUBLE)"))(
+        lambda spark, sf: met.holdout_report(fx.event_scores(spark, sf), threshold=0.5))
+    register("v9_pr_curve_lineitem",
+             f"SELECT threshold, precision, recall, f1 FROM ({osql.sweep_sql(osql.LINEITEM_SCORES_SQL, 0.05, 0.95, 19)}) z")(
+        lambda spark, sf: met.pr_curve(met.threshold_sweep(fx.lineitem_scores(spark, sf), with_rank_metrics=False)))
+
+
+_metric_queries()

@@ -102,3 +102,23 @@ def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey")
     return sup.filter(F.col("s_suppkey") % 20 != 0).select(F.col("s_suppkey").cast("string").alias("ticker"))
+
+
+def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F_score (heavy ties): label = returned, score = discount · 10."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey"), F.col("l_linenumber"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        (F.col("l_discount") * 10).alias("score"),
+    )
+
+
+def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F_score (near-continuous): label = error event, score = value / 500."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id", "user_id", "ts",
+        (F.col("event_type") == "error").cast("int").alias("label"),
+        (F.col("value") / 500).alias("score"),
+    )

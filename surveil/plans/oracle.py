@@ -201,3 +201,77 @@ SELECT ticker, d_date, CAST(label AS INTEGER) AS label, n_bars,
 FROM ({s4}) d WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)
 ) z WHERE rn_last = 1 AND n_bars >= {min_bars}
 """
+
+
+# ---------------------------------------------------------------------------
+# metrics (V1–V9): brute force threshold × row comparisons
+# ---------------------------------------------------------------------------
+
+LINEITEM_SCORES_SQL = "SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_discount * 10 AS score FROM lineitem"
+EVENT_SCORES_SQL = "SELECT CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label, value / 500 AS score FROM events"
+
+
+def ratio4_sql(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) > 0 THEN floor((20000 * ({num}) + ({den})) / (2 * ({den}))) / CAST(10000 AS DOUBLE) ELSE 0.0 END)"
+
+
+def thresholds_sql(start: float, stop: float, num: int) -> str:
+    return (f"SELECT i + 1 AS j, CASE WHEN i = {num - 1} THEN CAST('{stop}' AS DOUBLE) ELSE "
+            f"i * ((CAST('{stop}' AS DOUBLE) - CAST('{start}' AS DOUBLE)) / {num - 1}) + CAST('{start}' AS DOUBLE) END AS t "
+            f"FROM range({num}) r(i)")
+
+
+def rank_metrics_sql(scores_sql: str) -> str:
+    return f"""
+SELECT CASE WHEN P > 0 AND N > 0 THEN {ratio4_sql('u2', '2 * P * N')} END AS roc_auc,
+       CASE WHEN P > 0 AND N > 0 THEN round(ap / P, 4) END AS pr_auc
+FROM (
+  SELECT sum(pos * (2 * neg_below + neg)) AS u2, sum(CASE WHEN pos > 0 THEN pos * (tp_at / (tp_at + fp_at)) END) AS ap,
+         max(P) AS P, max(N) AS N
+  FROM (
+    SELECT *, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+           sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_at,
+           sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp_at,
+           sum(pos) OVER () AS P, sum(neg) OVER () AS N
+    FROM (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+          FROM ({scores_sql}) s WHERE score IS NOT NULL GROUP BY score) g
+  ) c
+) a
+"""
+
+
+def rates_sql(counts_sql: str, fp_cost: int = 1, fn_cost: int = 5) -> str:
+    return f"""
+SELECT *, {ratio4_sql('tp', 'tp + fp')} AS precision, {ratio4_sql('tp', 'tp + fn')} AS recall,
+       {ratio4_sql('2 * tp', '2 * tp + fp + fn')} AS f1, {ratio4_sql('tn', 'tn + fp')} AS specificity,
+       CAST(fp * {fp_cost} + fn * {fn_cost} AS DOUBLE) AS cost,
+       {ratio4_sql(f'fp * {fp_cost} + fn * {fn_cost}', 'tp + fp + tn + fn')} AS cost_per_case,
+       CAST(tp + fn AS BIGINT) AS n_positive, CAST(tn + fp AS BIGINT) AS n_negative, CAST(tp + fp + tn + fn AS BIGINT) AS n_total
+FROM ({counts_sql}) k
+"""
+
+
+def confusion_sql(scores_sql: str, threshold: str) -> str:
+    pred = f"COALESCE(score >= {threshold}, false)"
+    return f"""
+SELECT CAST(count(*) FILTER (WHERE {pred} AND label = 1) AS BIGINT) AS tp,
+       CAST(count(*) FILTER (WHERE {pred} AND label <> 1) AS BIGINT) AS fp,
+       CAST(count(*) FILTER (WHERE NOT {pred} AND label <> 1) AS BIGINT) AS tn,
+       CAST(count(*) FILTER (WHERE NOT {pred} AND label = 1) AS BIGINT) AS fn
+FROM ({scores_sql}) s
+"""
+
+
+def sweep_sql(scores_sql: str, start: float, stop: float, num: int) -> str:
+    counts = f"""
+SELECT j, t, CAST(count(*) FILTER (WHERE s.score >= th.t AND s.label = 1) AS BIGINT) AS tp,
+       CAST(count(*) FILTER (WHERE s.score >= th.t AND s.label <> 1) AS BIGINT) AS fp,
+       CAST(count(*) FILTER (WHERE NOT COALESCE(s.score >= th.t, false) AND s.label <> 1) AS BIGINT) AS tn,
+       CAST(count(*) FILTER (WHERE NOT COALESCE(s.score >= th.t, false) AND s.label = 1) AS BIGINT) AS fn
+FROM ({thresholds_sql(start, stop, num)}) th, ({scores_sql}) s GROUP BY j, t
+"""
+    return f"""
+SELECT round(t, 4) AS threshold, precision, recall, f1, specificity, tp, fp, tn, fn, roc_auc, pr_auc, cost,
+       cost_per_case, n_positive, n_negative, n_total, t AS raw_threshold
+FROM ({rates_sql(counts)}) r, ({rank_metrics_sql(scores_sql)}) a
+"""
