@@ -158,3 +158,125 @@ def _metric_queries():
 
 
 _metric_queries()
+
+
+# ---------------------------------------------------------------------------
+# C — negative matching on F_emb
+# ---------------------------------------------------------------------------
+
+from surveil.operators import matching as mt  # noqa: E402
+
+_A = f"SELECT * FROM ({osql.EMB_ASSIGNED_SQL}) a"
+
+
+def _emb_assigned(spark, sf):
+    return fx.embedding_match(spark, sf)
+
+
+@register("c0_c2_scaler_stats_emb", f"""
+SELECT CAST(i AS INTEGER) AS i, CAST(n AS BIGINT) AS n, round(median, 6) AS median, round(q25, 6) AS q25,
+       round(q75, 6) AS q75, round(scale, 6) AS scale FROM ({osql.EMB_STATS_SQL}) s WHERE n > 0""")
+def q_scaler_stats(spark, sf):
+    tp = fx.embedding_vectors(spark, sf).filter(F.col("label") == 0)
+    st = mt.usable_features(mt.feature_stats(tp, "x"))
+    out = st.select(
+        F.col("i").cast("int").alias("i"), F.col("n").cast("long").alias("n"), "median", "q25", "q75",
+        F.when(F.col("q75") - F.col("q25") == 0, F.lit(1.0)).otherwise(F.col("q75") - F.col("q25")).alias("scale"),
+    )
+    return round_doubles(out)
+
+
+@register("c3_nearest_centroid_emb", f"SELECT vec_id, centroid_idx, round(distance, 6) AS distance FROM ({_A}) a")
+def q_nearest(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return round_doubles(assigned.select("vec_id", "centroid_idx", "distance"))
+
+
+@register("c4_distance_cutoff_emb", f"""
+SELECT vec_id, centroid_idx, round(distance, 6) AS distance FROM ({_A}) a
+WHERE distance <= (SELECT quantile_cont(distance, 0.9) FROM ({_A}) b)""")
+def q_cutoff(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return round_doubles(mt.distance_cutoff(assigned, 90).select("vec_id", "centroid_idx", "distance"))
+
+
+@register("c5_sample_random_emb", f"""
+SELECT vec_id, centroid_idx FROM (
+  SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY {osql.emb_hash()}, vec_id) AS r FROM ({_A}) a
+) q WHERE r <= 5""")
+def q_random(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return mt.sample_random(assigned, 5, ["vec_id"]).select("vec_id", "centroid_idx")
+
+
+@register("c6_sample_nearest_emb", f"""
+SELECT vec_id, centroid_idx FROM (
+  SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, vec_id) AS r FROM ({_A}) a
+) q WHERE r <= 5""")
+def q_nearest_sample(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return mt.sample_nearest(assigned, 5, ["vec_id"]).select("vec_id", "centroid_idx")
+
+
+_STRAT_SQL = f"""
+WITH a AS ({_A}),
+e AS (SELECT centroid_idx, list_sort(list_distinct(quantile_cont(distance, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS edges,
+             count(*) AS pool FROM a GROUP BY centroid_idx),
+b AS (SELECT a.*, e.pool, greatest(0, len(list_filter(e.edges, lambda x: x < a.distance)) - 1) AS bin FROM a JOIN e USING (centroid_idx)),
+nb AS (SELECT centroid_idx, count(DISTINCT bin) AS nbins FROM b GROUP BY centroid_idx),
+r AS (SELECT b.*, greatest(1, CAST(floor(5 / nb.nbins) AS BIGINT)) AS per_bin,
+             row_number() OVER (PARTITION BY b.centroid_idx, bin ORDER BY {osql.emb_hash()}, vec_id) AS rk
+      FROM b JOIN nb USING (centroid_idx) WHERE pool >= 10),
+chosen AS (SELECT vec_id, centroid_idx FROM r WHERE rk <= per_bin),
+got AS (SELECT centroid_idx, count(*) AS got FROM chosen GROUP BY centroid_idx),
+topup AS (SELECT vec_id, centroid_idx FROM (
+            SELECT r.*, row_number() OVER (PARTITION BY r.centroid_idx ORDER BY distance, vec_id) AS r2, COALESCE(g.got, 0) AS got
+            FROM r LEFT JOIN got g USING (centroid_idx)
+            WHERE (r.vec_id, r.centroid_idx) NOT IN (SELECT (vec_id, centroid_idx) FROM chosen)) q
+          WHERE r2 <= 5 - got),
+small AS (SELECT vec_id, centroid_idx FROM (
+            SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, vec_id) AS r3 FROM b WHERE pool < 10) q
+          WHERE r3 <= 5)
+SELECT * FROM chosen UNION ALL SELECT * FROM topup UNION ALL SELECT * FROM small
+"""
+
+
+@register("c7_c9_sample_stratified_emb", _STRAT_SQL)
+def q_stratified(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return mt.sample_stratified(assigned, 5, ["vec_id"]).select("vec_id", "centroid_idx")
+
+
+@register("c10_matching_report_emb", f"""
+SELECT c.centroid_idx, CAST(COALESCE(p.n_candidates, 0) AS BIGINT) AS n_candidates,
+       CAST(COALESCE(s.n_selected, 0) AS BIGINT) AS n_selected, COALESCE(s.n_selected, 0) / 5.0 AS coverage,
+       round(p.mean_dist, 6) AS mean_dist, round(p.median_dist, 6) AS median_dist,
+       round(p.min_dist, 6) AS min_dist, round(p.max_dist, 6) AS max_dist
+FROM ({osql.EMB_CENTROIDS_SQL}) c
+LEFT JOIN (SELECT centroid_idx, count(*) AS n_candidates, avg(distance) AS mean_dist, median(distance) AS median_dist,
+                  min(distance) AS min_dist, max(distance) AS max_dist FROM ({_A}) a GROUP BY centroid_idx) p USING (centroid_idx)
+LEFT JOIN (SELECT centroid_idx, count(*) AS n_selected FROM (
+             SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, vec_id) AS r FROM ({_A}) a) q
+           WHERE r <= 5 GROUP BY centroid_idx) s USING (centroid_idx)""")
+def q_report(spark, sf):
+    cents, assigned = _emb_assigned(spark, sf)
+    sel = mt.sample_nearest(assigned, 5, ["vec_id"])
+    return round_doubles(mt.matching_report(cents, assigned, sel, ratio=5))
+
+
+@register("c11_pool_sizes_emb", f"SELECT centroid_idx, count(*) AS pool_size FROM ({_A}) a GROUP BY centroid_idx")
+def q_pool_sizes(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return mt.pool_sizes(assigned)
+
+
+@register("c12_training_set_emb", f"""
+SELECT vec_id, 1 AS label FROM embeddings WHERE label = 0
+UNION ALL
+SELECT vec_id, 0 AS label FROM (
+  SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, vec_id) AS r FROM ({_A}) a) q WHERE r <= 5""")
+def q_training_set(spark, sf):
+    cents, assigned = _emb_assigned(spark, sf)
+    pos = cents.select("vec_id", F.lit(1).alias("label"))
+    neg = mt.sample_nearest(assigned, 5, ["vec_id"]).select("vec_id", F.lit(0).alias("label"))
+    return mt.training_set(pos, neg)

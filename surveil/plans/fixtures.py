@@ -122,3 +122,23 @@ def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_type") == "error").cast("int").alias("label"),
         (F.col("value") / 500).alias("score"),
     )
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F_emb: ``vec_id, label, x array<double>`` from the embeddings table."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+
+
+def embedding_match(spark: SparkSession, sf_dir: str):
+    """F_emb matching inputs: centroids = label 0 (scaled, indexed), candidates = the rest (scaled)."""
+    from surveil.operators import matching as mt
+
+    emb = embedding_vectors(spark, sf_dir)
+    tp = emb.filter(F.col("label") == 0)
+    tn = emb.filter(F.col("label") != 0)
+    stats = mt.fit_scaler(tp, "x")
+    cents = mt.index_centroids(mt.apply_scaler(tp, stats), ["vec_id"])
+    cands = mt.apply_scaler(tn, stats)
+    assigned = mt.nearest_centroid(cands, cents, ["vec_id"], ["vec_id"])
+    return cents, assigned

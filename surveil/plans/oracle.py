@@ -275,3 +275,41 @@ SELECT round(t, 4) AS threshold, precision, recall, f1, specificity, tp, fp, tn,
        cost_per_case, n_positive, n_negative, n_total, t AS raw_threshold
 FROM ({rates_sql(counts)}) r, ({rank_metrics_sql(scores_sql)}) a
 """
+
+
+# ---------------------------------------------------------------------------
+# matching (C0–C12) on F_emb: long form + brute-force distances
+# ---------------------------------------------------------------------------
+
+EMB_LONG_SQL = """
+SELECT vec_id, label, unnest(range(len(embedding))) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings
+"""
+
+EMB_STATS_SQL = f"""
+SELECT i, count(v) AS n, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.75) AS q75,
+       CASE WHEN quantile_cont(v, 0.75) - quantile_cont(v, 0.25) = 0 THEN 1.0
+            ELSE quantile_cont(v, 0.75) - quantile_cont(v, 0.25) END AS scale
+FROM ({EMB_LONG_SQL}) l WHERE label = 0 GROUP BY i
+"""
+
+EMB_SCALED_SQL = f"""
+SELECT l.vec_id, l.label, l.i, (l.v - s.median) / s.scale AS z FROM ({EMB_LONG_SQL}) l JOIN ({EMB_STATS_SQL}) s USING (i)
+"""
+
+EMB_CENTROIDS_SQL = "SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS centroid_idx FROM embeddings WHERE label = 0"
+
+EMB_ASSIGNED_SQL = f"""
+SELECT vec_id, centroid_idx, distance FROM (
+  SELECT t.vec_id, c.centroid_idx, sqrt(sum((t.z - cz.z) * (t.z - cz.z))) AS distance,
+         row_number() OVER (PARTITION BY t.vec_id ORDER BY sqrt(sum((t.z - cz.z) * (t.z - cz.z))), c.centroid_idx) AS k
+  FROM ({EMB_SCALED_SQL}) t
+  JOIN ({EMB_SCALED_SQL}) cz ON t.i = cz.i AND cz.label = 0
+  JOIN ({EMB_CENTROIDS_SQL}) c ON c.vec_id = cz.vec_id
+  WHERE t.label <> 0
+  GROUP BY t.vec_id, c.centroid_idx
+) q WHERE k = 1
+"""
+
+
+def emb_hash(seed: int = 42) -> str:
+    return f"md5(concat_ws(chr(1), CAST(vec_id AS VARCHAR), '{seed}'))"
