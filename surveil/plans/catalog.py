@@ -280,3 +280,220 @@ def q_training_set(spark, sf):
     pos = cents.select("vec_id", F.lit(1).alias("label"))
     neg = mt.sample_nearest(assigned, 5, ["vec_id"]).select("vec_id", F.lit(0).alias("label"))
     return mt.training_set(pos, neg)
+
+
+# ---------------------------------------------------------------------------
+# P — scope and history; F15/F16/F18 — metadata encoding
+# ---------------------------------------------------------------------------
+
+from surveil.operators import scope as sc  # noqa: E402
+from surveil.operators import analysis as an  # noqa: E402
+
+_UB = f"({osql.USER_BARS_SQL})"
+_META = f"({osql.CUSTOMER_META_SQL})"
+
+
+@register("p1_filter_scope_user", f"""
+SELECT ticker, date, close FROM {_UB} b WHERE ticker IN (SELECT ticker FROM {_META} m WHERE {osql.SCOPE_SQL})""")
+def q_filter_scope(spark, sf):
+    bars, _ = sc.filter_scope(fx.user_bars(spark, sf), fx.customer_metadata(spark, sf), fx.SCOPE_COUNTRIES, fx.SCOPE_CURRENCIES)
+    return bars.select("ticker", "date", "close")
+
+
+@register("p2_drop_insufficient_history_user", f"""
+SELECT ticker, date FROM {_UB} b WHERE ticker IN (SELECT ticker FROM {_UB} c GROUP BY ticker HAVING count(date) >= 27)""")
+def q_history(spark, sf):
+    return sc.drop_insufficient_history(fx.user_bars(spark, sf), 27).select("ticker", "date")
+
+
+@register("p3_p5_preprocess_metadata_user", f"""
+SELECT ticker, country, currency FROM {_META} m WHERE {osql.SCOPE_SQL}
+  AND ticker IN (SELECT ticker FROM {_UB} b WHERE ticker IN (SELECT ticker FROM {_META} m2 WHERE {osql.SCOPE_SQL})
+                 GROUP BY ticker HAVING count(date) >= 27)""")
+def q_preprocess(spark, sf):
+    _, meta = sc.preprocess(fx.user_bars(spark, sf), fx.customer_metadata(spark, sf), fx.SCOPE_COUNTRIES,
+                            fx.SCOPE_CURRENCIES, min_days=27)
+    return meta.select("ticker", "country", "currency")
+
+
+@register("p4_merge_metadata_user", f"""
+SELECT b.ticker, b.date, m.country, m.currency, m.market_cap FROM {_UB} b LEFT JOIN {_META} m USING (ticker)""")
+def q_merge_meta(spark, sf):
+    return sc.merge_metadata(fx.user_bars(spark, sf), fx.customer_metadata(spark, sf)).select(
+        "ticker", "date", "country", "currency", "market_cap")
+
+
+@register("p6_dataset_summary_user", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_tickers, CAST(count(*) FILTER (WHERE tp) AS BIGINT) AS n_tp_tickers,
+       CAST(sum(d) AS BIGINT) AS n_rows, median(d) AS median_days, min(d) AS min_days, max(d) AS max_days,
+       (SELECT list_sort(list(DISTINCT country)) FROM {_META} m WHERE country IS NOT NULL) AS countries
+FROM (SELECT ticker, count(date) AS d, max(label) = 1 AS tp FROM ({osql.USER_WINDOWS_SQL}) w GROUP BY ticker) t""")
+def q_summary(spark, sf):
+    out = sc.dataset_summary(fx.user_windows(spark, sf), fx.customer_metadata(spark, sf))
+    return out.select(F.col("n_tickers").cast("long"), F.col("n_tp_tickers").cast("long"), F.col("n_rows").cast("long"),
+                      F.col("median_days").cast("double"), F.col("min_days").cast("long"), F.col("max_days").cast("long"), "countries")
+
+
+@register("p7_removed_keys_user", f"""
+SELECT g.ticker, m.country, m.currency FROM (
+  SELECT DISTINCT ticker FROM {_UB} b EXCEPT
+  SELECT DISTINCT ticker FROM {_UB} b2 WHERE ticker IN (SELECT ticker FROM {_META} m WHERE {osql.SCOPE_SQL})) g
+LEFT JOIN {_META} m USING (ticker)""")
+def q_removed(spark, sf):
+    bars = fx.user_bars(spark, sf)
+    meta = fx.customer_metadata(spark, sf)
+    after, _ = sc.filter_scope(bars, meta, fx.SCOPE_COUNTRIES, fx.SCOPE_CURRENCIES)
+    return sc.removed_keys(bars, after, meta).select("ticker", "country", "currency")
+
+
+@register("f15_f16_encode_metadata", osql.encoded_meta_sql())
+def q_encode(spark, sf):
+    return feat.encode_metadata(fx.customer_metadata(spark, sf), fx.metadata_category_lists(spark, sf))
+
+
+@register("f18_features_with_metadata_user", f"""
+SELECT f.ticker, f.d_date, f.label, f.close_chg_1d, f.volume_roll5_sum, e.* EXCLUDE (ticker)
+FROM ({osql.features_sql(osql.USER_WINDOWS_SQL)}) f LEFT JOIN ({osql.encoded_meta_sql()}) e USING (ticker)""")
+def q_features_meta(spark, sf):
+    f = feat.transform(fx.user_windows(spark, sf), metadata=fx.customer_metadata(spark, sf),
+                       categories=fx.metadata_category_lists(spark, sf))
+    keep = ["ticker", "d_date", "label", "close_chg_1d", "volume_roll5_sum"] + [
+        c for c in f.columns if c.startswith(("mktcap_", "country_", "currency_", "exchange_"))]
+    return round_doubles(f.select(*[F.col(f"`{c}`") for c in keep]))
+
+
+# ---------------------------------------------------------------------------
+# E — event-aligned analysis (F_user daily windows, F_brand, F_score)
+# ---------------------------------------------------------------------------
+
+_EF = f"({osql.EVENT_FRAME_SQL})"
+
+
+def _event_frame(spark, sf):
+    return an.event_frame(fx.user_windows(spark, sf))
+
+
+@register("e1_e3_event_frame_user", f"""
+SELECT ticker, d_date, date, CAST(days_to_d AS INTEGER) AS days_to_d, round(close_norm, 6) AS close_norm,
+       round(volume_norm, 6) AS volume_norm FROM {_EF} f""")
+def q_event_frame(spark, sf):
+    return round_doubles(_event_frame(spark, sf).select("ticker", "d_date", "date", "days_to_d", "close_norm", "volume_norm"))
+
+
+@register("e4_median_trajectory_user", f"""
+SELECT CAST(days_to_d AS INTEGER) AS days_to_d, round(median(close_norm), 6) AS median_close_norm FROM {_EF} f GROUP BY days_to_d""")
+def q_median_traj(spark, sf):
+    return round_doubles(an.median_trajectory(_event_frame(spark, sf)))
+
+
+_RET = f"SELECT ticker, d_date, (arg_max(close_norm, days_to_d) - 1) * 100 AS return_pct FROM {_EF} f GROUP BY ticker, d_date"
+
+
+@register("e5_window_returns_user", f"SELECT ticker, d_date, round(return_pct, 6) AS return_pct FROM ({_RET}) r")
+def q_returns(spark, sf):
+    return round_doubles(an.window_returns(_event_frame(spark, sf)))
+
+
+@register("e5_return_summary_user", f"""
+SELECT round(median(return_pct), 6) AS median_return, round(avg(return_pct), 6) AS mean_return,
+       round(avg(CASE WHEN return_pct > 0 THEN 1.0 ELSE 0.0 END), 6) AS share_rising, count(*) AS n_windows FROM ({_RET}) r""")
+def q_return_summary(spark, sf):
+    return round_doubles(an.return_summary(an.window_returns(_event_frame(spark, sf))))
+
+
+@register("e6_rolling_volume_user", f"""
+SELECT ticker, d_date, CAST(days_to_d AS INTEGER) AS days_to_d,
+       round(CASE WHEN count(volume_norm) OVER w >= 3 THEN avg(volume_norm) OVER w END, 6) AS volume_norm_roll10
+FROM {_EF} f WINDOW w AS (PARTITION BY ticker, d_date ORDER BY days_to_d ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""")
+def q_rolling_volume(spark, sf):
+    r = an.rolling_mean_by_group(_event_frame(spark, sf), "volume_norm", 10, 3)
+    return round_doubles(r.select("ticker", "d_date", "days_to_d", "volume_norm_roll10"))
+
+
+@register("e7_quantile_band_user", f"""
+SELECT CAST(days_to_d AS INTEGER) AS days_to_d, round(quantile_cont(volume_norm, 0.5), 6) AS median,
+       round(quantile_cont(volume_norm, 0.25), 6) AS q25, round(quantile_cont(volume_norm, 0.75), 6) AS q75
+FROM {_EF} f GROUP BY days_to_d""")
+def q_quantile_band(spark, sf):
+    return round_doubles(an.quantile_band(_event_frame(spark, sf), "volume_norm"))
+
+
+@register("e8_bucket_by_days_user", f"""
+SELECT CAST(-91 + i * 10 AS INTEGER) AS bucket_lo, CAST(-91 + (i + 1) * 10 AS INTEGER) AS bucket_hi,
+       round(median(close_norm), 6) AS median_close_norm, round(median(volume_norm), 6) AS median_volume_norm
+FROM (SELECT *, CAST(ceil((days_to_d + 91) / 10) AS INTEGER) - 1 AS i FROM {_EF} f WHERE days_to_d > -91 AND days_to_d <= -1) b
+GROUP BY i""")
+def q_buckets(spark, sf):
+    return round_doubles(an.bucket_by_days(_event_frame(spark, sf)))
+
+
+@register("e9_lookback_consistency_user", f"""
+SELECT CAST(lookback_days AS INTEGER) AS lookback_days, count(*) AS n_tickers, round(avg(m), 6) AS mean_vol,
+       round(stddev_samp(m), 6) AS std_vol, round(CASE WHEN avg(m) > 0 THEN stddev_samp(m) / avg(m) END, 6) AS cv
+FROM (SELECT lookback_days, ticker, d_date, avg(volume_norm) AS m
+      FROM {_EF} f, (SELECT unnest([30, 45, 60, 90, 120]) AS lookback_days) l
+      WHERE days_to_d >= -lookback_days GROUP BY lookback_days, ticker, d_date) p
+GROUP BY lookback_days""")
+def q_lookback(spark, sf):
+    return round_doubles(an.lookback_consistency(_event_frame(spark, sf)))
+
+
+@register("e10_class_imbalance_user", f"""
+SELECT n_tp, CAST(floor(6000 / n_tp) AS BIGINT) AS imbalance_ratio, round(1 - n_tp / 6000, 6) AS naive_accuracy,
+       round(n_tp / 3000.0, 6) AS legacy_precision FROM (SELECT count(DISTINCT ticker) AS n_tp FROM ({osql.USER_WINDOWS_SQL}) w) c""")
+def q_imbalance(spark, sf):
+    return round_doubles(an.class_imbalance(fx.user_windows(spark, sf), 6000))
+
+
+@register("e11_value_counts_country", f"""
+SELECT COALESCE(country, 'Unknown') AS country, count(*) AS count FROM {_META} m GROUP BY 1 ORDER BY count DESC, country LIMIT 10""")
+def q_value_counts(spark, sf):
+    return an.value_counts(fx.customer_metadata(spark, sf), "country", 10)
+
+
+@register("e12_cases_by_year_user", f"""
+SELECT CAST(year(d_date) AS INTEGER) AS year, count(*) AS n_cases FROM ({osql.USER_CASES_SQL}) c
+WHERE ticker IN (SELECT ticker FROM {_UB} b WHERE ticker IN (SELECT ticker FROM {_UB} h GROUP BY ticker HAVING count(*) >= 27))
+GROUP BY 1""")
+def q_cases_by_year(spark, sf):
+    return an.cases_by_year(fx.user_cases(spark, sf), sc.drop_insufficient_history(fx.user_bars(spark, sf), 27))
+
+
+@register("e13_histogram_event_value", """
+SELECT bin, round(lo + span * bin / 20.0, 6) AS bin_lo, round(lo + span * (bin + 1) / 20.0, 6) AS bin_hi, count(*) AS count
+FROM (SELECT least(CAST(floor((value - lo) / span * 20.0) AS INTEGER), 19) AS bin, lo, span
+      FROM events, (SELECT min(value) AS lo, max(value) - min(value) AS span FROM events) r WHERE value IS NOT NULL) q
+GROUP BY bin, lo, span""")
+def q_histogram(spark, sf):
+    return round_doubles(an.histogram(fx.table(spark, sf, "events"), "value", 20))
+
+
+@register("e16_score_separation_lineitem", f"""
+SELECT label, count(*) AS n, round(median(score), 6) AS median_score FROM ({osql.LINEITEM_SCORES_SQL}) s GROUP BY label""")
+def q_separation(spark, sf):
+    return round_doubles(an.score_separation(fx.lineitem_scores(spark, sf)))
+
+
+@register("e17_detection_rate_events", f"""
+SELECT count(*) AS n_positive, count(*) FILTER (WHERE score >= 0.5) AS n_detected,
+       round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE score >= 0.5) / count(*) END, 6) AS detection_rate
+FROM ({osql.EVENT_SCORES_SQL}) s WHERE label = 1""")
+def q_detection(spark, sf):
+    return round_doubles(an.detection_rate(fx.event_scores(spark, sf), 0.5))
+
+
+@register("e19_case_summary_user", f"""
+SELECT count(*) AS n_rows, count(DISTINCT ticker) AS n_tickers, min(d_date) AS first_d_date, max(d_date) AS last_d_date
+FROM ({osql.USER_CASES_SQL}) c""")
+def q_case_summary(spark, sf):
+    return an.case_summary(fx.user_cases(spark, sf))
+
+
+@register("e19_window_summary_brand", f"""
+SELECT count(DISTINCT d_date) AS n_d_dates, count(*) AS n_windows, sum(n) AS n_rows, round(avg(n), 6) AS rows_per_window
+FROM (SELECT ticker, d_date, count(*) AS n FROM ({_brand_window_sql(90)} UNION ALL {_brand_cand_window_sql(90)}) w
+      GROUP BY ticker, d_date) p""")
+def q_window_summary(spark, sf):
+    w = brand_windows(spark, sf, 90).unionByName(brand_candidate_windows(spark, sf, 90))
+    out = an.window_summary(w)
+    return round_doubles(out.withColumn("n_rows", F.col("n_rows").cast("decimal(38,0)")))

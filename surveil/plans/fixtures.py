@@ -142,3 +142,44 @@ def embedding_match(spark: SparkSession, sf_dir: str):
     cands = mt.apply_scaler(tn, stats)
     assigned = mt.nearest_centroid(cands, cents, ["vec_id"], ["vec_id"])
     return cents, assigned
+
+
+# F_meta: customers as securities (country = nation, exchange = region, currency = segment)
+SCOPE_COUNTRIES = ["NATION_1", "NATION_6", "NATION_11", "NATION_16", "NATION_21"]
+SCOPE_CURRENCIES = ["HOUSEHOLD", "MACHINERY", "BUILDING"]
+
+
+def customer_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    k = F.col("c_custkey")
+    j = cust.join(nation, cust.c_nationkey == nation.n_nationkey).join(region, F.col("n_regionkey") == region.r_regionkey)
+    return j.select(
+        k.cast("string").alias("ticker"),
+        F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("c_acctbal") * F.lit(1e6)).cast("double").alias("market_cap"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("n_name")).alias("country"),
+        F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("currency"),
+        F.col("r_name").alias("exchange"),
+    )
+
+
+def metadata_category_lists(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """Fixed one-hot categories from the dimension tables (bounded: nations, regions, segments)."""
+    from surveil.functions.constants import MARKET_CAP_LABELS
+
+    nations = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_name").distinct().collect())
+    regions = sorted(r[0] for r in table(spark, sf_dir, "region").select("r_name").distinct().collect())
+    segs = sorted(r[0] for r in table(spark, sf_dir, "customer").select("c_mktsegment").distinct().collect())
+    return {
+        "mktcap": [*MARKET_CAP_LABELS, "nan"],
+        "country": [*nations, "unknown"],
+        "currency": [*segs, "unknown"],
+        "exchange": regions,
+    }
+
+
+def user_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from surveil.operators import windows as win
+
+    return win.observation_window(user_bars(spark, sf_dir), user_cases(spark, sf_dir), lookback_bars=90)

@@ -313,3 +313,53 @@ SELECT vec_id, centroid_idx, distance FROM (
 
 def emb_hash(seed: int = 42) -> str:
     return f"md5(concat_ws(chr(1), CAST(vec_id AS VARCHAR), '{seed}'))"
+
+
+# ---------------------------------------------------------------------------
+# metadata, scope and event analysis
+# ---------------------------------------------------------------------------
+
+CUSTOMER_META_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS ticker,
+       CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal * CAST(1000000 AS DOUBLE) END AS market_cap,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE n_name END AS country,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS currency,
+       r_name AS exchange
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+"""
+
+SCOPE_SQL = ("(country IN ('NATION_1','NATION_6','NATION_11','NATION_16','NATION_21') OR country IS NULL) AND "
+             "(currency IN ('HOUSEHOLD','MACHINERY','BUILDING') OR currency IS NULL)")
+
+USER_WINDOWS_SQL = window_sql(USER_BARS_SQL, USER_CASES_SQL, 90, 90)
+
+EVENT_FRAME_SQL = f"""
+SELECT *, datediff('day', d_date, date) AS days_to_d,
+       close / NULLIF(first_value(close IGNORE NULLS) OVER (PARTITION BY ticker, d_date ORDER BY date
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) AS close_norm,
+       volume / NULLIF(avg(volume) OVER (PARTITION BY ticker, d_date), 0) AS volume_norm
+FROM ({USER_WINDOWS_SQL}) w
+"""
+
+
+def mktcap_tier_sql(x: str = "market_cap") -> str:
+    v = f"COALESCE({x}, 0)"
+    return (f"CASE WHEN {v} >= 0 AND {v} < 300e6 THEN 'micro' WHEN {v} >= 300e6 AND {v} < 2e9 THEN 'small' "
+            f"WHEN {v} >= 2e9 AND {v} < 10e9 THEN 'mid' WHEN {v} >= 10e9 AND {v} < 200e9 THEN 'large' "
+            f"WHEN {v} >= 200e9 AND {v} < 'inf'::DOUBLE THEN 'mega' ELSE 'nan' END")
+
+
+def encoded_meta_sql(n_nations: int = 25) -> str:
+    tiers = ["micro", "small", "mid", "large", "mega", "nan"]
+    nations = sorted([f"NATION_{i}" for i in range(n_nations)]) + ["unknown"]
+    segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "unknown"]
+    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    cols = [f"CAST(tier = '{t}' AS INTEGER) AS \"mktcap_{t}\"" for t in tiers]
+    cols += [f"CAST(cty = '{n}' AS INTEGER) AS \"country_{n}\"" for n in nations]
+    cols += [f"CAST(cur = '{s}' AS INTEGER) AS \"currency_{s}\"" for s in segs]
+    cols += [f"CAST(exchange = '{r}' AS INTEGER) AS \"exchange_{r}\"" for r in regions]
+    return f"""
+SELECT ticker, {", ".join(cols)} FROM (
+  SELECT ticker, {mktcap_tier_sql()} AS tier, COALESCE(country, 'unknown') AS cty, COALESCE(currency, 'unknown') AS cur, exchange
+  FROM ({CUSTOMER_META_SQL}) m) e
+"""
