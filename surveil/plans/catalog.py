@@ -490,10 +490,148 @@ def q_case_summary(spark, sf):
 
 
 @register("e19_window_summary_brand", f"""
-SELECT count(DISTINCT d_date) AS n_d_dates, count(*) AS n_windows, sum(n) AS n_rows, round(avg(n), 6) AS rows_per_window
+SELECT count(DISTINCT d_date) AS n_d_dates, count(*) AS n_windows, CAST(sum(n) AS BIGINT) AS n_rows, round(avg(n), 6) AS rows_per_window
 FROM (SELECT ticker, d_date, count(*) AS n FROM ({_brand_window_sql(90)} UNION ALL {_brand_cand_window_sql(90)}) w
       GROUP BY ticker, d_date) p""")
 def q_window_summary(spark, sf):
     w = brand_windows(spark, sf, 90).unionByName(brand_candidate_windows(spark, sf, 90))
     out = an.window_summary(w)
-    return round_doubles(out.withColumn("n_rows", F.col("n_rows").cast("decimal(38,0)")))
+    return round_doubles(out.withColumn("n_rows", F.col("n_rows").cast("long")))
+
+
+# ---------------------------------------------------------------------------
+# A — case sourcing from text; U — candidate universe
+# ---------------------------------------------------------------------------
+
+from surveil.functions.constants import TICKER_PATTERNS, TICKER_STOPWORDS  # noqa: E402
+from surveil.operators import text as tx  # noqa: E402
+from surveil.operators import universe as uv  # noqa: E402
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_STOP_SQL = "[" + ", ".join(_sql_str(s) for s in TICKER_STOPWORDS) + "]"
+
+
+def _html_text_sql(col: str) -> str:
+    x = col
+    for tag in ("script", "style", "template"):
+        x = f"regexp_replace({x}, {_sql_str(f'(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>')}, ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<![^>]*>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    for ent, ch in tx.HTML_ENTITIES:
+        x = f"replace({x}, {_sql_str(ent)}, {_sql_str(ch)})"
+    return x
+
+
+def _tokens_sql(col: str) -> str:
+    return (f"list_sort(list_distinct(list_filter(string_split_regex({col}, '[^A-Za-z0-9_]+'), "
+            f"lambda w: regexp_full_match(w, '[A-Z]{{2,5}}') AND NOT list_contains({_STOP_SQL}, w))))")
+
+
+@register("a1_a2_page_symbols", f"""
+SELECT page_id, length(txt) AS text_chars, unnest(CASE WHEN len(syms) = 0 THEN [NULL] ELSE syms END) AS ticker FROM (
+  SELECT page_id, txt, {_tokens_sql('txt')} AS syms FROM (SELECT page_id, {_html_text_sql('html')} AS txt FROM pages) p) q""")
+def q_page_symbols(spark, sf):
+    pages = tx.html_to_text(fx.table(spark, sf, "pages"), "html", "txt")
+    toks = tx.extract_tokens(pages, "txt")
+    return toks.select("page_id", F.length("txt").alias("text_chars"), F.explode_outer("symbols").alias("ticker"))
+
+
+_PATTERN_LISTS = " || ".join(f"regexp_extract_all(text, {_sql_str(p)}, 1, 'i')" for p in TICKER_PATTERNS)
+
+
+@register("a2_extract_symbols_documents", f"""
+SELECT doc_id, unnest(syms) AS ticker FROM (
+  SELECT doc_id, list_sort(list_distinct(list_filter(list_transform({_PATTERN_LISTS}, lambda s: upper(s)),
+         lambda s: length(s) BETWEEN 1 AND 5 AND NOT list_contains({_STOP_SQL}, s)))) AS syms FROM documents) q""")
+def q_doc_symbols(spark, sf):
+    d = tx.extract_symbols(fx.table(spark, sf, "documents"), "text")
+    return d.select("doc_id", F.explode("symbols").alias("ticker"))
+
+
+@register("a3_search_documents", "SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'the of')")
+def q_search(spark, sf):
+    return tx.search_documents(fx.table(spark, sf, "documents"), "The of").select("doc_id", "lang")
+
+
+_HITS_SQL = """
+SELECT doc_id, text,
+       CASE WHEN doc_id % 10 = 0 THEN NULL ELSE CAST(DATE '2010-01-01' + CAST(doc_id % 3650 AS INTEGER) AS DATE) END AS case_date,
+       CASE WHEN lang = 'en' THEN source ELSE upper(lang) END AS company,
+       CASE WHEN doc_id % 3 = 0 THEN 'https://www.sec.gov' || 'doc-' || CAST(doc_id AS VARCHAR)
+            WHEN doc_id % 3 = 1 THEN 'https://www.sec.gov' || '/litigation/' || source || '/' || CAST(doc_id AS VARCHAR)
+            ELSE 'http://' || source || '/' || CAST(doc_id AS VARCHAR) END AS case_url
+FROM documents
+"""
+
+
+@register("a4_a5_parse_hits", f"""
+SELECT doc_id AS hit_order, company, COALESCE(strftime(case_date, '%Y-%m-%d'), 'not-a-date') AS file_date, case_url
+FROM ({_HITS_SQL}) h""")
+def q_parse_hits(spark, sf):
+    h = tx.document_url(tx.parse_hits(fx.document_hits(spark, sf)))
+    return h.select("hit_order", "company", "file_date", "case_url")
+
+
+@register("a6_build_cases", f"""
+SELECT ticker, company, case_date, case_url FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, case_date ORDER BY doc_id, case_url, company) AS r FROM (
+    SELECT doc_id, unnest({_tokens_sql('text')}) AS ticker, company, case_date, case_url FROM ({_HITS_SQL}) h) x
+  WHERE case_date IS NOT NULL) q WHERE r = 1""")
+def q_build_cases(spark, sf):
+    h = tx.document_url(tx.parse_hits(fx.document_hits(spark, sf)))
+    return tx.build_cases(tx.extract_tokens(h, "text"))
+
+
+def _listing_sql(tbl: str, key: str, name: str, source: str) -> str:
+    base = f"upper(substr(md5({name}), 1, 10))"
+    sym = f"substr({base}, 1, CAST({key} % 6 AS INTEGER) + 1)"
+    return f"""
+SELECT CASE WHEN {key} % 13 = 0 THEN {sym} || 'W' WHEN {key} % 17 = 0 THEN {sym} || '.A'
+            WHEN {key} % 19 = 0 THEN ' ' || lower({sym}) || ' ' ELSE {sym} END AS ticker,
+       {name} AS security_name,
+       CASE WHEN {key} % 9 = 0 THEN 'Y' WHEN {key} % 9 = 1 THEN NULL ELSE 'N' END AS test_issue,
+       CASE WHEN {key} % 10 = 0 THEN 'Y' ELSE 'N' END AS etf, '{source}' AS source, {key} AS listing_row
+FROM {tbl}"""
+
+
+_LIST_SQL = (f"({_listing_sql('supplier', 's_suppkey', 's_name', 'nasdaq')} UNION ALL "
+             f"{_listing_sql('customer', 'c_custkey', 'c_name', 'other')})")
+_FILTERED_SQL = f"""
+SELECT upper(trim(ticker)) AS ticker, security_name, source, listing_row FROM {_LIST_SQL} l
+WHERE COALESCE(test_issue, '') <> 'Y' AND COALESCE(etf, '') <> 'Y'
+  AND NOT regexp_matches(upper(trim(ticker)), '[.+$^~%]') AND NOT suffix(upper(trim(ticker)), 'W')
+  AND NOT suffix(upper(trim(ticker)), 'R') AND NOT suffix(upper(trim(ticker)), 'P')
+  AND length(upper(trim(ticker))) BETWEEN 1 AND 5"""
+_KNOWN_SQL = f"SELECT DISTINCT upper(ticker) AS ticker FROM ({_listing_sql('customer', 'c_custkey', 'c_name', 'other')}) c WHERE listing_row % 25 = 0"
+_DEDUP_SQL = f"""
+SELECT ticker, security_name, source, listing_row FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY CASE source WHEN 'nasdaq' THEN 1 ELSE 2 END, listing_row, security_name) AS r
+  FROM ({_FILTERED_SQL}) f WHERE ticker NOT IN ({_KNOWN_SQL})) q WHERE r = 1"""
+
+
+def _listings(spark, sf):
+    return [fx.supplier_listing(spark, sf), fx.customer_listing(spark, sf)]
+
+
+@register("u1_u3_filtered_listings", f"SELECT ticker, source, listing_row FROM ({_FILTERED_SQL}) f")
+def q_filtered(spark, sf):
+    u = uv.filter_symbols(uv.drop_flagged(uv.union_listings(*_listings(spark, sf))))
+    return u.select("ticker", "source", "listing_row")
+
+
+@register("u4_u5_dedupe_universe", f"SELECT ticker, source, listing_row FROM ({_DEDUP_SQL}) d")
+def q_dedupe(spark, sf):
+    u = uv.filter_symbols(uv.drop_flagged(uv.union_listings(*_listings(spark, sf))))
+    u = uv.dedupe_first(uv.exclude_known(u, fx.listing_known_cases(spark, sf)))
+    return u.select("ticker", "source", "listing_row")
+
+
+@register("u6_u7_build_universe", f"""
+SELECT ticker, security_name, source FROM ({_DEDUP_SQL}) d ORDER BY md5(ticker || '42'), ticker LIMIT 50""")
+def q_universe(spark, sf):
+    return uv.build_universe(_listings(spark, sf), fx.listing_known_cases(spark, sf), n=50, seed=42)

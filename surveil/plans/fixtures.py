@@ -183,3 +183,51 @@ def user_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from surveil.operators import windows as win
 
     return win.observation_window(user_bars(spark, sf_dir), user_cases(spark, sf_dir), lookback_bars=90)
+
+
+# F_text: documents as litigation releases (hit JSON built from the row, date from doc_id)
+def document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    d = F.col("doc_id")
+    file_date = F.when(d % 10 == 0, F.lit("not-a-date")).otherwise(
+        F.date_format(F.date_add(F.lit("2010-01-01").cast("date"), (d % 3650).cast("int")), "yyyy-MM-dd"))
+    file_path = (
+        F.when(d % 3 == 0, F.lit(None).cast("string"))
+        .when(d % 3 == 1, F.concat(F.lit("/litigation/"), F.col("source"), F.lit("/"), d.cast("string")))
+        .otherwise(F.concat(F.lit("http://"), F.col("source"), F.lit("/"), d.cast("string")))
+    )
+    display = F.when(F.col("lang") == "en", F.array(F.col("source"))).otherwise(F.array().cast("array<string>"))
+    hit = F.struct(
+        F.concat(F.lit("doc-"), d.cast("string")).alias("_id"),
+        F.struct(file_date.alias("file_date"), file_path.alias("file_path"), display.alias("display_names"),
+                 F.array(F.upper(F.col("lang"))).alias("entity_names")).alias("_source"),
+    )
+    return docs.select(d.alias("hit_order"), "text", F.to_json(hit).alias("hit"))
+
+
+# F_list: customers and suppliers as two listings; symbols from md5 of the name
+def _listing(df: DataFrame, key: str, name: str, source: str) -> DataFrame:
+    k = F.col(key)
+    base = F.upper(F.substring(F.md5(F.col(name)), 1, 10))
+    sym = F.substring(base, 1, (k % 6).cast("int") + 1)
+    sym = (F.when(k % 13 == 0, F.concat(sym, F.lit("W"))).when(k % 17 == 0, F.concat(sym, F.lit(".A")))
+           .when(k % 19 == 0, F.concat(F.lit(" "), F.lower(sym), F.lit(" "))).otherwise(sym))
+    return df.select(
+        sym.alias("ticker"), F.col(name).alias("security_name"),
+        F.when(k % 9 == 0, F.lit("Y")).when(k % 9 == 1, F.lit(None)).otherwise(F.lit("N")).alias("test_issue"),
+        F.when(k % 10 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("etf"),
+        F.lit(source).alias("source"), k.alias("listing_row"),
+    )
+
+
+def supplier_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listing(table(spark, sf_dir, "supplier"), "s_suppkey", "s_name", "nasdaq")
+
+
+def customer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listing(table(spark, sf_dir, "customer"), "c_custkey", "c_name", "other")
+
+
+def listing_known_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known case tickers: every 25th customer's symbol."""
+    return customer_listing(spark, sf_dir).filter(F.col("listing_row") % 25 == 0).select("ticker")
