@@ -168,15 +168,16 @@ def _hash_order(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
 
 
-def sample_random(pool: DataFrame, n: int, key: Sequence[str], seed: int = RANDOM_STATE) -> DataFrame:
+def sample_random(pool: DataFrame, n: int, key: Sequence[str], seed: int = RANDOM_STATE,
+                  by: Sequence[str] = ()) -> DataFrame:
     """``n`` per centroid in seeded hash order, without replacement (pool < n → whole pool)."""
-    w = Window.partitionBy("centroid_idx").orderBy(_hash_order(key, seed), *key)
+    w = Window.partitionBy(*by, "centroid_idx").orderBy(_hash_order(key, seed), *key)
     return pool.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
-def sample_nearest(pool: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
+def sample_nearest(pool: DataFrame, n: int, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """The ``n`` smallest distances per centroid (ties by key)."""
-    w = Window.partitionBy("centroid_idx").orderBy("distance", *key)
+    w = Window.partitionBy(*by, "centroid_idx").orderBy("distance", *key)
     return pool.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 

@@ -635,3 +635,80 @@ def q_dedupe(spark, sf):
 SELECT ticker, security_name, source FROM ({_DEDUP_SQL}) d ORDER BY md5(ticker || '42'), ticker LIMIT 50""")
 def q_universe(spark, sf):
     return uv.build_universe(_listings(spark, sf), fx.listing_known_cases(spark, sf), n=50, seed=42)
+
+
+# ---------------------------------------------------------------------------
+# M — models (invariant / rows checks; fold membership and weights have SQL)
+# ---------------------------------------------------------------------------
+
+from surveil.functions.registry import feature_names  # noqa: E402
+from surveil.operators import forest as fr  # noqa: E402
+from surveil.operators import model as md  # noqa: E402
+
+_BRAND_FEATS_SQL = osql.features_sql(f"{_brand_window_sql(120)} UNION ALL {_brand_cand_window_sql(120)}")
+
+
+def brand_feature_sets(spark, sf):
+    """TP and TN feature matrices of F_brand (lookback 120), checkpointed once per query."""
+    tp = feat.transform(brand_windows(spark, sf, 120))
+    tn = feat.transform(brand_candidate_windows(spark, sf, 120))
+    both = md.cut_lineage(tp.unionByName(tn))
+    return both.filter(F.col("label") == 1), both.filter(F.col("label") == 0)
+
+
+@register("m4_class_weights_brand", f"""
+SELECT ticker, d_date, label, round(count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY label)), 6) AS weight
+FROM ({_BRAND_FEATS_SQL}) f""")
+def q_class_weights(spark, sf):
+    w = feat.transform(brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120)))
+    return round_doubles(md.class_weights(w.select("ticker", "d_date", "label")))
+
+
+@register("m9_fold_membership_brand", f"""
+SELECT f.fold, x.ticker, x.d_date, x.label, CASE WHEN x.d_date = f.fold THEN 'test' ELSE 'train' END AS role
+FROM ({_BRAND_FEATS_SQL}) x, (SELECT DISTINCT d_date AS fold FROM ({osql.BRAND_CASES_SQL}) c) f""")
+def q_folds(spark, sf):
+    w = feat.transform(brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120)))
+    folds = md.fold_dates(w.filter(F.col("label") == 1))
+    return md.leave_one_group_out(w.select("ticker", "d_date", "label"), folds).select("fold", "ticker", "d_date", "label", "role")
+
+
+@register("m1_m3_isolation_forest_emb")
+def q_forest(spark, sf):
+    emb = fx.embedding_vectors(spark, sf)
+    base = emb.filter(F.col("label") != 0)
+    stats = mt.fit_scaler(base, "x")
+    nodes = md.cut_lineage(fr.fit_forest(mt.apply_scaler(base, stats), ["vec_id"], "z"))
+    scored = fr.score_forest(mt.apply_scaler(emb, stats), nodes, "z")
+    return scored.select("vec_id", "label", fr.SCORE_COL)
+
+
+@register("m10_cross_validate_oof_brand")
+def q_cv(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    return md.cross_validate(tp, tn, feature_names())
+
+
+def _final(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    oof = md.cut_lineage(md.cross_validate(tp, tn, feature_names()))
+    return tp, tn, md.fit_final(tp, tn, feature_names(), threshold=md.threshold_from_oof(oof))
+
+
+@register("m5_m8_tree_rules_brand")
+def q_rules(spark, sf):
+    _, _, fm = _final(spark, sf)
+    return md.tree_rules(spark, fm.tree, feature_names() + [fr.SCORE_COL])
+
+
+@register("m7_top_features_brand")
+def q_importances(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    fm = md.fit_final(tp, tn, feature_names())
+    return md.feature_importances(spark, fm.tree, feature_names() + [fr.SCORE_COL], top=10)
+
+
+@register("m11_m12_final_scores_brand")
+def q_final_scores(spark, sf):
+    tp, tn, fm = _final(spark, sf)
+    return md.score(fm, tp.unionByName(tn), use_threshold=True).select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
