@@ -712,3 +712,30 @@ def q_importances(spark, sf):
 def q_final_scores(spark, sf):
     tp, tn, fm = _final(spark, sf)
     return md.score(fm, tp.unionByName(tn), use_threshold=True).select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+
+
+# ---------------------------------------------------------------------------
+# ST — streaming (file stream with availableNow → parquet sink, read back)
+# ---------------------------------------------------------------------------
+
+from surveil.streaming import bars as stb  # noqa: E402
+
+
+@register("st1_stream_bars_user", f"""
+SELECT * FROM ({osql.USER_BARS_SQL}) b
+WHERE CAST(date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""")
+def q_stream_bars(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    src = stb.land(ev, "events")
+    return stb.run_stream_bars(spark, src, ev.schema, key="user_id", ts="ts", price="value", size=None,
+                               order_cols=["event_id"])
+
+
+@register("st2_stream_scores_brand")
+def q_stream_scores(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    fm = md.fit_final(tp, tn, feature_names(), threshold=0.5)
+    feats = tp.unionByName(tn)
+    src = stb.land(feats, "features", files=4)
+    out = stb.run_stream_scores(spark, fm, src, feats.schema)
+    return out.select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
