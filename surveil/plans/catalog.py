@@ -739,3 +739,128 @@ def q_stream_scores(spark, sf):
     src = stb.land(feats, "features", files=4)
     out = stb.run_stream_scores(spark, fm, src, feats.schema)
     return out.select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+
+
+# ---------------------------------------------------------------------------
+# Remaining inventory: readers/sinks over Spark-written landing files, F14,
+# F17, E14/E15/E18, C8 and X1
+# ---------------------------------------------------------------------------
+
+from surveil.functions.registry import FEATURES  # noqa: E402
+from surveil.session import scratch_path  # noqa: E402
+from surveil import sources as src  # noqa: E402
+
+
+@register("s1_read_bars_user", f"SELECT ticker, date, open, high, low, close, volume FROM ({osql.USER_BARS_SQL}) b")
+def q_read_bars(spark, sf):
+    path = src.write_table(fx.user_bars(spark, sf), scratch_path(spark, "bars"), partition_by=["date"])
+    return src.read_bars(spark, path).select("ticker", "date", "open", "high", "low", "close", "volume")
+
+
+@register("s3_read_cases_brand", f"SELECT ticker, d_date FROM ({osql.BRAND_CASES_SQL}) c")
+def q_read_cases(spark, sf):
+    scraped = fx.brand_cases(spark, sf).select("ticker", F.lit("").alias("company"),
+                                               F.date_format("d_date", "yyyy-MM-dd").alias("case_date"),
+                                               F.lit("").alias("case_url"))
+    path = src.write_table(scraped, scratch_path(spark, "cases"), fmt="csv")
+    return src.read_cases(spark, path).select("ticker", "d_date")
+
+
+@register("s4_read_metadata_customers", f"SELECT ticker, country, currency, exchange FROM ({osql.CUSTOMER_META_SQL}) m")
+def q_read_meta(spark, sf):
+    path = src.write_table(fx.customer_metadata(spark, sf), scratch_path(spark, "meta"), fmt="csv")
+    return src.read_metadata(spark, path).select("ticker", "country", "currency", "exchange")
+
+
+@register("s5_read_listing_suppliers", f"""
+SELECT ticker, security_name, test_issue, etf, 'nasdaq' AS source
+FROM ({_listing_sql('supplier', 's_suppkey', 's_name', 'nasdaq')}) l WHERE ticker IS NOT NULL AND ticker <> ''""")
+def q_read_listing(spark, sf):
+    lst = fx.supplier_listing(spark, sf).select(
+        F.col("ticker").alias("Symbol"), F.col("security_name").alias("Security Name"),
+        F.col("test_issue").alias("Test Issue"), F.col("etf").alias("ETF"), F.col("listing_row"))
+    trailer = lst.limit(1).select(F.lit("File Creation Time: 0000000000").alias("Symbol"),
+                                  *[F.lit(None).cast("string").alias(c) for c in ("Security Name", "Test Issue", "ETF")],
+                                  F.lit(None).cast("long").alias("listing_row"))
+    path = scratch_path(spark, "listing")
+    (lst.unionByName(trailer).drop("listing_row").write.mode("overwrite").option("header", True).option("sep", "|")
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    out = src.read_listing(spark, path, "nasdaq")
+    return out.select(F.col("ticker").cast("string"), "security_name", "test_issue", "etf", "source")
+
+
+@register("s6_s7_build_once_bars_brand")
+def q_build_once(spark, sf):
+    path = scratch_path(spark, "cached-bars")
+    first = src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf), partition_by=None)
+    again = src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf).limit(0))  # reused, not rebuilt
+    return again.select("ticker", "date", "close").unionByName(first.select("ticker", "date", "close").limit(0))
+
+
+@register("s8_saved_model_scores_brand")
+def q_saved_model(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    fm = md.fit_final(tp, tn, feature_names(), threshold=0.5)
+    path = md.save_model(fm, scratch_path(spark, "model"))
+    loaded = md.load_model(spark, path)
+    return md.score(loaded, tp.unionByName(tn), use_threshold=True).select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+
+
+@register("f14_indicator_series_brand", osql.indicators_sql(_brand_window_sql(90)))
+def q_indicators(spark, sf):
+    return round_doubles(feat.indicator_series(brand_windows(spark, sf, 90)))
+
+
+_F17_COLS = ["close_chg_5d", "volume_roll10_sum", "clv_roll5_mean", "cmf_20d", "mfi_14d"]
+
+
+@register("f17_select_features_user", f"""
+SELECT ticker, d_date, label, {", ".join(_F17_COLS)} FROM ({osql.features_sql(osql.USER_WINDOWS_SQL)}) f""")
+def q_select(spark, sf):
+    return feat.select_features(round_doubles(feat.transform(fx.user_windows(spark, sf))), _F17_COLS)
+
+
+@register("e14_null_rate_brand", f"""
+UNPIVOT (SELECT {", ".join(f"round(avg(CASE WHEN {f.name} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS {f.name}" for f in FEATURES)}
+         FROM ({_BRAND_FEATS_SQL}) x) ON COLUMNS(*) INTO NAME feature VALUE null_rate""")
+def q_null_rate(spark, sf):
+    w = brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120))
+    return round_doubles(an.null_rate(feat.transform(w)))
+
+
+_E15_COLS = ["close_roll30_mean", "volume_roll30_mean", "clv_roll30_mean", "mfi_30d", "gap_roll30_std"]
+_E15_PAIRS = [(a, b) for i, a in enumerate(_E15_COLS) for b in _E15_COLS[i:]]
+
+
+@register("e15_correlation_matrix_user", " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM ({osql.features_sql(osql.USER_WINDOWS_SQL, digits=12)}) f"
+    for a, b in _E15_PAIRS))
+def q_corr(spark, sf):
+    f = round_doubles(feat.transform(fx.user_windows(spark, sf)), 12)
+    return round_doubles(an.correlation_matrix(f, _E15_COLS))
+
+
+_FAMILY_VALUES = ", ".join(f"('{f.name}', '{f.family}')" for f in FEATURES)
+
+
+@register("e18_feature_group_counts_brand", f"""
+SELECT m.family, count(*) AS n_features, count(*) FILTER (WHERE c.n > 0) AS n_populated
+FROM (VALUES {_FAMILY_VALUES}) m(feature, family)
+JOIN (UNPIVOT (SELECT {", ".join(f"count({f.name}) AS {f.name}" for f in FEATURES)} FROM ({_BRAND_FEATS_SQL}) x)
+      ON COLUMNS(*) INTO NAME feature VALUE n) c USING (feature)
+GROUP BY m.family""")
+def q_groups(spark, sf):
+    w = brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120))
+    return an.feature_group_counts(feat.transform(w))
+
+
+@register("c8_closer_weighted_emb")
+def q_closer_weighted(spark, sf):
+    _, assigned = _emb_assigned(spark, sf)
+    return mt.sample_stratified(assigned, 5, ["vec_id"], bin_weights="closer_weighted").select("vec_id", "centroid_idx")
+
+
+@register("x1_streak_features_user", osql.streaks_sql(osql.USER_WINDOWS_SQL))
+def q_streaks(spark, sf):
+    return feat.streak_features(fx.user_windows(spark, sf))

@@ -108,8 +108,8 @@ def _frame(r: int) -> str:
     return f"(w ROWS BETWEEN {r - 1} PRECEDING AND CURRENT ROW)"
 
 
-def features_sql(windows_sql: str, min_bars: int = 5, digits: int = 6) -> str:
-    """253 features per window from rolling frames read at the last bar."""
+def series_sql(windows_sql: str) -> str:
+    """Per-bar intermediate series (gap, pct changes, CLV, OBV/AD lines, money flow) inside each window."""
     up = lambda cur, prev: f"CASE WHEN {prev} = 0 THEN {cur} > 0 ELSE {cur} / {prev} - 1 > 0 END"
     pctf = lambda cur, prev: f"({cur} / NULLIF({prev}, 0) - 1)"
     s1 = f"""
@@ -141,7 +141,12 @@ SELECT *, last_value(gap IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
        ln(1 + last_value(NULLIF(volume, 0) IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS log_vol_f
 FROM ({s2}) b WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)
 """
-    s4 = f"SELECT *, {pctf('gap_f', 'p_gap_f')} AS gap_pct, {up('gap_f', 'p_gap_f')} AS gap_up FROM ({s3}) c"
+    return f"SELECT *, {pctf('gap_f', 'p_gap_f')} AS gap_pct, {up('gap_f', 'p_gap_f')} AS gap_up FROM ({s3}) c"
+
+
+def features_sql(windows_sql: str, min_bars: int = 5, digits: int = 6) -> str:
+    """253 features per window from rolling frames read at the last bar."""
+    s4 = series_sql(windows_sql)
     cols: list[str] = []
     level = {c: c for c in PRICE_COLS}
     level["gap"] = "gap_f"
@@ -363,3 +368,44 @@ SELECT ticker, {", ".join(cols)} FROM (
   SELECT ticker, {mktcap_tier_sql()} AS tier, COALESCE(country, 'unknown') AS cty, COALESCE(currency, 'unknown') AS cur, exchange
   FROM ({CUSTOMER_META_SQL}) m) e
 """
+
+
+def indicators_sql(windows_sql: str, digits: int = 6) -> str:
+    """per-bar rolling indicators over real frames."""
+    cols = ["ticker", "d_date", "date"] + [f"{r6(c, digits)} AS {c}" for c in ["gap", *INTRADAY_COLS, "clv"]]
+    cols += [f"{r6('obv', digits)} AS obv", f"{r6('ad_line', digits)} AS ad_line"]
+    for r in ORDER_FLOW_WINDOWS:
+        ok = f"count(*) OVER {_frame(r)} >= {min_periods(r)}"
+        cols.append(f"{r6(f'CASE WHEN {ok} THEN sum(clv_vol) OVER {_frame(r)} / NULLIF(sum(volume) OVER {_frame(r)}, 0) END', digits)} AS cmf_{r}d")
+        cols.append(f"{r6(f'CASE WHEN {ok} THEN 100 - 100 / (1 + sum(mf_pos) OVER {_frame(r)} / NULLIF(sum(mf_neg) OVER {_frame(r)}, 0)) END', digits)} AS mfi_{r}d")
+    for r in ROLLING_WINDOWS:
+        for x, name in (("close_pct", "close"), ("vol_pct", "volume")):
+            cols.append(f"{r6(f'CASE WHEN count({x}) OVER {_frame(r)} >= {min_periods(r)} THEN avg({x}) OVER {_frame(r)} END', digits)} AS {name}_roll{r}_mean")
+    return f"SELECT {', '.join(cols)} FROM ({series_sql(windows_sql)}) s WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)"
+
+
+def streaks_sql(windows_sql: str) -> str:
+    """Gaps-and-islands streaks and threshold counts per window."""
+    return f"""
+WITH b AS (
+  SELECT *, row_number() OVER w AS idx, count(*) OVER (PARTITION BY ticker, d_date) AS n,
+         COALESCE(close > lag(close) OVER w, false) AS up_c, COALESCE(volume > lag(volume) OVER w, false) AS up_v,
+         COALESCE(close > avg(close) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS above,
+         COALESCE(volume > 2 * avg(volume) OVER (PARTITION BY ticker, d_date), false) AS spike,
+         COALESCE(close / NULLIF(lag(close) OVER w, 0) - 1 >= 0.03, false) AS large_up,
+         COALESCE((high - open) / NULLIF(open, 0) >= 0.03 AND close < open, false) AS reversal
+  FROM ({windows_sql}) x WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)),
+g AS (SELECT *, idx - row_number() OVER (PARTITION BY ticker, d_date, up_c ORDER BY date) AS gc,
+             idx - row_number() OVER (PARTITION BY ticker, d_date, up_v ORDER BY date) AS gv FROM b),
+r AS (SELECT *, count(*) OVER (PARTITION BY ticker, d_date, up_c, gc) AS len_c,
+             count(*) OVER (PARTITION BY ticker, d_date, up_v, gv) AS len_v FROM g)
+SELECT ticker, d_date,
+       CAST(COALESCE(max(CASE WHEN up_c THEN len_c END), 0) AS BIGINT) AS max_consec_up_close,
+       CAST(COALESCE(max(CASE WHEN up_v THEN len_v END), 0) AS BIGINT) AS max_consec_up_volume,
+       CAST(max(n) - COALESCE(max(CASE WHEN NOT up_c THEN idx END), 0) AS BIGINT) AS current_consec_up_close,
+       count(*) FILTER (WHERE above) AS n_days_close_above_roll20_mean,
+       count(*) FILTER (WHERE spike) AS n_days_volume_above_2x_mean,
+       count(*) FILTER (WHERE large_up) AS n_large_up_days,
+       count(*) FILTER (WHERE reversal) AS n_large_intraday_reversals
+FROM r GROUP BY ticker, d_date
+"""
