@@ -1,13 +1,18 @@
-"""F13 — the feature registry: ordered names and their aggregate expressions.
+"""F13 — the feature registry: ordered names and their expressions.
 
-Every feature is "as of the last bar" of a window.  Rolling statistics read
-with the last row equal an aggregate over the bars with ``rn <= r`` (``rn = 1``
-is the last bar), so each feature is one conditional aggregate over the
-per-bar series built by ``operators.features.bar_series``; the whole matrix is
-a single ``groupBy(ticker, d_date)`` that reuses the window's partitioning.
+Every feature is "as of the last bar" of a window (``rn = 1`` is the last
+bar).  A rolling statistic read at the last bar equals an aggregate over the
+bars with ``rn <= r``.  The feature plan therefore
 
-Expressions are Spark SQL strings: the ~250 aggregates are parsed once in the
-JVM instead of being assembled from thousands of driver-side Column calls.
+1. explodes each bar once per window size ``w`` it belongs to (``rn <= w``)
+   plus one *pick* row ``w = -rn`` for the bars an n-bar change reads;
+2. computes a fixed set of *unconditional* aggregates per
+   ``(ticker, d_date, w)`` (``STAT_AGGS``);
+3. gathers the ≤ 17 stat structs of a window into a map ``m`` keyed by ``w``;
+4. projects every feature as an expression over ``m`` (``Feature.sql``).
+
+All three steps reuse the ``(ticker, d_date)`` partitioning of the windows,
+so the matrix costs no shuffle beyond the one of the window trim.
 """
 
 from __future__ import annotations
@@ -26,6 +31,30 @@ from surveil.functions.constants import (
     min_periods,
 )
 
+# window sizes whose bar sets are aggregated, and the bar positions an n-bar change reads
+WINDOW_SIZES = sorted(set(ROLLING_WINDOWS) | set(ORDER_FLOW_WINDOWS) | set(CHANGE_WINDOWS))
+PICK_POSITIONS = sorted({1} | {n + 1 for n in CHANGE_WINDOWS})
+
+STAT_SERIES = [*(f"{c}_pct" for c in PRICE_COLS + ["gap"]), *INTRADAY_COLS, "vol_pct", "clv"]
+UP_FLAGS = [*(f"{c}_up" for c in PRICE_COLS + ["gap"]), "vol_up", "clv_up"]
+SUM_SERIES = ["vol", "obv_term", "ad_term", "clv_vol", "volume", "mf_pos", "mf_neg"]
+PICK_SERIES = [*PRICE_COLS, "gap_f", "vol_f", "log_vol_f"]
+
+
+def stat_aggregates() -> list[Column]:
+    """Unconditional aggregates computed per ``(ticker, d_date, w)``."""
+    aggs: list[Column] = []
+    for c in STAT_SERIES:
+        aggs += [F.count(c).alias(f"{c}_n"), F.avg(c).alias(f"{c}_m"), F.stddev_samp(c).alias(f"{c}_s")]
+    for u in UP_FLAGS:
+        aggs.append(F.count_if(F.col(u)).cast("double").alias(f"{u}_p"))
+    for c in SUM_SERIES:
+        aggs.append(F.sum(c).alias(f"{c}_sum"))
+    for c in PICK_SERIES:
+        aggs.append(F.max(c).alias(f"{c}_at"))
+    aggs.append(F.count(F.lit(1)).alias("rows"))
+    return aggs
+
 
 @dataclass(frozen=True)
 class Feature:
@@ -34,41 +63,39 @@ class Feature:
     sql: str
 
 
-def _in(r: int, x: str) -> str:
-    return f"CASE WHEN rn <= {r} THEN {x} END"
+N_BARS = "n_bars"
 
 
 def _chg(x: str, n: int) -> str:
-    at = lambda k: f"max(CASE WHEN rn = {k} THEN {x} END)"
-    return f"CASE WHEN max(n_bars) > {n} THEN try_divide({at(1)}, {at(n + 1)}) - 1D END"
+    return f"CASE WHEN {N_BARS} > {n} THEN try_divide(m[-1].{x}_at, m[-{n + 1}].{x}_at) - 1D END"
 
 
 def _mean(x: str, r: int) -> str:
-    return f"CASE WHEN count({_in(r, x)}) >= {min_periods(r)} THEN avg({_in(r, x)}) END"
+    return f"CASE WHEN m[{r}].{x}_n >= {min_periods(r)} THEN m[{r}].{x}_m END"
 
 
 def _std(x: str, r: int) -> str:
-    return f"CASE WHEN count({_in(r, x)}) >= {min_periods(r)} THEN stddev_samp({_in(r, x)}) END"
+    return f"CASE WHEN m[{r}].{x}_n >= {min_periods(r)} THEN m[{r}].{x}_s END"
 
 
 def _pos_count(flag: str, r: int) -> str:
-    return f"sum(CASE WHEN rn <= {r} AND {flag} THEN 1D ELSE 0D END)"
+    return f"m[{r}].{flag}_p"
 
 
 def _tail_sum(x: str, n: int) -> str:
-    return f"CASE WHEN max(n_bars) > {n} THEN sum({_in(n, x)}) END"
+    return f"CASE WHEN {N_BARS} > {n} THEN m[{n}].{x}_sum END"
 
 
 def _enough(r: int) -> str:
-    return f"least(max(n_bars), {r}) >= {min_periods(r)}"
+    return f"least({N_BARS}, {r}) >= {min_periods(r)}"
 
 
 def _cmf(r: int) -> str:
-    return f"CASE WHEN {_enough(r)} THEN try_divide(sum({_in(r, 'clv_vol')}), sum({_in(r, 'volume')})) END"
+    return f"CASE WHEN {_enough(r)} THEN try_divide(m[{r}].clv_vol_sum, m[{r}].volume_sum) END"
 
 
 def _mfi(r: int) -> str:
-    ratio = f"try_divide(sum({_in(r, 'mf_pos')}), sum({_in(r, 'mf_neg')}))"
+    ratio = f"try_divide(m[{r}].mf_pos_sum, m[{r}].mf_neg_sum)"
     return f"CASE WHEN {_enough(r)} THEN 100D - try_divide(100D, 1D + {ratio}) END"
 
 
@@ -98,7 +125,7 @@ def _registry() -> list[Feature]:
     for r in ROLLING_WINDOWS:
         add(f"volume_roll{r}_mean", "volume_rolling", _mean("vol_pct", r))
         add(f"volume_roll{r}_std", "volume_rolling", _std("vol_pct", r))
-        add(f"volume_roll{r}_sum", "volume_rolling", f"sum({_in(r, 'vol')})")
+        add(f"volume_roll{r}_sum", "volume_rolling", f"m[{r}].vol_sum")
         add(f"volume_roll{r}_pos_count", "volume_rolling", _pos_count("vol_up", r))
     for r in ROLLING_WINDOWS:
         add(f"clv_roll{r}_mean", "order_flow", _mean("clv", r))
@@ -128,5 +155,6 @@ def feature_families() -> dict[str, list[str]]:
     return out
 
 
-def feature_aggregates() -> list[Column]:
-    return [F.expr(f.sql).alias(f.name) for f in FEATURES]
+def feature_projections() -> list[str]:
+    """``selectExpr`` strings producing every feature from the stat map ``m`` and ``n_bars``."""
+    return [f"{f.sql} AS `{f.name}`" for f in FEATURES]

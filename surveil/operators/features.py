@@ -28,7 +28,14 @@ from surveil.functions.constants import (
     ROLLING_WINDOWS,
     min_periods,
 )
-from surveil.functions.registry import feature_aggregates, feature_families, feature_names  # noqa: F401
+from surveil.functions.registry import (  # noqa: F401
+    PICK_POSITIONS,
+    WINDOW_SIZES,
+    feature_families,
+    feature_names,
+    feature_projections,
+    stat_aggregates,
+)
 
 WINDOW_KEY = ["ticker", "d_date"]
 SERIES_COLS = [
@@ -51,14 +58,15 @@ def bar_series(windows: DataFrame, zero_volume: str = "pad", key: Sequence[str]
     asc = Window.partitionBy(*key).orderBy("date")
     upto = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = asc.rowsBetween(Window.unboundedPreceding, -1)
-    after = asc.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     o, h, l, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
 
     vol = F.nullif(v, F.lit(0.0))
+    whole = asc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     step1 = windows.select(
         "*",
-        F.count(F.lit(1)).over(after).alias("rn"),
-        F.count(F.lit(1)).over(asc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n_bars"),
+        # rn = 1 on the last bar; a whole-partition count is computed once per window (no O(n^2) frame)
+        (F.count(F.lit(1)).over(whole) - F.row_number().over(asc) + 1).alias("rn"),
+        F.count(F.lit(1)).over(whole).alias("n_bars"),
         *[F.lag(x, 1).over(asc).alias(f"_prev_{x}") for x in PRICE_COLS],
         vol.alias("vol"),
         (F.last(vol, ignorenulls=True).over(upto) if zero_volume == "pad" else vol).alias("vol_f"),
@@ -113,15 +121,28 @@ def transform(
     metadata (F15/F16) is left-joined on ticker after de-duplication (F18).
     """
     series = bar_series(windows, zero_volume=zero_volume)
-    extra = []
-    if label_col in windows.columns:
-        extra.append(F.min_by(F.col(label_col), F.col("date")).cast("int").alias(label_col))
-    feats = (
-        series.groupBy(*WINDOW_KEY)
-        .agg(F.max("n_bars").alias("_n"), *extra, *feature_aggregates())
-        .filter(F.col("_n") >= min_bars)
-        .drop("_n")
+    sizes = F.array(*[F.lit(w) for w in WINDOW_SIZES])
+    picks = F.array(*[F.lit(p) for p in PICK_POSITIONS])
+    member = F.concat(
+        F.filter(sizes, lambda w: w >= F.col("rn")),
+        F.when(F.array_contains(picks, F.col("rn")), F.array(-F.col("rn"))).otherwise(F.array().cast("array<int>")),
+    )
+    # step 1-2: one row per (window, size or pick) with unconditional aggregates
+    per_w = series.withColumn("w", F.explode(member)).groupBy(*WINDOW_KEY, "w").agg(
+        F.max("n_bars").alias("n_bars"),
+        *([F.max(label_col).alias(label_col)] if label_col in windows.columns else []),
+        *stat_aggregates(),
     )
+    stat_cols = [c for c in per_w.columns if c not in (*WINDOW_KEY, "w", "n_bars", label_col)]
+    # step 3: the <= 17 stat rows of a window become one map (bounded collect)
+    packed = per_w.groupBy(*WINDOW_KEY).agg(
+        F.max("n_bars").alias("n_bars"),
+        *([F.max(label_col).cast("int").alias(label_col)] if label_col in windows.columns else []),
+        F.map_from_entries(F.collect_list(F.struct("w", F.struct(*stat_cols)))).alias("m"),
+    ).filter(F.col("n_bars") >= min_bars)
+    # step 4: every feature is a projection of the map
+    keep = [*WINDOW_KEY, *([label_col] if label_col in windows.columns else [])]
+    feats = packed.selectExpr(*[f"`{c}`" for c in keep], *feature_projections())
     if metadata is not None:
         feats = join_metadata_features(feats, encode_metadata(metadata, categories))
     return feats
