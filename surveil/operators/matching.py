@@ -135,7 +135,8 @@ def nearest_centroid(
     ``centroids`` must carry ``centroid_idx`` (see ``index_centroids``) and the
     scaled vector ``z``; candidates carry ``z`` too.
     """
-    n_cent = centroids.count()
+    probe = centroids.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(z)).alias("d")).first()
+    n_cent, dims = int(probe["n"]), int(probe["d"] or 1)
     if n_cent == 0:
         return candidates.withColumn("centroid_idx", F.lit(None).cast("int")).withColumn("distance", F.lit(None).cast("double"))
     n_blocks = (n_cent + block_size - 1) // block_size
@@ -144,7 +145,6 @@ def nearest_centroid(
                          F.struct(F.col("centroid_idx").alias("idx"), F.col(z).alias("v")).alias("_c"))
         .groupBy("_blk").agg(F.collect_list("_c").alias("_cents"))
     )
-    dims = centroids.select(F.size(z).alias("d")).first()["d"] or 1
     if n_cent * dims <= BROADCAST_MAX_VALUES:
         blocks = F.broadcast(blocks)
     cand = candidates.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) if n_blocks > 1 else candidates.withColumn("_blk", F.lit(0))
@@ -181,13 +181,15 @@ def sample_nearest(pool: DataFrame, n: int, key: Sequence[str], by: Sequence[str
     return pool.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
-def distance_bins(pool: DataFrame, n_bins: int = MATCH_BINS) -> DataFrame:
-    """Quantile bins of distance per centroid (duplicate edges merged; right-closed, lowest included)."""
+def distance_bins(pool: DataFrame, n_bins: int = MATCH_BINS, by: Sequence[str] = ()) -> DataFrame:
+    """Quantile bins of distance per centroid (duplicate edges merged; right-closed, lowest included).
+
+    Edges and pool size are window aggregates over the centroid partition (no join back).
+    """
     qs = [i / n_bins for i in range(n_bins + 1)]
-    edges = pool.groupBy("centroid_idx").agg(
-        F.array_distinct(F.percentile("distance", qs)).alias("_edges"), F.count(F.lit(1)).alias("_pool")
-    )
-    binned = pool.join(edges, "centroid_idx")
+    part = Window.partitionBy(*by, "centroid_idx")
+    binned = pool.withColumn("_edges", F.array_distinct(F.percentile("distance", qs).over(part))).withColumn(
+        "_pool", F.count(F.lit(1)).over(part))
     below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("distance")))
     return binned.withColumn("_bin", F.greatest(F.lit(0), below - 1)).drop("_edges")
 
@@ -199,18 +201,22 @@ def sample_stratified(
     n_bins: int = MATCH_BINS,
     seed: int = RANDOM_STATE,
     bin_weights: str = "uniform",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Per centroid, ``max(1, n // bins)`` per distance bin, topped up with the next closest.
 
     Pools smaller than ``2·n_bins`` fall back to C6.  ``closer_weighted``
     uses Efraimidis–Spirakis keys ``-ln(u)/w`` with ``w = 1/(d + 1e-9)`` and a
     hash-derived ``u``, so the draw is reproducible at any partitioning.
+    One pass: every step is a window over the same centroid partition.
     """
     if bin_weights not in ("uniform", "closer_weighted"):
         raise ValueError("bin_weights must be 'uniform' or 'closer_weighted'")
-    binned = distance_bins(pool, n_bins)
-    n_actual = F.size(F.collect_set("_bin").over(Window.partitionBy("centroid_idx")))
-    binned = binned.withColumn("_per_bin", F.greatest(F.lit(1), F.floor(F.lit(n) / n_actual)))
+    key, by = list(key), list(by)
+    cols = list(pool.columns)
+    binned = distance_bins(pool, n_bins, by)
+    part = Window.partitionBy(*by, "centroid_idx")
+    n_actual = F.size(F.collect_set("_bin").over(part))
     if bin_weights == "uniform":
         order = [_hash_order(key, seed), *key]
     else:
@@ -218,23 +224,21 @@ def sample_stratified(
         u = (F.pmod(h, F.lit(1 << 53)).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
         wgt = F.lit(1.0) / (F.col("distance") + F.lit(1e-9))
         order = [(-F.log(u) / wgt), *key]
-    w = Window.partitionBy("centroid_idx", "_bin").orderBy(*order)
-    ranked = binned.withColumn("_r", F.row_number().over(w))
     small = F.col("_pool") < 2 * n_bins
-    chosen_binned = ranked.filter(~small & (F.col("_r") <= F.col("_per_bin")))
-    # top-up: next closest unused candidates when bins were short
-    per_cent = chosen_binned.groupBy("centroid_idx").agg(F.count(F.lit(1)).alias("_got"))
-    unused = ranked.filter(~small).join(chosen_binned.select(*key, "centroid_idx"), [*key, "centroid_idx"], "left_anti")
-    wd = Window.partitionBy("centroid_idx").orderBy("distance", *key)
-    topped = (
-        unused.join(per_cent, "centroid_idx", "left")
-        .withColumn("_r2", F.row_number().over(wd))
-        .filter(F.col("_r2") <= F.lit(n) - F.coalesce(F.col("_got"), F.lit(0)))
-        .drop("_r2", "_got")
+    ranked = binned.select(
+        "*",
+        F.greatest(F.lit(1), F.floor(F.lit(n) / n_actual)).alias("_per_bin"),
+        F.row_number().over(Window.partitionBy(*by, "centroid_idx", "_bin").orderBy(*order)).alias("_r"),
+    ).withColumn("_chosen", ~small & (F.col("_r") <= F.col("_per_bin")))
+    got = F.count_if(F.col("_chosen")).over(part)
+    rest = Window.partitionBy(*by, "centroid_idx", "_chosen").orderBy("distance", *key)
+    marked = ranked.select("*", got.alias("_got"), F.row_number().over(rest).alias("_r2"))
+    keep = (
+        F.col("_chosen")
+        | (~small & ~F.col("_chosen") & (F.col("_r2") <= F.lit(n) - F.col("_got")))  # top-up, next closest unused
+        | (small & (F.col("_r2") <= F.lit(n)))                                      # small pool: C6
     )
-    fallback = sample_nearest(ranked.filter(small), n, key)
-    cols = [c for c in pool.columns]
-    return chosen_binned.select(*cols).unionByName(topped.select(*cols)).unionByName(fallback.select(*cols))
+    return marked.filter(keep).select(*cols)
 
 
 def select_negatives(

@@ -190,10 +190,17 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
 # ---------------------------------------------------------------------------
 
 
+def _bucket_sql(ths: Sequence[float], lo: int, hi: int) -> str:
+    """Number of ``ths[lo:hi]`` thresholds ``<= _s`` plus ``lo``, as a balanced CASE tree (log2 k comparisons)."""
+    if lo >= hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    return f"CASE WHEN _s >= {repr(float(ths[mid]))}D THEN {_bucket_sql(ths, mid + 1, hi)} ELSE {_bucket_sql(ths, lo, mid)} END"
+
+
 def _bucket(score: Column, thresholds: Sequence[float]) -> Column:
     """Number of thresholds ``<= score`` (thresholds ascending); NULL score → 0."""
-    expr = "+".join(f"CASE WHEN _s >= {repr(float(t))}D THEN 1 ELSE 0 END" for t in thresholds)
-    return F.coalesce(F.expr(expr), F.lit(0))
+    return F.coalesce(F.expr(_bucket_sql(list(thresholds), 0, len(thresholds))), F.lit(0))
 
 
 def threshold_sweep(
