@@ -236,15 +236,19 @@ def encode_metadata(metadata: DataFrame, categories: dict[str, list[str]] | None
 
 
 def dedupe_metadata(metadata: DataFrame) -> DataFrame:
-    """One metadata row per ticker (latest ``d_date`` wins when present), so joins never fan out."""
-    if "d_date" not in metadata.columns:
-        return metadata.dropDuplicates(["ticker"]) if metadata.isStreaming else _first_per_ticker(metadata, F.lit(0))
-    return _first_per_ticker(metadata, F.col("d_date"))
+    """One metadata row per ticker (latest ``d_date`` wins when present), so joins never fan out.
 
-
-def _first_per_ticker(df: DataFrame, order: Column) -> DataFrame:
-    w = Window.partitionBy("ticker").orderBy(order.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in df.columns if c != "ticker"])
-    return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") == 1).drop("_k")
+    A partial ``max_by`` aggregate: no ticker's rows are ever gathered in one task.
+    """
+    rest = [c for c in metadata.columns if c != "ticker"]
+    if not rest:
+        return metadata.distinct()
+    order = [F.col("d_date")] if "d_date" in metadata.columns else []
+    # deterministic tie-break on the remaining columns (smallest values win)
+    neg = [F.struct(*[F.col(c) for c in rest if c != "d_date"])]
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.coalesce(F.lit(0) - F.unix_date(o), F.lit(2**31 - 1)) for o in order], *neg)) \
+        if order else F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*neg))
+    return metadata.groupBy("ticker").agg(best.alias("_b")).select("ticker", *[F.col(f"_b.{c}").alias(c) for c in rest])
 
 
 def join_metadata_features(features: DataFrame, encoded: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveil.functions.constants import DOCUMENT_BASE_URL, TICKER_PATTERNS, TICKER_STOPWORDS
@@ -118,6 +118,8 @@ def build_cases(df: DataFrame, symbols_col: str = "symbols", order_col: str = "h
         "case_url",
         F.col(order_col).alias("_o"),
     ).filter(F.col("case_date").isNotNull())
-    w = Window.partitionBy("ticker", "case_date").orderBy("_o", "case_url", "company")
-    first = rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r", "_o")
+    # first hit per (ticker, case_date) as a partial aggregate (hot keys reduce map-side)
+    first = rows.groupBy("ticker", "case_date").agg(
+        F.min_by(F.struct("company", "case_url"), F.struct("_o", "case_url", "company")).alias("_b")
+    ).select("ticker", F.col("_b.company").alias("company"), "case_date", F.col("_b.case_url").alias("case_url"))
     return first.orderBy("case_date", "ticker")

@@ -52,11 +52,16 @@ def exclude_known(df: DataFrame, cases: DataFrame) -> DataFrame:
 
 def dedupe_first(df: DataFrame, key: str = "ticker", priority: Sequence[str] = SOURCE_PRIORITY,
                  order: Sequence[str] = ("listing_row",)) -> DataFrame:
-    """One row per ticker, the first by source priority then listing order."""
+    """One row per ticker, the first by source priority then listing order.
+
+    ``min_by`` over a struct ordering is a partial aggregate: a ticker listed
+    millions of times is reduced map-side instead of sorted in one task.
+    """
     prio = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("source"))
     tail = [F.col(c) for c in order if c in df.columns] + [F.col("security_name")]
-    w = Window.partitionBy(key).orderBy(prio, *tail)
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    rest = [c for c in df.columns if c != key]
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(prio, *tail))
+    return df.groupBy(key).agg(best.alias("_b")).select(key, *[F.col(f"_b.{c}").alias(c) for c in rest])
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = 42, key: str = "ticker") -> DataFrame:
