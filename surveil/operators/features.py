@@ -114,13 +114,15 @@ def transform(
     zero_volume: str = "pad",
     min_bars: int = MIN_FEATURE_BARS,
     categories: dict[str, list[str]] | None = None,
+    key: Sequence[str] = WINDOW_KEY,
 ) -> DataFrame:
     """the 253-feature matrix, one row per ``(ticker, d_date)`` with at least ``min_bars`` bars.
 
     The label (if present) is the first bar's.  With ``metadata`` the encoded
     metadata (F15/F16) is left-joined on ticker after de-duplication (F18).
     """
-    series = bar_series(windows, zero_volume=zero_volume)
+    key = list(key)
+    series = bar_series(windows, zero_volume=zero_volume, key=key)
     sizes = F.array(*[F.lit(w) for w in WINDOW_SIZES])
     picks = F.array(*[F.lit(p) for p in PICK_POSITIONS])
     member = F.concat(
@@ -128,20 +130,20 @@ def transform(
         F.when(F.array_contains(picks, F.col("rn")), F.array(-F.col("rn"))).otherwise(F.array().cast("array<int>")),
     )
     # step 1-2: one row per (window, size or pick) with unconditional aggregates
-    per_w = series.withColumn("w", F.explode(member)).groupBy(*WINDOW_KEY, "w").agg(
+    per_w = series.withColumn("w", F.explode(member)).groupBy(*key, "w").agg(
         F.max("n_bars").alias("n_bars"),
         *([F.max(label_col).alias(label_col)] if label_col in windows.columns else []),
         *stat_aggregates(),
     )
-    stat_cols = [c for c in per_w.columns if c not in (*WINDOW_KEY, "w", "n_bars", label_col)]
+    stat_cols = [c for c in per_w.columns if c not in (*key, "w", "n_bars", label_col)]
     # step 3: the <= 17 stat rows of a window become one map (bounded collect)
-    packed = per_w.groupBy(*WINDOW_KEY).agg(
+    packed = per_w.groupBy(*key).agg(
         F.max("n_bars").alias("n_bars"),
         *([F.max(label_col).cast("int").alias(label_col)] if label_col in windows.columns else []),
         F.map_from_entries(F.collect_list(F.struct("w", F.struct(*stat_cols)))).alias("m"),
     ).filter(F.col("n_bars") >= min_bars)
     # step 4: every feature is a projection of the map
-    keep = [*WINDOW_KEY, *([label_col] if label_col in windows.columns else [])]
+    keep = [*key, *([label_col] if label_col in windows.columns else [])]
     feats = packed.selectExpr(*[f"`{c}`" for c in keep], *feature_projections())
     if metadata is not None:
         feats = join_metadata_features(feats, encode_metadata(metadata, categories))

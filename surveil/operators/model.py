@@ -228,18 +228,20 @@ def keyed_training_tables(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[s
     cents = keyed_scale(tp_train, st, [FOLD])
     cands = keyed_scale(tn_train, st, [FOLD])
     pool = keyed_nearest(cands, cents, [FOLD])
-    selected = _select(pool, cfg).select(FOLD, *KEY, "label", "x")
+    # checkpoints: the selection, the scorer statistics and the forest are each computed once
+    selected = cut_lineage(_select(pool, cfg).select(FOLD, *KEY, "label", "x"))
     # M1–M3: scorer fitted on selected (or all) training negatives, per fold
     base = selected if cfg.baseline == "selected" else tn_train.select(FOLD, *KEY, "label", "x")
-    st2 = keyed_stats(base, [FOLD])
+    st2 = cut_lineage(keyed_stats(base, [FOLD]))
     base_z = keyed_scale(base, st2, [FOLD])
-    nodes = fr.fit_forest(base_z, KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD])
+    nodes = cut_lineage(fr.fit_forest(base_z, KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
+    forests = fr.broadcast_forests(nodes, [FOLD])
     train = tp_train.select(FOLD, *KEY, "label", "x").unionByName(selected)
     test = tp_f.filter(F.col("role") == "test").unionByName(tn_f.filter(F.col("role") == "test")).select(FOLD, *KEY, "label", "x")
     folds_with_train = selected.select(FOLD).distinct()
     test = test.join(folds_with_train, FOLD, "left_semi")
-    train_s = fr.score_forest(keyed_scale(train, st2, [FOLD]), nodes, "z", by=[FOLD]).drop("z")
-    test_s = fr.score_forest(keyed_scale(test, st2, [FOLD]), nodes, "z", by=[FOLD]).drop("z")
+    train_s = fr.score_forest(keyed_scale(train, st2, [FOLD]), forests, "z", by=[FOLD]).drop("z")
+    test_s = fr.score_forest(keyed_scale(test, st2, [FOLD]), forests, "z", by=[FOLD]).drop("z")
     return train_s, test_s
 
 
@@ -256,6 +258,7 @@ def cross_validate(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cf
     cfg = cfg or CVConfig()
     folds = fold_dates(tp)
     train, test = keyed_training_tables(tp, tn, feature_cols, folds, cfg)
+    train = cut_lineage(train)
     tr, te = _tree_inputs(train, test)
     tr = cut_lineage(tr.repartition(FOLD))
     te = cut_lineage(te.repartition(FOLD))
@@ -298,7 +301,7 @@ def fit_final(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CV
     tnv = mt.as_vector(tn, cols).select(tag.alias(FOLD), *KEY, F.lit(0).alias("label"), "x")
     st = keyed_stats(tpv, [FOLD])
     pool = keyed_nearest(keyed_scale(tnv, st, [FOLD]), keyed_scale(tpv, st, [FOLD]), [FOLD])
-    selected = _select(pool, cfg).select(FOLD, *KEY, "label", "x")
+    selected = cut_lineage(_select(pool, cfg).select(FOLD, *KEY, "label", "x"))
     base = selected if cfg.baseline == "selected" else tnv
     st2 = cut_lineage(keyed_stats(base, [FOLD]))
     nodes = cut_lineage(fr.fit_forest(keyed_scale(base, st2, [FOLD]), KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
@@ -354,3 +357,39 @@ def threshold_from_oof(oof: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost
 
     row = optimise_threshold(oof, label="true_label", score="pred_proba", fp_cost=fp_cost, fn_cost=fn_cost).first()
     return None if row is None else float(row["threshold"])
+
+
+# ---------------------------------------------------------------------------
+# X2 / X3 — configuration and lookback comparisons over cross-validation
+# ---------------------------------------------------------------------------
+
+
+def oof_metrics(oof: DataFrame) -> dict:
+    from surveil.operators.metrics import rank_metrics
+
+    r = rank_metrics(oof, label="true_label", score="pred_proba").first()
+    return {"roc_auc": r["roc_auc"], "pr_auc": r["pr_auc"]}
+
+
+def grid_search(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], methods: Sequence[str],
+                ratios: Sequence[int], base: CVConfig | None = None) -> DataFrame:
+    """OOF ROC-AUC / AUC-PR for every ``(method, ratio)`` configuration (one CV each)."""
+    from dataclasses import replace
+
+    base = base or CVConfig()
+    rows = []
+    for m in methods:
+        for r in ratios:
+            oof = cut_lineage(cross_validate(tp, tn, feature_cols, replace(base, method=m, ratio=int(r))))
+            rows.append((m, int(r), *oof_metrics(oof).values()))
+    return tp.sparkSession.createDataFrame(rows, "method string, ratio int, roc_auc double, pr_auc double")
+
+
+def lookback_comparison(feats: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
+    """OOF AUC-PR per lookback from a feature matrix keyed by ``(lookback, ticker, d_date)``."""
+    rows = []
+    for lb in sorted(r[0] for r in feats.select("lookback").distinct().collect()):
+        part = feats.filter(F.col("lookback") == lb).drop("lookback")
+        oof = cut_lineage(cross_validate(part.filter("label = 1"), part.filter("label = 0"), feature_cols, cfg))
+        rows.append((int(lb), *oof_metrics(oof).values()))
+    return feats.sparkSession.createDataFrame(rows, "lookback int, roc_auc double, pr_auc double")

@@ -119,3 +119,17 @@ def min_rows(df: DataFrame, n: int = MIN_WINDOW_ROWS, key: list[str] | None = No
 def attach_label(df: DataFrame, label: int) -> DataFrame:
     """Constant class label (1 = case, 0 = candidate)."""
     return df.withColumn("label", F.lit(int(label)).cast("int"))
+
+
+def multi_lookback_windows(windows: DataFrame, lookbacks: list[int], key: list[str] | None = None) -> DataFrame:
+    """Re-key windows trimmed at ``max(lookbacks)`` into one window per ``(lookback, ticker, d_date)``.
+
+    The range join runs once; each bar joins every lookback whose last-N trim
+    still contains it (``rn <= lookback``), so ``F0`` then runs once keyed by
+    ``(lookback, ticker, d_date)``.
+    """
+    key = key or WINDOW_KEY
+    w = Window.partitionBy(*key).orderBy(F.col("date").desc())
+    lbs = F.array(*[F.lit(int(x)) for x in sorted(lookbacks)])
+    return (windows.withColumn("_rn", F.row_number().over(w))
+            .withColumn("lookback", F.explode(F.filter(lbs, lambda lb: lb >= F.col("_rn")))).drop("_rn"))

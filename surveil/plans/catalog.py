@@ -864,3 +864,42 @@ def q_closer_weighted(spark, sf):
 @register("x1_streak_features_user", osql.streaks_sql(osql.USER_WINDOWS_SQL))
 def q_streaks(spark, sf):
     return feat.streak_features(fx.user_windows(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# X2 / X3 — configuration grid and lookback comparison
+# ---------------------------------------------------------------------------
+
+_X3_LOOKBACKS = [30, 60, 90, 120]
+
+
+def _x3_sql() -> str:
+    parts = []
+    for lb in _X3_LOOKBACKS:
+        trimmed = f"SELECT * FROM ({_brand_window_sql(120)}) w WHERE rn <= {lb}"
+        parts.append(f"SELECT {lb} AS lookback, * FROM ({osql.features_sql(trimmed)}) f")
+    return " UNION ALL ".join(parts)
+
+
+def brand_multi_lookback_features(spark, sf):
+    w = win.multi_lookback_windows(brand_windows(spark, sf, 120), _X3_LOOKBACKS)
+    return feat.transform(w, key=["lookback", "ticker", "d_date"])
+
+
+@register("x3_multi_lookback_features_brand", _x3_sql())
+def q_multi_lookback(spark, sf):
+    return round_doubles(brand_multi_lookback_features(spark, sf))
+
+
+@register("x3_lookback_comparison_brand")
+def q_lookback_cmp(spark, sf):
+    tpw = win.multi_lookback_windows(brand_windows(spark, sf, 120), [60, 120])
+    tnw = win.multi_lookback_windows(brand_candidate_windows(spark, sf, 120), [60, 120])
+    f = md.cut_lineage(feat.transform(tpw.unionByName(tnw), key=["lookback", "ticker", "d_date"]))
+    return md.lookback_comparison(f, feature_names())
+
+
+@register("x2_grid_search_brand")
+def q_grid(spark, sf):
+    tp, tn = brand_feature_sets(spark, sf)
+    return md.grid_search(tp, tn, feature_names(), ["distance_ranked", "random"], [5])
