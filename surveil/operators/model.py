@@ -38,6 +38,7 @@ from surveil.session import cut_lineage
 
 KEY = ["ticker", "d_date"]
 FOLD = "fold"
+STATS_BROADCAST_MAX_GROUPS = 5_000  # × ≤ a few hundred features per group
 
 
 # ---------------------------------------------------------------------------
@@ -74,8 +75,13 @@ def keyed_stats(df: DataFrame, by: Sequence[str], vec: str = "x") -> DataFrame:
 
 def keyed_scale(df: DataFrame, stats: DataFrame, by: Sequence[str], vec: str = "x", out: str = "z",
                 scale: bool = True) -> DataFrame:
-    """Impute (and robust-scale) ``vec`` with the statistics of the row's group."""
-    j = df.join(F.broadcast(stats), list(by))
+    """Impute (and robust-scale) ``vec`` with the statistics of the row's group.
+
+    The statistics table (groups × features) is broadcast only under a checked bound.
+    """
+    n_groups = stats.limit(STATS_BROADCAST_MAX_GROUPS + 1).count()
+    side = F.broadcast(stats) if n_groups <= STATS_BROADCAST_MAX_GROUPS else stats
+    j = df.join(side, list(by))
     if scale:
         z = F.transform(F.col("stats"), lambda s: (F.coalesce(F.col(vec)[s["i"]], s["median"]) - s["center"]) / s["scale"])
     else:
