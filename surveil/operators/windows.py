@@ -29,6 +29,7 @@ from surveil.schemas import BAR_VALUE_COLS
 
 WINDOW_KEY = ["ticker", "d_date"]
 BROADCAST_MAX_ROWS = 200_000
+SALTS = 64
 
 
 def _window_bounds(cases: DataFrame, lookback_days: int, margin_days: int, buffer_days: int) -> DataFrame:
@@ -37,17 +38,28 @@ def _window_bounds(cases: DataFrame, lookback_days: int, margin_days: int, buffe
     )
 
 
-def _range_join(bars: DataFrame, windows: DataFrame, keys: list[str], bucket_days: int) -> DataFrame:
-    """Join bars to windows ``[_lo, _hi]`` on ``keys`` + bucket, then filter the exact range."""
+def _range_join(bars: DataFrame, windows: DataFrame, keys: list[str], bucket_days: int,
+                salts: int = SALTS) -> DataFrame:
+    """Join bars to windows ``[_lo, _hi]`` on ``keys`` + bucket, then filter the exact range.
+
+    Without a ticker key and a window table too large to broadcast, the few
+    bucket keys would each carry a large slice of all bars: bars then get a
+    hash salt and the window side is replicated over the salts.
+    """
     b = F.lit(bucket_days)
     win_b = windows.withColumn(
         "_bucket",
         F.explode(F.sequence(F.floor(days(F.col("_lo")) / b), F.floor(days(F.col("_hi")) / b))),
     )
     bars_b = bars.withColumn("_bucket", F.floor(days(F.col("date")) / b))
-    win_b, _ = bounded_broadcast(win_b, BROADCAST_MAX_ROWS)
-    joined = bars_b.join(win_b, on=[*keys, "_bucket"], how="inner")
-    return joined.filter(F.col("date").between(F.col("_lo"), F.col("_hi"))).drop("_bucket", "_lo", "_hi")
+    win_b, small = bounded_broadcast(win_b, BROADCAST_MAX_ROWS)
+    on = [*keys, "_bucket"]
+    if not small and not keys:
+        win_b = win_b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        bars_b = bars_b.withColumn("_salt", F.pmod(F.xxhash64("ticker"), F.lit(salts)))
+        on = ["_bucket", "_salt"]
+    joined = bars_b.join(win_b, on=on, how="inner")
+    return joined.filter(F.col("date").between(F.col("_lo"), F.col("_hi"))).drop("_bucket", "_lo", "_hi", "_salt")
 
 
 def observation_window(
