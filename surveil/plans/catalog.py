@@ -903,3 +903,17 @@ def q_lookback_cmp(spark, sf):
 def q_grid(spark, sf):
     tp, tn = brand_feature_sets(spark, sf)
     return md.grid_search(tp, tn, feature_names(), ["distance_ranked", "random"], [5])
+
+
+@register("e17_ranked_positives_events", f"""
+SELECT event_id, round(score, 6) AS score FROM (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label, value / 500 AS score FROM events) s
+WHERE label = 1""")
+def q_ranked_positives(spark, sf):
+    return round_doubles(an.ranked_positives(fx.event_scores(spark, sf)).select("event_id", "score"))
+
+
+@register("v9_cost_curve_events",
+          f"SELECT threshold, cost, fp, fn FROM ({osql.sweep_sql(osql.EVENT_SCORES_SQL, 0.01, 0.99, 99)}) z")
+def q_cost_curve(spark, sf):
+    return met.cost_curve(met.threshold_sweep(fx.event_scores(spark, sf), met.optimiser_thresholds(), with_rank_metrics=False))
