@@ -47,7 +47,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
-            out.append(f"round(CAST(`{f.name}` AS DOUBLE), {digits}) AS `{f.name}`")
+            out.append(f"round(CAST(`{f.name}` AS DOUBLE), {digits}) + 0.0D AS `{f.name}`")
         else:
             out.append(f"`{f.name}`")
     return df.selectExpr(*out)

@@ -22,11 +22,36 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def positive_zero_rounding(sql: str) -> str:
+    """Rewrite every ``round(...)`` call as ``(round(...) + 0.0)``.
+
+    DuckDB rounds tiny negatives to ``-0.0`` while Spark's decimal rounding
+    gives ``0.0``; adding zero makes both IEEE ``+0.0`` so value hashes agree.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 1, j + 6
+        while k < len(sql) and depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + 6:k - 1]
+        out.append(sql[i:j] + "(round(" + positive_zero_rounding(inner) + ") + 0.0)")
+        i = k
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = positive_zero_rounding(sql)
         return fn
     return deco
 
