@@ -183,6 +183,7 @@ def indicator_series(windows: DataFrame, zero_volume: str = "pad") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 ONE_HOT_COLS = ["country", "currency", "exchange"]
+MAX_CATEGORIES = 10_000  # one-hot columns are a schema: their number must stay bounded
 
 
 def market_cap_tier(market_cap: Column) -> Column:
@@ -202,8 +203,11 @@ def metadata_categories(metadata: DataFrame) -> dict[str, list[str]]:
         enc.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in enc.columns if c != "ticker"])).alias("kv"))
         .select("kv.k", "kv.v")
         .distinct()
+        .limit(MAX_CATEGORIES + 1)
         .collect()
     )
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} one-hot categories; pass an explicit category list")
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["k"], []).append(r["v"])

@@ -17,6 +17,7 @@ from surveil.functions.columns import bounded_broadcast
 from surveil.functions.constants import MIN_TRADING_DAYS, SUPPORTED_COUNTRIES, SUPPORTED_CURRENCIES
 
 TICKER_BROADCAST_MAX = 1_000_000
+MAX_COUNTRIES = 10_000
 
 
 def _semi(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
@@ -94,7 +95,10 @@ def dataset_summary(bars: DataFrame, meta: DataFrame | None = None) -> DataFrame
     )
     if meta is not None and "country" in meta.columns:
         # the distinct country list is bounded by the number of countries
-        names = sorted(r["country"] for r in meta.select("country").distinct().collect() if r["country"] is not None)
+        found = meta.select("country").distinct().limit(MAX_COUNTRIES + 1).collect()
+        if len(found) > MAX_COUNTRIES:
+            raise ValueError(f"more than {MAX_COUNTRIES} distinct countries")
+        names = sorted(r["country"] for r in found if r["country"] is not None)
         out = out.withColumn("countries", F.array(*[F.lit(n) for n in names]).cast("array<string>"))
     return out
 
