@@ -14,7 +14,8 @@ def normalise_cases(df: DataFrame) -> DataFrame:
         df = df.withColumnRenamed("case_date", "d_date")
     if "d_date" not in df.columns or "ticker" not in df.columns:
         raise ValueError("cases need 'ticker' and 'd_date' (or 'case_date')")
-    return df.withColumn("d_date", F.to_date(F.col("d_date").cast("string")))
+    # unparsable dates become NULL (coerced), never an ANSI error
+    return df.withColumn("d_date", F.try_to_date(F.col("d_date").cast("string")))
 
 
 def read_cases(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
