@@ -24,7 +24,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveil.session import cut_lineage
 from surveil.functions.constants import (
     DEFAULT_FN_COST,
     DEFAULT_FP_COST,
@@ -123,9 +122,9 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score", block
     """
     p = _prep(df, label, score).filter(F.col("_s").isNotNull())
     # the distinct-score table feeds two jobs (block edges, prefix sums): materialise it once
-    by_score = cut_lineage(p.groupBy("_s").agg(
+    by_score = p.groupBy("_s").agg(
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")
-    ))
+    )
     qs = [i / blocks for i in range(1, blocks)]
     edges_row = by_score.agg(F.percentile_approx("_s", qs, 10000).alias("e")).collect()[0]["e"]
     edges = sorted(set(edges_row or []))
