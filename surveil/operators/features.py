@@ -314,3 +314,7 @@ def streak_features(windows: DataFrame, large_move: float = 0.03, mean_window: i
         F.count_if(F.coalesce("_large_up", F.lit(False))).cast("bigint").alias("n_large_up_days"),
         F.count_if(F.coalesce("_reversal", F.lit(False))).cast("bigint").alias("n_large_intraday_reversals"),
     )
+
+
+# names of the survey inventory
+one_hot = encode_metadata   # F16

@@ -289,3 +289,22 @@ def pool_sizes(assigned: DataFrame) -> DataFrame:
 def training_set(positives: DataFrame, negatives: DataFrame) -> DataFrame:
     """Positives ∪ selected negatives (order is not meaningful on Spark)."""
     return positives.unionByName(negatives, allowMissingColumns=True)
+
+
+def top_up(chosen: DataFrame, pool: DataFrame, n: int, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """C9 standalone: add the next-closest unused candidates to centroids with fewer than ``n`` chosen."""
+    key, by = list(key), list(by)
+    got = chosen.groupBy(*by, "centroid_idx").agg(F.count(F.lit(1)).alias("_got"))
+    unused = pool.join(chosen.select(*by, *key, "centroid_idx"), [*by, *key, "centroid_idx"], "left_anti")
+    w = Window.partitionBy(*by, "centroid_idx").orderBy("distance", *key)
+    extra = (unused.join(got, [*by, "centroid_idx"], "left")
+             .withColumn("_r", F.row_number().over(w))
+             .filter(F.col("_r") <= F.lit(n) - F.coalesce(F.col("_got"), F.lit(0)))
+             .drop("_r", "_got"))
+    return chosen.unionByName(extra.select(*chosen.columns))
+
+
+# names of the survey inventory
+median_impute = impute            # C1
+robust_scale_fit = fit_scaler     # C2 fit
+robust_scale = apply_scaler       # C2 apply

@@ -286,3 +286,8 @@ def cost_curve(sweep: DataFrame) -> DataFrame:
 def pr_curve(sweep: DataFrame) -> DataFrame:
     """V9: threshold vs precision / recall / f1."""
     return sweep.select("threshold", "precision", "recall", "f1")
+
+
+# names of the survey inventory
+rates = with_rates   # V2 (+ V5 cost columns)
+cost = with_rates    # V5

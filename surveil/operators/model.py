@@ -399,3 +399,11 @@ def lookback_comparison(feats: DataFrame, feature_cols: Sequence[str], cfg: CVCo
         oof = cut_lineage(cross_validate(part.filter("label = 1"), part.filter("label = 0"), feature_cols, cfg))
         rows.append((int(lb), *oof_metrics(oof).values()))
     return feats.sparkSession.createDataFrame(rows, "lookback int, roc_auc double, pr_auc double")
+
+
+def top_features(spark: SparkSession, model: DecisionTreeClassificationModel, names: Sequence[str], n: int = 10) -> DataFrame:
+    """M7: the ``n`` most important features (a top-k report)."""
+    return feature_importances(spark, model, names, top=n)
+
+
+predict = predict_proba   # M6: adds both ``pred_proba`` and ``pred_label``

@@ -117,3 +117,10 @@ def test_html_to_text(spark):
     html = '<html><head><style>p{}</style><script>var t="</p>";</script></head><body><!-- c --><p>A&amp;B</p></body></html>'
     df = spark.createDataFrame([(html,)], "html string")
     assert one(tx.html_to_text(df))["text"].split() == ["A&B"]
+
+
+def test_top_up_adds_next_closest_unused(spark):
+    pool = spark.createDataFrame([(i, 0, float(i)) for i in range(6)], "id int, centroid_idx int, distance double")
+    chosen = pool.filter("id IN (4)")
+    got = sorted(r["id"] for r in mt.top_up(chosen, pool, 3, ["id"]).collect())
+    assert got == [0, 1, 4]
