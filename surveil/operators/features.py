@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from surveil.functions.columns import pct, up_move
 from surveil.functions.constants import (
-    CHANGE_WINDOWS,
     INTRADAY_COLS,
     MARKET_CAP_BINS,
     MARKET_CAP_LABELS,

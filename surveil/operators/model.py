@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveil.functions.constants import (
@@ -357,7 +357,7 @@ def load_model(spark: SparkSession, path: str) -> FinalModel:
     )
 
 
-def threshold_from_oof(oof: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost: float = DEFAULT_FN_COST) -> Column | float | None:
+def threshold_from_oof(oof: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost: float = DEFAULT_FN_COST) -> float | None:
     """Cost-optimal threshold from OOF predictions (V7), as a Python float."""
     from surveil.operators.metrics import optimise_threshold
 

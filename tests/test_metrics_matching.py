@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from helpers import approx, one
+from helpers import one
 from surveil.operators import matching as mt
 from surveil.operators import metrics as met
 from surveil.operators import model as md
