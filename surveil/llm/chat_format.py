@@ -60,14 +60,14 @@ def fold_events(events: DataFrame) -> DataFrame:
     """The final messages of an event log: ``conv_id``, ``message``, ``copy``, ``role``, ``text``.
 
     Events of one message are sorted by ``seq``; those up to the last reset
-    (edit, regenerate) are dead except for the reset's own text.
+    (edit, regenerate, delete) are dead except for the text of an edit.
     """
     entry = F.struct(F.coalesce("seq", F.lit(0)).alias("seq"), "event", F.coalesce("role", F.lit("")).alias("role"),
                      F.coalesce("text", F.lit("")).alias("text"))
     message = events.groupBy("conv_id", "message", "copy").agg(F.sort_array(F.collect_list(entry)).alias("log"))
     last = lambda *kinds: F.coalesce(
         F.array_max(F.transform(F.filter("log", lambda e: e["event"].isin(*kinds)), lambda e: e["seq"])), F.lit(-1))
-    message = message.withColumn("_reset", last("edit", "regenerate")).withColumn("_opened", last("open")).withColumn("_deleted", last("delete"))
+    message = message.withColumn("_reset", last("edit", "regenerate", "delete")).withColumn("_opened", last("open")).withColumn("_deleted", last("delete"))
     alive = F.filter("log", lambda e: (e["event"].isin("delta", "edit")) & (e["seq"] >= F.col("_reset")))
     opened = F.filter("log", lambda e: e["event"] == "open")
     return message.filter(F.col("_deleted") <= F.col("_opened")).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveil.session import scratch_path
@@ -35,3 +35,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# ---------------------------------------------------------------------------
+# Decisions per row (columns that start with two underscores are ours).  A row is named by the hash of all its columns and its id;
+# rows that agree in both are repeats of one another.
+# ---------------------------------------------------------------------------
+
+ROW_KEY = ["__tie", "__id"]
+
+
+def with_row_key(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return docs.withColumn("__tie", F.xxhash64(*docs.columns)).withColumn("__id", F.coalesce(id_col, F.lit(-1)))
+
+
+def join_decisions(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One of the rows of ``docs`` for every row key in ``decisions`` (unique by ``ROW_KEY``), with its other columns."""
+    joined = with_row_key(docs, id_col).join(decisions, ROW_KEY)
+    first = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy("__id"))
+    return joined.withColumn("__first", first).filter("__first = 1").drop("__first", *ROW_KEY)

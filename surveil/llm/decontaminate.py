@@ -17,7 +17,8 @@ past all of them, so a benchmark of any size is searched completely.
 
 Defined cases: null texts have no words; items without words never match; a null
 item id is listed as ``null``; repeated items and documents are treated alike; an
-empty benchmark hits nothing; extra columns are kept.
+empty benchmark hits nothing; extra columns are kept (``scan`` replaces those
+named like its results).
 """
 
 from __future__ import annotations
@@ -176,33 +177,33 @@ def build_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOC
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
 
-def scan(docs: DataFrame, blocks: list, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_words``, ``spans`` (hit word intervals), ``items`` (sorted ids) and ``longest`` (match, in words)."""
-    columns = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("spans", ArrayType(_SPAN)),
-                         StructField("items", ArrayType(StringType())), StructField("longest", LongType())])
-    out = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast(schema["spans"].dataType),
-                            "items": F.array().cast(schema["items"].dataType), "longest": F.lit(0).cast("long")})
+def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with (names after ``prefix``) ``n_words``, ``spans`` (hit word intervals), ``items`` (sorted ids) and ``longest`` (match, in words)."""
+    kinds = {"n_words": LongType(), "spans": ArrayType(_SPAN), "items": ArrayType(StringType()), "longest": LongType()}
+    name = {k: prefix + k for k in kinds}
+    docs = docs.drop(*name.values())
+    schema = StructType([*docs.schema.fields, *(StructField(name[k], kind) for k, kind in kinds.items())])
+    out = docs.withColumns({name[k]: (F.lit(0) if kind == LongType() else F.array()).cast(kind) for k, kind in kinds.items()})
     for block in blocks:
         def matched(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             automaton = block.value
             for pdf in batches:
                 sizes, spans, items, longest = [], [], [], []
-                for t, old, had, top in zip(pdf[text], pdf["spans"], pdf["items"], pdf["longest"]):
+                for t, old, had, top in zip(pdf[text], *(pdf[name[k]] for k in ("spans", "items", "longest"))):
                     words = words_of(t)
                     got, found, most = automaton.match(words)
                     longest.append(max(most, top))
                     sizes.append(len(words))
                     spans.append([{"start": a, "end": b} for a, b in merged([(s["start"], s["end"]) for s in old] + got)])
                     items.append(sorted(found.union(had)))
-                yield pdf.assign(n_words=sizes, spans=spans, items=items, longest=longest)
+                yield pdf.assign(**{name["n_words"]: sizes, name["spans"]: spans, name["items"]: items, name["longest"]: longest})
 
         out = out.mapInPandas(matched, schema)
-    return out.select(*columns, "n_words", "spans", "items", "longest")
+    return out
 
 
-def hit_words() -> Column:
-    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+def hit_words(prefix: str = "") -> Column:
+    return F.aggregate(prefix + "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
 def item_digest(items: list[str]) -> str:
@@ -226,21 +227,20 @@ def decontaminate(docs: DataFrame, blocks: list, max_coverage: float = MAX_COVER
     Cutting can bring the two ends of another window together, so a text is
     searched again until nothing is found.
     """
-    found = scan(docs, blocks, text)
-    clean = found.filter(F.size("spans") == 0).select(*docs.columns)
-    hit = found.filter((F.size("spans") > 0) & (hit_words() <= F.col("n_words") * max_coverage))
+    columns = docs.columns
+    found = scan(docs, blocks, text, "__").filter(hit_words("__") <= F.col("__n_words") * max_coverage)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automata = [b.value for b in blocks]
         for pdf in batches:
             texts = []
-            for t, spans in zip(pdf[text], pdf["spans"]):
+            for t, spans in zip(pdf[text], pdf["__spans"]):
                 todo = [(s["start"], s["end"]) for s in spans]
                 while todo:
                     t = cut_spans(t, todo)
                     words = words_of(t)
                     todo = merged([s for a in automata for s in a.match(words)[0]])
                 texts.append(t)
-            yield pdf.assign(**{text: texts})[docs.columns]
+            yield pdf.assign(**{text: texts})[columns]
 
-    return clean.unionByName(hit.mapInPandas(cut, docs.schema))
+    return found.mapInPandas(cut, docs.schema)

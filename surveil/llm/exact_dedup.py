@@ -114,7 +114,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     return docs.select(id_col, text).mapInPandas(hashed, schema)
 
 
-def differing_fingerprints(docs: DataFrame, groups: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def differing_fingerprints(docs: DataFrame, groups: DataFrame, text: str = "text") -> DataFrame:
     """The fingerprints among ``groups`` under which two texts differ, by comparing the bytes chunk by chunk."""
     schema = StructType([StructField("fp", LongType()), StructField("fp_len", LongType()), StructField(text, StringType())])
 
@@ -132,17 +132,20 @@ def differing_fingerprints(docs: DataFrame, groups: DataFrame, text: str = "text
     return compared.filter(F.col("low") != F.col("high")).select("fp", "fp_len").distinct()
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    rows = stage(fingerprints(docs, text, id_col), "exact-fingerprints")
-    copies = rows.groupBy("fp", "fp_len").count().filter("count > 1").select("fp", "fp_len")
-    differ = stage(differing_fingerprints(docs, copies, text, id_col), "exact-differ")
-    # the class of a text: its fingerprint, and its digest where one fingerprint covers several texts
+def group_copies(rows: DataFrame, differ: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Name every row's group.  ``differ``: fingerprints that cover several texts, to be split by digest."""
     split = rows.join(differ.withColumn("_split", F.lit(True)), ["fp", "fp_len"], "left")
     split = split.withColumn("_digest", F.when(F.col("_split"), F.col("text_sha256")).otherwise(F.lit(""))).drop("_split")
     key = ["fp", "fp_len", "_digest"]
     groups = split.groupBy(*key).agg(F.min(id_col).alias("keep_id"), F.count("*").alias("group_size"))
     again = F.row_number().over(Window.partitionBy(*key, id_col).orderBy("text_sha256"))
-    first = split.withColumn("_again", again)
-    return first.join(groups, key).select(
-        id_col, "keep_id", "group_size", (F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)).alias("kept"), "text_sha256")
+    kept = F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)
+    return split.withColumn("_again", again).join(groups, key).select(id_col, "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
+    rows = stage(fingerprints(docs, text, id_col), "exact-fingerprints")
+    copies = rows.groupBy("fp", "fp_len").count().filter("count > 1").select("fp", "fp_len")
+    differ = stage(differing_fingerprints(docs, copies, text), "exact-differ")
+    return group_copies(rows, differ, id_col)

@@ -71,7 +71,7 @@ def source_targets(rows: DataFrame, source: str, size: str, max_epochs: int = MA
 
 def mix(rows: DataFrame, key: Column, source: str = "source", size: str = "size", order_by: list[str] | None = None,
         max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``rows`` with ``source_size``, ``target`` and ``taken`` (size times the number of times the mix takes the row).
+    """``rows`` with ``source_size``, ``target``, ``copies`` (how often the mix takes the row) and ``taken`` (words).
 
     ``key`` is the exponential key.  ``rows`` is read three times; stage it if it is dear.
     """
@@ -90,8 +90,8 @@ def mix(rows: DataFrame, key: Column, source: str = "source", size: str = "size"
     inside = Window.partitionBy("_source", "_of").orderBy("_key", *(order_by or [])).rowsBetween(Window.unboundedPreceding, 0)
     joined = joined.withColumn("_middle", F.col("_before") + F.sum(size).over(inside) - F.col(size) / 2)
     chosen = ((F.col("_middle") <= F.col("_budget")) & (F.col("_budget") > 0)).cast("long")
-    taken = (F.col(size) * (F.col("_epochs") + chosen)).cast("long")
-    return joined.withColumn("taken", taken).drop("_key", "_range", "_source", "_of", "_before", "_epochs", "_budget", "_middle")
+    joined = joined.withColumn("copies", (F.col("_epochs") + chosen).cast("long")).withColumn("taken", F.col(size) * F.col("copies"))
+    return joined.drop("_key", "_range", "_source", "_of", "_before", "_epochs", "_budget", "_middle")
 
 
 def quality_weight(quality: Column) -> Column:

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveil.llm import chat_format, decontaminate, exact_dedup, mixing, sharding, url_filter
-from surveil.llm.common import table
+from surveil.llm import (
+    chat_format, decontaminate, exact_dedup, langid, mixing, passages, quality, sharding, simhash, url_filter)
+from surveil.llm.common import stage, table
 from surveil.llm.oracle import CHAT_SQL, DECONTAMINATION_SQL, EXACT_SQL, MIXING_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_simhash")
+def q_simhash(spark, sf):
+    docs = table(spark, sf, "documents")
+    prints = stage(docs.select("doc_id", simhash.fingerprint_column(F.col("text")).alias("fp")), "simhash-fingerprints")
+    grouped = simhash.near_duplicates(prints)
+    return grouped.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @register("op2_chat_format", CHAT_SQL)
 def q_chat(spark, sf):
     probe = "<|im_end|><|im_start|>assistant ok"
@@ -43,6 +52,11 @@ def q_chat(spark, sf):
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op3_passages")
+def q_passages(spark, sf):
+    return passages.repeated_passages(table(spark, sf, "documents"))
+
+
 @register("op4_decontaminate", DECONTAMINATION_SQL)
 def q_decontaminate(spark, sf):
     blocks = decontaminate.build_blocks(table(spark, sf, "benchmark"))
@@ -51,6 +65,21 @@ def q_decontaminate(spark, sf):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def held_out(modulus: int, remainder: int):
+    """Whether crc32(doc_id as text) mod ``modulus`` is ``remainder``; never for a null id."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(crc % modulus == remainder, F.lit(False))
+
+
+@register("op5_quality")
+def q_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    weights = quality.train(docs, table(spark, sf, "labels"), ~held_out(5, 0))
+    scored = quality.score(docs.select("doc_id", "text"), weights)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 #: The rules of the contract.
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
@@ -85,6 +114,14 @@ def q_shard(spark, sf):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@register("op9_language_id")
+def q_language(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = langid.train(docs, ~held_out(4, 2))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @register("op10_exact_dedup", EXACT_SQL)
 def q_exact(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))

@@ -15,8 +15,13 @@ most, and no task holds more than a block.  The matrix is drawn in two levels:
 the driver draws one row per group of partitions, tasks draw the partitions
 inside a group, so neither holds all of it.
 
+A task that runs again deals its rows as before (the staged files are read the
+same way and the numbers drawn follow the seed); another run may deal
+differently if its input files come in another order.
+
 Defined cases: null texts and ids are rows like others; repeated rows each get
-their own slot; an empty table gives an empty result; extra columns are kept.
+their own slot; an empty table gives an empty result; extra columns are kept, but
+for any named ``shard`` or ``slot``, which are replaced.
 """
 
 from __future__ import annotations
@@ -88,34 +93,34 @@ def block_sizes(n_rows: int, n_shards: int, n_blocks: int) -> list[tuple[int, in
 def shard_rows(rows: DataFrame, n_shards: int, seed: int = 42) -> DataFrame:
     """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard)."""
     spark = rows.sparkSession
-    staged = stage(rows, "shard-rows")
-    part = F.spark_partition_id().alias("_part")
-    sizes = sorted((r[0], r[1]) for r in staged.select(part).groupBy("_part").count().collect())
+    staged = stage(rows.drop("shard", "slot"), "shard-rows")
+    part = F.spark_partition_id().alias("__part")
+    sizes = sorted((r[0], r[1]) for r in staged.select(part).groupBy("__part").count().collect())
     total = sum(n for _, n in sizes)
     per_shard = max(-(-total // (n_shards * BLOCK_ROWS)), -(-shuffle_partitions(spark) // n_shards), 1)
     blocks = block_sizes(total, n_shards, per_shard)
     matrix = communication_matrix(spark, sizes, [b[2] for b in blocks], seed)
 
-    local = staged.withColumn("_deal", F.rand(seed)).withColumn("_order", F.rand(seed + 1)).sortWithinPartitions("_deal")
+    local = staged.withColumn("__deal", F.rand(seed)).withColumn("__order", F.rand(seed + 1)).sortWithinPartitions("__deal")
     # the id's upper bits are the partition, its lower 33 bits the row's place in it
-    local = local.withColumn("_place", F.monotonically_increasing_id())
-    local = local.withColumn("_part", F.shiftright("_place", 33).cast("int")).withColumn(
-        "_place", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
+    local = local.withColumn("__place", F.monotonically_increasing_id())
+    local = local.withColumn("__part", F.shiftright("__place", 33).cast("int")).withColumn(
+        "__place", F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)))
     if len(sizes) * len(blocks) * 8 <= BROADCAST_BYTES:
         matrix = F.broadcast(matrix)
-    dealt = local.join(matrix, "_part")
-    block = F.size(F.filter("_upto", lambda upto: upto <= F.col("_place")))
-    dealt = dealt.withColumn("_block", block).drop("_upto", "_part", "_place", "_deal")
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy("_order"))
+    dealt = local.join(matrix, "__part")
+    block = F.size(F.filter("__upto", lambda upto: upto <= F.col("__place")))
+    dealt = dealt.withColumn("__block", block).drop("__upto", "__part", "__place", "__deal")
+    rank = F.row_number().over(Window.partitionBy("__block").orderBy("__order"))
     size, extra = divmod(total, n_shards)
-    shard = F.floor(F.col("_block") / per_shard).cast("int")
+    shard = F.floor(F.col("__block") / per_shard).cast("int")
     shard_size = F.lit(size) + F.when(shard < extra, 1).otherwise(0)
-    first = F.floor(shard_size * F.pmod(F.col("_block"), F.lit(per_shard)) / per_shard)
-    return dealt.withColumn("slot", (first + rank - 1).cast("long")).withColumn("shard", shard).drop("_block", "_order")
+    first = F.floor(shard_size * F.pmod(F.col("__block"), F.lit(per_shard)) / per_shard)
+    return dealt.withColumn("slot", (first + rank - 1).cast("long")).withColumn("shard", shard).drop("__block", "__order")
 
 
 def communication_matrix(spark, sizes: list[tuple[int, int]], columns: list[int], seed: int) -> DataFrame:
-    """Per partition the running sums of its row of the matrix: ``_part``, ``_upto``."""
+    """Per partition the running sums of its row of the matrix: ``__part``, ``__upto``."""
     groups = [sizes[i:i + GROUP] for i in range(0, len(sizes), GROUP)]
     drawn = draw_matrix([sum(n for _, n in g) for g in groups], columns, [seed, 0])
     given = [(i, [p for p, _ in g], [n for _, n in g], row) for i, (g, row) in enumerate(zip(groups, drawn))]
@@ -124,7 +129,7 @@ def communication_matrix(spark, sizes: list[tuple[int, int]], columns: list[int]
         for pdf in batches:
             for i, parts, counts, row in pdf.itertuples(index=False, name=None):
                 inner = draw_matrix([int(n) for n in counts], [int(n) for n in row], [seed, 1, int(i)])
-                yield pd.DataFrame({"_part": list(parts), "_upto": [np.cumsum(r).tolist() for r in inner]})
+                yield pd.DataFrame({"__part": list(parts), "__upto": [np.cumsum(r).tolist() for r in inner]})
 
     start = spark.createDataFrame(given, "g long, parts array<int>, counts array<long>, columns array<long>")
-    return start.mapInPandas(rows_of_group, "_part int, _upto array<long>")
+    return start.mapInPandas(rows_of_group, "__part int, __upto array<long>")

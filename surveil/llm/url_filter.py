@@ -10,7 +10,8 @@ and no URL is shuffled, whatever host is the most common one.
 
 Defined cases: a null URL and one without ``://`` have an empty host and path
 (judged by the model's intercept); repeated rows are judged alike; null page ids
-are kept; an empty table gives an empty result; extra columns are kept.
+are kept; an empty table gives an empty result; extra columns are kept, but for any
+named like a result, which are replaced.
 """
 
 from __future__ import annotations
@@ -77,8 +78,8 @@ def char_ngrams(text: Column, tag: str) -> Column:
 
 def _features(urls: DataFrame) -> DataFrame:
     grams = F.concat(char_ngrams(F.col("host"), "h"), char_ngrams(F.col("path"), "p"))
-    hashing = HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="_grams", outputCol="_features")
-    return hashing.transform(urls.withColumn("_grams", grams)).drop("_grams")
+    hashing = HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="__grams", outputCol="__features")
+    return hashing.transform(urls.withColumn("__grams", grams)).drop("__grams")
 
 
 def labelled_sample(urls: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -95,8 +96,8 @@ def train(labelled: DataFrame) -> LogisticRegressionModel | None:
     rows = _features(rows).repartition(1).sortWithinPartitions("host", "path", "verdict")
     if rows.isEmpty():
         return None
-    return LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw",
-                              predictionCol="_prediction", maxIter=40, regParam=0.01).fit(rows)
+    return LogisticRegression(featuresCol="__features", labelCol="label", probabilityCol="__probability", rawPredictionCol="__raw",
+                              predictionCol="__prediction", maxIter=40, regParam=0.01).fit(rows)
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", labelled: DataFrame | None = None,
@@ -107,14 +108,14 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", labelled: DataF
     that a rule decides do.
     """
     urls = pages.withColumn("host", url_host(F.col(url))).withColumn("path", url_path(F.col(url)))
-    urls = urls.withColumn("_rule", matching_rule(F.col("host"), F.col("path"), rules))
-    ruled = labelled if labelled is not None else urls.select("host", "path", F.col("_rule.verdict").alias("verdict"))
+    urls = urls.withColumn("__rule", matching_rule(F.col("host"), F.col("path"), rules))
+    ruled = labelled if labelled is not None else urls.select("host", "path", F.col("__rule.verdict").alias("verdict"))
     model = train(labelled_sample(ruled, max_labelled))
     if model is None:
         scored = urls.withColumn("block_score", F.lit(0.0))
     else:
-        scored = model.transform(_features(urls)).withColumn("block_score", vector_to_array("_probability")[1])
-        scored = scored.drop("_features", "_probability", "_raw", "_prediction")
+        scored = model.transform(_features(urls)).withColumn("block_score", vector_to_array("__probability")[1])
+        scored = scored.drop("__features", "__probability", "__raw", "__prediction")
     guess = F.when(F.col("block_score") >= 0.5, BLOCK).otherwise(ALLOW)
-    return (scored.withColumn("rule", F.col("_rule.name"))
-            .withColumn("verdict", F.coalesce(F.col("_rule.verdict"), guess)).drop("_rule"))
+    return (scored.withColumn("rule", F.col("__rule.name"))
+            .withColumn("verdict", F.coalesce(F.col("__rule.verdict"), guess)).drop("__rule"))
