@@ -30,18 +30,6 @@ def days(c: Column) -> Column:
     return F.datediff(c, F.lit("1970-01-01").cast("date"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a
-    large input; beyond the bound the caller's shuffle join is used.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (comparison hygiene for oracle checks)."""
     out = []

@@ -39,6 +39,16 @@ TICKER_STOPWORDS = [
 
 DOCUMENT_BASE_URL = "https://www.sec.gov"
 
+# symbols of securities that are not common stock (warrants, rights, preferred and similar)
+SYMBOL_BAD_CHARS = r"[.+$^~%]"
+SYMBOL_BAD_SUFFIXES = ["W", "R", "P"]
+SYMBOL_MAX_LENGTH = 5
+
+METRIC_COLS = [
+    "threshold", "precision", "recall", "f1", "specificity", "tp", "fp", "tn", "fn",
+    "roc_auc", "pr_auc", "cost", "cost_per_case", "n_positive", "n_negative", "n_total",
+]
+
 DEFAULT_FP_COST = 1.0
 DEFAULT_FN_COST = 5.0
 SUMMARY_THRESHOLDS = 19          # linspace(0.05, 0.95, 19)

@@ -109,12 +109,13 @@ def _registry() -> list[Feature]:
     add = lambda name, fam, sql: feats.append(Feature(name, fam, sql))
     for c in PRICE_COLS + ["gap"]:
         for n in CHANGE_WINDOWS:
-            add(f"{c}_chg_{n}d", "price_change", _chg(_level(c), n))
+            add(f"{c}_chg_{n}d", "gap_change" if c == "gap" else "price_change", _chg(_level(c), n))
     for c in PRICE_COLS + ["gap"]:
         for r in ROLLING_WINDOWS:
-            add(f"{c}_roll{r}_mean", "price_rolling", _mean(f"{c}_pct", r))
-            add(f"{c}_roll{r}_std", "price_rolling", _std(f"{c}_pct", r))
-            add(f"{c}_roll{r}_pos_count", "price_rolling", _pos_count(f"{c}_up", r))
+            family = "gap_rolling" if c == "gap" else "price_rolling"
+            add(f"{c}_roll{r}_mean", family, _mean(f"{c}_pct", r))
+            add(f"{c}_roll{r}_std", family, _std(f"{c}_pct", r))
+            add(f"{c}_roll{r}_pos_count", family, _pos_count(f"{c}_up", r))
     for c in INTRADAY_COLS:
         for r in ROLLING_WINDOWS:
             add(f"{c}_roll{r}_mean", "intraday", _mean(c, r))

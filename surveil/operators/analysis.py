@@ -12,24 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveil.functions.quantiles import exact_median, exact_quantiles, join_groups
 from surveil.functions.registry import FEATURES
 
 WINDOW_KEY = ["ticker", "d_date"]
 
 
-def _median(col: str, exact: bool = True):
-    """Exact median (parity with pandas) or a mergeable approximate one for very large groups.
-
-    Groups such as ``days_to_d`` hold ~1/90 of all rows each; at scale pass
-    ``exact=False`` so the quantile is a partial (map-side) sketch aggregate.
-    """
-    return F.median(col) if exact else F.percentile_approx(col, 0.5, 10000)
-
-
-def _quartiles(col: str, exact: bool = True):
-    return F.percentile(col, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(col, [0.25, 0.5, 0.75], 10000)
-
-
 def days_to_event(df: DataFrame) -> DataFrame:
     """``days_to_d = date - d_date`` in days."""
     return df.withColumn("days_to_d", F.datediff("date", "d_date"))
@@ -51,9 +39,9 @@ def event_frame(windows: DataFrame, key: Sequence[str] = WINDOW_KEY) -> DataFram
     return normalise_to_mean(normalise_to_start(days_to_event(windows), "close", key), "volume", key)
 
 
-def median_trajectory(df: DataFrame, col: str = "close_norm", exact: bool = True) -> DataFrame:
-    """Median of ``col`` per ``days_to_d``."""
-    return df.groupBy("days_to_d").agg(_median(col, exact).alias(f"median_{col}"))
+def median_trajectory(df: DataFrame, col: str = "close_norm") -> DataFrame:
+    """Median of ``col`` per ``days_to_d`` (NULL where a day has no value)."""
+    return join_groups(df.select("days_to_d").distinct(), exact_median(df, col, ["days_to_d"], f"median_{col}"), ["days_to_d"])
 
 
 def window_returns(df: DataFrame, key: Sequence[str] = WINDOW_KEY) -> DataFrame:
@@ -61,14 +49,14 @@ def window_returns(df: DataFrame, key: Sequence[str] = WINDOW_KEY) -> DataFrame:
     return df.groupBy(*key).agg(((F.max_by("close_norm", "days_to_d") - 1) * 100).alias("return_pct"))
 
 
-def return_summary(returns: DataFrame, exact: bool = True) -> DataFrame:
+def return_summary(returns: DataFrame) -> DataFrame:
     """E5: median, mean and share of windows with a positive return."""
-    return returns.agg(
-        _median("return_pct", exact).alias("median_return"),
+    means = returns.agg(
         F.avg("return_pct").alias("mean_return"),
         F.avg((F.col("return_pct") > 0).cast("double")).alias("share_rising"),
         F.count(F.lit(1)).alias("n_windows"),
     )
+    return join_groups(means, exact_median(returns, "return_pct", out="median_return"), [])
 
 
 def rolling_mean_by_group(df: DataFrame, col: str = "volume_norm", n: int = 10, min_periods: int = 3,
@@ -78,15 +66,15 @@ def rolling_mean_by_group(df: DataFrame, col: str = "volume_norm", n: int = 10,
     return df.withColumn(f"{col}_roll{n}", F.when(F.count(col).over(w) >= min_periods, F.avg(col).over(w)))
 
 
-def quantile_band(df: DataFrame, col: str, by: str = "days_to_d", exact: bool = True) -> DataFrame:
-    """Median, q25, q75 of ``col`` per ``by`` (exact with linear interpolation, or approximate)."""
-    q = _quartiles(col, exact)
-    return df.groupBy(by).agg(q.alias("_q")).select(
+def quantile_band(df: DataFrame, col: str, by: str = "days_to_d") -> DataFrame:
+    """Median, q25, q75 of ``col`` per ``by`` (exact, with linear interpolation)."""
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], [by], "_q")
+    return join_groups(df.select(by).distinct(), q, [by]).select(
         by, F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75")
     )
 
 
-def bucket_by_days(df: DataFrame, width: int = 10, lookback: int = 90, exact: bool = True) -> DataFrame:
+def bucket_by_days(df: DataFrame, width: int = 10, lookback: int = 90) -> DataFrame:
     """Right-closed buckets ``(-lookback-1 + w·i, -lookback-1 + w·(i+1)]``; outside → dropped.
 
     Returns the median normalised close and volume per bucket.
@@ -97,9 +85,10 @@ def bucket_by_days(df: DataFrame, width: int = 10, lookback: int = 90, exact: bo
     idx = F.ceil((d - F.lit(lo0)) / F.lit(width)).cast("int") - 1
     inside = (d > F.lit(lo0)) & (d <= F.lit(lo0 + n_buckets * width))
     b = df.withColumn("_i", F.when(inside, idx)).filter(F.col("_i").isNotNull())
-    return b.groupBy("_i").agg(
-        _median("close_norm", exact).alias("median_close_norm"), _median("volume_norm", exact).alias("median_volume_norm")
-    ).select(
+    both = b.select("_i").distinct()
+    for c in ("close_norm", "volume_norm"):
+        both = join_groups(both, exact_median(b, c, ["_i"], f"median_{c}"), ["_i"])
+    return both.select(
         (F.lit(lo0) + F.col("_i") * width).alias("bucket_lo"),
         (F.lit(lo0) + (F.col("_i") + 1) * width).alias("bucket_hi"),
         "median_close_norm", "median_volume_norm",
@@ -184,11 +173,11 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
 
 
-def score_separation(scores: DataFrame, label: str = "label", score: str = "score", exact: bool = True) -> DataFrame:
-    """N and median score per true label (two groups: use ``exact=False`` at scale)."""
-    return scores.groupBy(F.col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), _median(score, exact).alias("median_score")
-    )
+def score_separation(scores: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """N and median score per true label."""
+    rows = scores.select(F.col(label).alias("label"), F.col(score).alias("_score"))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return join_groups(counts, exact_median(rows, "_score", ["label"], "median_score"), ["label"])
 
 
 def ranked_positives(scores: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from surveil.functions.columns import pct, up_move
 from surveil.functions.constants import (
+    CHANGE_WINDOWS,
     INTRADAY_COLS,
     MARKET_CAP_BINS,
     MARKET_CAP_LABELS,
@@ -128,19 +129,18 @@ def transform(
         F.filter(sizes, lambda w: w >= F.col("rn")),
         F.when(F.array_contains(picks, F.col("rn")), F.array(-F.col("rn"))).otherwise(F.array().cast("array<int>")),
     )
-    # step 1-2: one row per (window, size or pick) with unconditional aggregates
-    per_w = series.withColumn("w", F.explode(member)).groupBy(*key, "w").agg(
-        F.max("n_bars").alias("n_bars"),
-        *([F.max(label_col).alias(label_col)] if label_col in windows.columns else []),
-        *stat_aggregates(),
+    # step 1-2: one row per (window, size or pick) with unconditional aggregates; short windows never get there
+    first_label = [F.min_by(label_col, "date").alias(label_col)] if label_col in windows.columns else []
+    per_w = series.filter(F.col("n_bars") >= min_bars).withColumn("w", F.explode(member)).groupBy(*key, "w").agg(
+        F.max("n_bars").alias("n_bars"), F.min("date").alias("_first"), *first_label, *stat_aggregates(),
     )
-    stat_cols = [c for c in per_w.columns if c not in (*key, "w", "n_bars", label_col)]
+    stat_cols = [c for c in per_w.columns if c not in (*key, "w", "n_bars", "_first", label_col)]
     # step 3: the <= 17 stat rows of a window become one map (bounded collect)
     packed = per_w.groupBy(*key).agg(
         F.max("n_bars").alias("n_bars"),
-        *([F.max(label_col).cast("int").alias(label_col)] if label_col in windows.columns else []),
+        *([F.min_by(label_col, "_first").cast("int").alias(label_col)] if label_col in windows.columns else []),
         F.map_from_entries(F.collect_list(F.struct("w", F.struct(*stat_cols)))).alias("m"),
-    ).filter(F.col("n_bars") >= min_bars)
+    )
     # step 4: every feature is a projection of the map
     keep = [*key, *([label_col] if label_col in windows.columns else [])]
     feats = packed.selectExpr(*[f"`{c}`" for c in keep], *feature_projections())
@@ -150,31 +150,44 @@ def transform(
 
 
 def indicator_series(windows: DataFrame, zero_volume: str = "pad") -> DataFrame:
-    """the full per-day series of rolling indicators (every bar, not only the last).
+    """the full per-day series: every feature of the matrix as of every bar, with the raw series behind them.
 
     Uses real trailing ``rowsBetween(-r+1, 0)`` frames; cumulative OBV/AD use
-    an unbounded-preceding frame.  Intended for inspection and plots of a
-    bounded set of windows (it is ~r times the work of ``transform``).
+    an unbounded-preceding frame.  The last bar's values are those of ``transform``.
     """
     s = bar_series(windows, zero_volume=zero_volume)
     asc = Window.partitionBy(*WINDOW_KEY).orderBy("date")
     cum = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols: list[Column] = [F.col(c) for c in ("ticker", "d_date", "date")]
-    cols += [F.col(c) for c in ("gap", *INTRADAY_COLS, "clv")]
-    cols += [F.sum("obv_term").over(cum).alias("obv"), F.sum("ad_term").over(cum).alias("ad_line")]
-    for r in ORDER_FLOW_WINDOWS:
-        fr = asc.rowsBetween(-(r - 1), 0)
-        ok = F.count(F.lit(1)).over(fr) >= min_periods(r)
-        cols.append(F.when(ok, F.try_divide(F.sum("clv_vol").over(fr), F.sum("volume").over(fr))).alias(f"cmf_{r}d"))
-        ratio = F.try_divide(F.sum("mf_pos").over(fr), F.sum("mf_neg").over(fr))
-        cols.append(F.when(ok, F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + ratio)).alias(f"mfi_{r}d"))
+    s = s.withColumns({"obv": F.sum("obv_term").over(cum), "ad_line": F.sum("ad_term").over(cum)})
+    tail = lambda r: asc.rowsBetween(-(r - 1), 0)
+    enough = lambda count, r: count.over(tail(r)) >= min_periods(r)
+    change = lambda x, n: F.try_divide(F.col(x), F.lag(x, n).over(asc)) - 1
+    mean = lambda x, r: F.when(enough(F.count(x), r), F.avg(x).over(tail(r)))
+    std = lambda x, r: F.when(enough(F.count(x), r), F.stddev_samp(x).over(tail(r)))
+    ups = lambda flag, r: F.count_if(F.coalesce(F.col(flag), F.lit(False))).over(tail(r)).cast("double")
+    out: dict[str, Column] = {}
+    for c in PRICE_COLS + ["gap"]:
+        for n in CHANGE_WINDOWS:
+            out[f"{c}_chg_{n}d"] = change("gap_f" if c == "gap" else c, n)
+        for r in ROLLING_WINDOWS:
+            out |= {f"{c}_roll{r}_mean": mean(f"{c}_pct", r), f"{c}_roll{r}_std": std(f"{c}_pct", r), f"{c}_roll{r}_pos_count": ups(f"{c}_up", r)}
+    for c in INTRADAY_COLS:
+        for r in ROLLING_WINDOWS:
+            out |= {f"{c}_roll{r}_mean": mean(c, r), f"{c}_roll{r}_std": std(c, r)}
+    for n in CHANGE_WINDOWS:
+        out |= {f"volume_chg_{n}d": change("vol_f", n), f"volume_log_chg_{n}d": change("log_vol_f", n)}
+        out |= {f"obv_chg_{n}d": F.col("obv") - F.lag("obv", n).over(asc), f"ad_chg_{n}d": F.col("ad_line") - F.lag("ad_line", n).over(asc)}
     for r in ROLLING_WINDOWS:
-        fr = asc.rowsBetween(-(r - 1), 0)
-        m = min_periods(r)
-        ok = F.count("close_pct").over(fr) >= m
-        cols.append(F.when(ok, F.avg("close_pct").over(fr)).alias(f"close_roll{r}_mean"))
-        cols.append(F.when(F.count("vol_pct").over(fr) >= m, F.avg("vol_pct").over(fr)).alias(f"volume_roll{r}_mean"))
-    return s.select(*cols)
+        out |= {f"volume_roll{r}_mean": mean("vol_pct", r), f"volume_roll{r}_std": std("vol_pct", r),
+                f"volume_roll{r}_sum": F.sum("vol").over(tail(r)), f"volume_roll{r}_pos_count": ups("vol_up", r),
+                f"clv_roll{r}_mean": mean("clv", r), f"clv_roll{r}_std": std("clv", r), f"clv_roll{r}_pos_count": ups("clv_up", r)}
+    for r in ORDER_FLOW_WINDOWS:
+        ok = enough(F.count(F.lit(1)), r)
+        ratio = F.try_divide(F.sum("mf_pos").over(tail(r)), F.sum("mf_neg").over(tail(r)))
+        out[f"cmf_{r}d"] = F.when(ok, F.try_divide(F.sum("clv_vol").over(tail(r)), F.sum("volume").over(tail(r))))
+        out[f"mfi_{r}d"] = F.when(ok, F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + ratio))
+    raw = ["gap", *INTRADAY_COLS, "clv", "obv", "ad_line"]
+    return s.select("ticker", "d_date", "date", *raw, *[out[n].alias(n) for n in feature_names()])
 
 
 # ---------------------------------------------------------------------------
@@ -182,7 +195,6 @@ def indicator_series(windows: DataFrame, zero_volume: str = "pad") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 ONE_HOT_COLS = ["country", "currency", "exchange"]
-MAX_CATEGORIES = 10_000  # one-hot columns are a schema: their number must stay bounded
 
 
 def market_cap_tier(market_cap: Column) -> Column:
@@ -198,21 +210,22 @@ def market_cap_tier(market_cap: Column) -> Column:
 def metadata_categories(metadata: DataFrame) -> dict[str, list[str]]:
     """Discovery pass for F16: distinct category values of every one-hot column (one job)."""
     enc = _categorical_frame(metadata)
-    rows = (
-        enc.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in enc.columns if c != "ticker"])).alias("kv"))
-        .select("kv.k", "kv.v")
-        .distinct()
-        .limit(MAX_CATEGORIES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} one-hot categories; pass an explicit category list")
+    kinds = [F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in enc.columns if c != "ticker"]
+    # one-hot columns are a schema, so the driver has to know the values; for high-cardinality columns use metadata_terms
+    rows = enc.select(F.explode(F.array(*kinds)).alias("kv")).select("kv.k", "kv.v").distinct().collect()
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["k"], []).append(r["v"])
     return {k: sorted(v) for k, v in out.items()}
 
 
+def metadata_terms(metadata: DataFrame) -> DataFrame:
+    """F16 in sparse form: one row ``ticker, term`` per one-hot column that would be 1, for any number of categories."""
+    enc = _categorical_frame(dedupe_metadata(metadata))
+    names = [F.concat_ws("_", F.lit(c), F.col(c)) for c in enc.columns if c != "ticker"]
+    return enc.select("ticker", F.explode(F.array(*names)).alias("term"))
+
+
 def _categorical_frame(metadata: DataFrame) -> DataFrame:
     cols = [F.col("ticker")]
     if "market_cap" in metadata.columns:
@@ -313,7 +326,3 @@ def streak_features(windows: DataFrame, large_move: float = 0.03, mean_window: i
         F.count_if(F.coalesce("_large_up", F.lit(False))).cast("bigint").alias("n_large_up_days"),
         F.count_if(F.coalesce("_reversal", F.lit(False))).cast("bigint").alias("n_large_intraday_reversals"),
     )
-
-
-# names of the survey inventory
-one_hot = encode_metadata   # F16

@@ -1,18 +1,14 @@
 """C0–C12 — negative matching: robust scaling, nearest centroid, sampling, report.
 
 Vectors are ``array<double>`` columns (``as_vector`` builds one from wide
-feature columns).  Per-feature statistics (C0–C2) are one grouped aggregate
-over the exploded training vectors; the result has one row per feature
+feature columns).  Per-feature statistics (C0–C2) are exact distributed
+quantiles over the exploded training vectors; the result has one row per feature
 (bounded by the feature count) and is applied as array literals, so scaling
 is a JVM ``transform`` with no shuffle.
 
-Nearest centroid (C3) never builds an n×m row table: centroids are packed
-into blocks of at most ``block_size`` per row; every candidate meets each
-block once and keeps ``min(struct(distance, index))`` computed with
-higher-order functions.  With one block (the usual case: tens to thousands
-of centroids) no shuffle is planned; more blocks are reduced with a
-``groupBy`` on the candidate key.  The block table is broadcast only when its
-size (centroids × features) is within a checked bound.
+Nearest centroid (C3) never builds an n×m row table and never moves a candidate:
+the centroids are broadcast in blocks of bounded bytes, and an Arrow UDF keeps
+each candidate's running minimum over the blocks.
 """
 
 from __future__ import annotations
@@ -20,12 +16,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveil.functions.constants import MATCH_BINS, RANDOM_STATE, TN_TP_RATIO
+from surveil.functions.quantiles import exact_median, exact_quantiles, join_groups
+from surveil.session import cut_lineage, ship_package
 
-BROADCAST_MAX_VALUES = 4_000_000
+#: Bytes of centroid vectors in one broadcast.
+BLOCK_BYTES = 32 << 20
+#: Distances that a task holds at a time.
+TILE = 2_000_000
 
 
 def as_vector(df: DataFrame, cols: Sequence[str], out: str = "x") -> DataFrame:
@@ -47,28 +50,24 @@ class ScalerStats:
         return list(zip(self.index, self.median, self.center, self.scale))
 
 
-def feature_stats(df: DataFrame, vec: str = "x") -> DataFrame:
-    """C0/C1/C2 statistics per feature index: non-null count, min, max, median, q25, q75.
+def feature_stats(df: DataFrame, vec: str = "x", by: Sequence[str] = ()) -> DataFrame:
+    """C0/C1/C2 statistics per (group and) feature index: non-null count, min, max, median, q25, q75.
 
-    Quantiles are exact with linear interpolation (``percentile``), as pandas.
-    The median imputation is applied before the quartiles are taken.
+    Quantiles are exact with linear interpolation, as pandas.  The median
+    imputation is applied before the quartiles are taken.
     """
-    long = df.select(F.posexplode(F.col(vec)).alias("i", "v"))
-    med = long.groupBy("i").agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("vmin"),
-        F.max("v").alias("vmax"),
-        F.percentile("v", 0.5).alias("median"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    filled = long.join(F.broadcast(med.select("i", "median")), "i").select(
-        "i", F.coalesce(F.col("v"), F.col("median")).alias("v")
-    )
-    quart = filled.groupBy("i").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q"))
-    return med.join(quart, "i").select(
-        "i", "n", "rows", "vmin", "vmax", "median",
-        F.col("q")[0].alias("q25"), F.col("q")[1].alias("center"), F.col("q")[2].alias("q75"),
-    )
+    return long_stats(df.select(*by, F.posexplode(F.col(vec)).alias("i", "v")), by)
+
+
+def long_stats(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``feature_stats`` of rows ``(by..., i, v)``."""
+    key = [*by, "i"]
+    med = long.groupBy(*key).agg(F.count("v").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+    med = join_groups(med, exact_median(long, "v", key), key)
+    filled = join_groups(long, med.select(*key, "median"), key).withColumn("v", F.coalesce("v", "median"))
+    quart = exact_quantiles(filled, "v", [0.25, 0.5, 0.75], key)
+    return join_groups(med, quart, key).select(
+        *key, "n", "rows", "vmin", "vmax", "median", F.col("q")[0].alias("q25"), F.col("q")[1].alias("center"), F.col("q")[2].alias("q75"))
 
 
 def usable_features(stats: DataFrame, drop_constant: bool = False) -> DataFrame:
@@ -112,14 +111,47 @@ def impute(df: DataFrame, stats: ScalerStats, vec: str = "x", out: str = "x_fill
     return df.withColumn(out, F.transform(idx, lambda i, k: F.coalesce(F.col(vec)[i], F.element_at(med, k + 1))))
 
 
-def _sq_dist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda acc, y: acc + y)
-
-
 def index_centroids(centroids: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Centroid index = rank of the centroid key (0-based), the order ties are broken in."""
+    """Centroid index = rank of the centroid key (0-based), the order ties are broken in.  Only the keys are ranked."""
     w = Window.orderBy(*[F.col(k) for k in key])
-    return centroids.withColumn("centroid_idx", (F.row_number().over(w) - 1).cast("int"))
+    ranks = centroids.select(*key).withColumn("centroid_idx", (F.row_number().over(w) - 1).cast("int"))
+    return centroids.join(ranks, list(key))
+
+
+def nearest(points: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance to the closest centroid and its position (the first one on ties) for every point.
+
+    A matrix product finds the centroids that can be closest; only those are measured exactly.
+    """
+    d2, at = np.full(len(points), np.inf), np.zeros(len(points), dtype=np.int64)
+    norms = np.einsum("ij,ij->i", centroids, centroids)
+    step = max(1, TILE // max(len(centroids), 1))
+    for i in range(0, len(points), step):
+        part = points[i:i + step]
+        own = np.einsum("ij,ij->i", part, part)
+        rough = norms - 2.0 * (part @ centroids.T)
+        slack = 1e-9 * (own + norms.max()) + 1e-300
+        rows, cols = np.nonzero(rough <= (rough.min(axis=1) + slack)[:, None])
+        exact = ((part[rows] - centroids[cols]) ** 2).sum(axis=1)
+        order = np.lexsort((cols, exact, rows))
+        first = order[np.unique(rows[order], return_index=True)[1]]
+        d2[i + rows[first]], at[i + rows[first]] = exact[first], cols[first]
+    return d2, at
+
+
+def _closer(block):
+    """A column function: the better of the best centroid so far and those of a block."""
+    @F.pandas_udf("d2 double, idx int")
+    def closer(v: pd.Series, best: pd.DataFrame) -> pd.DataFrame:
+        names, matrix = block.value
+        old, old_idx = (best[c].to_numpy(dtype=float, na_value=np.inf) for c in ("d2", "idx"))
+        if not len(v):
+            return best
+        d2, at = nearest(np.stack(v.to_numpy()).astype(float), matrix)
+        new = (d2 < old) | ((d2 == old) & (names[at] < old_idx))
+        return pd.DataFrame({"d2": np.where(new, d2, old), "idx": np.where(new, names[at], old_idx).astype(np.int64)})
+
+    return closer
 
 
 def nearest_centroid(
@@ -128,40 +160,34 @@ def nearest_centroid(
     cand_key: Sequence[str],
     cent_key: Sequence[str],
     z: str = "z",
-    block_size: int = 512,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Every candidate gets ``centroid_idx`` (lowest index on ties) and Euclidean ``distance``.
 
     ``centroids`` must carry ``centroid_idx`` (see ``index_centroids``) and the
     scaled vector ``z``; candidates carry ``z`` too.
     """
-    probe = centroids.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(z)).alias("d")).first()
-    n_cent, dims = int(probe["n"]), int(probe["d"] or 1)
-    if n_cent == 0:
-        return candidates.withColumn("centroid_idx", F.lit(None).cast("int")).withColumn("distance", F.lit(None).cast("double"))
-    n_blocks = (n_cent + block_size - 1) // block_size
-    blocks = (
-        centroids.select((F.col("centroid_idx") / F.lit(block_size)).cast("int").alias("_blk"),
-                         F.struct(F.col("centroid_idx").alias("idx"), F.col(z).alias("v")).alias("_c"))
-        .groupBy("_blk").agg(F.collect_list("_c").alias("_cents"))
-    )
-    if n_cent * dims <= BROADCAST_MAX_VALUES:
-        blocks = F.broadcast(blocks)
-    cand = candidates.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) if n_blocks > 1 else candidates.withColumn("_blk", F.lit(0))
-    best = F.array_min(F.transform(F.col("_cents"), lambda c: F.struct(_sq_dist(F.col(z), c["v"]).alias("d2"), c["idx"].alias("idx"))))
-    met = cand.join(blocks, "_blk").withColumn("_best", best).drop("_cents", "_blk")
-    if n_blocks > 1:
-        rest = [c for c in met.columns if c not in cand_key and c != "_best"]
-        met = met.groupBy(*cand_key).agg(F.min("_best").alias("_best"), *[F.first(c).alias(c) for c in rest])
-    return met.withColumn("centroid_idx", F.col("_best.idx")).withColumn("distance", F.sqrt(F.col("_best.d2"))).drop("_best")
+    spark = candidates.sparkSession
+    ship_package(spark)
+    vectors = centroids.select("centroid_idx", z)
+    probe = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(z)).alias("d")).first()
+    out = candidates.withColumn("_best", F.lit(None).cast("struct<d2:double,idx:int>"))
+    n_blocks = -(-int(probe["n"]) * int(probe["d"] or 1) * 8 // block_bytes)
+    for b in range(n_blocks):
+        rows = vectors.filter(F.pmod("centroid_idx", F.lit(n_blocks)) == b).orderBy("centroid_idx").collect()
+        if not rows:
+            continue
+        block = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)))
+        out = out.withColumn("_best", _closer(block)(F.col(z), F.col("_best")))
+    return out.withColumn("centroid_idx", F.col("_best.idx")).withColumn("distance", F.sqrt(F.col("_best.d2"))).drop("_best")
 
 
 def distance_cutoff(assigned: DataFrame, pct: float | None) -> DataFrame:
     """C4: keep candidates with ``distance <=`` the ``pct``-th percentile (linear) of all distances."""
     if pct is None:
         return assigned
-    cut = assigned.agg(F.percentile("distance", float(pct) / 100.0).alias("c")).first()["c"]
-    return assigned.filter(F.col("distance") <= F.lit(cut))
+    cut = exact_quantiles(assigned, "distance", [float(pct) / 100.0], out="_cut")
+    return join_groups(assigned, cut, []).filter(F.col("distance") <= F.col("_cut")[0]).drop("_cut")
 
 
 def _hash_order(key: Sequence[str], seed: int) -> Column:
@@ -182,18 +208,20 @@ def sample_nearest(pool: DataFrame, n: int, key: Sequence[str], by: Sequence[str
 
 
 def distance_bins(pool: DataFrame, n_bins: int = MATCH_BINS, by: Sequence[str] = ()) -> DataFrame:
-    """Quantile bins of distance per centroid (duplicate edges merged; right-closed, lowest included).
-
-    Edges and pool size are window aggregates over the centroid partition (no join back).
-    """
+    """Quantile bins of distance per centroid (duplicate edges merged; right-closed, lowest included)."""
     qs = [i / n_bins for i in range(n_bins + 1)]
-    part = Window.partitionBy(*by, "centroid_idx")
-    binned = pool.withColumn("_edges", F.array_distinct(F.percentile("distance", qs).over(part))).withColumn(
-        "_pool", F.count(F.lit(1)).over(part))
+    key = [*by, "centroid_idx"]
+    edges = exact_quantiles(pool, "distance", qs, key, "_edges")
+    binned = join_groups(pool, edges, key).withColumn("_edges", F.array_distinct("_edges"))
     below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("distance")))
     return binned.withColumn("_bin", F.greatest(F.lit(0), below - 1)).drop("_edges")
 
 
+def _first(df: DataFrame, n: int, part: Sequence[str], order: Sequence) -> DataFrame:
+    """The first ``n`` rows of every group (planned with a group limit before the shuffle)."""
+    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).filter(F.col("_r") <= n)
+
+
 def sample_stratified(
     pool: DataFrame,
     n: int,
@@ -208,37 +236,36 @@ def sample_stratified(
     Pools smaller than ``2·n_bins`` fall back to C6.  ``closer_weighted``
     uses Efraimidis–Spirakis keys ``-ln(u)/w`` with ``w = 1/(d + 1e-9)`` and a
     hash-derived ``u``, so the draw is reproducible at any partitioning.
-    One pass: every step is a window over the same centroid partition.
+    Ranks run inside (centroid, bin) or under a group limit, never over a whole pool.
     """
     if bin_weights not in ("uniform", "closer_weighted"):
         raise ValueError("bin_weights must be 'uniform' or 'closer_weighted'")
-    key, by = list(key), list(by)
+    key, part = list(key), [*by, "centroid_idx"]
     cols = list(pool.columns)
+    pool = cut_lineage(pool)
     binned = distance_bins(pool, n_bins, by)
-    part = Window.partitionBy(*by, "centroid_idx")
-    n_actual = F.size(F.collect_set("_bin").over(part))
-    if bin_weights == "uniform":
-        order = [_hash_order(key, seed), *key]
-    else:
-        h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-        u = (F.pmod(h, F.lit(1 << 53)).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-        wgt = F.lit(1.0) / (F.col("distance") + F.lit(1e-9))
-        order = [(-F.log(u) / wgt), *key]
-    small = F.col("_pool") < 2 * n_bins
-    ranked = binned.select(
-        "*",
-        F.greatest(F.lit(1), F.floor(F.lit(n) / n_actual)).alias("_per_bin"),
-        F.row_number().over(Window.partitionBy(*by, "centroid_idx", "_bin").orderBy(*order)).alias("_r"),
-    ).withColumn("_chosen", ~small & (F.col("_r") <= F.col("_per_bin")))
-    got = F.count_if(F.col("_chosen")).over(part)
-    rest = Window.partitionBy(*by, "centroid_idx", "_chosen").orderBy("distance", *key)
-    marked = ranked.select("*", got.alias("_got"), F.row_number().over(rest).alias("_r2"))
-    keep = (
-        F.col("_chosen")
-        | (~small & ~F.col("_chosen") & (F.col("_r2") <= F.lit(n) - F.col("_got")))  # top-up, next closest unused
-        | (small & (F.col("_r2") <= F.lit(n)))                                      # small pool: C6
-    )
-    return marked.filter(keep).select(*cols)
+    info = binned.groupBy(*part, "_bin").agg(F.count(F.lit(1)).alias("_n")).groupBy(*part).agg(
+        F.sum("_n").alias("_pool"), F.count(F.lit(1)).alias("_bins"))
+    order = [_hash_order(key, seed), *key]
+    if bin_weights == "closer_weighted":
+        u = (F.conv(F.substring(_hash_order(key, seed), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+        order = [-F.log(u) * (F.col("distance") + F.lit(1e-9)), *key]
+    drawn = join_groups(_first(binned, max(n, 1), [*part, "_bin"], order), info, part)
+    chosen = drawn.filter((F.col("_pool") >= 2 * n_bins) & (F.col("_r") <= F.greatest(F.lit(1), F.floor(F.lit(n) / F.col("_bins")))))
+    chosen = cut_lineage(chosen.select(*cols))
+    # the next closest unused rows are among this many nearest ones, since at most max(n, n_bins) are chosen
+    near = join_groups(_first(pool, 2 * n + n_bins, part, ["distance", *key]), info, part)
+    small = near.filter((F.col("_pool") < 2 * n_bins) & (F.col("_r") <= n)).select(*cols)
+    rest = near.filter(F.col("_pool") >= 2 * n_bins).select(*cols)
+    return chosen.unionByName(_next_closest(chosen, rest, n, key, part)).unionByName(small)
+
+
+def _next_closest(chosen: DataFrame, pool: DataFrame, n: int, key: Sequence[str], part: Sequence[str]) -> DataFrame:
+    """The closest unused rows of ``pool`` that bring every centroid's number of chosen rows up to ``n``."""
+    got = chosen.groupBy(*part).agg(F.count(F.lit(1)).alias("_got"))
+    unused = pool.join(chosen.select(*part, *key), [*part, *key], "left_anti")
+    extra = join_groups(_first(unused, n, part, ["distance", *key]), got, part)
+    return extra.filter(F.col("_r") <= F.lit(n) - F.coalesce(F.col("_got"), F.lit(0))).select(*chosen.columns)
 
 
 def select_negatives(
@@ -265,10 +292,10 @@ def matching_report(centroids: DataFrame, pool: DataFrame, selected: DataFrame,
     cand = pool.groupBy("centroid_idx").agg(
         F.count(F.lit(1)).alias("n_candidates"),
         F.avg("distance").alias("mean_dist"),
-        F.median("distance").alias("median_dist"),
         F.min("distance").alias("min_dist"),
         F.max("distance").alias("max_dist"),
     )
+    cand = join_groups(cand, exact_median(pool, "distance", ["centroid_idx"], "median_dist"), ["centroid_idx"])
     sel = selected.groupBy("centroid_idx").agg(F.count(F.lit(1)).alias("n_selected"))
     out = centroids.select("centroid_idx").join(cand, "centroid_idx", "left").join(sel, "centroid_idx", "left")
     n_sel = F.coalesce(F.col("n_selected"), F.lit(0)).cast("long")
@@ -293,18 +320,4 @@ def training_set(positives: DataFrame, negatives: DataFrame) -> DataFrame:
 
 def top_up(chosen: DataFrame, pool: DataFrame, n: int, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """C9 standalone: add the next-closest unused candidates to centroids with fewer than ``n`` chosen."""
-    key, by = list(key), list(by)
-    got = chosen.groupBy(*by, "centroid_idx").agg(F.count(F.lit(1)).alias("_got"))
-    unused = pool.join(chosen.select(*by, *key, "centroid_idx"), [*by, *key, "centroid_idx"], "left_anti")
-    w = Window.partitionBy(*by, "centroid_idx").orderBy("distance", *key)
-    extra = (unused.join(got, [*by, "centroid_idx"], "left")
-             .withColumn("_r", F.row_number().over(w))
-             .filter(F.col("_r") <= F.lit(n) - F.coalesce(F.col("_got"), F.lit(0)))
-             .drop("_r", "_got"))
-    return chosen.unionByName(extra.select(*chosen.columns))
-
-
-# names of the survey inventory
-median_impute = impute            # C1
-robust_scale_fit = fit_scaler     # C2 fit
-robust_scale = apply_scaler       # C2 apply
+    return chosen.unionByName(_next_closest(chosen, pool, n, list(key), [*by, "centroid_idx"]))

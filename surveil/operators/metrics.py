@@ -1,19 +1,18 @@
 """V1–V9 — confusion counts, rates, rank metrics and the cost-optimal threshold.
 
 Input: a DataFrame with a 0/1 ``label`` column and a score column.  A NULL
-score predicts negative.  Every metric is an aggregate; nothing is collected
-except bounded summaries (threshold grids, block edges).
-
-* Threshold metrics (V1, V2, V5, V6, V7) use one pass: each row is bucketed by
-  the number of grid thresholds its score reaches, ``groupBy(bucket, label)``
-  leaves at most ``2·(k+1)`` rows, and suffix sums over that tiny table give
-  the confusion counts at every threshold.
-* Rank metrics (V3, V4) pre-aggregate by distinct score (a hot score becomes
-  one row), then take a distributed prefix sum: blocks of the score range from
-  approximate quantiles, per-block totals, block offsets, in-block running
-  sums.  No single-partition window over raw rows is ever planned.
-* Ratios are rounded half-up to 4 decimals with integer arithmetic, so the
-  values are exact and engine-independent.
+score predicts negative.  Every metric is an aggregate; nothing is collected.
+
+* Everything starts from one table of distinct scores with their class counts,
+  so a hot score is one row.
+* Threshold metrics (V1, V2, V5, V6, V7) bucket the distinct scores by the
+  number of grid thresholds they reach; suffix sums over the ``k + 1`` buckets
+  give the confusion counts at every threshold.
+* Rank metrics (V3, V4) take distributed running sums over the distinct scores.
+  A NULL score ranks below all others, as it predicts negative at every threshold.
+* Ratios are rounded half-up to 4 decimals in decimal arithmetic, so the
+  values are exact and engine-independent at any row count.
+* No operator runs a Spark job while its plan is built.
 """
 
 from __future__ import annotations
@@ -27,14 +26,11 @@ from pyspark.sql import functions as F
 from surveil.functions.constants import (
     DEFAULT_FN_COST,
     DEFAULT_FP_COST,
+    METRIC_COLS,
     OPTIMISER_THRESHOLDS,
     SUMMARY_THRESHOLDS,
 )
-
-METRIC_COLS = [
-    "threshold", "precision", "recall", "f1", "specificity", "tp", "fp", "tn", "fn",
-    "roc_auc", "pr_auc", "cost", "cost_per_case", "n_positive", "n_negative", "n_total",
-]
+from surveil.functions.quantiles import running_sums
 
 
 def linspace(start: float, stop: float, num: int) -> list[float]:
@@ -51,11 +47,12 @@ def optimiser_thresholds(n: int = OPTIMISER_THRESHOLDS) -> list[float]:
 
 
 def ratio4(num: Column, den: Column) -> Column:
-    """``round(num/den, 4)`` half-up in exact integer arithmetic; 0 on an empty denominator."""
-    n = num.cast("long")
-    d = den.cast("long")
-    q = (F.lit(20000) * n + d).cast("long") / (F.lit(2) * d)
-    return F.when(d > 0, F.floor(q).cast("double") / F.lit(10000.0)).otherwise(F.lit(0.0))
+    """``round(num/den, 4)`` half-up in exact decimal arithmetic; 0 on an empty denominator."""
+    n = num.cast("decimal(33,0)")
+    d = den.cast("decimal(33,0)")
+    top, bottom = F.lit(20000).cast("decimal(5,0)") * n + d, F.lit(2).cast("decimal(1,0)") * d
+    q = (top - top % bottom) / bottom  # divides evenly
+    return F.when(d > 0, F.round(q, 0).cast("double") / F.lit(10000.0)).otherwise(F.lit(0.0))
 
 
 def _cost(fp: Column, fn: Column, fp_cost: float, fn_cost: float) -> Column:
@@ -113,47 +110,20 @@ def with_rates(counts: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost: flo
 # ---------------------------------------------------------------------------
 
 
-def score_table(df: DataFrame, label: str = "label", score: str = "score", blocks: int = 64) -> DataFrame:
-    """Distinct scores with positive/negative counts and exclusive running sums (ascending).
+def distinct_scores(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row per distinct score (NULL included): ``_s, pos, neg``."""
+    return _prep(df, label, score).groupBy("_s").agg(
+        F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.coalesce(F.col("_y"), F.lit(0)) != 1).alias("neg"))
+
 
-    Columns: ``s, pos, neg, pos_below, neg_below``.  The prefix sum runs per
-    block of the score range (block edges from ``percentile_approx`` over the
-    distinct scores) plus a broadcast of the ≤ ``blocks`` block offsets.
+def score_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Distinct scores with class counts, exclusive running sums (ascending, NULL first) and totals.
+
+    Columns: ``s, pos, neg, pos_below, neg_below, P, N``.
     """
-    p = _prep(df, label, score).filter(F.col("_s").isNotNull())
-    # the distinct-score table feeds two jobs (block edges, prefix sums): materialise it once
-    by_score = p.groupBy("_s").agg(
-        F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")
-    )
-    qs = [i / blocks for i in range(1, blocks)]
-    edges_row = by_score.agg(F.percentile_approx("_s", qs, 10000).alias("e")).collect()[0]["e"]
-    edges = sorted(set(edges_row or []))
-    block = F.lit(0)
-    for e in edges:
-        block = block + F.when(F.col("_s") > F.lit(float(e)), 1).otherwise(0)
-    blocked = by_score.withColumn("_b", block)
-    totals = blocked.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    # <= `blocks` rows: block offsets and grand totals ride along the block key
-    ordered = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bp").over(ordered), F.lit(0)).alias("_op"),
-        F.coalesce(F.sum("_bn").over(ordered), F.lit(0)).alias("_on"),
-        F.sum("_bp").over(everything).alias("P"),
-        F.sum("_bn").over(everything).alias("N"),
-    )
-    inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    joined = blocked.join(F.broadcast(offsets), "_b")
-    return joined.select(
-        F.col("_s").alias("s"),
-        "pos",
-        "neg",
-        (F.col("_op") + F.coalesce(F.sum("pos").over(inner), F.lit(0))).alias("pos_below"),
-        (F.col("_on") + F.coalesce(F.sum("neg").over(inner), F.lit(0))).alias("neg_below"),
-        "P",
-        "N",
-    )
+    t = running_sums(distinct_scores(df, label, score), "_s", ["pos", "neg"])
+    return t.select(F.col("_s").alias("s"), "pos", "neg", "pos_below", "neg_below",
+                    F.col("pos_total").alias("P"), F.col("neg_total").alias("N"))
 
 
 def rank_metrics(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -168,12 +138,12 @@ def rank_metrics(df: DataFrame, label: str = "label", score: str = "score") -> D
     agg = t.agg(
         F.max("P").alias("P"),
         F.max("N").alias("N"),
-        F.sum(F.col("pos") * (F.lit(2) * F.col("neg_below") + F.col("neg"))).alias("_u2"),
+        F.sum(F.col("pos").cast("decimal(18,0)") * (F.lit(2) * F.col("neg_below") + F.col("neg")).cast("decimal(19,0)")).alias("_u2"),
         F.sum(F.when(F.col("pos") > 0, F.col("pos") * (tp_at / (tp_at + fp_at)))).alias("_ap"),
     )
     both = (F.col("P") > 0) & (F.col("N") > 0)
     return agg.select(
-        F.when(both, ratio4(F.col("_u2"), F.lit(2) * F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when(both, ratio4(F.col("_u2"), F.lit(2) * F.col("P").cast("decimal(16,0)") * F.col("N").cast("decimal(16,0)"))).alias("roc_auc"),
         F.when(both, F.round(F.col("_ap") / F.col("P"), 4)).alias("pr_auc"),
     )
 
@@ -213,13 +183,11 @@ def threshold_sweep(
     fn_cost: float = DEFAULT_FN_COST,
     with_rank_metrics: bool = True,
 ) -> DataFrame:
-    """V6: all metrics at every threshold in one pass over the scores."""
+    """V6: all metrics at every threshold, from the table of distinct scores."""
     ths = sorted(float(t) for t in (thresholds if thresholds is not None else summary_thresholds()))
     spark = df.sparkSession
-    p = _prep(df, label, score)
-    counts = p.groupBy(_bucket(F.col("_s"), ths).alias("_j")).agg(
-        F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") != 1).alias("_neg")
-    )
+    counts = distinct_scores(df, label, score).groupBy(_bucket(F.col("_s"), ths).alias("_j")).agg(
+        F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # k+1 bucket rows: bucket j holds scores in [t_j, t_{j+1}); a suffix sum from j
     # gives the rows predicted positive at threshold j
     grid = spark.createDataFrame([(i, ths[i - 1] if i else None) for i in range(len(ths) + 1)], "_j int, _t double")
@@ -237,12 +205,10 @@ def threshold_sweep(
         (F.col("_N") - F.col("fp")).cast("long").alias("tn"), (F.col("_P") - F.col("tp")).cast("long").alias("fn"),
     )
     out = with_rates(base, fp_cost, fn_cost)
-    auc, ap = None, None
     if with_rank_metrics:
-        # two scalars from one bounded aggregate, attached as literals
-        row = rank_metrics(df, label, score).first()
-        auc, ap = row["roc_auc"], row["pr_auc"]
-    out = out.withColumn("roc_auc", F.lit(auc).cast("double")).withColumn("pr_auc", F.lit(ap).cast("double"))
+        out = out.crossJoin(F.broadcast(rank_metrics(df, label, score)))  # one row
+    else:
+        out = out.withColumn("roc_auc", F.lit(None).cast("double")).withColumn("pr_auc", F.lit(None).cast("double"))
     return out.select(*METRIC_COLS, "raw_threshold")
 
 
@@ -268,14 +234,18 @@ def holdout_report(
     fp_cost: float = DEFAULT_FP_COST,
     fn_cost: float = DEFAULT_FN_COST,
 ) -> DataFrame:
-    """V8: metrics at a fixed threshold (or the V7 optimum when ``threshold`` is None)."""
-    if threshold is None:
-        return optimise_threshold(df, label=label, score=score, fp_cost=fp_cost, fn_cost=fn_cost).withColumn(
-            "mode", F.lit("optimised")
-        )
-    return threshold_sweep(df, [threshold], label, score, fp_cost, fn_cost).drop("raw_threshold").withColumn(
-        "mode", F.lit("fixed")
-    )
+    """V8: the whole holdout report, one row per ``mode`` and threshold.
+
+    ``fixed``: the metrics at the chosen (stored) threshold, if one is given;
+    ``optimised``: the cost optimum on this data; ``summary``: the summary grid.
+    """
+    grid = threshold_sweep(df, None, label, score, fp_cost, fn_cost).drop("raw_threshold").withColumn("mode", F.lit("summary"))
+    best = optimise_threshold(df, OPTIMISER_THRESHOLDS, label, score, fp_cost, fn_cost).withColumn("mode", F.lit("optimised"))
+    out = grid.unionByName(best)
+    if threshold is not None:
+        fixed = threshold_sweep(df, [threshold], label, score, fp_cost, fn_cost).drop("raw_threshold")
+        out = out.unionByName(fixed.withColumn("mode", F.lit("fixed")))
+    return out
 
 
 def cost_curve(sweep: DataFrame) -> DataFrame:
@@ -286,8 +256,3 @@ def cost_curve(sweep: DataFrame) -> DataFrame:
 def pr_curve(sweep: DataFrame) -> DataFrame:
     """V9: threshold vs precision / recall / f1."""
     return sweep.select("threshold", "precision", "recall", "f1")
-
-
-# names of the survey inventory
-rates = with_rates   # V2 (+ V5 cost columns)
-cost = with_rates    # V5

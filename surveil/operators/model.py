@@ -1,25 +1,35 @@
 """M4–M12 — class weights, decision tree, leave-one-D-date-out CV, final model, scoring.
 
-Cross-validation is one keyed dataset, not a loop of filters: every feature
-row is exploded over the (bounded) list of folds with a ``train``/``test``
-role, and scaling statistics, centroids, negative selection and isolation
-forests are all computed grouped by ``fold`` in single jobs.  Only the MLlib
-decision tree — which fits one model per call — is fitted per fold, from
-a checkpointed, fold-partitioned table, on a small driver thread pool.
+Every fold leaves out one D-date; the final model is the fold that leaves out
+nothing, trained by the same code.
+
+* Matching keeps one row per candidate: the positives and the folds' scaler
+  statistics are broadcast in bounded blocks, a task measures its candidates
+  against every fold and emits only ``(fold, centroid, key, distance)``.
+* Vectors are fetched for the selected keys alone (at most cases × ratio a fold).
+* Statistics, forests and scores are grouped by ``fold`` in single jobs; the
+  training rows are written once, partitioned by fold, so the MLlib tree of a
+  fold reads only its own rows.
+* A test row belongs to one fold, that of its own D-date; it meets that fold's
+  forest and tree in a cogroup, split by a salt.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveil.functions.constants import (
     DEFAULT_FN_COST,
@@ -34,11 +44,16 @@ from surveil.functions.constants import (
 )
 from surveil.operators import forest as fr
 from surveil.operators import matching as mt
-from surveil.session import cut_lineage
+from surveil.session import cut_lineage, scratch_path, ship_package
 
 KEY = ["ticker", "d_date"]
 FOLD = "fold"
-STATS_BROADCAST_MAX_GROUPS = 5_000  # × ≤ a few hundred features per group
+#: The fold that leaves out nothing: the final model.
+ALL = dt.date(1000, 1, 1)
+#: Folds whose scaler statistics travel in one broadcast.
+FOLDS_PER_BLOCK = 512
+#: ``tree_id`` of the decision tree in a table of node tables.
+DECISION_TREE = -1
 
 
 # ---------------------------------------------------------------------------
@@ -47,41 +62,39 @@ STATS_BROADCAST_MAX_GROUPS = 5_000  # × ≤ a few hundred features per group
 
 
 def class_weights(df: DataFrame, label: str = "label", by: Sequence[str] = (), out: str = "weight") -> DataFrame:
-    """M4: ``n / (2 · n_class)`` per row (per group when ``by`` is given)."""
+    """M4: ``n / (2 · n_class)`` per row (per group when ``by`` is given).
+
+    The class counts (a row per class and group) are joined back; no window over the rows.
+    """
     by = list(by)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    n_c = F.count(F.lit(1)).over(Window.partitionBy(*by, label))
-    return df.withColumn(out, n / (F.lit(2.0) * n_c))
+    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_nc"))
+    totals = counts.groupBy(*by).agg(F.sum("_nc").alias("_n"))
+    weights = mt.join_groups(counts, totals, by).select(*by, label, (F.col("_n") / (F.lit(2.0) * F.col("_nc"))).alias(out))
+    return mt.join_groups(df, weights, [*by, label])
 
 
 # ---------------------------------------------------------------------------
-# keyed statistics (C0–C2 per group) applied with a broadcast join on the group
+# keyed statistics (C0–C2 per group) applied with a join on the group
 # ---------------------------------------------------------------------------
 
 
 def keyed_stats(df: DataFrame, by: Sequence[str], vec: str = "x") -> DataFrame:
     """One row per group: ``stats`` = sorted array of ``(i, median, center, scale)`` over non-all-NULL features."""
+    return _packed_stats(df.select(*by, F.posexplode(F.col(vec)).alias("i", "v")), by)
+
+
+def _packed_stats(long: DataFrame, by: Sequence[str]) -> DataFrame:
     by = list(by)
-    long = df.select(*by, F.posexplode(F.col(vec)).alias("i", "v"))
-    med = long.groupBy(*by, "i").agg(F.count("v").alias("n"), F.percentile("v", 0.5).alias("median"))
-    med = med.filter(F.col("n") > 0)
-    filled = long.join(med, [*by, "i"]).select(*by, "i", F.coalesce("v", "median").alias("v"), "median")
-    q = filled.groupBy(*by, "i", "median").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q"))
-    iqr = F.col("q")[2] - F.col("q")[0]
-    rows = q.select(*by, F.struct(F.col("i"), F.col("median"), F.col("q")[1].alias("center"),
-                                  F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale")).alias("s"))
-    return rows.groupBy(*by).agg(F.array_sort(F.collect_list("s")).alias("stats"))
+    st = mt.usable_features(mt.long_stats(long, by))
+    iqr = F.col("q75") - F.col("q25")
+    entry = F.struct("i", "median", "center", F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
+    return st.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("stats"))
 
 
 def keyed_scale(df: DataFrame, stats: DataFrame, by: Sequence[str], vec: str = "x", out: str = "z",
                 scale: bool = True) -> DataFrame:
-    """Impute (and robust-scale) ``vec`` with the statistics of the row's group.
-
-    The statistics table (groups × features) is broadcast only under a checked bound.
-    """
-    n_groups = stats.limit(STATS_BROADCAST_MAX_GROUPS + 1).count()
-    side = F.broadcast(stats) if n_groups <= STATS_BROADCAST_MAX_GROUPS else stats
-    j = df.join(side, list(by))
+    """Impute (and robust-scale) ``vec`` with the statistics of the row's group (a row per group)."""
+    j = df.join(stats, list(by))
     if scale:
         z = F.transform(F.col("stats"), lambda s: (F.coalesce(F.col(vec)[s["i"]], s["median"]) - s["center"]) / s["scale"])
     else:
@@ -89,22 +102,6 @@ def keyed_scale(df: DataFrame, stats: DataFrame, by: Sequence[str], vec: str = "
     return j.withColumn(out, z).drop("stats")
 
 
-def keyed_nearest(cands: DataFrame, cents: DataFrame, by: Sequence[str], z: str = "z") -> DataFrame:
-    """C3 per group: centroids of the row's group only (collected per group: bounded by cases per fold)."""
-    by = list(by)
-    w = Window.partitionBy(*by).orderBy(*KEY)
-    packed = (
-        cents.withColumn("centroid_idx", (F.row_number().over(w) - 1).cast("int"))
-        .groupBy(*by).agg(F.collect_list(F.struct(F.col("centroid_idx").alias("idx"), F.col(z).alias("v"))).alias("_cents"))
-    )
-    sq = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda acc, y: acc + y)
-    best = F.array_min(F.transform(F.col("_cents"), lambda c: F.struct(sq(F.col(z), c["v"]).alias("d2"), c["idx"].alias("idx"))))
-    n_vals = cents.select(F.size(z).alias("_d")).agg(F.sum("_d")).first()[0] or 0
-    side = F.broadcast(packed) if n_vals <= mt.BROADCAST_MAX_VALUES else packed
-    return (cands.join(side, by).withColumn("_b", best).drop("_cents")
-            .withColumn("centroid_idx", F.col("_b.idx")).withColumn("distance", F.sqrt(F.col("_b.d2"))).drop("_b"))
-
-
 # ---------------------------------------------------------------------------
 # M9 — folds
 # ---------------------------------------------------------------------------
@@ -116,7 +113,10 @@ def fold_dates(positives: DataFrame, group: str = "d_date") -> list:
 
 
 def leave_one_group_out(df: DataFrame, folds: Sequence, group: str = "d_date") -> DataFrame:
-    """M9: every row once per fold with ``role`` = ``test`` when its group is the held-out one."""
+    """M9: every row once per fold with ``role`` = ``test`` when its group is the held-out one.
+
+    Meant for keys; feature vectors are fetched for the rows that a fold needs.
+    """
     arr = F.array(*[F.lit(f) for f in folds])
     return df.withColumn(FOLD, F.explode(arr)).withColumn(
         "role", F.when(F.col(group) == F.col(FOLD), F.lit("test")).otherwise(F.lit("train"))
@@ -136,11 +136,15 @@ def _tree(max_depth: int, min_leaf: int, criterion: str, seed: int, max_bins: in
 
 
 def fit_tree(train: DataFrame, vec: str = "v", max_depth: int = TREE_MAX_DEPTH, min_leaf: int = TREE_MIN_LEAF,
-             criterion: str = "gini", seed: int = RANDOM_STATE, max_bins: int = 256) -> DecisionTreeClassificationModel:
-    """M5: balanced-weight MLlib decision tree on an ``array<double>`` feature column (no NULLs)."""
+             criterion: str = "gini", seed: int = RANDOM_STATE, n_rows: int | None = None) -> DecisionTreeClassificationModel:
+    """M5: balanced-weight MLlib decision tree on an ``array<double>`` feature column (no NULLs).
+
+    There are as many bins as training rows, so every distinct value is a possible split.
+    """
     data = class_weights(train).select(array_to_vector(F.col(vec)).alias("features"),
                                        F.col("label").cast("double").alias("label"), "weight")
-    return _tree(max_depth, min_leaf, criterion, seed, max_bins).fit(data)
+    n_rows = train.count() if n_rows is None else n_rows
+    return _tree(max_depth, min_leaf, criterion, seed, max(32, n_rows + 1)).fit(data)
 
 
 def predict_proba(model: DecisionTreeClassificationModel, df: DataFrame, vec: str = "v", out: str = "pred_proba") -> DataFrame:
@@ -152,32 +156,60 @@ def predict_proba(model: DecisionTreeClassificationModel, df: DataFrame, vec: st
 
 def feature_importances(spark: SparkSession, model: DecisionTreeClassificationModel, names: Sequence[str],
                         top: int | None = None) -> DataFrame:
-    """M7: importances sorted descending (``top`` keeps the first n — a top-k report)."""
+    """M7: importances sorted descending (``top`` keeps the first n — a top-k report).
+
+    ``names`` are those of the vector the tree was fitted to, see ``FinalModel.tree_features``.
+    """
     imp = model.featureImportances.toArray().tolist()
+    if len(imp) != len(names):
+        raise ValueError(f"the tree has {len(imp)} features, {len(names)} names were given")
     df = spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)], "feature string, importance double")
     df = df.orderBy(F.desc("importance"), "feature")
     return df.limit(top) if top else df
 
 
-def tree_rules(spark: SparkSession, model: DecisionTreeClassificationModel, names: Sequence[str]) -> DataFrame:
-    """M8: one row per leaf — the SQL predicate that reaches it, its weight share and P(1)."""
-    rows = []
+def _tree_nodes(model: DecisionTreeClassificationModel) -> list[tuple[int, int, float, int, int, float, float]]:
+    """``(node, feature, threshold, left, right, weight, p_positive)`` in pre-order; feature -1 is a leaf."""
+    rows: list = []
 
-    def walk(node, conds):
-        cls = node.getClass().getSimpleName()
-        if cls == "InternalNode":
+    def walk(node) -> int:
+        here = len(rows)
+        rows.append(None)
+        stats = list(node.impurityStats().stats())
+        total = sum(stats)
+        share = float(stats[1] / total) if total and len(stats) > 1 else 0.0
+        if node.getClass().getSimpleName() == "InternalNode":
             split = node.split()
-            f = names[split.featureIndex()]
-            thr = float(split.threshold())
-            walk(node.leftChild(), conds + [f"`{f}` <= {thr!r}"])
-            walk(node.rightChild(), conds + [f"`{f}` > {thr!r}"])
+            left, right = walk(node.leftChild()), walk(node.rightChild())
+            rows[here] = (here, int(split.featureIndex()), float(split.threshold()), left, right, float(total), share)
+        else:
+            rows[here] = (here, -1, 0.0, -1, -1, float(total), share)
+        return here
+
+    walk(model._java_obj.rootNode())
+    return rows
+
+
+def tree_rules(spark: SparkSession, model: DecisionTreeClassificationModel, names: Sequence[str],
+               fill: Sequence[float] | None = None) -> DataFrame:
+    """M8: one row per leaf — the SQL predicate that reaches it, its weight and P(1).
+
+    The tree was trained on filled values: with ``fill`` (the medians) a rule can
+    be run on raw columns, where a NULL goes the way its median goes.
+    """
+    nodes = _tree_nodes(model)
+    column = lambda f: f"`{names[f]}`" if fill is None else f"coalesce(`{names[f]}`, {float(fill[f])!r}D)"
+    rows = []
+
+    def walk(at: int, conds: list[str]) -> None:
+        _, f, threshold, left, right, weight, p = nodes[at]
+        if f < 0:
+            rows.append((" AND ".join(conds) or "TRUE", weight, p, float(p > 0.5)))
         else:
-            probs = list(node.impurityStats().stats())
-            tot = sum(probs) or 1.0
-            rows.append((" AND ".join(conds) or "TRUE", float(tot), float(probs[1] / tot) if len(probs) > 1 else 0.0,
-                         float(node.prediction())))
+            walk(left, [*conds, f"{column(f)} <= {threshold!r}D"])
+            walk(right, [*conds, f"{column(f)} > {threshold!r}D"])
 
-    walk(model._java_obj.rootNode(), [])
+    walk(0, [])
     return spark.createDataFrame(rows, "rule string, weight double, p_positive double, prediction double")
 
 
@@ -207,125 +239,213 @@ def _select(pool: DataFrame, cfg: CVConfig) -> DataFrame:
     if cfg.method == "distance_ranked":
         return mt.sample_nearest(pool, cfg.ratio, KEY, by=[FOLD])
     if cfg.method == "stratified":
-        # stratification is per (fold, centroid): fold the key into the centroid id
-        keyed = pool.withColumn("_c", F.col("centroid_idx")).withColumn(
-            "centroid_idx", F.concat_ws("|", F.col(FOLD).cast("string"), F.col("_c").cast("string")))
-        sel = mt.sample_stratified(keyed, cfg.ratio, KEY, cfg.n_bins, cfg.seed)
-        return sel.withColumn("centroid_idx", F.col("_c")).drop("_c")
+        return mt.sample_stratified(pool, cfg.ratio, KEY, cfg.n_bins, cfg.seed, by=[FOLD])
     raise ValueError(f"unknown method {cfg.method!r}")
 
 
-def keyed_training_tables(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], folds: Sequence,
-                          cfg: CVConfig) -> tuple[DataFrame, DataFrame]:
-    """C0–C6 + M1–M3 for every fold in shared jobs.
+@dataclass
+class Matched:
+    """Vectors of both classes and the distance pool of every fold (all staged tables)."""
 
-    Returns ``(train, test)`` keyed by ``fold`` with columns
-    ``fold, ticker, d_date, label, x (raw features), if_anomaly_score``.
-    """
+    positives: DataFrame  # ticker, d_date, label, x
+    candidates: DataFrame
+    folds: list
+    pool: DataFrame       # fold, ticker, d_date, centroid_idx, distance
+
+
+def match_folds(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], folds: Sequence | None = None) -> Matched:
+    """C0–C3 for every fold.  The pool does not depend on the selection method or its ratio."""
     cols = list(feature_cols)
-    tpv = mt.as_vector(tp.select(*KEY, F.lit(1).alias("label"), *cols), cols).select(*KEY, "label", "x")
-    tnv = mt.as_vector(tn.select(*KEY, F.lit(0).alias("label"), *cols), cols).select(*KEY, "label", "x")
-    tp_f = leave_one_group_out(tpv, folds)
-    tn_f = leave_one_group_out(tnv, folds)
-    tp_train = tp_f.filter(F.col("role") == "train")
-    tn_train = tn_f.filter(F.col("role") == "train")
-    # C0–C2 on training positives, per fold
-    st = keyed_stats(tp_train, [FOLD])
-    cents = keyed_scale(tp_train, st, [FOLD])
-    cands = keyed_scale(tn_train, st, [FOLD])
-    pool = keyed_nearest(cands, cents, [FOLD])
-    # checkpoints: the selection, the scorer statistics and the forest are each computed once
-    selected = cut_lineage(_select(pool, cfg).select(FOLD, *KEY, "label", "x"))
-    # M1–M3: scorer fitted on selected (or all) training negatives, per fold
-    base = selected if cfg.baseline == "selected" else tn_train.select(FOLD, *KEY, "label", "x")
-    st2 = cut_lineage(keyed_stats(base, [FOLD]))
-    base_z = keyed_scale(base, st2, [FOLD])
-    nodes = cut_lineage(fr.fit_forest(base_z, KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
-    forests = fr.broadcast_forests(nodes, [FOLD])
-    train = tp_train.select(FOLD, *KEY, "label", "x").unionByName(selected)
-    test = tp_f.filter(F.col("role") == "test").unionByName(tn_f.filter(F.col("role") == "test")).select(FOLD, *KEY, "label", "x")
-    folds_with_train = selected.select(FOLD).distinct()
-    test = test.join(folds_with_train, FOLD, "left_semi")
-    train_s = fr.score_forest(keyed_scale(train, st2, [FOLD]), forests, "z", by=[FOLD]).drop("z")
-    test_s = fr.score_forest(keyed_scale(test, st2, [FOLD]), forests, "z", by=[FOLD]).drop("z")
-    return train_s, test_s
-
-
-def _tree_inputs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Median-impute raw features + score with the training medians of each fold (all-NULL features dropped)."""
-    tr = train.withColumn("x", F.concat(F.col("x"), F.array(F.col(fr.SCORE_COL))))
-    te = test.withColumn("x", F.concat(F.col("x"), F.array(F.col(fr.SCORE_COL))))
-    st = keyed_stats(tr, [FOLD])
-    return keyed_scale(tr, st, [FOLD], "x", "v", scale=False), keyed_scale(te, st, [FOLD], "x", "v", scale=False)
-
-
-def cross_validate(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
-    """Out-of-fold predictions ``fold, ticker, d_date, true_label, pred_proba``."""
-    cfg = cfg or CVConfig()
-    folds = fold_dates(tp)
-    train, test = keyed_training_tables(tp, tn, feature_cols, folds, cfg)
-    train = cut_lineage(train)
-    tr, te = _tree_inputs(train, test)
-    tr = cut_lineage(tr.repartition(FOLD))
-    te = cut_lineage(te.repartition(FOLD))
-    present = [r[0] for r in tr.select(FOLD).distinct().collect()]
+    ship_package(tp.sparkSession)
+    vectors = lambda df, label: cut_lineage(mt.as_vector(df, cols).select(*KEY, F.lit(label).alias("label"), "x"))
+    tpv, tnv = vectors(tp, 1), vectors(tn, 0)
+    folds = fold_dates(tpv) if folds is None else list(folds)
+    # statistics of each fold's positives, from narrow rows
+    held = F.array(*[F.lit(f) for f in folds]).cast("array<date>")
+    trained = F.filter(held, lambda f: ~f.eqNullSafe(F.col("d_date")))
+    long = tpv.select("d_date", F.posexplode("x").alias("i", "v")).select(F.explode(trained).alias(FOLD), "i", "v")
+    stats = cut_lineage(_packed_stats(long, [FOLD]))
+    ranked = mt.index_centroids(tpv, KEY)
+    schema = "fold date, ticker string, d_date date, d2 double, centroid_idx int"
+    pool = tp.sparkSession.createDataFrame([], schema)
+    shape = ranked.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    n_blocks = -(-int(shape[0]) * int(shape[1] or 1) * 8 // mt.BLOCK_BYTES)
+    for i in range(0, len(folds), FOLDS_PER_BLOCK):
+        some = stats.filter(F.col(FOLD).isin(folds[i:i + FOLDS_PER_BLOCK])).collect()
+        scalers = [(r[FOLD], *(np.array([s[c] for s in r["stats"]]) for c in ("i", "median", "center", "scale"))) for r in some]
+        for b in range(n_blocks):
+            rows = ranked.filter(F.pmod("centroid_idx", F.lit(n_blocks)) == b).orderBy("centroid_idx").collect()
+            matrix = np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float)
+            block = tp.sparkSession.sparkContext.broadcast((scalers, [r["d_date"] for r in rows], [r["centroid_idx"] for r in rows], matrix))
+            pool = pool.unionByName(tnv.mapInPandas(_fold_distances(block), schema))
+    if n_blocks > 1:
+        pool = pool.groupBy(FOLD, *KEY).agg(F.min(F.struct("d2", "centroid_idx")).alias("_b")).select(FOLD, *KEY, "_b.*")
+    pool = cut_lineage(pool.select(FOLD, *KEY, "centroid_idx", F.sqrt("d2").alias("distance")))
+    return Matched(tpv, tnv, folds, pool)
+
+
+def _fold_distances(block):
+    """Distances of a batch of candidates to the closest positive of every fold that does not hold them out."""
+    def measured(batches):
+        scalers, dates, names, matrix = block.value
+        dates, names = np.array(dates, dtype=object), np.array(names)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack([np.asarray(v, dtype=float) for v in pdf["x"]])
+            own = pdf["d_date"].to_numpy()
+            for fold, i, median, center, scale in scalers:
+                rows, cents = np.flatnonzero(own != fold), np.flatnonzero(dates != fold)
+                if not len(rows) or not len(cents):
+                    continue
+                scaled = lambda m: (np.where(np.isnan(m[:, i]), median, m[:, i]) - center) / scale  # noqa: B023, E731
+                d2, at = mt.nearest(scaled(x[rows]), scaled(matrix[cents]))
+                yield pd.DataFrame({FOLD: fold, "ticker": pdf["ticker"].to_numpy()[rows], "d_date": own[rows], "d2": d2,
+                                    "centroid_idx": names[cents][at]})
+
+    return measured
+
+
+@dataclass
+class FoldModels:
+    """Fitted tables, one entry per fold: scaler of the anomaly score, medians of the tree, nodes, trees."""
+
+    scorer: DataFrame
+    fill: DataFrame
+    nodes: DataFrame
+    trees: dict
+
+
+def fit_folds(matched: Matched, cfg: CVConfig) -> FoldModels:
+    """C4–C12, M1–M5 for every fold: select, fit the scorer, score the training rows, fit the trees."""
+    spark = matched.positives.sparkSession
+    keys = _select(matched.pool, cfg).select(FOLD, *KEY)
+    selected = cut_lineage(keys.join(matched.candidates, KEY).select(FOLD, *KEY, "label", "x"))
+    present = sorted(r[0] for r in selected.select(FOLD).distinct().collect())
+    if not present:
+        return FoldModels(selected, selected, selected, {})
+    usable = F.array(*[F.lit(f) for f in present]).cast("array<date>")
+    outside = lambda df: df.select(
+        F.explode(F.filter(usable, lambda f: ~f.eqNullSafe(F.col("d_date")))).alias(FOLD), *KEY, "label", "x")
+    base = selected if cfg.baseline == "selected" else outside(matched.candidates)
+    scorer = cut_lineage(keyed_stats(base, [FOLD]))
+    nodes = cut_lineage(fr.fit_forest(keyed_scale(base, scorer, [FOLD]), KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
+    train = cut_lineage(outside(matched.positives).unionByName(selected))
+    fill = cut_lineage(keyed_stats(train, [FOLD]))
+    ready = cut_lineage(keyed_scale(keyed_scale(train, scorer, [FOLD]), fill, [FOLD], "x", "v", scale=False).drop("x"))
+    scored = fr.score_forests(ready, nodes, [FOLD], KEY)
+    scored = scored.withColumn("v", F.concat("v", F.array(fr.SCORE_COL)))
+    path = scratch_path(spark, "training")
+    scored.select(FOLD, *KEY, "label", "v").repartition(FOLD).write.partitionBy(FOLD).parquet(path)
+    table = spark.read.parquet(path)
+    sizes = {r[0]: r[1] for r in table.groupBy(FOLD).count().collect()}
 
     def one(fold):
-        m = fit_tree(tr.filter(F.col(FOLD) == F.lit(fold)), "v", cfg.max_depth, cfg.min_leaf, cfg.criterion, cfg.seed)
-        return predict_proba(m, te.filter(F.col(FOLD) == F.lit(fold)), "v")
+        rows = table.filter(F.col(FOLD) == F.lit(fold))
+        return fold, fit_tree(rows, "v", cfg.max_depth, cfg.min_leaf, cfg.criterion, cfg.seed, n_rows=sizes[fold])
+
+    with ThreadPoolExecutor(max_workers=max(1, cfg.threads)) as workers:
+        trees = dict(workers.map(one, sorted(sizes)))
+    return FoldModels(scorer, fill, nodes, trees)
+
+
+_OOF = "fold date, ticker string, d_date date, true_label int, pred_proba double"
 
-    with ThreadPoolExecutor(max_workers=max(1, cfg.threads)) as pool:
-        parts = list(pool.map(one, present))
-    if not parts:
-        return te.sparkSession.createDataFrame([], "fold date, ticker string, d_date date, true_label int, pred_proba double")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(FOLD, *KEY, F.col("label").cast("int").alias("true_label"), "pred_proba")
+
+def predict_folds(models: FoldModels, rows: DataFrame) -> DataFrame:
+    """Out-of-fold predictions of ``rows`` (``fold, ticker, d_date, label, x``) by the models of their folds."""
+    spark = rows.sparkSession
+    trees = [(fold, DECISION_TREE, n, f, t, left, right, 0, 0, p)
+             for fold, model in models.trees.items() for n, f, t, left, right, _, p in _tree_nodes(model)]
+    nodes = models.nodes.withColumn("p", F.lit(0.0)).select(FOLD, *[f.name for f in fr.NODE_SCHEMA.fields], "p")
+    nodes = nodes.unionByName(spark.createDataFrame(trees, nodes.schema))
+    ready = keyed_scale(keyed_scale(rows, models.scorer, [FOLD]), models.fill, [FOLD], "x", "v", scale=False)
+    ready = cut_lineage(ready.select(FOLD, *KEY, F.col("label").cast("int").alias("true_label"), "z", "v"))
+
+    def predicted(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        own = right["tree_id"] == DECISION_TREE
+        score = fr.Forest.from_nodes(right[~own]).score(np.stack(left["z"].to_numpy()))
+        v = np.column_stack([np.stack(left["v"].to_numpy()), score])
+        tree = right[own].sort_values("node")
+        feature, threshold, low, high, p = (tree[c].to_numpy() for c in ("feature", "threshold", "left", "right", "p"))
+        at = np.zeros(len(v), dtype=np.int64)
+        while (feature[at] >= 0).any():
+            inner = np.flatnonzero(feature[at] >= 0)
+            goes_low = v[inner, feature[at[inner]]] <= threshold[at[inner]]
+            at[inner] = np.where(goes_low, low[at[inner]], high[at[inner]])
+        return left.assign(pred_proba=p[at])
+
+    schema = T.StructType([*[f for f in ready.schema.fields if f.name not in ("z", "v")], T.StructField("pred_proba", T.DoubleType())])
+    return fr.with_group_models(ready, nodes, [FOLD], KEY, predicted, schema)
+
+
+def cross_validate(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None,
+                   matched: Matched | None = None) -> DataFrame:
+    """Out-of-fold predictions ``fold, ticker, d_date, true_label, pred_proba``.
+
+    A fold without training positives or candidates has no model and no predictions.
+    """
+    cfg = cfg or CVConfig()
+    matched = matched or match_folds(tp, tn, feature_cols)
+    models = fit_folds(matched, cfg)
+    if not models.trees:
+        return tp.sparkSession.createDataFrame([], _OOF)
+    both = matched.positives.unionByName(matched.candidates)
+    test = both.filter(F.col("d_date").isin(list(models.trees))).withColumn(FOLD, F.col("d_date"))
+    return predict_folds(models, test).select(FOLD, *KEY, "true_label", "pred_proba")
 
 
 @dataclass
 class FinalModel:
-    """M11 artifacts: scaler stats, forest nodes, imputation stats, tree, threshold, feature names."""
+    """M11 artifacts: scaler of the anomaly score, forest nodes, medians of the tree, the tree, threshold, names."""
 
     feature_cols: list[str]
-    scorer_stats: DataFrame
+    scorer: mt.ScalerStats
     forest_nodes: DataFrame
-    tree_stats: DataFrame
+    fill: mt.ScalerStats
     tree: DecisionTreeClassificationModel
     threshold: float | None = None
-    extra: dict = field(default_factory=dict)
+
+    @property
+    def tree_features(self) -> list[str]:
+        """Names of the tree's vector: the features that had values in training, then the anomaly score."""
+        return [self.feature_cols[i] for i in self.fill.index] + [fr.SCORE_COL]
+
+    def rules(self, spark: SparkSession) -> DataFrame:
+        """M8: rules that run on raw feature columns (with ``SCORE_COL`` added by ``with_score``)."""
+        return tree_rules(spark, self.tree, self.tree_features, [*self.fill.median, 0.0])
+
+    def importances(self, spark: SparkSession, top: int | None = None) -> DataFrame:
+        return feature_importances(spark, self.tree, self.tree_features, top)
+
+
+def _stats_of(table: DataFrame) -> mt.ScalerStats:
+    """The statistics of the fold ALL (a row of at most as many entries as features)."""
+    rows = table.filter(F.col(FOLD) == F.lit(ALL)).first()["stats"]
+    return mt.ScalerStats([r["i"] for r in rows], [r["median"] for r in rows], [r["center"] for r in rows], [r["scale"] for r in rows])
 
 
 def fit_final(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None,
               threshold: float | None = None) -> FinalModel:
-    """Selection, scorer and tree fitted on all data (a single fold ``ALL``)."""
-    cfg = cfg or CVConfig()
-    cols = list(feature_cols)
-    tag = F.lit("ALL")
-    tpv = mt.as_vector(tp, cols).select(tag.alias(FOLD), *KEY, F.lit(1).alias("label"), "x")
-    tnv = mt.as_vector(tn, cols).select(tag.alias(FOLD), *KEY, F.lit(0).alias("label"), "x")
-    st = keyed_stats(tpv, [FOLD])
-    pool = keyed_nearest(keyed_scale(tnv, st, [FOLD]), keyed_scale(tpv, st, [FOLD]), [FOLD])
-    selected = cut_lineage(_select(pool, cfg).select(FOLD, *KEY, "label", "x"))
-    base = selected if cfg.baseline == "selected" else tnv
-    st2 = cut_lineage(keyed_stats(base, [FOLD]))
-    nodes = cut_lineage(fr.fit_forest(keyed_scale(base, st2, [FOLD]), KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
-    train = fr.score_forest(keyed_scale(tpv.unionByName(selected), st2, [FOLD]), nodes, "z", by=[FOLD]).drop("z")
-    tr = train.withColumn("x", F.concat(F.col("x"), F.array(F.col(fr.SCORE_COL))))
-    st3 = cut_lineage(keyed_stats(tr, [FOLD]))
-    tr = cut_lineage(keyed_scale(tr, st3, [FOLD], "x", "v", scale=False))
-    tree = fit_tree(tr, "v", cfg.max_depth, cfg.min_leaf, cfg.criterion, cfg.seed)
-    return FinalModel(cols, st2, nodes, st3, tree, threshold)
+    """Selection, scorer and tree fitted on all data (the fold that leaves out nothing)."""
+    models = fit_folds(match_folds(tp, tn, feature_cols, [ALL]), cfg or CVConfig())
+    if not models.trees:
+        raise ValueError("no training positives, or no candidates to match")
+    return FinalModel(list(feature_cols), _stats_of(models.scorer), models.nodes.drop(FOLD), _stats_of(models.fill),
+                      models.trees[ALL], threshold)
+
+
+def with_score(model: FinalModel, features: DataFrame) -> DataFrame:
+    """M3: the anomaly score of the final scorer as a column; row-local, works on streams too."""
+    v = mt.apply_scaler(mt.as_vector(features, model.feature_cols, "_x"), model.scorer, "_x", "_z")
+    return fr.score_forest(v, model.forest_nodes, "_z").drop("_x", "_z")
 
 
 def score(model: FinalModel, features: DataFrame, use_threshold: bool = False) -> DataFrame:
-    """P(fraud) per row, or the 0/1 flag at the stored threshold (``>=``).  Works on streams too."""
-    v = mt.as_vector(features, model.feature_cols).withColumn(FOLD, F.lit("ALL"))
-    s = fr.score_forest(keyed_scale(v, model.scorer_stats, [FOLD]), model.forest_nodes, "z", by=[FOLD]).drop("z")
-    s = s.withColumn("x", F.concat(F.col("x"), F.array(F.col(fr.SCORE_COL))))
-    s = keyed_scale(s, model.tree_stats, [FOLD], "x", "v", scale=False)
-    out = predict_proba(model.tree, s, "v", "fraud_proba").drop("x", "v", FOLD, "pred_label")
+    """P(fraud) per row, and the 0/1 flag at the stored threshold (``>=``).  Works on streams too."""
+    s = mt.impute(mt.as_vector(with_score(model, features), model.feature_cols, "_x"), model.fill, "_x", "_v")
+    s = s.withColumn("_v", F.concat("_v", F.array(fr.SCORE_COL)))
+    out = predict_proba(model.tree, s, "_v", "fraud_proba").drop("_x", "_v", "pred_label")
     if use_threshold:
         if model.threshold is None:
             raise RuntimeError("the model has no stored threshold")
@@ -334,35 +454,61 @@ def score(model: FinalModel, features: DataFrame, use_threshold: bool = False) -
 
 
 def save_model(model: FinalModel, path: str) -> str:
-    """Tree via MLlib writer; statistics and forest as parquet; threshold and names as JSON."""
+    """Tree via MLlib writer; forest as parquet; statistics, threshold and names as JSON."""
     model.tree.write().overwrite().save(os.path.join(path, "tree"))
-    model.scorer_stats.write.mode("overwrite").parquet(os.path.join(path, "scorer_stats"))
     model.forest_nodes.write.mode("overwrite").parquet(os.path.join(path, "forest_nodes"))
-    model.tree_stats.write.mode("overwrite").parquet(os.path.join(path, "tree_stats"))
     spark = model.forest_nodes.sparkSession
-    meta = json.dumps({"feature_cols": model.feature_cols, "threshold": model.threshold})
+    meta = json.dumps({"feature_cols": model.feature_cols, "threshold": model.threshold,
+                       "scorer": model.scorer.to_rows(), "fill": model.fill.to_rows()})
     spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(os.path.join(path, "meta"))
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> FinalModel:
     meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
-    return FinalModel(
-        meta["feature_cols"],
-        spark.read.parquet(os.path.join(path, "scorer_stats")),
-        spark.read.parquet(os.path.join(path, "forest_nodes")),
-        spark.read.parquet(os.path.join(path, "tree_stats")),
-        DecisionTreeClassificationModel.load(os.path.join(path, "tree")),
-        meta["threshold"],
-    )
+    stats = lambda rows: mt.ScalerStats(*map(list, zip(*rows)))
+    return FinalModel(meta["feature_cols"], stats(meta["scorer"]), spark.read.parquet(os.path.join(path, "forest_nodes")),
+                      stats(meta["fill"]), DecisionTreeClassificationModel.load(os.path.join(path, "tree")), meta["threshold"])
 
 
 def threshold_from_oof(oof: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost: float = DEFAULT_FN_COST) -> float | None:
     """Cost-optimal threshold from OOF predictions (V7), as a Python float."""
+    row = oof_optimum(oof, fp_cost, fn_cost).first()
+    return None if row is None or row["threshold"] is None else float(row["threshold"])
+
+
+def oof_optimum(oof: DataFrame, fp_cost: float = DEFAULT_FP_COST, fn_cost: float = DEFAULT_FN_COST) -> DataFrame:
     from surveil.operators.metrics import optimise_threshold
 
-    row = optimise_threshold(oof, label="true_label", score="pred_proba", fp_cost=fp_cost, fn_cost=fn_cost).first()
-    return None if row is None else float(row["threshold"])
+    return optimise_threshold(oof, label="true_label", score="pred_proba", fp_cost=fp_cost, fn_cost=fn_cost)
+
+
+DEFAULT_THRESHOLD = 0.5
+
+
+@dataclass
+class Trained:
+    """One training run: out-of-fold predictions, their metrics at the optimum (None without both classes), the model."""
+
+    oof: DataFrame
+    cv_metrics: DataFrame | None
+    model: FinalModel
+
+
+def train(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None,
+          fp_cost: float = DEFAULT_FP_COST, fn_cost: float = DEFAULT_FN_COST) -> Trained:
+    """The whole training run: CV (M10), threshold (V7) and final fit.
+
+    Out-of-fold predictions of one class only say nothing about a threshold:
+    then there are no metrics and the model keeps ``DEFAULT_THRESHOLD``.
+    """
+    oof = cut_lineage(cross_validate(tp, tn, feature_cols, cfg))
+    classes = {r[0] for r in oof.select("true_label").distinct().collect()}
+    metrics, threshold = None, DEFAULT_THRESHOLD
+    if classes == {0, 1}:
+        metrics = cut_lineage(oof_optimum(oof, fp_cost, fn_cost))
+        threshold = float(metrics.first()["threshold"])
+    return Trained(oof, metrics, fit_final(tp, tn, feature_cols, cfg, threshold))
 
 
 # ---------------------------------------------------------------------------
@@ -379,14 +525,13 @@ def oof_metrics(oof: DataFrame) -> dict:
 
 def grid_search(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], methods: Sequence[str],
                 ratios: Sequence[int], base: CVConfig | None = None) -> DataFrame:
-    """OOF ROC-AUC / AUC-PR for every ``(method, ratio)`` configuration (one CV each)."""
-    from dataclasses import replace
-
+    """OOF ROC-AUC / AUC-PR for every ``(method, ratio)`` configuration; the distance pool is shared."""
     base = base or CVConfig()
+    matched = match_folds(tp, tn, feature_cols)
     rows = []
     for m in methods:
         for r in ratios:
-            oof = cut_lineage(cross_validate(tp, tn, feature_cols, replace(base, method=m, ratio=int(r))))
+            oof = cut_lineage(cross_validate(tp, tn, feature_cols, replace(base, method=m, ratio=int(r)), matched))
             rows.append((m, int(r), *oof_metrics(oof).values()))
     return tp.sparkSession.createDataFrame(rows, "method string, ratio int, roc_auc double, pr_auc double")
 
@@ -399,11 +544,3 @@ def lookback_comparison(feats: DataFrame, feature_cols: Sequence[str], cfg: CVCo
         oof = cut_lineage(cross_validate(part.filter("label = 1"), part.filter("label = 0"), feature_cols, cfg))
         rows.append((int(lb), *oof_metrics(oof).values()))
     return feats.sparkSession.createDataFrame(rows, "lookback int, roc_auc double, pr_auc double")
-
-
-def top_features(spark: SparkSession, model: DecisionTreeClassificationModel, names: Sequence[str], n: int = 10) -> DataFrame:
-    """M7: the ``n`` most important features (a top-k report)."""
-    return feature_importances(spark, model, names, top=n)
-
-
-predict = predict_proba   # M6: adds both ``pred_proba`` and ``pred_label``

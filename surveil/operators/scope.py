@@ -1,7 +1,7 @@
 """P1–P7 — scope filters, history filter and metadata joins.
 
-Ticker lists that steer a semi-join are broadcast only behind a bounded
-count; otherwise the planner's shuffle join (with AQE skew handling) is used.
+Ticker lists steer plain semi-joins: the planner broadcasts them where their
+real size allows it and otherwise shuffles (with AQE skew handling).
 A hot ticker never forms a group on its own: history counts are partial
 aggregates (map-side combine) and the bars side is only filtered.
 """
@@ -13,16 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveil.functions.columns import bounded_broadcast
+from surveil.functions.quantiles import exact_median, join_groups
 from surveil.functions.constants import MIN_TRADING_DAYS, SUPPORTED_COUNTRIES, SUPPORTED_CURRENCIES
 
-TICKER_BROADCAST_MAX = 1_000_000
-MAX_COUNTRIES = 10_000
-
-
 def _semi(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
-    small, _ = bounded_broadcast(keys.select(*on).distinct(), TICKER_BROADCAST_MAX)
-    return df.join(small, list(on), how)
+    return df.join(keys.select(*on).distinct(), list(on), how)
 
 
 def scope_metadata(meta: DataFrame, countries: Sequence[str] = SUPPORTED_COUNTRIES,
@@ -89,17 +84,13 @@ def dataset_summary(bars: DataFrame, meta: DataFrame | None = None) -> DataFrame
         F.count(F.lit(1)).alias("n_tickers"),
         F.count_if(F.col("_tp")).alias("n_tp_tickers"),
         F.sum("_days").alias("n_rows"),
-        F.median("_days").alias("median_days"),
         F.min("_days").alias("min_days"),
         F.max("_days").alias("max_days"),
     )
+    out = join_groups(out, exact_median(per, "_days", out="median_days"), [])
     if meta is not None and "country" in meta.columns:
-        # the distinct country list is bounded by the number of countries
-        found = meta.select("country").distinct().limit(MAX_COUNTRIES + 1).collect()
-        if len(found) > MAX_COUNTRIES:
-            raise ValueError(f"more than {MAX_COUNTRIES} distinct countries")
-        names = sorted(r["country"] for r in found if r["country"] is not None)
-        out = out.withColumn("countries", F.array(*[F.lit(n) for n in names]).cast("array<string>"))
+        names = meta.agg(F.array_sort(F.collect_set("country")).alias("countries"))
+        out = join_groups(out, names, [])
     return out
 
 

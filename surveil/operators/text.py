@@ -7,6 +7,7 @@ shuffle is the final de-duplication of ``(ticker, case_date)``.
 
 from __future__ import annotations
 
+import html.entities
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,13 +16,39 @@ from pyspark.sql import functions as F
 from surveil.functions.constants import DOCUMENT_BASE_URL, TICKER_PATTERNS, TICKER_STOPWORDS
 from surveil.schemas import SEARCH_HIT
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES: named entities decoded by html_to_text (the common HTML set)
-# ---------------------------------------------------------------------------
-HTML_ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&amp;", "&"),
-]
+#: Code points that numeric references between 128 and 159 stand for (as in windows-1252).
+_C1 = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def _named_entities() -> Column:
+    """All named character references of HTML that end in a semicolon, as a map column."""
+    names = sorted((k[:-1], v) for k, v in html.entities.html5.items() if k.endswith(";"))
+    keys, values = zip(*names)
+    return F.map_from_arrays(F.split(F.lit("\u0001".join(keys)), "\u0001"), F.split(F.lit("\u0001".join(values)), "\u0001"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Decode named, decimal and hexadecimal character references; unknown ones stay as they are.
+
+    The text is cut at ``&`` and every piece is decoded once, so ``&amp;lt;`` becomes ``&lt;``.
+    """
+    named = _named_entities()
+    c1 = F.create_map(*[F.lit(x) for pair in _C1.items() for x in pair])
+
+    def one(piece: Column) -> Column:
+        body = F.substring_index(piece, ";", 1)
+        rest = F.substring(piece, F.char_length(body) + 2, F.char_length(piece))
+        number = F.when(body.rlike(r"^#[0-9]{1,7}$"), F.substring(body, 2, 7).cast("long")).when(
+            body.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(body, 3, 6), 16, 10).cast("long"))
+        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        spelt = F.coalesce(F.try_element_at(c1, number.cast("int")), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        char = F.when(valid, spelt).when(F.startswith(body, F.lit("#")), F.lit(None)).otherwise(F.try_element_at(named, body))
+        known = F.contains(piece, F.lit(";")) & char.isNotNull()
+        return F.when(known, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&", -1)
+    decoded = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), one), ""))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def html_to_text(df: DataFrame, col: str = "html", out: str = "text") -> DataFrame:
@@ -32,9 +59,7 @@ def html_to_text(df: DataFrame, col: str = "html", out: str = "text") -> DataFra
     x = F.regexp_replace(x, r"(?s)<!--.*?-->", " ")
     x = F.regexp_replace(x, r"(?s)<![^>]*>", " ")
     x = F.regexp_replace(x, r"(?s)<[^>]*>", " ")
-    for ent, ch in HTML_ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return df.withColumn(out, x)
+    return df.withColumn(out, x).withColumn(out, decode_entities(F.col(out)))
 
 
 def extract_symbols(
@@ -110,8 +135,11 @@ def document_url(df: DataFrame, base: str = DOCUMENT_BASE_URL, out: str = "case_
 
 
 def build_cases(df: DataFrame, symbols_col: str = "symbols", order_col: str = "hit_order") -> DataFrame:
-    """One row per symbol; unparsable dates dropped; first hit per ``(ticker, case_date)``; sorted by date."""
-    rows = df.select(
+    """One row per symbol; first hit per ``(ticker, case_date)``; sorted by date.
+
+    Unparsable dates are dropped, and so are hits without a document URL: there is no document to find symbols in.
+    """
+    rows = df.filter(F.coalesce(F.col("case_url"), F.lit("")) != "").select(
         F.explode(F.col(symbols_col)).alias("ticker"),
         "company",
         F.try_to_date(F.col("file_date")).alias("case_date"),

@@ -11,10 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveil.functions.columns import bounded_broadcast
+from surveil.functions.constants import SYMBOL_BAD_CHARS, SYMBOL_BAD_SUFFIXES, SYMBOL_MAX_LENGTH
 
 SOURCE_PRIORITY = ["nasdaq", "other"]
-KNOWN_BROADCAST_MAX = 1_000_000
 
 
 def union_listings(*listings: DataFrame) -> DataFrame:
@@ -38,15 +37,16 @@ def drop_flagged(df: DataFrame, flags: Sequence[str] = ("test_issue", "etf")) ->
 def filter_symbols(df: DataFrame) -> DataFrame:
     """trim+upper; drop symbols with ``. + $ ^ ~ %``, ending in W/R/P, or longer than 5."""
     t = F.upper(F.trim(F.col("ticker").cast("string")))
-    bad = t.rlike(r"[.+$^~%]") | t.endswith("W") | t.endswith("R") | t.endswith("P")
-    ok = F.length(t).between(1, 5)
+    bad = t.rlike(SYMBOL_BAD_CHARS)
+    for suffix in SYMBOL_BAD_SUFFIXES:
+        bad = bad | t.endswith(suffix)
+    ok = F.length(t).between(1, SYMBOL_MAX_LENGTH)
     return df.withColumn("ticker", t).filter(~F.coalesce(bad, F.lit(False)) & F.coalesce(ok, F.lit(False)))
 
 
 def exclude_known(df: DataFrame, cases: DataFrame) -> DataFrame:
     """U4: drop tickers of known cases (upper-cased)."""
     known = cases.select(F.upper(F.col("ticker")).alias("ticker")).distinct()
-    known, _ = bounded_broadcast(known, KNOWN_BROADCAST_MAX)
     return df.join(known, "ticker", "left_anti")
 
 

@@ -8,8 +8,8 @@ The range join is expressed as an equi-join on ``(ticker, date bucket)``: each
 case is exploded into the (few) buckets its window covers, each bar carries
 exactly one bucket, and the exact range is a post-join filter.  A ticker that
 holds a third of all bars is therefore spread over all of its buckets instead
-of landing in one join task, and no nested-loop join is planned.  The case side
-is broadcast only when a bounded count proves it small.
+of landing in one join task, and no nested-loop join is planned.  The planner
+broadcasts the case side where its real size allows it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveil.functions.columns import bounded_broadcast, days
+from surveil.functions.columns import days
 from surveil.functions.constants import (
     DEFAULT_BUFFER_DAYS,
     DEFAULT_LOOKBACK_BARS,
@@ -28,8 +28,6 @@ from surveil.functions.constants import (
 from surveil.schemas import BAR_VALUE_COLS
 
 WINDOW_KEY = ["ticker", "d_date"]
-BROADCAST_MAX_ROWS = 200_000
-SALTS = 64
 
 
 def _window_bounds(cases: DataFrame, lookback_days: int, margin_days: int, buffer_days: int) -> DataFrame:
@@ -38,13 +36,12 @@ def _window_bounds(cases: DataFrame, lookback_days: int, margin_days: int, buffe
     )
 
 
-def _range_join(bars: DataFrame, windows: DataFrame, keys: list[str], bucket_days: int,
-                salts: int = SALTS) -> DataFrame:
+def _range_join(bars: DataFrame, windows: DataFrame, keys: list[str], bucket_days: int) -> DataFrame:
     """Join bars to windows ``[_lo, _hi]`` on ``keys`` + bucket, then filter the exact range.
 
-    Without a ticker key and a window table too large to broadcast, the few
-    bucket keys would each carry a large slice of all bars: bars then get a
-    hash salt and the window side is replicated over the salts.
+    Without a ticker key the few bucket keys would each carry a large slice of
+    all bars: bars then get a hash salt and the window side is repeated for the
+    salts, as many as there are shuffle partitions.
     """
     b = F.lit(bucket_days)
     win_b = windows.withColumn(
@@ -52,9 +49,9 @@ def _range_join(bars: DataFrame, windows: DataFrame, keys: list[str], bucket_day
         F.explode(F.sequence(F.floor(days(F.col("_lo")) / b), F.floor(days(F.col("_hi")) / b))),
     )
     bars_b = bars.withColumn("_bucket", F.floor(days(F.col("date")) / b))
-    win_b, small = bounded_broadcast(win_b, BROADCAST_MAX_ROWS)
     on = [*keys, "_bucket"]
-    if not small and not keys:
+    if not keys:
+        salts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         win_b = win_b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         bars_b = bars_b.withColumn("_salt", F.pmod(F.xxhash64("ticker"), F.lit(salts)))
         on = ["_bucket", "_salt"]
@@ -102,7 +99,6 @@ def candidate_windows(
     """
     lookback_days = lookback_bars if lookback_days is None else lookback_days
     cand = candidates.select("ticker").distinct()
-    cand, _ = bounded_broadcast(cand, BROADCAST_MAX_ROWS)
     kept = bars.drop("d_date").join(cand, "ticker", "left_semi")
     dates = _window_bounds(d_dates.select("d_date").distinct(), lookback_days, margin_days, buffer_days)
     joined = _range_join(kept, dates, [], bucket_days)

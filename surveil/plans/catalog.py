@@ -120,11 +120,10 @@ def q_cand_windows_brand(spark, sf):
 @register("w4_min_rows_user", f"""
 SELECT ticker, d_date, count(*) AS n_rows FROM (
   SELECT *, count(*) OVER (PARTITION BY ticker, d_date) AS n
-  FROM ({osql.window_sql(osql.USER_BARS_SQL, osql.USER_CASES_SQL, 90, 90)}) w) q
+  FROM ({osql.USER_WINDOWS_SQL}) w) q
 WHERE n >= 25 GROUP BY ticker, d_date""")
 def q_min_rows_user(spark, sf):
-    w = win.observation_window(fx.user_bars(spark, sf), fx.user_cases(spark, sf), lookback_bars=90)
-    return win.min_rows(w, 25).groupBy("ticker", "d_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return win.min_rows(fx.user_windows(spark, sf), 25).groupBy("ticker", "d_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---------------------------------------------------------------------------
@@ -144,10 +143,9 @@ def q_features_brand_all120(spark, sf):
     return round_doubles(feat.transform(w))
 
 
-@register("f0_features_user", osql.features_sql(osql.window_sql(osql.USER_BARS_SQL, osql.USER_CASES_SQL, 90, 90)))
+@register("f0_features_user", osql.features_sql(osql.USER_WINDOWS_SQL))
 def q_features_user(spark, sf):
-    w = win.observation_window(fx.user_bars(spark, sf), fx.user_cases(spark, sf), lookback_bars=90)
-    return round_doubles(feat.transform(w))
+    return round_doubles(feat.transform(fx.user_windows(spark, sf)))
 
 
 # ---------------------------------------------------------------------------
@@ -173,9 +171,11 @@ def _metric_queries():
                  f"SELECT * EXCLUDE (raw_threshold) FROM ({osql.sweep_sql(ssql, 0.01, 0.99, 99)}) z "
                  f"ORDER BY cost, raw_threshold LIMIT 1")(
             lambda spark, sf, b=builder: met.optimise_threshold(b(spark, sf)))
-    register("v8_holdout_report_events",
-             f"SELECT * EXCLUDE (raw_threshold), 'fixed' AS mode FROM ({osql.sweep_sql(osql.EVENT_SCORES_SQL, 0.5, 0.5, 1)}) z"
-             .replace("CASE WHEN i = 0 THEN CAST('0.5' AS DOUBLE) ELSE i * ((CAST('0.5' AS DOUBLE) - CAST('0.5' AS DOUBLE)) / 0) + CAST('0.5' AS DOUBLE) END", "CAST('0.5' AS DOUBLE)"))(
+    sweep = lambda lo, hi, n: osql.sweep_sql(osql.EVENT_SCORES_SQL, lo, hi, n)
+    register("v8_holdout_report_events", f"""
+SELECT * EXCLUDE (raw_threshold), 'summary' AS mode FROM ({sweep(0.05, 0.95, 19)}) z
+UNION ALL SELECT * EXCLUDE (raw_threshold), 'optimised' AS mode FROM (SELECT * FROM ({sweep(0.01, 0.99, 99)}) z ORDER BY cost, raw_threshold LIMIT 1) o
+UNION ALL SELECT * EXCLUDE (raw_threshold), 'fixed' AS mode FROM (SELECT * FROM ({sweep(0.25, 0.75, 3)}) z WHERE raw_threshold = 0.5) f""")(
         lambda spark, sf: met.holdout_report(fx.event_scores(spark, sf), threshold=0.5))
     register("v9_pr_curve_lineitem",
              f"SELECT threshold, precision, recall, f1 FROM ({osql.sweep_sql(osql.LINEITEM_SCORES_SQL, 0.05, 0.95, 19)}) z")(
@@ -243,29 +243,35 @@ def q_nearest_sample(spark, sf):
     return mt.sample_nearest(assigned, 5, ["vec_id"]).select("vec_id", "centroid_idx")
 
 
-_STRAT_SQL = f"""
-WITH a AS ({_A}),
+def _strat_sql(assigned: str, key: str, order: str) -> str:
+    """C7/C9 over an assigned pool whose rows are named by ``key``; ``order`` draws inside a bin."""
+    return f"""
+WITH a AS ({assigned}),
 e AS (SELECT centroid_idx, list_sort(list_distinct(quantile_cont(distance, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS edges,
              count(*) AS pool FROM a GROUP BY centroid_idx),
 b AS (SELECT a.*, e.pool, greatest(0, len(list_filter(e.edges, lambda x: x < a.distance)) - 1) AS bin FROM a JOIN e USING (centroid_idx)),
 nb AS (SELECT centroid_idx, count(DISTINCT bin) AS nbins FROM b GROUP BY centroid_idx),
 r AS (SELECT b.*, greatest(1, CAST(floor(5 / nb.nbins) AS BIGINT)) AS per_bin,
-             row_number() OVER (PARTITION BY b.centroid_idx, bin ORDER BY {osql.emb_hash()}, vec_id) AS rk
+             row_number() OVER (PARTITION BY b.centroid_idx, bin ORDER BY {order}, {key}) AS rk
       FROM b JOIN nb USING (centroid_idx) WHERE pool >= 10),
-chosen AS (SELECT vec_id, centroid_idx FROM r WHERE rk <= per_bin),
+chosen AS (SELECT {key}, centroid_idx FROM r WHERE rk <= per_bin),
 got AS (SELECT centroid_idx, count(*) AS got FROM chosen GROUP BY centroid_idx),
-topup AS (SELECT vec_id, centroid_idx FROM (
-            SELECT r.*, row_number() OVER (PARTITION BY r.centroid_idx ORDER BY distance, vec_id) AS r2, COALESCE(g.got, 0) AS got
+topup AS (SELECT {key}, centroid_idx FROM (
+            SELECT r.*, row_number() OVER (PARTITION BY r.centroid_idx ORDER BY distance, {key}) AS r2, COALESCE(g.got, 0) AS got
             FROM r LEFT JOIN got g USING (centroid_idx)
-            WHERE (r.vec_id, r.centroid_idx) NOT IN (SELECT (vec_id, centroid_idx) FROM chosen)) q
+            WHERE ({key}, centroid_idx) NOT IN (SELECT ({key}, centroid_idx) FROM chosen)) q
           WHERE r2 <= 5 - got),
-small AS (SELECT vec_id, centroid_idx FROM (
-            SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, vec_id) AS r3 FROM b WHERE pool < 10) q
+small AS (SELECT {key}, centroid_idx FROM (
+            SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY distance, {key}) AS r3 FROM b WHERE pool < 10) q
           WHERE r3 <= 5)
 SELECT * FROM chosen UNION ALL SELECT * FROM topup UNION ALL SELECT * FROM small
 """
 
 
+_STRAT_SQL = _strat_sql(_A, "vec_id", osql.emb_hash())
+_CLOSER = f"(-ln({osql.unit_hash(osql.emb_hash())}) * (distance + 1e-9))"
+
+
 @register("c7_c9_sample_stratified_emb", _STRAT_SQL)
 def q_stratified(spark, sf):
     _, assigned = _emb_assigned(spark, sf)
@@ -377,14 +383,12 @@ def q_encode(spark, sf):
 
 
 @register("f18_features_with_metadata_user", f"""
-SELECT f.ticker, f.d_date, f.label, f.close_chg_1d, f.volume_roll5_sum, e.* EXCLUDE (ticker)
+SELECT f.*, e.* EXCLUDE (ticker)
 FROM ({osql.features_sql(osql.USER_WINDOWS_SQL)}) f LEFT JOIN ({osql.encoded_meta_sql()}) e USING (ticker)""")
 def q_features_meta(spark, sf):
     f = feat.transform(fx.user_windows(spark, sf), metadata=fx.customer_metadata(spark, sf),
                        categories=fx.metadata_category_lists(spark, sf))
-    keep = ["ticker", "d_date", "label", "close_chg_1d", "volume_roll5_sum"] + [
-        c for c in f.columns if c.startswith(("mktcap_", "country_", "currency_", "exchange_"))]
-    return round_doubles(f.select(*[F.col(f"`{c}`") for c in keep]))
+    return round_doubles(f)
 
 
 # ---------------------------------------------------------------------------
@@ -463,11 +467,25 @@ def q_lookback(spark, sf):
     return round_doubles(an.lookback_consistency(_event_frame(spark, sf)))
 
 
+_BRAND_EF = f"({osql.event_frame_sql(_brand_window_sql(120))})"
+
+
+@register("e9_lookback_consistency_brand", f"""
+SELECT CAST(lookback_days AS INTEGER) AS lookback_days, count(*) AS n_tickers, round(avg(m), 6) AS mean_vol,
+       round(stddev_samp(m), 6) AS std_vol, round(CASE WHEN avg(m) > 0 THEN stddev_samp(m) / avg(m) END, 6) AS cv
+FROM (SELECT lookback_days, ticker, d_date, avg(volume_norm) AS m
+      FROM {_BRAND_EF} f, (SELECT unnest([30, 45, 60, 90, 120]) AS lookback_days) l
+      WHERE days_to_d >= -lookback_days GROUP BY lookback_days, ticker, d_date) p
+GROUP BY lookback_days""")
+def q_lookback_brand(spark, sf):
+    return round_doubles(an.lookback_consistency(an.event_frame(brand_windows(spark, sf, 120))))
+
+
 @register("e10_class_imbalance_user", f"""
 SELECT n_tp, CAST(floor(6000 / n_tp) AS BIGINT) AS imbalance_ratio, round(1 - n_tp / 6000, 6) AS naive_accuracy,
-       round(n_tp / 3000.0, 6) AS legacy_precision FROM (SELECT count(DISTINCT ticker) AS n_tp FROM ({osql.USER_WINDOWS_SQL}) w) c""")
+       round(n_tp / 3000.0, 6) AS legacy_precision FROM (SELECT count(DISTINCT ticker) AS n_tp FROM ({osql.USER_WINDOWS_SQL}) w WHERE label = 1) c""")
 def q_imbalance(spark, sf):
-    return round_doubles(an.class_imbalance(fx.user_windows(spark, sf), 6000))
+    return round_doubles(an.class_imbalance(fx.user_windows(spark, sf).filter("label = 1"), 6000))
 
 
 @register("e11_value_counts_country", f"""
@@ -528,7 +546,7 @@ def q_window_summary(spark, sf):
 # A — case sourcing from text; U — candidate universe
 # ---------------------------------------------------------------------------
 
-from surveil.functions.constants import TICKER_PATTERNS, TICKER_STOPWORDS  # noqa: E402
+from surveil.functions.constants import DOCUMENT_BASE_URL, TICKER_PATTERNS, TICKER_STOPWORDS  # noqa: E402
 from surveil.operators import text as tx  # noqa: E402
 from surveil.operators import universe as uv  # noqa: E402
 
@@ -547,7 +565,8 @@ def _html_text_sql(col: str) -> str:
     x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
     x = f"regexp_replace({x}, '(?s)<![^>]*>', ' ', 'g')"
     x = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
-    for ent, ch in tx.HTML_ENTITIES:
+    # the references that occur in the pages table; the ampersand comes last, so nothing is decoded twice
+    for ent, ch in [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")]:
         x = f"replace({x}, {_sql_str(ent)}, {_sql_str(ch)})"
     return x
 
@@ -566,29 +585,59 @@ def q_page_symbols(spark, sf):
     return toks.select("page_id", F.length("txt").alias("text_chars"), F.explode_outer("symbols").alias("ticker"))
 
 
-_PATTERN_LISTS = " || ".join(f"regexp_extract_all(text, {_sql_str(p)}, 1, 'i')" for p in TICKER_PATTERNS)
+_PATTERN_LISTS = " || ".join(f"regexp_extract_all(body, {_sql_str(p)}, 1, 'i')" for p in TICKER_PATTERNS)
+_SYMBOL_SQL = "upper(translate(substr(md5(CAST(doc_id AS VARCHAR) || '{k}'), 1, {n}), '0123456789', 'GHIJKLMNOP'))"
+#: A sentence made of the document's own id in each of the four ways a symbol is written.
+_SENTENCE = [" (ticker: ", 1, 4, ") its trading symbol: ", 2, 3, " is traded under ", 3, 5, " and has the stock symbol ", 4, 2, " "]
+
+
+def _sentence_sql() -> str:
+    out, i = [], 0
+    while i < len(_SENTENCE):
+        out.append(_sql_str(_SENTENCE[i]))
+        if i + 2 < len(_SENTENCE):
+            out.append(_SYMBOL_SQL.format(k=_SENTENCE[i + 1], n=_SENTENCE[i + 2]))
+        i += 3
+    return " || ".join(out)
+
+
+def _sentence():
+    out, i = [], 0
+    while i < len(_SENTENCE):
+        out.append(F.lit(_SENTENCE[i]))
+        if i + 2 < len(_SENTENCE):
+            digest = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(str(_SENTENCE[i + 1]))))
+            out.append(F.upper(F.translate(F.substring(digest, 1, _SENTENCE[i + 2]), "0123456789", "GHIJKLMNOP")))
+        i += 3
+    return F.concat(*out)
 
 
 @register("a2_extract_symbols_documents", f"""
 SELECT doc_id, unnest(syms) AS ticker FROM (
   SELECT doc_id, list_sort(list_distinct(list_filter(list_transform({_PATTERN_LISTS}, lambda s: upper(s)),
-         lambda s: length(s) BETWEEN 1 AND 5 AND NOT list_contains({_STOP_SQL}, s)))) AS syms FROM documents) q""")
+         lambda s: length(s) BETWEEN 1 AND 5 AND NOT list_contains({_STOP_SQL}, s)))) AS syms
+  FROM (SELECT doc_id, text || {_sentence_sql()} AS body FROM documents) d) q""")
 def q_doc_symbols(spark, sf):
-    d = tx.extract_symbols(fx.table(spark, sf, "documents"), "text")
+    docs = fx.table(spark, sf, "documents").select("doc_id", F.concat("text", _sentence()).alias("body"))
+    d = tx.extract_symbols(docs, "body")
     return d.select("doc_id", F.explode("symbols").alias("ticker"))
 
 
-@register("a3_search_documents", "SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'the of')")
+@register("a3_search_documents", """
+SELECT doc_id, lang, filed FROM (SELECT *, CAST(DATE '2010-01-01' + CAST(doc_id % 3650 AS INTEGER) AS DATE) AS filed FROM documents) d
+WHERE contains(lower(text), 'the of') AND filed BETWEEN DATE '2010-02-01' AND DATE '2015-12-31'""")
 def q_search(spark, sf):
-    return tx.search_documents(fx.table(spark, sf, "documents"), "The of").select("doc_id", "lang")
+    docs = fx.table(spark, sf, "documents").withColumn(
+        "filed", F.date_add(F.lit("2010-01-01").cast("date"), (F.col("doc_id") % 3650).cast("int")))
+    return tx.search_documents(docs, "The of", date_col="filed", start="2010-02-01", end="2015-12-31").select("doc_id", "lang", "filed")
 
 
-_HITS_SQL = """
+_HITS_SQL = f"""
 SELECT doc_id, text,
        CASE WHEN doc_id % 10 = 0 THEN NULL ELSE CAST(DATE '2010-01-01' + CAST(doc_id % 3650 AS INTEGER) AS DATE) END AS case_date,
        CASE WHEN lang = 'en' THEN source ELSE upper(lang) END AS company,
-       CASE WHEN doc_id % 3 = 0 THEN 'https://www.sec.gov' || 'doc-' || CAST(doc_id AS VARCHAR)
-            WHEN doc_id % 3 = 1 THEN 'https://www.sec.gov' || '/litigation/' || source || '/' || CAST(doc_id AS VARCHAR)
+       CASE WHEN doc_id % 21 = 0 THEN '' WHEN doc_id % 3 = 0 THEN '{DOCUMENT_BASE_URL}' || 'doc-' || CAST(doc_id AS VARCHAR)
+            WHEN doc_id % 3 = 1 THEN '{DOCUMENT_BASE_URL}' || '/litigation/' || source || '/' || CAST(doc_id AS VARCHAR)
             ELSE 'http://' || source || '/' || CAST(doc_id AS VARCHAR) END AS case_url
 FROM documents
 """
@@ -606,7 +655,7 @@ def q_parse_hits(spark, sf):
 SELECT ticker, company, case_date, case_url FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker, case_date ORDER BY doc_id, case_url, company) AS r FROM (
     SELECT doc_id, unnest({_tokens_sql('text')}) AS ticker, company, case_date, case_url FROM ({_HITS_SQL}) h) x
-  WHERE case_date IS NOT NULL) q WHERE r = 1""")
+  WHERE case_date IS NOT NULL AND case_url <> '') q WHERE r = 1""")
 def q_build_cases(spark, sf):
     h = tx.document_url(tx.parse_hits(fx.document_hits(spark, sf)))
     return tx.build_cases(tx.extract_tokens(h, "text"))
@@ -663,7 +712,7 @@ def q_universe(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# M — models (invariant / rows checks; fold membership and weights have SQL)
+# M — models (keys, folds and weights have SQL; of the fits, what must hold for any of them)
 # ---------------------------------------------------------------------------
 
 from surveil.functions.registry import feature_names  # noqa: E402
@@ -673,11 +722,9 @@ from surveil.operators import model as md  # noqa: E402
 _BRAND_FEATS_SQL = osql.features_sql(f"{_brand_window_sql(120)} UNION ALL {_brand_cand_window_sql(120)}")
 
 
-def brand_feature_sets(spark, sf):
-    """TP and TN feature matrices of F_brand (lookback 120), checkpointed once per query."""
-    tp = feat.transform(brand_windows(spark, sf, 120))
-    tn = feat.transform(brand_candidate_windows(spark, sf, 120))
-    both = md.cut_lineage(tp.unionByName(tn))
+def supplier_feature_sets(spark, sf):
+    """Case and candidate feature matrices of F_sup (lookback 90), checkpointed once per query; they grow with the data."""
+    both = md.cut_lineage(feat.transform(fx.supplier_windows(spark, sf)))
     return both.filter(F.col("label") == 1), both.filter(F.col("label") == 0)
 
 
@@ -698,45 +745,125 @@ def q_folds(spark, sf):
     return md.leave_one_group_out(w.select("ticker", "d_date", "label"), folds).select("fold", "ticker", "d_date", "label", "role")
 
 
-@register("m1_m3_isolation_forest_emb")
+@register("m1_m3_isolation_forest_emb", "SELECT vec_id, label, true AS in_bounds, true AS same_again FROM embeddings")
 def q_forest(spark, sf):
+    """Scores of all rows: inside (0, 1], and the same from a second fit on rows dealt out otherwise."""
     emb = fx.embedding_vectors(spark, sf)
     base = emb.filter(F.col("label") != 0)
+    scaled = lambda df: mt.apply_scaler(df, stats)
     stats = mt.fit_scaler(base, "x")
-    nodes = md.cut_lineage(fr.fit_forest(mt.apply_scaler(base, stats), ["vec_id"], "z"))
-    scored = fr.score_forest(mt.apply_scaler(emb, stats), nodes, "z")
-    return scored.select("vec_id", "label", fr.SCORE_COL)
+    scored = fr.score_forest(scaled(emb), fr.fit_forest(scaled(base), ["vec_id"], "z"), "z")
+    again = fr.score_forest(scaled(emb), fr.fit_forest(scaled(base.repartition(7, "vec_id")), ["vec_id"], "z"), "z", out="again")
+    both = scored.select("vec_id", "label", fr.SCORE_COL).join(again.select("vec_id", "again"), "vec_id")
+    return both.select("vec_id", "label", ((F.col(fr.SCORE_COL) > 0) & (F.col(fr.SCORE_COL) <= 1)).alias("in_bounds"),
+                       (F.col(fr.SCORE_COL) == F.col("again")).alias("same_again"))
+
+
+_FOLDS_SQL = f"(SELECT DISTINCT d_date FROM ({osql.SUP_KEYS_SQL}) k WHERE label = 1)"
+#: A fold needs positives of another date to train on.
+_TESTED_SQL = f"""SELECT ticker, d_date, label FROM ({osql.SUP_KEYS_SQL}) k
+WHERE d_date IN {_FOLDS_SQL} AND (SELECT count(*) FROM {_FOLDS_SQL} f) > 1"""
 
 
-@register("m10_cross_validate_oof_brand")
+@register("m10_cross_validate_oof_sup", f"""
+SELECT d_date AS fold, ticker, d_date, label AS true_label, true AS in_range FROM ({_TESTED_SQL}) t""")
 def q_cv(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    return md.cross_validate(tp, tn, feature_names())
+    tp, tn = supplier_feature_sets(spark, sf)
+    oof = md.cross_validate(tp, tn, feature_names())
+    return oof.select("fold", "ticker", "d_date", "true_label", F.col("pred_proba").between(0, 1).alias("in_range"))
 
 
 def _final(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    oof = md.cut_lineage(md.cross_validate(tp, tn, feature_names()))
-    return tp, tn, md.fit_final(tp, tn, feature_names(), threshold=md.threshold_from_oof(oof))
+    tp, tn = supplier_feature_sets(spark, sf)
+    return tp.unionByName(tn), md.fit_final(tp, tn, feature_names(), threshold=0.5)
 
 
-@register("m5_m8_tree_rules_brand")
+@register("m5_m8_tree_rules_sup", f"SELECT ticker, d_date, label, 1 AS n_rules, true AS agrees FROM ({osql.SUP_KEYS_SQL}) k")
 def q_rules(spark, sf):
-    _, _, fm = _final(spark, sf)
-    return md.tree_rules(spark, fm.tree, feature_names() + [fr.SCORE_COL])
+    """Every row of the matrix meets exactly one rule, and the rule says what the tree says."""
+    feats, fm = _final(spark, sf)
+    scored = md.score(fm, feats).withColumnRenamed("fraud_proba", "_p")
+    rules = [(F.expr(r["rule"]), r["p_positive"]) for r in fm.rules(spark).collect()]  # a row per leaf
+    met_ = sum((F.coalesce(rule, F.lit(False)).cast("int") for rule, _ in rules), F.lit(0))
+    said = F.coalesce(*[F.when(rule, F.lit(p)) for rule, p in rules])
+    return scored.select("ticker", "d_date", "label", met_.alias("n_rules"), (F.abs(said - F.col("_p")) < 1e-9).alias("agrees"))
 
 
-@register("m7_top_features_brand")
+@register("m7_top_features_sup", "SELECT true AS sums_to_one, true AS named_in_rules")
 def q_importances(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    fm = md.fit_final(tp, tn, feature_names())
-    return md.feature_importances(spark, fm.tree, feature_names() + [fr.SCORE_COL], top=10)
+    """Importances sum to one (or the tree is a leaf), and every feature that counts occurs in a rule."""
+    _, fm = _final(spark, sf)
+    used = fm.importances(spark).filter("importance > 0")
+    rules = fm.rules(spark).agg(F.concat_ws(" ", F.collect_list("rule")).alias("rules"))
+    out = used.crossJoin(F.broadcast(rules)).agg(
+        F.coalesce(F.abs(F.sum("importance") - 1) < 1e-6, F.lit(True)).alias("sums_to_one"),
+        F.coalesce(F.every(F.contains("rules", F.concat(F.lit("`"), "feature", F.lit("`")))), F.lit(True)).alias("named_in_rules"))
+    return out
+
+
+@register("m11_m12_train_and_score_sup", f"SELECT ticker, d_date, label, true AS in_range, true AS flagged_right FROM ({osql.SUP_KEYS_SQL}) k")
+def q_train(spark, sf):
+    """One training run (CV, threshold, final fit), then scores and flags of all rows."""
+    tp, tn = supplier_feature_sets(spark, sf)
+    run = md.train(tp, tn, feature_names())
+    out = md.score(run.model, tp.unionByName(tn), use_threshold=True)
+    p, flag = F.col("fraud_proba"), F.col("fraud_flag")
+    return out.select("ticker", "d_date", "label", p.between(0, 1).alias("in_range"),
+                      (flag == (p >= run.model.threshold).cast("int")).alias("flagged_right"))
+
+
+# ---------------------------------------------------------------------------
+# C on the feature matrix: lookback 90 leaves all-NULL columns (dropped) and NULL values (filled with medians)
+# ---------------------------------------------------------------------------
+
+_BRAND90_SQL = osql.features_sql(f"{_brand_window_sql(90)} UNION ALL {_brand_cand_window_sql(90)}")
+_FM = osql.matched_features_sql(_BRAND90_SQL, feature_names())
+_FA = f"SELECT * FROM ({_FM}) a"
+_FM_HASH = "md5(concat_ws(chr(1), ticker, CAST(d_date AS VARCHAR), '42'))"
+
+
+def _feature_matrix(spark, sf):
+    w = brand_windows(spark, sf, 90).unionByName(brand_candidate_windows(spark, sf, 90))
+    return mt.as_vector(round_doubles(feat.transform(w)), feature_names())
+
+
+def _feature_match(spark, sf):
+    m = md.cut_lineage(_feature_matrix(spark, sf).select("ticker", "d_date", "label", "x"))
+    tp = m.filter("label = 1")
+    stats = mt.fit_scaler(tp)
+    cents = mt.index_centroids(mt.apply_scaler(tp, stats), md.KEY)
+    return mt.nearest_centroid(mt.apply_scaler(m.filter("label = 0"), stats), cents, md.KEY, md.KEY).select(
+        "ticker", "d_date", "centroid_idx", "distance")
+
 
+@register("c0_c2_scaler_stats_features_brand", osql.feature_stats_sql(_BRAND90_SQL, feature_names()))
+def q_feature_stats(spark, sf):
+    st = mt.usable_features(mt.feature_stats(_feature_matrix(spark, sf).filter("label = 1")))
+    names = F.array(*[F.lit(n) for n in feature_names()])
+    return round_doubles(st.select(names[F.col("i")].alias("feature"), F.col("n").cast("long").alias("n"), "median", "q25", "center", "q75"))
 
-@register("m11_m12_final_scores_brand")
-def q_final_scores(spark, sf):
-    tp, tn, fm = _final(spark, sf)
-    return md.score(fm, tp.unionByName(tn), use_threshold=True).select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+
+@register("c3_nearest_centroid_features_brand", f"SELECT ticker, d_date, centroid_idx, round(distance, 6) AS distance FROM ({_FA}) a")
+def q_feature_nearest(spark, sf):
+    return round_doubles(_feature_match(spark, sf))
+
+
+@register("c4_distance_cutoff_features_brand", f"""
+SELECT ticker, d_date, centroid_idx FROM ({_FA}) a WHERE distance <= (SELECT quantile_cont(distance, 0.5) FROM ({_FA}) b)""")
+def q_feature_cutoff(spark, sf):
+    return mt.distance_cutoff(md.cut_lineage(_feature_match(spark, sf)), 50).select("ticker", "d_date", "centroid_idx")
+
+
+for _name, _order, _draw in (("c5_sample_random", _FM_HASH, mt.sample_random), ("c6_sample_nearest", "distance", mt.sample_nearest)):
+    register(f"{_name}_features_brand", f"""
+SELECT ticker, d_date, centroid_idx FROM (
+  SELECT *, row_number() OVER (PARTITION BY centroid_idx ORDER BY {_order}, ticker, d_date) AS r FROM ({_FA}) a) q WHERE r <= 5""")(
+        lambda spark, sf, draw=_draw: draw(_feature_match(spark, sf), 5, md.KEY).select("ticker", "d_date", "centroid_idx"))
+
+
+@register("c7_c9_sample_stratified_features_brand", _strat_sql(_FA, "ticker, d_date", _FM_HASH))
+def q_feature_stratified(spark, sf):
+    return mt.sample_stratified(_feature_match(spark, sf), 5, md.KEY).select("ticker", "d_date", "centroid_idx")
 
 
 # ---------------------------------------------------------------------------
@@ -746,24 +873,32 @@ def q_final_scores(spark, sf):
 from surveil.streaming import bars as stb  # noqa: E402
 
 
-@register("st1_stream_bars_user", f"""
-SELECT * FROM ({osql.USER_BARS_SQL}) b
-WHERE CAST(date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""")
+@register("st1_stream_bars_user", f"SELECT * FROM ({osql.USER_BARS_SQL}) b")
 def q_stream_bars(spark, sf):
+    """Events arrive in several micro-batches, some a day late; after a closing batch the stream equals the batch bars."""
     ev = fx.table(spark, sf, "events")
-    src = stb.land(ev, "events")
-    return stb.run_stream_bars(spark, src, ev.schema, key="user_id", ts="ts", price="value", size=None,
+    path = stb.land_in_order(ev, "events", "ts", late=F.col("event_id") % 7 == 0, close={"user_id": -1})
+    bars = stb.run_stream_bars(spark, path, ev.schema, max_files_per_trigger=1, key="user_id", ts="ts", price="value", size=None,
                                order_cols=["event_id"])
+    return bars.filter(F.col("ticker") != "-1")
+
 
+_SAME_SQL = f"SELECT ticker, d_date, label, true AS same FROM ({osql.SUP_KEYS_SQL}) k"
 
-@register("st2_stream_scores_brand")
+
+def _same_scores(feats, fm, other):
+    """Whether ``other`` holds the scores and flags of the batch scorer, per row."""
+    want = md.score(fm, feats, use_threshold=True).select("ticker", "d_date", "label", F.col("fraud_proba").alias("_p"), F.col("fraud_flag").alias("_f"))
+    both = want.join(other.select("ticker", "d_date", "fraud_proba", "fraud_flag"), ["ticker", "d_date"], "full_outer")
+    same = F.col("_p").eqNullSafe(F.col("fraud_proba")) & F.col("_f").eqNullSafe(F.col("fraud_flag"))
+    return both.select("ticker", "d_date", "label", same.alias("same"))
+
+
+@register("st2_stream_scores_sup", _SAME_SQL)
 def q_stream_scores(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    fm = md.fit_final(tp, tn, feature_names(), threshold=0.5)
-    feats = tp.unionByName(tn)
-    src = stb.land(feats, "features", files=4)
-    out = stb.run_stream_scores(spark, fm, src, feats.schema)
-    return out.select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+    feats, fm = _final(spark, sf)
+    path = stb.land(feats, "features", files=4)
+    return _same_scores(feats, fm, stb.run_stream_scores(spark, fm, path, feats.schema))
 
 
 # ---------------------------------------------------------------------------
@@ -782,57 +917,76 @@ def q_read_bars(spark, sf):
     return src.read_bars(spark, path).select("ticker", "date", "open", "high", "low", "close", "volume")
 
 
-@register("s3_read_cases_brand", f"SELECT ticker, d_date FROM ({osql.BRAND_CASES_SQL}) c")
+@register("s1_features_missing_volume_user", osql.features_sql(osql.window_sql(
+    f"SELECT * REPLACE (CASE WHEN day(date) % 7 = 0 THEN NULL ELSE volume END AS volume) FROM ({osql.USER_BARS_SQL}) b", osql.USER_CASES_SQL, 90, 90)))
+def q_missing_volume(spark, sf):
+    """Bars without a volume stay bars: they count as one of a window's last bars."""
+    bars = fx.user_bars(spark, sf).withColumn("volume", F.when(F.dayofmonth("date") % 7 != 0, F.col("volume")))
+    path = src.write_table(bars, scratch_path(spark, "bars"))
+    return round_doubles(feat.transform(win.observation_window(src.read_bars(spark, path), fx.user_cases(spark, sf), lookback_bars=90)))
+
+
+@register("s3_read_cases_brand", f"""
+SELECT ticker, 'Brand ' || ticker AS company, d_date, '/case/' || ticker AS case_url FROM ({osql.BRAND_CASES_SQL}) c""")
 def q_read_cases(spark, sf):
-    scraped = fx.brand_cases(spark, sf).select("ticker", F.lit("").alias("company"),
-                                               F.date_format("d_date", "yyyy-MM-dd").alias("case_date"),
-                                               F.lit("").alias("case_url"))
+    scraped = fx.brand_cases(spark, sf).select("ticker", F.concat(F.lit("Brand "), "ticker").alias("company"),
+                                               F.date_format("d_date", "MM/dd/yyyy").alias("case_date"),
+                                               F.concat(F.lit("/case/"), "ticker").alias("case_url"))
     path = src.write_table(scraped, scratch_path(spark, "cases"), fmt="csv")
-    return src.read_cases(spark, path).select("ticker", "d_date")
+    return src.read_cases(spark, path, "MM/dd/yyyy").select("ticker", "company", "d_date", "case_url")
 
 
-@register("s4_read_metadata_customers", f"SELECT ticker, country, currency, exchange FROM ({osql.CUSTOMER_META_SQL}) m")
+@register("s4_read_metadata_customers", f"SELECT ticker, market_cap, country, currency, exchange FROM ({osql.CUSTOMER_META_SQL}) m")
 def q_read_meta(spark, sf):
-    path = src.write_table(fx.customer_metadata(spark, sf), scratch_path(spark, "meta"), fmt="csv")
-    return src.read_metadata(spark, path).select("ticker", "country", "currency", "exchange")
+    meta = fx.customer_metadata(spark, sf).withColumn("market_cap", F.coalesce(F.col("market_cap").cast("string"), F.lit("N/A")))
+    path = src.write_table(meta, scratch_path(spark, "meta"), fmt="csv")
+    return src.read_metadata(spark, path).select("ticker", "market_cap", "country", "currency", "exchange")
+
+
+def _listing_lines(listing, spark, layout: str):
+    """A listing as the pipe text an exchange publishes: header, rows, trailer."""
+    names = {"nasdaq": ["Symbol", "Security Name", "Test Issue", "ETF"], "other": ["ACT Symbol", "Security Name", "ETF", "Test Issue"]}[layout]
+    cell = {names[0]: "ticker", "Security Name": "security_name", "Test Issue": "test_issue", "ETF": "etf"}
+    row = F.concat_ws("|", *[F.coalesce(cell[n], F.lit("")) for n in names])
+    edges = spark.range(1).select(F.explode(F.array(F.lit("|".join(names)), F.lit("File Creation Time: 0000000000|||"))).alias("value"))
+    return listing.select(row.alias("value")).unionByName(edges)
 
 
-@register("s5_read_listing_suppliers", f"""
-SELECT ticker, security_name, test_issue, etf, 'nasdaq' AS source
-FROM ({_listing_sql('supplier', 's_suppkey', 's_name', 'nasdaq')}) l WHERE ticker IS NOT NULL AND ticker <> ''""")
+def _read_listing_sql(tbl: str, key: str, name: str, layout: str) -> str:
+    return f"""SELECT ticker, security_name, test_issue, etf, '{layout}' AS source
+FROM ({_listing_sql(tbl, key, name, layout)}) l WHERE ticker IS NOT NULL AND ticker <> ''"""
+
+
+@register("s5_read_listing_suppliers", _read_listing_sql("supplier", "s_suppkey", "s_name", "nasdaq"))
 def q_read_listing(spark, sf):
-    lst = fx.supplier_listing(spark, sf).select(
-        F.col("ticker").alias("Symbol"), F.col("security_name").alias("Security Name"),
-        F.col("test_issue").alias("Test Issue"), F.col("etf").alias("ETF"), F.col("listing_row"))
-    trailer = lst.limit(1).select(F.lit("File Creation Time: 0000000000").alias("Symbol"),
-                                  *[F.lit(None).cast("string").alias(c) for c in ("Security Name", "Test Issue", "ETF")],
-                                  F.lit(None).cast("long").alias("listing_row"))
     path = scratch_path(spark, "listing")
-    (lst.unionByName(trailer).drop("listing_row").write.mode("overwrite").option("header", True).option("sep", "|")
-     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
-    out = src.read_listing(spark, path, "nasdaq")
-    return out.select(F.col("ticker").cast("string"), "security_name", "test_issue", "etf", "source")
+    # one file, so that its first line is the header
+    _listing_lines(fx.supplier_listing(spark, sf), spark, "nasdaq").orderBy(~F.startswith("value", F.lit("Symbol|"))).coalesce(1).write.text(path)
+    return src.read_listing(spark, path, "nasdaq").select("ticker", "security_name", "test_issue", "etf", "source")
+
+
+@register("s5_parse_listing_customers", _read_listing_sql("customer", "c_custkey", "c_name", "other"))
+def q_parse_listing(spark, sf):
+    path = scratch_path(spark, "listing-lines")
+    _listing_lines(fx.customer_listing(spark, sf), spark, "other").write.text(path)
+    return src.parse_listing(spark.read.text(path), "other").select("ticker", "security_name", "test_issue", "etf", "source")
 
 
-@register("s6_s7_build_once_bars_brand")
+@register("s6_s7_build_once_bars_brand", f"SELECT * FROM ({osql.BRAND_BARS_SQL}) b")
 def q_build_once(spark, sf):
     path = scratch_path(spark, "cached-bars")
-    first = src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf), partition_by=None)
-    again = src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf).limit(0))  # reused, not rebuilt
-    return again.select("ticker", "date", "close").unionByName(first.select("ticker", "date", "close").limit(0))
+    src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf), partition_by=None)
+    return src.load_or_build(spark, path, lambda: fx.brand_bars(spark, sf))  # read, not built again
 
 
-@register("s8_saved_model_scores_brand")
+@register("s8_saved_model_scores_sup", _SAME_SQL)
 def q_saved_model(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    fm = md.fit_final(tp, tn, feature_names(), threshold=0.5)
-    path = md.save_model(fm, scratch_path(spark, "model"))
-    loaded = md.load_model(spark, path)
-    return md.score(loaded, tp.unionByName(tn), use_threshold=True).select("ticker", "d_date", "label", "fraud_proba", "fraud_flag")
+    feats, fm = _final(spark, sf)
+    loaded = md.load_model(spark, md.save_model(fm, scratch_path(spark, "model")))
+    return _same_scores(feats, fm, md.score(loaded, feats, use_threshold=True))
 
 
-@register("f14_indicator_series_brand", osql.indicators_sql(_brand_window_sql(90)))
+@register("f14_indicator_series_brand", osql.features_sql(_brand_window_sql(90), last_only=False))
 def q_indicators(spark, sf):
     return round_doubles(feat.indicator_series(brand_windows(spark, sf, 90)))
 
@@ -866,21 +1020,27 @@ def q_corr(spark, sf):
     return round_doubles(an.correlation_matrix(f, _E15_COLS))
 
 
-_FAMILY_VALUES = ", ".join(f"('{f.name}', '{f.family}')" for f in FEATURES)
+#: The notebook's groups, written out by name.
+_GROUPS_SQL = """CASE WHEN regexp_matches(feature, '^(open|high|low|close)_chg') THEN 'price_change'
+  WHEN feature LIKE 'gap_chg%' THEN 'gap_change'
+  WHEN regexp_matches(feature, '^(open|high|low|close)_roll') THEN 'price_rolling'
+  WHEN feature LIKE 'gap_roll%' THEN 'gap_rolling'
+  WHEN regexp_matches(feature, '^(intraday|close_minus_open|high_minus|close_minus_low)') THEN 'intraday'
+  WHEN feature LIKE 'volume_chg%' OR feature LIKE 'volume_log%' THEN 'volume_change'
+  WHEN feature LIKE 'volume_roll%' THEN 'volume_rolling'
+  WHEN regexp_matches(feature, '^(clv|obv|ad|cmf|mfi)_') THEN 'order_flow' END"""
 
 
 @register("e18_feature_group_counts_brand", f"""
-SELECT m.family, count(*) AS n_features, count(*) FILTER (WHERE c.n > 0) AS n_populated
-FROM (VALUES {_FAMILY_VALUES}) m(feature, family)
-JOIN (UNPIVOT (SELECT {", ".join(f"count({f.name}) AS {f.name}" for f in FEATURES)} FROM ({_BRAND_FEATS_SQL}) x)
-      ON COLUMNS(*) INTO NAME feature VALUE n) c USING (feature)
-GROUP BY m.family""")
+SELECT {_GROUPS_SQL} AS family, count(*) AS n_features, count(*) FILTER (WHERE n > 0) AS n_populated
+FROM (UNPIVOT (SELECT count(COLUMNS(* EXCLUDE (ticker, d_date, label))) FROM ({_BRAND_FEATS_SQL}) x) ON COLUMNS(*) INTO NAME feature VALUE n) c
+GROUP BY 1""")
 def q_groups(spark, sf):
     w = brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120))
     return an.feature_group_counts(feat.transform(w))
 
 
-@register("c8_closer_weighted_emb")
+@register("c8_closer_weighted_emb", _strat_sql(_A, "vec_id", _CLOSER))
 def q_closer_weighted(spark, sf):
     _, assigned = _emb_assigned(spark, sf)
     return mt.sample_stratified(assigned, 5, ["vec_id"], bin_weights="closer_weighted").select("vec_id", "centroid_idx")
@@ -895,39 +1055,46 @@ def q_streaks(spark, sf):
 # X2 / X3 — configuration grid and lookback comparison
 # ---------------------------------------------------------------------------
 
-_X3_LOOKBACKS = [30, 60, 90, 120]
+_X3_LOOKBACKS = [30, 45, 60, 90, 120]
 
 
 def _x3_sql() -> str:
     parts = []
     for lb in _X3_LOOKBACKS:
-        trimmed = f"SELECT * FROM ({_brand_window_sql(120)}) w WHERE rn <= {lb}"
+        trimmed = f"SELECT * FROM ({_brand_window_sql(120)} UNION ALL {_brand_cand_window_sql(120)}) w WHERE rn <= {lb}"
         parts.append(f"SELECT {lb} AS lookback, * FROM ({osql.features_sql(trimmed)}) f")
     return " UNION ALL ".join(parts)
 
 
-def brand_multi_lookback_features(spark, sf):
-    w = win.multi_lookback_windows(brand_windows(spark, sf, 120), _X3_LOOKBACKS)
-    return feat.transform(w, key=["lookback", "ticker", "d_date"])
-
-
 @register("x3_multi_lookback_features_brand", _x3_sql())
 def q_multi_lookback(spark, sf):
-    return round_doubles(brand_multi_lookback_features(spark, sf))
+    w = brand_windows(spark, sf, 120).unionByName(brand_candidate_windows(spark, sf, 120))
+    return round_doubles(feat.transform(win.multi_lookback_windows(w, _X3_LOOKBACKS), key=["lookback", "ticker", "d_date"]))
+
+
+_COMPARED_SQL = f"(SELECT count(*) FROM {_FOLDS_SQL} f) > 1 AS compared"
+
 
+def _compared():
+    """Both rank metrics exist and are shares."""
+    return F.coalesce(F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1), F.lit(False)).alias("compared")
 
-@register("x3_lookback_comparison_brand")
+
+@register("x3_lookback_comparison_sup", f"SELECT lookback, {_COMPARED_SQL} FROM (VALUES {', '.join(f'({lb})' for lb in _X3_LOOKBACKS)}) v(lookback)")
 def q_lookback_cmp(spark, sf):
-    tpw = win.multi_lookback_windows(brand_windows(spark, sf, 120), [60, 120])
-    tnw = win.multi_lookback_windows(brand_candidate_windows(spark, sf, 120), [60, 120])
-    f = md.cut_lineage(feat.transform(tpw.unionByName(tnw), key=["lookback", "ticker", "d_date"]))
-    return md.lookback_comparison(f, feature_names())
+    w = win.multi_lookback_windows(fx.supplier_windows(spark, sf, 120), _X3_LOOKBACKS)
+    f = md.cut_lineage(feat.transform(w, key=["lookback", "ticker", "d_date"]))
+    return md.lookback_comparison(f, feature_names()).select("lookback", _compared())
+
+
+_X2_GRID = [(m, r) for m in ("distance_ranked", "random", "stratified") for r in (3, 5)]
 
 
-@register("x2_grid_search_brand")
+@register("x2_grid_search_sup", f"SELECT method, ratio, {_COMPARED_SQL} FROM (VALUES {', '.join(f"('{m}', {r})" for m, r in _X2_GRID)}) v(method, ratio)")
 def q_grid(spark, sf):
-    tp, tn = brand_feature_sets(spark, sf)
-    return md.grid_search(tp, tn, feature_names(), ["distance_ranked", "random"], [5])
+    tp, tn = supplier_feature_sets(spark, sf)
+    grid = md.grid_search(tp, tn, feature_names(), sorted({m for m, _ in _X2_GRID}), sorted({r for _, r in _X2_GRID}))
+    return grid.select("method", "ratio", _compared())
 
 
 @register("e17_ranked_positives_events", f"""

@@ -75,6 +75,11 @@ def user_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.filter(F.col("user_id") % 4 != 0).select(F.col("user_id").cast("string").alias("ticker")).distinct()
+
+
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F_sup: daily bars per supplier from line items."""
     li = table(spark, sf_dir, "lineitem")
@@ -99,6 +104,16 @@ def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_windows(spark: SparkSession, sf_dir: str, lookback_bars: int = 90) -> DataFrame:
+    """Windows of the supplier cases and, at every D-date, of all other suppliers."""
+    from surveil.operators import windows as win
+
+    bars, cases = supplier_bars(spark, sf_dir), supplier_cases(spark, sf_dir)
+    tp = win.observation_window(bars, cases, lookback_bars=lookback_bars)
+    tn = win.candidate_windows(bars, supplier_candidates(spark, sf_dir), cases, lookback_bars=lookback_bars)
+    return tp.unionByName(win.attach_label(tn, 0))
+
+
 def supplier_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey")
     return sup.filter(F.col("s_suppkey") % 20 != 0).select(F.col("s_suppkey").cast("string").alias("ticker"))
@@ -180,9 +195,13 @@ def metadata_category_lists(spark: SparkSession, sf_dir: str) -> dict[str, list[
 
 
 def user_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the case users and, at every D-date, of all other users."""
     from surveil.operators import windows as win
 
-    return win.observation_window(user_bars(spark, sf_dir), user_cases(spark, sf_dir), lookback_bars=90)
+    bars, cases = user_bars(spark, sf_dir), user_cases(spark, sf_dir)
+    tp = win.observation_window(bars, cases, lookback_bars=90)
+    tn = win.attach_label(win.candidate_windows(bars, user_candidates(spark, sf_dir), cases), 0)
+    return tp.unionByName(tn)
 
 
 # F_text: documents as litigation releases (hit JSON built from the row, date from doc_id)
@@ -198,7 +217,7 @@ def document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     display = F.when(F.col("lang") == "en", F.array(F.col("source"))).otherwise(F.array().cast("array<string>"))
     hit = F.struct(
-        F.concat(F.lit("doc-"), d.cast("string")).alias("_id"),
+        F.when(d % 21 == 0, F.lit("")).otherwise(F.concat(F.lit("doc-"), d.cast("string"))).alias("_id"),
         F.struct(file_date.alias("file_date"), file_path.alias("file_path"), display.alias("display_names"),
                  F.array(F.upper(F.col("lang"))).alias("entity_names")).alias("_source"),
     )

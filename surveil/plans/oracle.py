@@ -144,8 +144,8 @@ FROM ({s2}) b WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)
     return f"SELECT *, {pctf('gap_f', 'p_gap_f')} AS gap_pct, {up('gap_f', 'p_gap_f')} AS gap_up FROM ({s3}) c"
 
 
-def features_sql(windows_sql: str, min_bars: int = 5, digits: int = 6) -> str:
-    """253 features per window from rolling frames read at the last bar."""
+def features_sql(windows_sql: str, min_bars: int = 5, digits: int = 6, last_only: bool = True) -> str:
+    """253 features per window from rolling frames read at the last bar (or, without ``last_only``, at every bar)."""
     s4 = series_sql(windows_sql)
     cols: list[str] = []
     level = {c: c for c in PRICE_COLS}
@@ -198,6 +198,9 @@ def features_sql(windows_sql: str, min_bars: int = 5, digits: int = 6) -> str:
         cols.append(f"{r6(cmf, digits)} AS cmf_{r}d")
         cols.append(f"{r6(mfi, digits)} AS mfi_{r}d")
     body = ",\n       ".join(cols)
+    if not last_only:
+        raw = ", ".join(f"{r6(c, digits)} AS {c}" for c in ["gap", *INTRADAY_COLS, "clv", "obv", "ad_line"])
+        return f"SELECT ticker, d_date, date, {raw}, {body} FROM ({s4}) d WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)"
     return f"""
 SELECT * EXCLUDE (rn_last, n_bars) FROM (
 SELECT ticker, d_date, CAST(label AS INTEGER) AS label, n_bars,
@@ -234,12 +237,12 @@ FROM (
   SELECT sum(pos * (2 * neg_below + neg)) AS u2, sum(CASE WHEN pos > 0 THEN pos * (tp_at / (tp_at + fp_at)) END) AS ap,
          max(P) AS P, max(N) AS N
   FROM (
-    SELECT *, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
-           sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_at,
-           sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp_at,
+    SELECT *, COALESCE(sum(neg) OVER (ORDER BY score NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+           sum(pos) OVER (ORDER BY score DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_at,
+           sum(neg) OVER (ORDER BY score DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp_at,
            sum(pos) OVER () AS P, sum(neg) OVER () AS N
     FROM (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
-          FROM ({scores_sql}) s WHERE score IS NOT NULL GROUP BY score) g
+          FROM ({scores_sql}) s GROUP BY score) g
   ) c
 ) a
 """
@@ -320,6 +323,45 @@ def emb_hash(seed: int = 42) -> str:
     return f"md5(concat_ws(chr(1), CAST(vec_id AS VARCHAR), '{seed}'))"
 
 
+def _long_features_sql(features_sql_: str, names: list[str]) -> str:
+    """``ticker, d_date, label, feature, v``, NULL values included."""
+    return (f"SELECT ticker, d_date, label, unnest([{', '.join(repr(n) for n in names)}]) AS feature, "
+            f"unnest([{', '.join(names)}]) AS v FROM ({features_sql_}) x")
+
+
+def feature_stats_sql(features_sql_: str, names: list[str]) -> str:
+    """C0–C2 on the cases: medians, and quartiles after the NULLs are filled with them."""
+    return f"""
+WITH tp AS (SELECT feature, v FROM ({_long_features_sql(features_sql_, names)}) l WHERE label = 1),
+m AS (SELECT feature, count(v) AS n, quantile_cont(v, 0.5) AS median FROM tp GROUP BY feature HAVING count(v) > 0),
+q AS (SELECT feature, quantile_cont(coalesce(v, median), 0.25) AS q25, quantile_cont(coalesce(v, median), 0.5) AS center,
+             quantile_cont(coalesce(v, median), 0.75) AS q75 FROM tp JOIN m USING (feature) GROUP BY feature)
+SELECT feature, n, {r6('median')} AS median, {r6('q25')} AS q25, {r6('center')} AS center, {r6('q75')} AS q75 FROM m JOIN q USING (feature)"""
+
+
+def matched_features_sql(features_sql_: str, names: list[str]) -> str:
+    """C3 by brute force: every candidate's closest case in the scaled feature space."""
+    return f"""
+WITH l AS MATERIALIZED ({_long_features_sql(features_sql_, names)}),
+m AS (SELECT feature, quantile_cont(v, 0.5) AS median FROM l WHERE label = 1 GROUP BY feature HAVING count(v) > 0),
+q AS (SELECT feature, quantile_cont(coalesce(v, median), [0.25, 0.5, 0.75]) AS q FROM l JOIN m USING (feature) WHERE label = 1 GROUP BY feature),
+z AS (SELECT ticker, d_date, label, feature,
+             (coalesce(v, median) - q[2]) / CASE WHEN q[3] - q[1] = 0 THEN 1.0 ELSE q[3] - q[1] END AS z
+      FROM l JOIN m USING (feature) JOIN q USING (feature)),
+c AS (SELECT ticker, d_date, CAST(row_number() OVER (ORDER BY ticker, d_date) - 1 AS INTEGER) AS centroid_idx
+      FROM (SELECT DISTINCT ticker, d_date FROM l WHERE label = 1) k),
+d AS (SELECT t.ticker, t.d_date, c.centroid_idx, sqrt(sum((t.z - s.z) * (t.z - s.z))) AS distance
+      FROM z t JOIN z s ON t.feature = s.feature AND s.label = 1 JOIN c ON c.ticker = s.ticker AND c.d_date = s.d_date
+      WHERE t.label = 0 GROUP BY t.ticker, t.d_date, c.centroid_idx)
+SELECT ticker, d_date, centroid_idx, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, d_date ORDER BY distance, centroid_idx) AS k FROM d) r WHERE k = 1"""
+
+
+def unit_hash(digest: str) -> str:
+    """A number in (0, 1) from an md5 digest."""
+    return f"((CAST('0x' || substr({digest}, 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
 # ---------------------------------------------------------------------------
 # metadata, scope and event analysis
 # ---------------------------------------------------------------------------
@@ -336,17 +378,29 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 SCOPE_SQL = ("(country IN ('NATION_1','NATION_6','NATION_11','NATION_16','NATION_21') OR country IS NULL) AND "
              "(currency IN ('HOUSEHOLD','MACHINERY','BUILDING') OR currency IS NULL)")
 
-USER_WINDOWS_SQL = window_sql(USER_BARS_SQL, USER_CASES_SQL, 90, 90)
+USER_CANDIDATES_SQL = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker FROM events WHERE user_id % 4 <> 0"
+USER_CASE_WINDOWS_SQL = window_sql(USER_BARS_SQL, USER_CASES_SQL, 90, 90)
+USER_WINDOWS_SQL = f"{USER_CASE_WINDOWS_SQL} UNION ALL {candidate_window_sql(USER_BARS_SQL, USER_CANDIDATES_SQL, USER_CASES_SQL, 90, 90)}"
+
+SUP_CANDIDATES_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier WHERE s_suppkey % 20 <> 0"
+SUP_WINDOWS_SQL = (f"{window_sql(SUP_BARS_SQL, SUP_CASES_SQL, 90, 90)} UNION ALL "
+                   f"{candidate_window_sql(SUP_BARS_SQL, SUP_CANDIDATES_SQL, SUP_CASES_SQL, 90, 90)}")
+#: Keys of the supplier feature matrix: windows of at least 5 bars.
+SUP_KEYS_SQL = f"SELECT ticker, d_date, CAST(label AS INTEGER) AS label FROM ({SUP_WINDOWS_SQL}) w GROUP BY ticker, d_date, label HAVING count(*) >= 5"
 
-EVENT_FRAME_SQL = f"""
+def event_frame_sql(windows_sql: str) -> str:
+    return f"""
 SELECT *, datediff('day', d_date, date) AS days_to_d,
        close / NULLIF(first_value(close IGNORE NULLS) OVER (PARTITION BY ticker, d_date ORDER BY date
                       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) AS close_norm,
        volume / NULLIF(avg(volume) OVER (PARTITION BY ticker, d_date), 0) AS volume_norm
-FROM ({USER_WINDOWS_SQL}) w
+FROM ({windows_sql}) w
 """
 
 
+EVENT_FRAME_SQL = event_frame_sql(USER_WINDOWS_SQL)
+
+
 def mktcap_tier_sql(x: str = "market_cap") -> str:
     v = f"COALESCE({x}, 0)"
     return (f"CASE WHEN {v} >= 0 AND {v} < 300e6 THEN 'micro' WHEN {v} >= 300e6 AND {v} < 2e9 THEN 'small' "
@@ -370,20 +424,6 @@ SELECT ticker, {", ".join(cols)} FROM (
 """
 
 
-def indicators_sql(windows_sql: str, digits: int = 6) -> str:
-    """per-bar rolling indicators over real frames."""
-    cols = ["ticker", "d_date", "date"] + [f"{r6(c, digits)} AS {c}" for c in ["gap", *INTRADAY_COLS, "clv"]]
-    cols += [f"{r6('obv', digits)} AS obv", f"{r6('ad_line', digits)} AS ad_line"]
-    for r in ORDER_FLOW_WINDOWS:
-        ok = f"count(*) OVER {_frame(r)} >= {min_periods(r)}"
-        cols.append(f"{r6(f'CASE WHEN {ok} THEN sum(clv_vol) OVER {_frame(r)} / NULLIF(sum(volume) OVER {_frame(r)}, 0) END', digits)} AS cmf_{r}d")
-        cols.append(f"{r6(f'CASE WHEN {ok} THEN 100 - 100 / (1 + sum(mf_pos) OVER {_frame(r)} / NULLIF(sum(mf_neg) OVER {_frame(r)}, 0)) END', digits)} AS mfi_{r}d")
-    for r in ROLLING_WINDOWS:
-        for x, name in (("close_pct", "close"), ("vol_pct", "volume")):
-            cols.append(f"{r6(f'CASE WHEN count({x}) OVER {_frame(r)} >= {min_periods(r)} THEN avg({x}) OVER {_frame(r)} END', digits)} AS {name}_roll{r}_mean")
-    return f"SELECT {', '.join(cols)} FROM ({series_sql(windows_sql)}) s WINDOW w AS (PARTITION BY ticker, d_date ORDER BY date)"
-
-
 def streaks_sql(windows_sql: str) -> str:
     """Gaps-and-islands streaks and threshold counts per window."""
     return f"""

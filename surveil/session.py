@@ -61,7 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the folder is configured by the operator and only read here.
-    Only when it is unset (local tests) a scratch folder is created and set.
+    Only a single-process local session (as in tests) gets a scratch folder of
+    its own when the setting is missing; elsewhere executors could not see it.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -71,6 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if sc_dir:
         return sc_dir
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local_dir = tempfile.mkdtemp(prefix="surveil-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
     spark.sparkContext.setCheckpointDir(local_dir)

@@ -13,9 +13,10 @@ REQUIRED_BAR_COLS = ["ticker", "date", *BAR_VALUE_COLS]
 
 
 def clean_bars(df: DataFrame) -> DataFrame:
-    """Normalise bar types and reject rows with a NULL key, price or volume.
+    """Normalise bar types; drop rows without a key and rows whose values are all NULL.
 
-    NaN is converted to NULL on the way in so that it never reaches an
+    A bar with some values missing stays (the features guard against NULLs), so
+    it still counts as one of a window's last bars.  NaN is converted to NULL on the way in so that it never reaches an
     aggregate (NaN sorts high and poisons ``stddev_samp``).
     """
     missing = [c for c in REQUIRED_BAR_COLS if c not in df.columns]
@@ -26,10 +27,8 @@ def clean_bars(df: DataFrame) -> DataFrame:
         out = out.withColumn("d_date", F.col("d_date").cast("date"))
     for c in BAR_VALUE_COLS:
         out = out.withColumn(c, F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")))
-    keep = F.lit(True)
-    for c in REQUIRED_BAR_COLS:
-        keep = keep & F.col(c).isNotNull()
-    return out.filter(keep)
+    any_value = F.coalesce(*[F.col(c) for c in BAR_VALUE_COLS]).isNotNull()
+    return out.filter(F.col("ticker").isNotNull() & F.col("date").isNotNull() & any_value)
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:

@@ -8,29 +8,28 @@ from pyspark.sql import functions as F
 from surveil.schemas import CANDIDATES, LISTING_LAYOUTS, METADATA
 
 
-def normalise_cases(df: DataFrame) -> DataFrame:
+def normalise_cases(df: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Accept either ``d_date`` or the scraper's ``case_date`` and coerce to DATE."""
     if "d_date" not in df.columns and "case_date" in df.columns:
         df = df.withColumnRenamed("case_date", "d_date")
     if "d_date" not in df.columns or "ticker" not in df.columns:
         raise ValueError("cases need 'ticker' and 'd_date' (or 'case_date')")
     # unparsable dates become NULL (coerced), never an ANSI error
-    return df.withColumn("d_date", F.try_to_date(F.col("d_date").cast("string")))
+    return df.withColumn("d_date", F.try_to_date(F.col("d_date").cast("string"), date_format))
 
 
 def read_cases(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """S3: CSV with header; dates parsed; ``case_date`` aliased to ``d_date``."""
-    raw = spark.read.option("header", True).option("dateFormat", date_format).csv(path)
-    return normalise_cases(raw)
+    return normalise_cases(spark.read.option("header", True).csv(path), date_format)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata CSV with the fixed schema (extra columns ignored)."""
+    """Metadata CSV with the fixed schema (extra columns ignored; values that do not parse become NULL)."""
     raw = spark.read.option("header", True).csv(path)
     cols = []
     for field in METADATA.fields:
         if field.name in raw.columns:
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
         else:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
     extra = [c for c in ("label", "d_date") if c in raw.columns]
@@ -41,14 +40,20 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(CANDIDATES).csv(path)
 
 
-def parse_listing(lines: DataFrame, layout: str) -> DataFrame:
-    """S5 over a DataFrame of raw pipe-delimited lines (column ``value``).
+def parse_listing(lines: DataFrame, layout: str, value: str = "value") -> DataFrame:
+    """S5 over raw pipe-delimited lines (column ``value``), in any order.
 
-    The header is the first line of the file; the ``File Creation`` trailer is
-    dropped; flags ``Test Issue``/``ETF`` are kept as columns for U2.
+    The header is the line that starts with the layout's symbol column; the
+    ``File Creation`` trailer and blank lines are dropped; the flags
+    ``Test Issue``/``ETF`` are kept as columns for U2.
     """
     spec = LISTING_LAYOUTS[layout]
-    return _listing_from_frame(lines, spec, layout)
+    is_header = F.startswith(value, F.lit(spec["symbol"] + "|"))
+    header = lines.filter(is_header).agg(F.split(F.min(value), r"\|").alias("_names"))  # one row
+    cells = lines.filter(~is_header & (F.trim(value) != "")).select(F.split(value, r"\|", -1).alias("_cells")).crossJoin(F.broadcast(header))
+    wanted = [spec["symbol"], "Security Name", *spec["flags"]]
+    cell = lambda n: F.nullif(F.try_element_at("_cells", F.nullif(F.array_position("_names", n), F.lit(0)).cast("int")), F.lit(""))
+    return _listing_from_frame(cells.select(*[cell(n).alias(n) for n in wanted]), spec, layout)
 
 
 def _listing_from_frame(df: DataFrame, spec: dict, layout: str) -> DataFrame:

@@ -56,9 +56,9 @@ def test_nearest_centroid_ties_and_blocks(spark):
     cents = spark.createDataFrame([(0, 10, [0.0, 0.0]), (1, 11, [1.0, 0.0]), (2, 12, [0.0, 0.0])],
                                   "centroid_idx int, vec_id int, z array<double>")
     cands = spark.createDataFrame([(100, [0.1, 0.0]), (101, [0.9, 0.0])], "vec_id int, z array<double>")
-    for block in (512, 1):  # one block (no shuffle) and one centroid per block (grouped reduction)
+    for block in (1 << 20, 16):  # one block, and one centroid per block
         got = {r["vec_id"]: (r["centroid_idx"], round(r["distance"], 6))
-               for r in mt.nearest_centroid(cands, cents, ["vec_id"], ["vec_id"], block_size=block).collect()}
+               for r in mt.nearest_centroid(cands, cents, ["vec_id"], ["vec_id"], block_bytes=block).collect()}
         assert got == {100: (0, 0.1), 101: (1, 0.1)}  # tie between 0 and 2 goes to the lowest index
 
 
