@@ -6,6 +6,9 @@ damped by a logarithm).  Every language has several centroids, found by
 clustering its training vectors by cosine; a text gets the language of the
 closest centroid of all, and its score is that cosine.
 
+Centroids that drew few texts of their language, or mostly texts of others, are
+dropped: they stand for mixed or odd texts.
+
 Rejection by distance: each centroid keeps the cosine that all but
 ``REJECT_SHARE`` of its training texts reach; a text farther from its closest
 centroid than ``SLACK`` times that is reported as ``rejected``, with the
@@ -43,6 +46,8 @@ CENTROIDS = 4
 MAX_PER_LANGUAGE = 800
 ROUNDS = 10
 REJECT_SHARE = 0.01
+#: A centroid is kept if it drew at least this share of its language's training texts, most of all the texts it drew.
+LEAST_SHARE = 0.05
 SLACK = 0.5
 #: Code points that are counted at a time; trigrams do not cross such pieces.
 SLICE = 1 << 20
@@ -161,10 +166,36 @@ def train(docs: DataFrame, trainable: Column, max_per_language: int = MAX_PER_LA
 
     fitted = rows.groupBy("lang").applyInPandas(fit, "lang string, number int, centre binary, least double")
     found = fitted.orderBy("lang", "number").collect()  # k vectors of fixed size a language
+    found = [found[i] for i in _sound(rows, found, idf)]
     centres = np.array([np.frombuffer(r["centre"], dtype=np.float32) for r in found]).reshape(len(found), DIMENSIONS)
     return Model(idf, [r["lang"] for r in found], centres, np.array([r["least"] for r in found]))
 
 
+def _sound(rows: DataFrame, found: list, idf: np.ndarray) -> list[int]:
+    """The places of the centroids to keep, at least one for each language, by the training texts that each draws."""
+    languages = [r["lang"] for r in found]
+    centres = np.array([np.frombuffer(r["centre"], dtype=np.float32) for r in found]).reshape(len(found), DIMENSIONS)
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            best = []
+            for slots, counts in zip(pdf["slots"], pdf["found"]):
+                slots = np.asarray(slots, dtype=np.int64)
+                best.append(int((centres[:, slots] @ (np.log1p(np.asarray(counts)) * idf[slots])).argmax()))
+            yield pd.DataFrame({"lang": pdf["lang"], "best": best})
+
+    if not found:
+        return []
+    draws = {(r["best"], r["lang"]): r["count"] for r in
+             rows.mapInPandas(drawn, "lang string, best int").groupBy("best", "lang").count().collect()}
+    sizes = {lang: sum(n for (_, of), n in draws.items() if of == lang) for lang in languages}
+    own = [draws.get((i, lang), 0) for i, lang in enumerate(languages)]
+    whole = [sum(n for (j, _), n in draws.items() if j == i) for i in range(len(found))]
+    good = [2 * own[i] > whole[i] and own[i] >= LEAST_SHARE * sizes[lang] for i, lang in enumerate(languages)]
+    best = {lang: max((i for i, of in enumerate(languages) if of == lang), key=own.__getitem__) for lang in languages}
+    return [i for i, lang in enumerate(languages) if good[i] or i == best[lang]]
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

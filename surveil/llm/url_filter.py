@@ -97,7 +97,7 @@ def train(labelled: DataFrame) -> LogisticRegressionModel | None:
     if rows.isEmpty():
         return None
     return LogisticRegression(featuresCol="__features", labelCol="label", probabilityCol="__probability", rawPredictionCol="__raw",
-                              predictionCol="__prediction", maxIter=40, regParam=0.01).fit(rows)
+                              predictionCol="__prediction", maxIter=100, regParam=0.001).fit(rows)
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", labelled: DataFrame | None = None,
