@@ -67,3 +67,79 @@ def test_final_model_save_load_round_trip(spark):
     a = {r["ticker"] + str(r["d_date"]): r["fraud_proba"] for r in md.score(fm, f).collect()}
     b = {r["ticker"] + str(r["d_date"]): (r["fraud_proba"], r["fraud_flag"]) for r in md.score(loaded, f, use_threshold=True).collect()}
     assert all(abs(a[k] - b[k][0]) < 1e-12 and b[k][1] == int(b[k][0] >= 0.5) for k in a)
+
+
+def _with_empty_feature(spark):
+    """``f0`` never has a value, ``f2`` sometimes; the class depends on ``f3``."""
+    rng = np.random.default_rng(21)
+    dates = [dt.date(2020, 1, 1), dt.date(2020, 6, 1), dt.date(2021, 1, 1)]
+    rows = []
+    for k in range(60):
+        label = int(k % 6 == 0)
+        f2 = None if k % 4 == 0 else float(rng.normal())
+        f3 = None if k % 11 == 3 else float(rng.normal(5 * label, 0.5))
+        rows.append((f"T{k}", dates[k // 6 % 3], label, None, float(rng.normal()), f2, f3))
+    return spark.createDataFrame(rows, "ticker string, d_date date, label int, f0 double, f1 double, f2 double, f3 double")
+
+
+def test_importances_and_rules_name_the_features_that_the_tree_saw(spark):
+    f = _with_empty_feature(spark)
+    fm = md.fit_final(f.filter("label = 1"), f.filter("label = 0"), ["f0", "f1", "f2", "f3"], md.CVConfig(n_trees=10, ratio=3))
+    assert fm.tree_features == ["f1", "f2", "f3", fr.SCORE_COL]
+    top = fm.importances(spark, top=1).first()
+    assert top["feature"] in ("f3", fr.SCORE_COL) and top["importance"] > 0.4
+    assert "f0" not in " ".join(r["rule"] for r in fm.rules(spark).collect())
+
+
+def test_rules_reach_every_row_and_say_what_the_tree_says(spark):
+    f = _with_empty_feature(spark)
+    fm = md.fit_final(f.filter("label = 1"), f.filter("label = 0"), ["f0", "f1", "f2", "f3"], md.CVConfig(n_trees=10, ratio=3))
+    rules = fm.rules(spark).collect()
+    rows = md.score(fm, f).select("*", *[F.expr(r["rule"]).alias(f"r{i}") for i, r in enumerate(rules)]).collect()
+    assert any(r["f3"] is None for r in rows)
+    for r in rows:
+        met = [i for i in range(len(rules)) if r[f"r{i}"]]
+        assert len(met) == 1 and abs(rules[met[0]]["p_positive"] - r["fraud_proba"]) < 1e-12
+
+
+def test_training_run_picks_a_threshold_or_keeps_the_default(spark):
+    f = _with_empty_feature(spark)
+    names, cfg = ["f0", "f1", "f2", "f3"], md.CVConfig(n_trees=10, ratio=3)
+    run = md.train(f.filter("label = 1"), f.filter("label = 0"), names, cfg)
+    assert run.cv_metrics.first()["threshold"] == run.model.threshold and run.oof.count() == f.count()
+    # positives of one date only: nothing is left to train a fold on, so there is no evidence for a threshold
+    one_date = f.filter("label = 1 AND d_date = DATE '2020-01-01'")
+    run = md.train(one_date, f.filter("label = 0"), names, cfg)
+    assert run.cv_metrics is None and run.model.threshold == md.DEFAULT_THRESHOLD and run.oof.count() == 0
+
+
+def test_many_folds_agree_with_folds_trained_one_by_one(spark):
+    f = _with_empty_feature(spark)
+    names, cfg = ["f0", "f1", "f2", "f3"], md.CVConfig(n_trees=8, ratio=2)
+    tp, tn = f.filter("label = 1"), f.filter("label = 0")
+    oof = {(r["ticker"], r["d_date"]): r["pred_proba"] for r in md.cross_validate(tp, tn, names, cfg).collect()}
+    held = dt.date(2020, 6, 1)
+    fm = md.fit_final(tp.filter(F.col("d_date") != held), tn.filter(F.col("d_date") != held), names, cfg)
+    # the forest's random numbers follow the fold's name, so compare what does not depend on them
+    assert {k for k in oof if k[1] == held} == {(r["ticker"], r["d_date"]) for r in f.filter(F.col("d_date") == held).collect()}
+    assert fm.fill.index == [1, 2, 3]
+
+
+def test_forest_sampling_takes_the_smallest_hashes_of_every_tree(spark):
+    pts = _points(spark, n=3000, outliers=0)
+    got = fr.tree_samples(pts, ["id"], "z", n_trees=3, max_samples=64, seed=5).select("tree_id", "id").collect()
+    every = pts.select("id", F.explode(F.array(*[F.lit(t) for t in range(3)])).alias("tree_id")).withColumn("h", F.xxhash64("id", "tree_id", F.lit(5))).collect()
+    for t in range(3):
+        want = sorted((r["h"], r["id"]) for r in every if r["tree_id"] == t)[:64]
+        assert {r["id"] for r in got if r["tree_id"] == t} == {i for _, i in want}
+
+
+def test_nearest_uses_exact_distances(spark):
+    from surveil.operators import matching as mt
+
+    rng = np.random.default_rng(8)
+    points, cents = rng.normal(1e6, 1, (500, 20)), rng.normal(1e6, 1, (40, 20))
+    cents[7] = cents[3]
+    d2, at = mt.nearest(points, cents)
+    full = ((points[:, None] - cents[None]) ** 2).sum(axis=2)
+    assert (at == full.argmin(axis=1)).all() and np.array_equal(d2, full.min(axis=1)) and 7 not in at

@@ -19,9 +19,10 @@ from surveil.session import local_session  # noqa: E402
 SHOW = {
     "f0_features_sup_1000x1": bench.sup_one_date,
     "s2_bars_sup": bench.QUERIES["s2_bars_sup"],
-    "v6_sweep_lineitem (no rank metrics)": lambda s, sf: bench.met.threshold_sweep(bench.fx.lineitem_scores(s, sf), with_rank_metrics=False),
+    "v6_sweep_lineitem": bench.QUERIES["v6_sweep_lineitem"],
     "c3_nearest_centroid_emb": bench.nearest,
     "c7_stratified_emb": catalog.QUERIES["c7_c9_sample_stratified_emb"],
+    "e4_median_trajectory_user": catalog.QUERIES["e4_median_trajectory_user"],
     "p1_filter_scope_user": catalog.QUERIES["p1_filter_scope_user"],
     "a6_build_cases": catalog.QUERIES["a6_build_cases"],
 }
@@ -30,15 +31,17 @@ SHOW = {
 NOTES = {
     "f0_features_sup_1000x1": "Data-sized shuffles: the tick→bar aggregation and the single (ticker, d_date) exchange after the "
     "bucketed range join (WindowGroupLimit on both sides keeps ≤ lookback bars per window before the shuffle). The per-bar "
-    "windows, the per-(window, size) aggregate and the map collect all reuse that partitioning. The other two shuffles are "
-    "the distinct candidate list and the one-row date literal. The D-date window is pushed into the parquet scan, and the "
-    "candidate semi-join sits below the bar aggregation.",
+    "windows, the per-(window, size) aggregate and the map collect all reuse that partitioning. The D-date window is pushed "
+    "into the parquet scan, and the candidate semi-join sits below the bar aggregation.",
     "s2_bars_sup": "Partial sort aggregate → one shuffle on (ticker, date) → final aggregate (struct orderings keep open/close exact).",
-    "v6_sweep_lineitem (no rank metrics)": "One scan: partial count per (threshold bucket, label), then ≤ 100 rows for the suffix sums.",
-    "c3_nearest_centroid_emb": "Candidates never shuffle: the centroid block table is broadcast (size-checked) and the distance "
-    "argmin is a per-row higher-order expression.",
-    "c7_stratified_emb": "Bins, per-bin ranks, top-up and small-pool fallback are windows over the same centroid partition.",
-    "p1_filter_scope_user": "Scoped metadata tickers are broadcast to a semi-join after a bounded size check.",
+    "v6_sweep_lineitem": "Raw rows are shuffled once, already counted per distinct score. Threshold buckets are summed from that table; the "
+    "rank metrics order it by two levels of cells, whose tables (≤ 4,097 rows) are broadcast; a row sort only happens inside a cell. "
+    "No job runs while the plan is built.",
+    "c3_nearest_centroid_emb": "Candidates never shuffle: centroids are broadcast in blocks of bounded bytes, an Arrow UDF keeps the running minimum.",
+    "c7_stratified_emb": "Ranks run inside (centroid, bin) or under a group limit; bin edges come from the exact distributed quantiles.",
+    "e4_median_trajectory_user": "A sketch brackets the wanted ranks, values outside are clamped to the bracket, equal values are counted, "
+    "and the exact percentile sees (value, count) pairs only.",
+    "p1_filter_scope_user": "A plain semi-join: the planner broadcasts the ticker list where its real size allows it.",
     "a6_build_cases": "First hit per (ticker, date) as a partial min_by aggregate; one shuffle plus the final sort.",
 }
 
