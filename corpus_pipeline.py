@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveil.llm import decontaminate, mixing, quality, sharding, simhash
-from surveil.llm.common import join_decisions, stage, table, with_row_key
+from surveil.llm.common import bound_batches, join_decisions, stage, table, with_row_key
 from surveil.llm.queries import N_SHARDS, held_out
 from surveil.session import ensure_checkpoint_dir, ship_package
 
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    bound_batches(spark)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveil.session import scratch_path
+from surveil.session import stage_table as stage  # noqa: F401
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -22,15 +22,15 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the cluster's shared folder and read it back.
+#: Rows of texts that a Python worker is sent at a time, unless the session says otherwise.
+BATCH_ROWS = "1000"
 
-    Cuts lineage like ``checkpoint()`` but keeps the columns compressed and the
-    size known to the optimiser; a lost executor only costs the tasks it ran.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower Spark's default number of rows in an Arrow batch, which is meant for numbers, to one for texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -42,7 +42,7 @@ SCALE = 30.0
 THRESHOLD = 0.3
 #: Code points that are read at a time; n-grams do not cross such pieces.
 SLICE = 1 << 20
-CACHE = 400_000
+CACHE = 100_000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _SAME, _PUNCTUATION = 6, 7

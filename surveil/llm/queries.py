@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from surveil.llm import (
     chat_format, decontaminate, exact_dedup, langid, mixing, passages, quality, sharding, simhash, url_filter)
-from surveil.llm.common import stage, table
+from surveil.llm.common import bound_batches, stage, table
 from surveil.llm.oracle import CHAT_SQL, DECONTAMINATION_SQL, EXACT_SQL, MIXING_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +22,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bound_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
