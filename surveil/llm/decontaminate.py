@@ -32,9 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from surveil.llm.common import stage
+
 WINDOW = 10
-#: Words of the benchmark in one automaton (which has two states a word at most).
-BLOCK_WORDS = 500_000
+#: Words of the benchmark in one automaton, at most about (it has two states a word at most).
+BLOCK_WORDS = 100_000
+#: Automata that the documents stream past before they are staged, so that few Python workers run at a time.
+BLOCKS_AT_A_TIME = 4
 #: Documents with a larger share of hit words are dropped, not cut.
 MAX_COVERAGE = 0.5
 
@@ -184,7 +188,7 @@ def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") ->
     docs = docs.drop(*name.values())
     schema = StructType([*docs.schema.fields, *(StructField(name[k], kind) for k, kind in kinds.items())])
     out = docs.withColumns({name[k]: (F.lit(0) if kind == LongType() else F.array()).cast(kind) for k, kind in kinds.items()})
-    for block in blocks:
+    for n, block in enumerate(blocks):
         def matched(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             automaton = block.value
             for pdf in batches:
@@ -199,6 +203,8 @@ def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") ->
                 yield pdf.assign(**{name["n_words"]: sizes, name["spans"]: spans, name["items"]: items, name["longest"]: longest})
 
         out = out.mapInPandas(matched, schema)
+        if (n + 1) % BLOCKS_AT_A_TIME == 0 and n + 1 < len(blocks):
+            out = stage(out, "decontaminate-blocks")
     return out
 
 
