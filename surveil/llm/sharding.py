@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveil.llm.common import shuffle_partitions, stage
@@ -90,6 +90,18 @@ def block_sizes(n_rows: int, n_shards: int, n_blocks: int) -> list[tuple[int, in
     return out
 
 
+def places_upto(sums: Column, value: Column, n: int) -> Column:
+    """How many of ``n`` ascending numbers are at most ``value``, by binary search."""
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        more, less = F.get(sums, mid) <= value, F.get(sums, mid) > value
+        return F.struct(F.when((at["low"] < at["high"]) & more, mid + 1).otherwise(at["low"]).alias("low"),
+                        F.when((at["low"] < at["high"]) & less, mid).otherwise(at["high"]).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(n).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(n, 1).bit_length())), start, halve)["low"]
+
+
 def shard_rows(rows: DataFrame, n_shards: int, seed: int = 42) -> DataFrame:
     """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard)."""
     spark = rows.sparkSession
@@ -109,7 +121,7 @@ def shard_rows(rows: DataFrame, n_shards: int, seed: int = 42) -> DataFrame:
     if len(sizes) * len(blocks) * 8 <= BROADCAST_BYTES:
         matrix = F.broadcast(matrix)
     dealt = local.join(matrix, "__part")
-    block = F.size(F.filter("__upto", lambda upto: upto <= F.col("__place")))
+    block = places_upto(F.col("__upto"), F.col("__place"), len(blocks))
     dealt = dealt.withColumn("__block", block).drop("__upto", "__part", "__place", "__deal")
     rank = F.row_number().over(Window.partitionBy("__block").orderBy("__order"))
     size, extra = divmod(total, n_shards)

@@ -22,6 +22,12 @@ def test_matrix_has_the_given_margins_and_law():
     assert abs(big - 10**7 / 11) < 10**4
 
 
+def test_binary_search_counts_the_sums_up_to_a_value(spark):
+    sums = [0, 0, 3, 3, 8, 9]
+    rows = spark.range(12).select(F.col("id"), sharding.places_upto(F.array(*[F.lit(v) for v in sums]), F.col("id"), len(sums)).alias("n")).collect()
+    assert all(r["n"] == sum(v <= r["id"] for v in sums) for r in rows)
+
+
 @pytest.mark.parametrize("n,shards", [(0, 4), (3, 8), (1000, 16), (1001, 7)])
 def test_shards_are_exact_and_slots_gapless(spark, n, shards):
     rows = spark.range(n, numPartitions=5).select(F.col("id").alias("doc_id"), F.lit("x").alias("shard"))
