@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,10 +46,25 @@ MAX_COVERAGE = 0.5
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
+#: Code points that are read at a time.
+SLICE = 1 << 20
+
+
+def word_slices(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text, slice by slice; no word is cut."""
+    rest = b""
+    for i in range(0, len(text or ""), SLICE):
+        raw = rest + text[i:i + SLICE].encode("utf-8", "surrogatepass").translate(_FOLD)
+        words, rest = raw.split(), b""
+        if words and raw[-1:] != b" " and i + SLICE < len(text):
+            rest = words.pop()
+        yield words
+    if rest:
+        yield [rest]
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+    return [w for part in word_slices(text) for w in part]
 
 
 class SuffixAutomaton:
@@ -116,14 +131,14 @@ class SuffixAutomaton:
             state = self.link[state]
         return state
 
-    def match(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
-        """Hit word spans (start, end), merged; the items with an occurring window; the longest match in words."""
+    def match(self, slices: Iterable[list[bytes]]) -> tuple[list[tuple[int, int]], set[str], int, int]:
+        """Hit word spans (start, end), merged; the items with an occurring window; the longest match; the number of words."""
         nxt, length, link, window, short = self.next, self.length, self.link, self.window, self.short
         spans: list[tuple[int, int]] = []
         found: set[str] = set()
         code = self.vocabulary.get
-        state = matched = longest = 0
-        for i, c in enumerate(map(code, words), 1):
+        state = matched = longest = i = 0
+        for i, c in enumerate((c for words in slices for c in map(code, words)), 1):
             if c is None:
                 state = matched = 0
                 continue
@@ -151,7 +166,7 @@ class SuffixAutomaton:
                 while spans and spans[-1][1] >= start:
                     start = min(start, spans.pop()[0])
                 spans.append((start, i))
-        return spans, found, longest
+        return spans, found, longest, i
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -194,10 +209,9 @@ def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") ->
             for pdf in batches:
                 sizes, spans, items, longest = [], [], [], []
                 for t, old, had, top in zip(pdf[text], *(pdf[name[k]] for k in ("spans", "items", "longest"))):
-                    words = words_of(t)
-                    got, found, most = automaton.match(words)
+                    got, found, most, size = automaton.match(word_slices(t))
                     longest.append(max(most, top))
-                    sizes.append(len(words))
+                    sizes.append(size)
                     spans.append([{"start": a, "end": b} for a, b in merged([(s["start"], s["end"]) for s in old] + got)])
                     items.append(sorted(found.union(had)))
                 yield pdf.assign(**{name["n_words"]: sizes, name["spans"]: spans, name["items"]: items, name["longest"]: longest})
@@ -217,13 +231,16 @@ def item_digest(items: list[str]) -> str:
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the words of these spans; what separated them from the rest stays."""
+    """The text without the words of these (ordered) spans; what separated them from the rest stays."""
     raw = text.encode("utf-8", "surrogatepass")
-    places = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
-    out, at = [], 0
-    for a, b in spans:
-        out.append(raw[at:places[a][0]])
-        at = places[b - 1][1]
+    out, at, todo = [], 0, iter(spans)
+    start, end = next(todo, (-1, -1))
+    for n, word in enumerate(_WORD.finditer(raw.translate(_FOLD))):
+        if n == start:
+            out.append(raw[at:word.start()])
+        if n == end - 1:
+            at = word.end()
+            start, end = next(todo, (-1, -1))
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
@@ -244,8 +261,7 @@ def decontaminate(docs: DataFrame, blocks: list, max_coverage: float = MAX_COVER
                 todo = [(s["start"], s["end"]) for s in spans]
                 while todo:
                     t = cut_spans(t, todo)
-                    words = words_of(t)
-                    todo = merged([s for a in automata for s in a.match(words)[0]])
+                    todo = merged([s for a in automata for s in a.match(word_slices(t))[0]])
                 texts.append(t)
             yield pdf.assign(**{text: texts})[columns]
 

@@ -33,7 +33,9 @@ def test_automaton_matches_brute_force(seed):
     automaton = dc.SuffixAutomaton(items, window)
     for _ in range(5):
         words = [rnd.choice([*alphabet, b"z"]) for _ in range(rnd.randint(0, 40))]
-        spans, found, longest = automaton.match(words)
+        cut = rnd.randint(0, len(words))
+        spans, found, longest, size = automaton.match([words[:cut], words[cut:]])
+        assert size == len(words)
         hit, want = brute(items, words, window)
         assert {i for a, b in spans for i in range(a, b)} == hit and found == want
         assert spans == sorted(spans) and all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
@@ -42,7 +44,9 @@ def test_automaton_matches_brute_force(seed):
         assert longest == common
 
 
-def test_words_are_those_of_the_contract():
+@pytest.mark.parametrize("size", [1, 3, 1 << 20])
+def test_words_are_those_of_the_contract(monkeypatch, size):
+    monkeypatch.setattr(dc, "SLICE", size)
     for text in [None, "", "A-Z az 0_9 É1 ü\x7f{x} \x80 日本", "don't STOP\x00now"]:
         assert [w.decode() for w in dc.words_of(text)] == brute_words(text)
 
