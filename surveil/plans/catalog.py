@@ -824,11 +824,11 @@ _FM_HASH = "md5(concat_ws(chr(1), ticker, CAST(d_date AS VARCHAR), '42'))"
 
 def _feature_matrix(spark, sf):
     w = brand_windows(spark, sf, 90).unionByName(brand_candidate_windows(spark, sf, 90))
-    return mt.as_vector(round_doubles(feat.transform(w)), feature_names())
+    return mt.as_vector(md.cut_lineage(round_doubles(feat.transform(w))), feature_names())
 
 
 def _feature_match(spark, sf):
-    m = md.cut_lineage(_feature_matrix(spark, sf).select("ticker", "d_date", "label", "x"))
+    m = _feature_matrix(spark, sf).select("ticker", "d_date", "label", "x")
     tp = m.filter("label = 1")
     stats = mt.fit_scaler(tp)
     cents = mt.index_centroids(mt.apply_scaler(tp, stats), md.KEY)
