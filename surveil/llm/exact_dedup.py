@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -133,19 +133,21 @@ def differing_fingerprints(docs: DataFrame, groups: DataFrame, text: str = "text
 
 
 def group_copies(rows: DataFrame, differ: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Name every row's group.  ``differ``: fingerprints that cover several texts, to be split by digest."""
+    """Name every row's group (``row`` numbers the rows).  ``differ``: fingerprints that cover several texts, to be split by digest."""
     split = rows.join(differ.withColumn("_split", F.lit(True)), ["fp", "fp_len"], "left")
     split = split.withColumn("_digest", F.when(F.col("_split"), F.col("text_sha256")).otherwise(F.lit(""))).drop("_split")
     key = ["fp", "fp_len", "_digest"]
-    groups = split.groupBy(*key).agg(F.min(id_col).alias("keep_id"), F.count("*").alias("group_size"))
-    again = F.row_number().over(Window.partitionBy(*key, id_col).orderBy("text_sha256"))
-    kept = F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)
-    return split.withColumn("_again", again).join(groups, key).select(id_col, "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("row").alias("row"))).alias("first")
+    groups = split.groupBy(*key).agg(first, F.count("*").alias("group_size"))
+    # no window over a group: the planner can split the join of a hot one
+    return split.join(groups, key).select(
+        id_col, F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    rows = stage(fingerprints(docs, text, id_col), "exact-fingerprints")
+    # the numbers tell repeated rows apart; they are fixed by writing the table
+    rows = stage(fingerprints(docs, text, id_col).withColumn("row", F.monotonically_increasing_id()), "exact-fingerprints")
     copies = rows.groupBy("fp", "fp_len").count().filter("count > 1").select("fp", "fp_len")
     differ = stage(differing_fingerprints(docs, copies, text), "exact-differ")
     return group_copies(rows, differ, id_col)

@@ -68,7 +68,7 @@ def test_differing_texts_under_one_fingerprint_are_found_and_split(spark):
     prints = ed.fingerprints(docs)
     assert ed.differing_fingerprints(docs, prints.select("fp", "fp_len").distinct()).count() == 0
     # as if 1, 2 and 3 had collided
-    forged = prints.withColumn("fp", F.when(F.col("doc_id") < 4, 5).otherwise(6)).withColumn("fp_len", F.lit(1).cast("long"))
+    forged = prints.withColumn("fp", F.when(F.col("doc_id") < 4, 5).otherwise(6)).withColumn("fp_len", F.lit(1).cast("long")).withColumn("row", F.monotonically_increasing_id())
     differ = spark.createDataFrame([(5, 1)], "fp long, fp_len long")
     got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in ed.group_copies(forged, differ).collect()}
     assert got == {1: (1, 2, True), 2: (1, 2, False), 3: (3, 1, True), 4: (4, 1, True)}
