@@ -138,8 +138,8 @@ def group_copies(rows: DataFrame, differ: DataFrame, id_col: str = "doc_id") ->
     split = split.withColumn("_digest", F.when(F.col("_split"), F.col("text_sha256")).otherwise(F.lit(""))).drop("_split")
     key = ["fp", "fp_len", "_digest"]
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("row").alias("row"))).alias("first")
-    groups = split.groupBy(*key).agg(first, F.count("*").alias("group_size"))
-    # no window over a group: the planner can split the join of a hot one
+    # no window over a group, and the groups in a table of their own: so the planner can split the join of a hot one
+    groups = stage(split.groupBy(*key).agg(first, F.count("*").alias("group_size")), "exact-groups")
     return split.join(groups, key).select(
         id_col, F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
