@@ -148,6 +148,6 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id"
     """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
     # the numbers tell repeated rows apart; they are fixed by writing the table
     rows = stage(fingerprints(docs, text, id_col).withColumn("row", F.monotonically_increasing_id()), "exact-fingerprints")
-    copies = rows.groupBy("fp", "fp_len").count().filter("count > 1").select("fp", "fp_len")
+    copies = stage(rows.groupBy("fp", "fp_len").count().filter("count > 1").select("fp", "fp_len"), "exact-copies")
     differ = stage(differing_fingerprints(docs, copies, text), "exact-differ")
     return group_copies(rows, differ, id_col)
