@@ -83,20 +83,26 @@ def _features(urls: DataFrame) -> DataFrame:
 
 
 def labelled_sample(urls: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """At most ``max_labelled`` distinct (host, path, verdict) of each verdict, in hash order."""
+    """At most ``max_labelled`` distinct (host, path, verdict) of each verdict, in hash order.
+
+    ``weight`` is how many of its verdict a row stands for, so that the mix of the
+    verdicts is that of all rows whatever the sample leaves out.
+    """
     known = urls.filter(F.col("verdict").isin(ALLOW, BLOCK)).select("host", "path", "verdict").distinct()
     order = [F.xxhash64("host", "path"), "host", "path"]
-    return known.filter(F.col("verdict") == ALLOW).orderBy(*order).limit(max_labelled).unionByName(
+    sample = known.filter(F.col("verdict") == ALLOW).orderBy(*order).limit(max_labelled).unionByName(
         known.filter(F.col("verdict") == BLOCK).orderBy(*order).limit(max_labelled))
+    counts = known.groupBy("verdict").agg(F.greatest(F.count("*") / max_labelled, F.lit(1.0)).alias("weight"))
+    return sample.join(F.broadcast(counts), "verdict")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel | None:
-    """Fit the bounded labelled sample, in a fixed order so that reruns agree; None if there is nothing to fit."""
+    """Fit the bounded labelled sample by its weights, in a fixed order so that reruns agree; None if there is nothing to fit."""
     rows = labelled.withColumn("label", (F.col("verdict") == BLOCK).cast("double"))
     rows = _features(rows).repartition(1).sortWithinPartitions("host", "path", "verdict")
     if rows.isEmpty():
         return None
-    return LogisticRegression(featuresCol="__features", labelCol="label", probabilityCol="__probability", rawPredictionCol="__raw",
+    return LogisticRegression(featuresCol="__features", labelCol="label", weightCol="weight", probabilityCol="__probability", rawPredictionCol="__raw",
                               predictionCol="__prediction", maxIter=100, regParam=0.001).fit(rows)
 
 
