@@ -33,6 +33,11 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def with_ids(rows: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with their ``__id`` (ids travel to Python as text, as pandas turns longs with nulls into floats) as in ``docs``."""
+    return rows.withColumn("__id", F.col("__id").cast(docs.schema[id_col].dataType)).withColumnRenamed("__id", id_col)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

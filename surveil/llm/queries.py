@@ -6,13 +6,15 @@ derives the contract's columns from the operator's output.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveil.llm import (
-    chat_format, decontaminate, exact_dedup, langid, mixing, passages, quality, sharding, simhash, url_filter)
+    alignment, chat_format, decontaminate, exact_dedup, langid, mixing, passages, periodic, pieces, quality, sharding, simhash,
+    url_filter)
 from surveil.llm.common import bound_batches, stage, table
 from surveil.llm.oracle import CHAT_SQL, DECONTAMINATION_SQL, EXACT_SQL, MIXING_SQL
 
@@ -129,3 +131,49 @@ def q_language(spark, sf):
 @register("op10_exact_dedup", EXACT_SQL)
 def q_exact(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
+A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op11_align_tokenizers")
+def q_align(spark, sf):
+    found, _ = alignment.align(table(spark, sf, "documents"), vocabulary_path(A_VOCABULARY), vocabulary_path(B_VOCABULARY))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def tiled(words: list[bytes], doc_id: str | None) -> list[bytes]:
+    """The contract's words: in one document of ten, those from some word on repeat with a period."""
+    if not words or doc_id is None or (h := zlib.crc32(doc_id.encode())) % 10:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@register("op12_periodic_runs")
+def q_periodic(spark, sf):
+    found = periodic.periodic_runs(table(spark, sf, "documents"), prepare=tiled)
+    rows = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(rows, lambda r: F.concat(r, F.lit("\n"))), "")
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
+    found = found.withColumn("best", F.array_min(order))
+    length, period = -F.col("best.l"), F.col("best.p")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op13_sentencepiece")
+def q_pieces(spark, sf):
+    coded = pieces.encode_decode(table(spark, sf, "documents"), vocabulary_path(B_VOCABULARY))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
