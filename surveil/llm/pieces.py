@@ -24,6 +24,9 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+import sys
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from surveil.llm.common import with_ids
 
 #: Code points that are encoded at a time.
 SLICE = 1 << 20
-#: Cuts of texts that a worker remembers.
+#: Cuts of texts that a worker remembers, and as many older ones.
 REMEMBERED = 400_000
 SPACE_SYMBOL = "▁"
 #: A text that any normalisation but the identity would change.
@@ -46,10 +49,14 @@ _PROBE = "  a\tﬁ Ω Ａ́ "
 codecs.register_error("replace-each-byte", lambda e: ("\ufffd", e.start + 1))
 
 
-class Vocabulary:
-    """The pieces of a model: scores, ids and bytes, with a space for the space symbol."""
+class Vocabulary(dict):
+    """The pieces of a model: scores, ids and bytes, with a space for the space symbol.
+
+    As a dictionary it remembers the packed ids of cuts.
+    """
 
     def __init__(self, proto: bytes):
+        super().__init__()
         self.library = lib = sentencepiece.SentencePieceProcessor(model_proto=proto)
         if lib.normalize(_PROBE) != SPACE_SYMBOL + _PROBE.replace(" ", SPACE_SYMBOL):
             raise ValueError("only models that keep texts as they are and put a space before them are supported")
@@ -72,65 +79,85 @@ class Vocabulary:
         self.bytes[lib.unk_id()] = " \u2047 ".encode()
         self.spaced = {i for i in normal if self.bytes[i][:1] == b" "}
         self.cuts = self._cuts()
-        self._remembered: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _cuts(self) -> re.Pattern | None:
-        """A pattern of stretches that no piece reaches out of, or None if pieces hold spaces inside."""
-        long = [p for p in self.ids if len(p) > 1]
-        if any(" " in p.lstrip(" ") for p in long):
-            return None
-        inside = set("".join(long))
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside and c != 32)
-        return re.compile(f" *[^ {alone}]+| +|[{alone}]+")
+        """A pattern of stretches that no piece reaches out of, or None if pieces hold spaces inside.
 
-    def merged(self, text: str) -> list[str]:
-        """The symbols that remain when the agenda is empty."""
+        ASCII characters are cut off that stand beside no other in any piece, and those that never stand beside letters.
+        """
+        long = [p.lstrip(" ") for p in self.ids if len(p) > 1]
+        if any(" " in p for p in long):
+            return None
+        beside: dict[str, set[str]] = defaultdict(set)
+        for p in long:
+            for c, d in zip(p, p[1:]):
+                beside[c].add(d)
+                beside[d].add(c)
+        letters, todo = {"a"}, ["a"]
+        while todo:
+            fresh = beside[todo.pop()] - letters
+            letters |= fresh
+            todo += fresh
+        starts = {p[0] for p in long if p} | {" "}  # some follow a space in a piece
+        others = [chr(c) for c in range(128) if chr(c) not in letters and c != 32]
+        alone = "".join(re.escape(c) for c in others if not beside[c] and c not in starts)
+        marks = "".join(re.escape(c) for c in others if beside[c] or c in starts)
+        parts = [f" *[^ {alone}{marks}]+", *[f" *[{marks}]+"] * bool(marks), " +", *[f"[{alone}]+"] * bool(alone)]
+        return re.compile("|".join(parts))
+
+    def merged(self, text: str) -> list[str | None]:
+        """The symbols that remain when the agenda is empty, each at the place of its first character."""
         n = len(text)
         symbols: list[str | None] = list(text)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        order = self.order.get
-        agenda = [k << 32 | i for i in range(n - 1) if (k := order(text[i:i + 2])) is not None]
+        begins = list(range(n))  # at a symbol's last character: where it begins
+        order, push, shift = self.order.get, heapq.heappush, n.bit_length()
+        places = (1 << shift) - 1
+        agenda = [k << shift | i for i in range(n - 1) if (k := order(text[i:i + 2])) is not None]
         heapq.heapify(agenda)
         while agenda:
             best = heapq.heappop(agenda)
-            i = best & 0xFFFFFFFF
-            left, j = symbols[i], after[i]
-            if left is None or j >= n:
+            i = best & places
+            left = symbols[i]
+            if left is None:
+                continue
+            j = i + len(left)
+            if j >= n:
                 continue
             both = left + symbols[j]
-            if order(both) != best >> 32:  # one of the two has been merged since
+            if order(both) != best >> shift:  # one of the two has been merged since
                 continue
             symbols[i], symbols[j] = both, None
-            after[i] = j = after[j]
-            if j < n:
-                before[j] = i
-                if (k := order(both + symbols[j])) is not None:
-                    heapq.heappush(agenda, k << 32 | i)
-            h = before[i]
-            if h >= 0 and (k := order(symbols[h] + both)) is not None:
-                heapq.heappush(agenda, k << 32 | h)
-        return [s for s in symbols if s is not None]
-
-    def _cut_ids(self, cut: str) -> bytes:
-        out: list[int] = []
-        for symbol in self.merged(cut):
-            known = self.ids.get(symbol)
-            if known is None:
-                out += [self.of_byte[b] for b in symbol.encode()]
-            else:
-                out.append(known)
-        return np.array(out, dtype="<u4").tobytes()
+            j = i + len(both)
+            begins[j - 1] = i
+            if j < n and (k := order(both + symbols[j])) is not None:
+                push(agenda, k << shift | i)
+            if i and (k := order(symbols[h := begins[i - 1]] + both)) is not None:
+                push(agenda, k << shift | h)
+        return symbols
+
+    def __missing__(self, cut: str) -> bytes:
+        """Packed ids of a cut that is not remembered."""
+        ids = self._older.get(cut)
+        if ids is None:
+            symbols = list(filter(None, self.merged(cut)))
+            try:
+                ids = array("I", map(self.ids.__getitem__, symbols))
+            except KeyError:  # characters that are no piece become their bytes
+                ids = array("I", [i for s in symbols for i in ([self.ids[s]] if s in self.ids else map(self.of_byte.get, s.encode()))])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
+        self[cut] = ids
+        return ids
 
     def slice_ids(self, text: str) -> bytes:
         """Packed ids of a slice with a space before it."""
         text = " " + text.replace(SPACE_SYMBOL, " ")
-        cuts, known = self.cuts.findall(text) if self.cuts else [text], self._remembered
-        if len(known) > REMEMBERED:
-            known.clear()
-        for cut in cuts:
-            if cut not in known:
-                known[cut] = self._cut_ids(cut)
-        return b"".join([known[cut] for cut in cuts])
+        if len(self) > REMEMBERED:  # what is used again moves back from the older ones
+            self._older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.cuts.findall(text) if self.cuts else [text]))
 
     def slices(self, text: str) -> Iterator[str]:
         """Pieces of the text, each to be encoded with a space before it: a text is cut at, and without, single spaces."""
