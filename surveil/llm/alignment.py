@@ -18,7 +18,7 @@ sums are added by row.  The highest count of every id of B is a vector as long a
 
 Ids need at most four bytes.  A's merges are run by tiktoken (built from the same file)
 where its pattern's classes of characters cannot differ between libraries, that is on texts of
-characters below U+0250, and by the tokenizers library on all others.
+Latin letters and common punctuation, and by the tokenizers library on all others.
 
 Defined cases: texts that are null or empty, or whose tokens' bytes are not the space and the
 text, have no tokens, zeros and an empty group string; null ids are kept; repeated rows count
@@ -33,7 +33,7 @@ import math
 import os
 import re
 from collections.abc import Iterator
-from functools import cached_property, reduce
+from functools import cache, cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from surveil.llm.common import stage, with_ids
 from surveil.llm.perfect_hash import PerfectHash, bucket_of, build
+from surveil.llm.pieces import packed
 
 #: Pairs of a block, which travels to all tasks, at most; and of a bucket on average.
 BLOCK_KEYS = 2_000_000
@@ -51,8 +52,9 @@ BUCKET_KEYS = 8_192
 REMEMBERED = 1_000_000
 #: Code points that are encoded, and tokens that are aligned, together, unless one text has more.
 ENCODED = 1 << 18
-ALIGNED = 1 << 20
-_STABLE = re.compile("[^\x00-ɏ]")
+ALIGNED = 1 << 18
+#: Characters outside Latin letters, their accents and common punctuation, whose classes might differ between libraries.
+_UNSTABLE = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 #: Fixed value: the pattern that byte-level vocabularies split texts by.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -68,35 +70,40 @@ class ByteLevel:
     """A byte-level vocabulary (a ``tokenizers`` JSON file); strings of special tokens are ordinary text."""
 
     def __init__(self, source: str):
+        self.source, whole = source, json.loads(source)
+        byte, model = _byte_of_character(), whole["model"]
+        vocab = model["vocab"]
+        added = {t["id"]: t["content"].encode() for t in whole["added_tokens"]}
+        self.bytes = [b""] * (max([*vocab.values(), *added]) + 1)
+        for token, i in vocab.items():
+            self.bytes[i] = added.get(i) or bytes(byte[c] for c in token)
+        for i, raw in added.items():
+            self.bytes[i] = raw
+        merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        self.n_ranks = 256 + len(model["merges"])
+        self.ranked = all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges)) and all(
+            len(raw) == 1 for raw in self.bytes[:256])
+
+    @cached_property
+    def whole(self):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
         from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_str(source)
-        self.whole.encode_special_tokens = True
-        byte, model = _byte_of_character(), json.loads(source)["model"]
-        vocab = self.whole.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            known = all(c in byte for c in token)
-            self.bytes[i] = bytes(byte[c] for c in token) if known else token.encode()
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        ranked = len(model["vocab"]) >= 256 + len(merges) and all(
-            model["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
-        self.fast = None
-        if ranked:
-            import tiktoken
-            ranks = {self.bytes[i]: i for i in range(256 + len(merges))}
-            self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        whole = Tokenizer.from_str(self.source)
+        whole.encode_special_tokens = True
+        return whole
+
+    @cached_property
+    def fast(self):
+        """The same merges by rank."""
+        import tiktoken
+        ranks = {raw: i for i, raw in enumerate(self.bytes[:self.n_ranks])}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(texts)
-        slow = [i for i, t in enumerate(texts) if self.fast is None or _STABLE.search(t)]
-        for i, found in zip(slow, self.whole.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)):
-            out[i] = found.ids
-        others = set(slow)
-        for i, t in enumerate(texts):
-            if i not in others:
-                out[i] = self.fast.encode_ordinary(t)
-        return out
+        slow = [not self.ranked or bool(_UNSTABLE.search(t)) for t in texts]
+        given = [t for t, s in zip(texts, slow) if s]
+        found = iter(self.whole.encode_batch_fast(given, add_special_tokens=False) if given else ())
+        return [next(found).ids if s else self.fast.encode_ordinary(t) for t, s in zip(texts, slow)]
 
 
 class PieceLevel:
@@ -131,65 +138,73 @@ class Tokenizers:
     def b(self) -> PieceLevel:
         return PieceLevel(self.sources[1])
 
-    @cached_property
-    def lengths(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.array(list(map(len, t.bytes)), dtype=np.int64) for t in (self.a, self.b))
-
-    @cached_property
-    def numerals(self) -> np.ndarray:
-        """Every id as text with a comma, a bar or a semicolon behind it."""
-        n = max(map(len, self.lengths))
-        return np.array([[f"{i}{mark}" for i in range(n)] for mark in ",|;"], dtype=object)
+    def lengths(self) -> list[np.ndarray]:
+        """The bytes of every id of A and of B."""
+        return [np.array(list(map(len, t.bytes)), dtype=np.int64) for t in (self.a, self.b)]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+    def encode(self, texts: list[str]) -> Iterator[list[bytes]]:
         """Packed ids of both; nothing where a tokenizer does not give the text back."""
         for a, b, text in zip(self.a.encode([" " + t for t in texts]), self.b.encode(texts), texts):
             body = b" " + text.encode()
-            same = text and all(b"".join([t.bytes[i] for i in ids]) == body for t, ids in ((self.a, a), (self.b, b)))
-            yield tuple(np.array(ids if same else [], dtype="<u4").tobytes() for ids in (a, b))
+            same = text and all(b"".join(map(t.bytes.__getitem__, ids)) == body for t, ids in ((self.a, a), (self.b, b)))
+            yield [packed(ids if same else []) for ids in (a, b)]
+
+
+@cache
+def _numerals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of 0 to n - 1 as rows of bytes with room for a mark behind them, and how long each is with it."""
+    width = len(str(n)) + 1
+    digits = np.array([b"%d" % i for i in range(n)], dtype=f"S{width}")
+    return digits.view(np.uint8).reshape(n, width), np.char.str_len(digits) + 1
 
 
 class Aligned:
-    """The links of some documents' tokens, laid end to end; a document's tokens have as many bytes in A as in B."""
+    """The links of some documents' tokens, laid end to end; a document's tokens have as many bytes in A as in B.
 
-    def __init__(self, tokens: Tokenizers, a: list[bytes], b: list[bytes]):
-        self.tokens = tokens
+    Stretches between neighbouring ends of tokens, of either side, are the links.
+    """
+
+    def __init__(self, lengths: list[np.ndarray], a, b):
+        self.lengths = lengths
         self.a, self.b = (np.frombuffer(b"".join(x), dtype="<u4").astype(np.int64) for x in (a, b))
         self.a_edges, self.b_edges = (np.cumsum([0, *[len(x) // 4 for x in side]]) for side in (a, b))
-        self.a_ends, self.b_ends = (np.cumsum(n[ids]) for n, ids in zip(tokens.lengths, (self.a, self.b)))
-        ends = np.union1d(self.a_ends, self.b_ends)  # each stretch between ends is one link
-        self.a_of, self.b_of = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        self.keys = self.a[self.a_of] << 32 | self.b[self.b_of]
+        ends = [np.cumsum(n[ids]) for n, ids in zip(lengths, (self.a, self.b))]
+        flags = np.zeros((2, int(ends[0][-1]) + 1 if len(self.a) else 1), dtype=bool)
+        flags[0, ends[0]] = flags[1, ends[1]] = True
+        at = np.flatnonzero(flags[0] | flags[1])
+        #: Whether a token of A, or of B, ends with the link.
+        self.a_here, self.b_here = flags[0, at], flags[1, at]
+        a_of, b_of = (np.cumsum(here) - here for here in (self.a_here, self.b_here))
+        self.keys = self.a[a_of] << 32 | self.b[b_of]
         #: Where each document's links begin.
-        self.edges = np.searchsorted(self.a_of, self.a_edges)
+        self.edges = np.concatenate([[0], np.flatnonzero(self.a_here) + 1])[self.a_edges]
 
-    @cached_property
-    def shared(self) -> np.ndarray:
-        return np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
+    def sums(self, per_link: np.ndarray) -> np.ndarray:
+        """The sum of a number per link for every document."""
+        total = np.concatenate([[0], np.cumsum(per_link)])
+        return np.diff(total[self.edges])
 
     def n_groups(self) -> np.ndarray:
-        n = np.searchsorted(self.shared, np.concatenate([[0], self.a_ends])[self.a_edges], side="right")
-        return np.diff(n)
+        return self.sums((self.a_here & self.b_here).astype(np.int64))
 
     def groups(self) -> list[str]:
         """Every document's groups, ``a1,a2|b1;a3|b2,b3``: a token's place is behind all tokens of the groups before, A first."""
-        last_a, last_b = np.searchsorted(self.a_ends, self.shared), np.searchsorted(self.b_ends, self.shared)
-        group_a, group_b = np.searchsorted(self.shared, self.a_ends), np.searchsorted(self.shared, self.b_ends)
-        first_b = np.concatenate([[0], last_b + 1])
-        place_a = np.arange(len(self.a)) + first_b[group_a]
-        place_b = np.arange(len(self.b)) + (last_a + 1)[group_b]
-        marks_a, marks_b = np.zeros(len(self.a), dtype=np.int64), np.zeros(len(self.b), dtype=np.int64)
-        marks_a[last_a], marks_b[last_b] = 1, 2
-        out = np.empty(len(self.a) + len(self.b), dtype=object)
-        out[place_a] = self.tokens.numerals[marks_a, self.a]
-        out[place_b] = self.tokens.numerals[marks_b, self.b]
-        cuts = (self.a_edges + self.b_edges).tolist()
-        return ["".join(out[i:j].tolist())[:-1] for i, j in zip(cuts, cuts[1:])]
-
-    def sums(self, per_link: np.ndarray) -> np.ndarray:
-        """The sum of a number per link for every document."""
-        total = np.concatenate([[0], np.cumsum(per_link)])
-        return np.diff(total[self.edges])
+        both = self.a_here & self.b_here
+        group = np.cumsum(both) - both
+        ends_a, ends_b = both[self.a_here], both[self.b_here]  # the last of their group
+        before_a = np.concatenate([[0], np.flatnonzero(ends_a) + 1])
+        before_b = np.concatenate([[0], np.flatnonzero(ends_b) + 1])
+        place_a = np.arange(len(self.a)) + before_b[group[self.a_here]]
+        place_b = np.arange(len(self.b)) + before_a[group[self.b_here] + 1]
+        ids, marks = (np.empty(len(self.a) + len(self.b), dtype=t) for t in (np.int64, np.uint8))
+        ids[place_a], ids[place_b] = self.a, self.b
+        marks[place_a], marks[place_b] = np.where(ends_a, ord("|"), ord(",")), np.where(ends_b, ord(";"), ord(","))
+        digits, sizes = _numerals(max(map(len, self.lengths)))
+        rows, sizes = digits[ids], sizes[ids]
+        rows[np.arange(len(ids)), sizes - 1] = marks
+        flat = rows[np.arange(rows.shape[1]) < sizes[:, None]].tobytes().decode("ascii")
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[self.a_edges + self.b_edges].tolist()
+        return [flat[i:max(j - 1, i)] for i, j in zip(cuts, cuts[1:])]
 
 
 def _portions(pdf: pd.DataFrame, size, limit: int) -> Iterator[pd.DataFrame]:
@@ -219,13 +234,14 @@ def tokenized(docs: DataFrame, tokens: Tokenizers, text: str, id_col: str) -> Da
     return rows.mapInPandas(encoded, "__row long, __id string, a binary, b binary")
 
 
-def distinct_pairs(tokens: DataFrame, given) -> DataFrame:
+def distinct_pairs(tokens: DataFrame, lengths) -> DataFrame:
     """Every pair of linked ids once: ``key`` (A's id in the upper half)."""
     def collected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = np.zeros(0, dtype=np.int64)
         for pdf in batches:
             for part in _parts(pdf):
-                fresh = np.setdiff1d(Aligned(given.value, part["a"], part["b"]).keys, known)
+                fresh = pd.unique(Aligned(lengths.value, part["a"], part["b"]).keys)
+                fresh = np.setdiff1d(fresh, known, assume_unique=True)
                 if len(fresh):
                     yield pd.DataFrame({"key": fresh})
                     known = np.union1d(known, fresh) if len(known) < REMEMBERED else fresh
@@ -257,7 +273,7 @@ def read_block(buckets: DataFrame, n_buckets: int, first: int, end: int) -> Perf
                        [np.frombuffer(r["keys"] if r else b"", dtype="<i8") for r in mine])
 
 
-def count_links(tokens: DataFrame, given, block) -> DataFrame:
+def count_links(tokens: DataFrame, lengths, block) -> DataFrame:
     """``bucket`` and its vector of counts: dense vectors of the tasks, summed in a tree of two levels."""
     spread = max(math.isqrt(len(tokens.inputFiles())), 1)
 
@@ -267,9 +283,9 @@ def count_links(tokens: DataFrame, given, block) -> DataFrame:
         for pdf in batches:
             seen = int(pdf["__row"].max()) if len(pdf) else seen
             for part in _parts(pdf):
-                keys, times = np.unique(Aligned(given.value, part["a"], part["b"]).keys, return_counts=True)
+                codes, keys = pd.factorize(Aligned(lengths.value, part["a"], part["b"]).keys)
                 at = table.index(keys)
-                counts[at[at >= 0]] += times[at >= 0]
+                counts[at[at >= 0]] += np.bincount(codes, minlength=len(keys))[at >= 0]
         for i in range(len(table.sizes)):
             piece = counts[table.edges[i]:table.edges[i + 1]]
             if piece.any():
@@ -296,14 +312,14 @@ def pair_counts(vectors: DataFrame, buckets: DataFrame) -> DataFrame:
     return vectors.join(buckets, "bucket").select("keys", "counts").mapInPandas(listed, "a int, b int, n long")
 
 
-def look_up(tokens: DataFrame, given, block, counts, best, first_block: bool) -> DataFrame:
+def look_up(tokens: DataFrame, lengths, block, counts, best, first_block: bool) -> DataFrame:
     """What every document has of the block's pairs: links that are their B id's most frequent, and the sum of counts."""
     def looked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, number, most = block.value, counts.value, best.value
         for pdf in batches:
             for part in _parts(pdf):
-                links = Aligned(given.value, part["a"], part["b"])
-                keys, back = np.unique(links.keys, return_inverse=True)
+                links = Aligned(lengths.value, part["a"], part["b"])
+                back, keys = pd.factorize(links.keys)
                 at = table.index(keys)
                 n = np.where(at >= 0, number[at], 0) if len(table) else np.zeros(len(keys), dtype=np.int64)
                 is_best = (at >= 0) & (n == most[keys & 0xFFFFFFFF])
@@ -324,9 +340,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col:
     sc = docs.sparkSession.sparkContext
     with open(a_path, encoding="utf-8") as f, open(b_path, "rb") as g:
         both = Tokenizers(f.read(), g.read())
-    given = sc.broadcast(both)
+    lengths = sc.broadcast(both.lengths())
     tokens = stage(tokenized(docs, both, text, id_col), "align-tokens")
-    keys = stage(distinct_pairs(tokens, given), "align-pairs")
+    keys = stage(distinct_pairs(tokens, lengths), "align-pairs")
     n_keys = keys.count()
     n_buckets = max(-(-n_keys // BUCKET_KEYS), 1)
     buckets = stage(hash_buckets(keys, n_buckets), "align-hash")
@@ -334,10 +350,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col:
     blocks, vectors = [], []
     for first in range(0, n_buckets, step):
         block = sc.broadcast(read_block(buckets, n_buckets, first, min(first + step, n_buckets)))
-        vectors.append(stage(count_links(tokens, given, block), "align-counts"))
+        vectors.append(stage(count_links(tokens, lengths, block), "align-counts"))
         blocks.append((first, block))
     pairs = reduce(DataFrame.unionByName, [pair_counts(v, buckets) for v in vectors])
-    most = np.zeros(len(both.lengths[1]), dtype=np.int64)  # one number for each id of B
+    most = np.zeros(len(lengths.value[1]), dtype=np.int64)  # one number for each id of B
     for b, n in pairs.groupBy("b").agg(F.max("n")).collect():
         most[b] = n
     best = sc.broadcast(most)
@@ -347,7 +363,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col:
         counts = np.zeros(len(table), dtype=np.int64)
         for bucket, packed in vector.select("bucket", "counts").collect():
             counts[table.edges[bucket - first]:table.edges[bucket - first + 1]] = np.frombuffer(packed, dtype="<i8")
-        found.append(look_up(tokens, given, block, sc.broadcast(counts), best, not found))
+        found.append(look_up(tokens, lengths, block, sc.broadcast(counts), best, not found))
     rows = found[0]
     if len(found) > 1:
         same = [F.max(c).alias(c) for c in ("__id", "n_a", "n_b", "n_groups", "n_links", "groups")]

@@ -49,6 +49,14 @@ _PROBE = "  a\tﬁ Ω Ａ́ "
 codecs.register_error("replace-each-byte", lambda e: ("\ufffd", e.start + 1))
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit integers, little-endian."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Vocabulary(dict):
     """The pieces of a model: scores, ids and bytes, with a space for the space symbol.
 
@@ -142,12 +150,10 @@ class Vocabulary(dict):
         if ids is None:
             symbols = list(filter(None, self.merged(cut)))
             try:
-                ids = array("I", map(self.ids.__getitem__, symbols))
+                ids = [self.ids[s] for s in symbols]
             except KeyError:  # characters that are no piece become their bytes
-                ids = array("I", [i for s in symbols for i in ([self.ids[s]] if s in self.ids else map(self.of_byte.get, s.encode()))])
-            if sys.byteorder == "big":
-                ids.byteswap()
-            ids = ids.tobytes()
+                ids = [i for s in symbols for i in ([self.ids[s]] if s in self.ids else map(self.of_byte.get, s.encode()))]
+            ids = packed(ids)
         self[cut] = ids
         return ids
 
@@ -175,11 +181,7 @@ class Vocabulary(dict):
     def encode(self, text: str) -> bytes:
         """Packed little-endian ids with begin and end."""
         body = b"".join(map(self.slice_ids, self.slices(text))) if text else b""
-        return self.packed([self.library.bos_id()]) + body + self.packed([self.library.eos_id()])
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        return packed([self.library.bos_id()]) + body + packed([self.library.eos_id()])
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids: each byte that is no UTF-8 becomes U+FFFD, the space put in front goes."""
@@ -193,7 +195,7 @@ class Vocabulary(dict):
         lib, at, back = self.library, 4, []
         for part in self.slices(text) if text else ():
             theirs = lib.encode(part, num_threads=1) if part else [self.ids[" "]]
-            mine = self.packed(theirs)
+            mine = packed(theirs)
             if ids[at:at + len(mine)] != mine:
                 return False
             at += len(mine)

@@ -109,8 +109,9 @@ def test_both_ways_to_encode_agree_where_the_fast_one_is_used():
         a = alignment.ByteLevel(f.read())
     assert a.fast is not None
     rnd = random.Random(8)
-    texts = ["".join(chr(rnd.randrange(0x250)) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    texts += [chr(i) + "a" + chr(i) * 2 + " 1" for i in range(0x250)] + ["it's we'll   x \n\n y", " <|endoftext|> "]
+    known = [chr(i) for i in range(0x2400) if not alignment._UNSTABLE.search(chr(i))]
+    texts = ["".join(rnd.choice(known) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    texts += [c + "a" + c * 2 + " 1" for c in known] + ["it's we'll   x \n\n y", " <|endoftext|> "]
     slow = [e.ids for e in a.whole.encode_batch_fast(texts, add_special_tokens=False)]
     assert a.encode(texts) == slow
     other = ["ابجد 日本 " + t for t in texts[:50]]

@@ -32,7 +32,7 @@ def test_agenda_is_the_librarys_encoding(model, library, monkeypatch, slice_size
         text = "".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 30)))
         theirs = library.encode(text, add_bos=True, add_eos=True)
         ids = model.encode(text)
-        assert ids == model.packed(theirs), text
+        assert ids == pieces.packed(theirs), text
         assert model.decode(ids) == library.decode(theirs), text
         assert model.library_agrees(text, ids, model.decode(ids))
 
@@ -40,14 +40,14 @@ def test_agenda_is_the_librarys_encoding(model, library, monkeypatch, slice_size
 def test_long_words_and_texts_need_no_cut(model, library):
     rnd = random.Random(3)
     for text in ("x" * 20_000, "".join(rnd.choice("abcdeé") for _ in range(20_000)), " " * 5000, "日" * 5000):
-        assert model.encode(text) == model.packed(library.encode(text, add_bos=True, add_eos=True))
+        assert model.encode(text) == pieces.packed(library.encode(text, add_bos=True, add_eos=True))
 
 
 def test_decoding_of_any_ids_is_the_librarys(model, library):
     rnd = random.Random(4)
     for _ in range(2000):
         ids = [rnd.randrange(3, 600) for _ in range(rnd.randint(0, 9))]
-        assert model.decode(model.packed(ids)) == library.decode(ids), ids
+        assert model.decode(pieces.packed(ids)) == library.decode(ids), ids
 
 
 def test_a_disagreement_is_reported(model):
