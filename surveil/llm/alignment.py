@@ -16,7 +16,7 @@ Only the functions, the pairs and the counts travel to all tasks, in blocks of a
 ``BLOCK_KEYS`` pairs (about 17 bytes each); more pairs take more passes, one a block, whose
 sums are added by row.  The highest count of every id of B is a vector as long as B's vocabulary.
 
-Ids need at most four bytes.  A's merges are run by tiktoken (built from the same file)
+Staged ids take two bytes where a vocabulary fits, else four.  A's merges are run by tiktoken (built from the same file)
 where its pattern's classes of characters cannot differ between libraries, that is on texts of
 Latin letters and common punctuation, and by the tokenizers library on all others.
 
@@ -43,7 +43,6 @@ from pyspark.sql import functions as F
 
 from surveil.llm.common import stage, with_ids
 from surveil.llm.perfect_hash import PerfectHash, bucket_of, build
-from surveil.llm.pieces import packed
 
 #: Pairs of a block, which travels to all tasks, at most; and of a bucket on average.
 BLOCK_KEYS = 2_000_000
@@ -52,7 +51,7 @@ BUCKET_KEYS = 8_192
 REMEMBERED = 1_000_000
 #: Code points that are encoded, and tokens that are aligned, together, unless one text has more.
 ENCODED = 1 << 18
-ALIGNED = 1 << 18
+ALIGNED = 1 << 16
 #: Characters outside Latin letters, their accents and common punctuation, whose classes might differ between libraries.
 _UNSTABLE = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 #: Fixed value: the pattern that byte-level vocabularies split texts by.
@@ -66,6 +65,11 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def packed_type(n_ids: int) -> str:
+    """The type of packed ids: two bytes where they suffice."""
+    return "<u2" if n_ids <= 1 << 16 else "<u4"
+
+
 class ByteLevel:
     """A byte-level vocabulary (a ``tokenizers`` JSON file); strings of special tokens are ordinary text."""
 
@@ -147,7 +151,7 @@ class Tokenizers:
         for a, b, text in zip(self.a.encode([" " + t for t in texts]), self.b.encode(texts), texts):
             body = b" " + text.encode()
             same = text and all(b"".join(map(t.bytes.__getitem__, ids)) == body for t, ids in ((self.a, a), (self.b, b)))
-            yield [packed(ids if same else []) for ids in (a, b)]
+            yield [np.array(ids if same else [], dtype=packed_type(len(t.bytes))).tobytes() for t, ids in ((self.a, a), (self.b, b))]
 
 
 @cache
@@ -166,8 +170,9 @@ class Aligned:
 
     def __init__(self, lengths: list[np.ndarray], a, b):
         self.lengths = lengths
-        self.a, self.b = (np.frombuffer(b"".join(x), dtype="<u4").astype(np.int64) for x in (a, b))
-        self.a_edges, self.b_edges = (np.cumsum([0, *[len(x) // 4 for x in side]]) for side in (a, b))
+        types = [np.dtype(packed_type(len(n))) for n in lengths]
+        self.a, self.b = (np.frombuffer(b"".join(x), dtype=t).astype(np.int64) for x, t in zip((a, b), types))
+        self.a_edges, self.b_edges = (np.cumsum([0, *[len(x) // t.itemsize for x in side]]) for side, t in zip((a, b), types))
         ends = [np.cumsum(n[ids]) for n, ids in zip(lengths, (self.a, self.b))]
         flags = np.zeros((2, int(ends[0][-1]) + 1 if len(self.a) else 1), dtype=bool)
         flags[0, ends[0]] = flags[1, ends[1]] = True
@@ -215,7 +220,7 @@ def _portions(pdf: pd.DataFrame, size, limit: int) -> Iterator[pd.DataFrame]:
 
 
 def _parts(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    return _portions(pdf, (pdf["a"].str.len() + pdf["b"].str.len()) // 4, ALIGNED)
+    return _portions(pdf, (pdf["a"].str.len() + pdf["b"].str.len()) // 2, ALIGNED)
 
 
 def tokenized(docs: DataFrame, tokens: Tokenizers, text: str, id_col: str) -> DataFrame:

@@ -163,7 +163,7 @@ class Vocabulary(dict):
         if len(self) > REMEMBERED:  # what is used again moves back from the older ones
             self._older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, self.cuts.findall(text) if self.cuts else [text]))
+        return b"".join([self[cut] for cut in (self.cuts.findall(text) if self.cuts else [text])])
 
     def slices(self, text: str) -> Iterator[str]:
         """Pieces of the text, each to be encoded with a space before it: a text is cut at, and without, single spaces."""
