@@ -28,6 +28,7 @@ import sys
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -41,7 +42,7 @@ from surveil.llm.common import with_ids
 #: Code points that are encoded at a time.
 SLICE = 1 << 20
 #: Cuts of texts that a worker remembers, and as many older ones.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 SPACE_SYMBOL = "▁"
 #: A text that any normalisation but the identity would change.
 _PROBE = "  a\tﬁ Ω Ａ́ "
@@ -121,7 +122,8 @@ class Vocabulary(dict):
         begins = list(range(n))  # at a symbol's last character: where it begins
         order, push, shift = self.order.get, heapq.heappush, n.bit_length()
         places = (1 << shift) - 1
-        agenda = [k << shift | i for i in range(n - 1) if (k := order(text[i:i + 2])) is not None]
+        pairs = map(order, map(add, text, text[1:]))
+        agenda = [k << shift | i for i, k in enumerate(pairs) if k is not None]
         heapq.heapify(agenda)
         while agenda:
             best = heapq.heappop(agenda)
@@ -148,11 +150,11 @@ class Vocabulary(dict):
         """Packed ids of a cut that is not remembered."""
         ids = self._older.get(cut)
         if ids is None:
-            symbols = list(filter(None, self.merged(cut)))
+            symbols = self.merged(cut)
             try:
-                ids = [self.ids[s] for s in symbols]
+                ids = [self.ids[s] for s in symbols if s]
             except KeyError:  # characters that are no piece become their bytes
-                ids = [i for s in symbols for i in ([self.ids[s]] if s in self.ids else map(self.of_byte.get, s.encode()))]
+                ids = [i for s in symbols if s for i in ([self.ids[s]] if s in self.ids else map(self.of_byte.get, s.encode()))]
             ids = packed(ids)
         self[cut] = ids
         return ids

@@ -6,8 +6,8 @@ title case, upper case, digits, the punctuation run itself, same word again), wi
 their share of all n-grams as value.  The score is the logistic function of the
 sparse dot product with the weights.
 
-Training runs on a bounded sample of the labelled rows (``max_per_class`` of
-each label, in hash order).  The sample is dealt over ``shards`` tasks; each
+Training runs on a bounded sample of the labelled rows (``max_labelled`` in hash
+order, both labels at one rate, so that their mix does not change with the table).  The sample is dealt over ``shards`` tasks; each
 makes ``epochs`` FTRL passes and the weights are averaged.  Only the weight
 vector, of fixed size, comes to the driver and is broadcast.
 
@@ -31,8 +31,8 @@ from pyspark.sql.functions import pandas_udf
 
 BITS = 18
 DIMENSIONS = 1 << BITS
-#: Labelled documents of each label that the model is fitted to, at most.
-MAX_PER_CLASS = 3000
+#: Labelled documents that the model is fitted to, at most.
+MAX_LABELLED = 6000
 SHARDS = 4
 EPOCHS = 3
 #: Follow-the-regularised-leader: learning rate, its smoothing, L1 and L2.
@@ -114,21 +114,20 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -
     return weights(np.arange(DIMENSIONS + 1))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, trainable: Column, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, trainable: Column, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``label``, ``text`` and ``place`` (hash order) of the bounded training sample."""
     agreed = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id")
               .agg(F.min("quality").alias("label"), F.max("quality").alias("_high")).filter("label = _high").drop("_high")
               .filter(trainable).withColumn("place", F.xxhash64("doc_id")))
-    # the ids of either label, so at most twice max_per_class rows: a bounded broadcast
-    ids = agreed.filter("label = 0").orderBy("place", "doc_id").limit(max_per_class).unionByName(
-        agreed.filter("label = 1").orderBy("place", "doc_id").limit(max_per_class))
+    # at most max_labelled rows: a bounded broadcast
+    ids = agreed.orderBy("place", "doc_id").limit(max_labelled)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, trainable: Column, max_per_class: int = MAX_PER_CLASS, shards: int = SHARDS,
+def train(docs: DataFrame, labels: DataFrame, trainable: Column, max_labelled: int = MAX_LABELLED, shards: int = SHARDS,
           epochs: int = EPOCHS) -> np.ndarray:
     """The averaged weights of the shards' models.  ``trainable`` is a condition on ``doc_id``."""
-    sample = labelled_sample(docs, labels, trainable, max_per_class)
+    sample = labelled_sample(docs, labels, trainable, max_labelled)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = _Codes()

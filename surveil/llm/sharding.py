@@ -1,12 +1,12 @@
 """Sharding by a hypergeometric communication matrix: a uniform shuffle with exact shard sizes.
 
-1. The rows are staged as a table; every input partition knows its row count.
+1. Every partition permutes its rows locally (no shuffle) and numbers them; the
+   numbered rows are staged as a table and counted by partition.
 2. Each shard is cut into blocks of known, nearly equal size.  How many rows of
    partition ``p`` go to block ``b`` is drawn exactly from the multivariate
    hypergeometric law, so rows and columns of the matrix add up to the
    partitions' and the blocks' sizes.
-3. Every partition permutes its rows locally (no shuffle) and deals them out by
-   its row of the matrix.
+3. Every row is dealt out by its number and its partition's row of the matrix.
 4. One exchange brings a block's rows together, and each block permutes them
    again; a row's slot is the block's offset plus its place.
 
@@ -15,9 +15,9 @@ most, and no task holds more than a block.  The matrix is drawn in two levels:
 the driver draws one row per group of partitions, tasks draw the partitions
 inside a group, so neither holds all of it.
 
-A task that runs again deals its rows as before (the staged files are read the
-same way and the numbers drawn follow the seed); another run may deal
-differently if its input files come in another order.
+A task that runs again, on whatever split of the staged files, deals its rows as
+before, for their numbers are in the table; another run may deal differently if
+its input files come in another order.
 
 Defined cases: null texts and ids are rows like others; repeated rows each get
 their own slot; an empty table gives an empty result; extra columns are kept, but
@@ -105,24 +105,24 @@ def places_upto(sums: Column, value: Column, n: int) -> Column:
 def shard_rows(rows: DataFrame, n_shards: int, seed: int = 42) -> DataFrame:
     """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard)."""
     spark = rows.sparkSession
-    staged = stage(rows.drop("shard", "slot"), "shard-rows")
-    part = F.spark_partition_id().alias("__part")
-    sizes = sorted((r[0], r[1]) for r in staged.select(part).groupBy("__part").count().collect())
+    # permuted locally and numbered before the table is written: later reads may split its files as they like
+    local = rows.drop("shard", "slot").withColumn("__deal", F.rand(seed)).withColumn("__order", F.rand(seed + 1))
+    local = local.sortWithinPartitions("__deal").withColumn("__place", F.monotonically_increasing_id()).drop("__deal")
+    staged = stage(local, "shard-rows")
+    # the number's upper bits are the partition, its lower 33 bits the row's place in it
+    staged = staged.withColumn("__part", F.shiftright("__place", 33).cast("int")).withColumn(
+        "__place", F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = sorted((r[0], r[1]) for r in staged.groupBy("__part").count().collect())
     total = sum(n for _, n in sizes)
     per_shard = max(-(-total // (n_shards * BLOCK_ROWS)), -(-shuffle_partitions(spark) // n_shards), 1)
     blocks = block_sizes(total, n_shards, per_shard)
     matrix = communication_matrix(spark, sizes, [b[2] for b in blocks], seed)
-
-    local = staged.withColumn("__deal", F.rand(seed)).withColumn("__order", F.rand(seed + 1)).sortWithinPartitions("__deal")
-    # the id's upper bits are the partition, its lower 33 bits the row's place in it
-    local = local.withColumn("__place", F.monotonically_increasing_id())
-    local = local.withColumn("__part", F.shiftright("__place", 33).cast("int")).withColumn(
-        "__place", F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)))
     if len(sizes) * len(blocks) * 8 <= BROADCAST_BYTES:
         matrix = F.broadcast(matrix)
-    dealt = local.join(matrix, "__part")
+    dealt = staged.join(matrix, "__part", "left").withColumn(
+        "__upto", F.coalesce("__upto", F.raise_error(F.lit("a partition that was not counted")).cast("array<bigint>")))
     block = places_upto(F.col("__upto"), F.col("__place"), len(blocks))
-    dealt = dealt.withColumn("__block", block).drop("__upto", "__part", "__place", "__deal")
+    dealt = dealt.withColumn("__block", block).drop("__upto", "__part", "__place")
     rank = F.row_number().over(Window.partitionBy("__block").orderBy("__order"))
     size, extra = divmod(total, n_shards)
     shard = F.floor(F.col("__block") / per_shard).cast("int")

@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveil.llm.common import ascii_lower
+from surveil.llm.common import ascii_lower, stage
 
 ALLOW, BLOCK = "allow", "block"
 NGRAMS = (2, 3, 4, 5)
@@ -88,12 +88,12 @@ def labelled_sample(urls: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFr
     ``weight`` is how many of its verdict a row stands for, so that the mix of the
     verdicts is that of all rows whatever the sample leaves out.
     """
-    known = urls.filter(F.col("verdict").isin(ALLOW, BLOCK)).select("host", "path", "verdict").distinct()
+    known = stage(urls.filter(F.col("verdict").isin(ALLOW, BLOCK)).select("host", "path", "verdict").distinct(), "url-verdicts")
     order = [F.xxhash64("host", "path"), "host", "path"]
     sample = known.filter(F.col("verdict") == ALLOW).orderBy(*order).limit(max_labelled).unionByName(
         known.filter(F.col("verdict") == BLOCK).orderBy(*order).limit(max_labelled))
     counts = known.groupBy("verdict").agg(F.greatest(F.count("*") / max_labelled, F.lit(1.0)).alias("weight"))
-    return sample.join(F.broadcast(counts), "verdict")
+    return stage(sample.join(F.broadcast(counts), "verdict"), "url-sample")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel | None:

@@ -36,6 +36,22 @@ def test_quality_learns_the_labels_and_repeats_itself(spark):
     assert all(abs(r["score"] - brute_score(r["text"], first)) < 1e-5 for r in rows)
 
 
+def test_the_mix_of_labels_and_the_scores_do_not_depend_on_the_cap(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 == 0, "!! ?? buy NOW now now").otherwise(
+        F.concat(F.lit("The word "), F.md5(F.col("id").cast("string")), F.lit(" was read."))).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 7 == 0, 0).otherwise(1).alias("quality"))
+    mixes = []
+    for cap in (500, 2000, 10_000):
+        counts = {r["label"]: r["count"] for r in quality.labelled_sample(docs, labels, F.lit(True), cap).groupBy("label").count().collect()}
+        assert sum(counts.values()) == min(cap, 4000)
+        mixes.append(counts[0] / sum(counts.values()))
+    assert max(mixes) - min(mixes) < 0.04
+    scores = [quality.score(docs.limit(50), quality.train(docs, labels, F.lit(True), cap), into="s").select("doc_id", "s").collect()
+              for cap in (1000, 4000)]
+    for a, b in zip(*map(sorted, scores)):
+        assert (a["s"] >= quality.THRESHOLD) == (b["s"] >= quality.THRESHOLD) == (a["doc_id"] % 7 != 0)
+
+
 def test_ftrl_sparsity_and_convergence():
     rows = [(np.array([0, 1]), np.array([1.0, 1.0]), 1), (np.array([2, 1]), np.array([1.0, 1.0]), 0)] * 50
     w = quality.ftrl(rows, 3)
@@ -56,6 +72,37 @@ def test_quality_of_awkward_rows(spark, wide):
     assert quality.score(docs_frame(spark, []), weights).count() == 0
 
 
+def plain_cosines(text, model):
+    """Cosines to all centroids with plain loops: words of letters, trigrams over their marked ends, hashed like the model's."""
+    words = "".join(c if c.isalpha() else " " for c in "".join(ch.lower() for ch in text)).split()
+    line, counts = " " + " ".join(words) + " ", {}
+    for a, b, c in zip(line, line[1:], line[2:]):
+        a, b, c = (langid._BLANK if x == " " else ord(x) for x in (a, b, c))
+        slot = ((a << 42 | b << 21 | c) * int(langid._MIX) % (1 << 64)) >> (64 - langid.BITS)
+        counts[slot] = counts.get(slot, 0) + 1
+    vector = {s: np.log1p(n) * model.idf[s] for s, n in counts.items()}
+    size = sum(v * v for v in vector.values()) ** 0.5
+    return [sum(v * float(centre[s]) for s, v in vector.items()) / size if size else 0.0 for centre in model.centres]
+
+
+def test_languages_are_those_of_the_nearest_centroid(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs, F.col("doc_id") % 4 != 2)
+    assert len(model.languages) == len(model.centres) > len(set(model.languages)) >= 2  # several centroids a language
+    rows = [r for r in langid.identify(docs.select("doc_id", "text"), model).collect() if r["text"] and len(r["text"]) < 4000][:300]
+    rows += [r for r in langid.identify(docs_frame(spark), model).collect() if r["text"] and len(r["text"]) < 4000]
+    for r in rows:
+        if not any(c.isalpha() for c in r["text"]):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cosines = plain_cosines(r["text"], model)
+        best = max(cosines)
+        assert abs(r["score"] - min(max(best, 0.0), 1.0)) < 1e-5
+        near = [i for i, c in enumerate(cosines) if c > best - 1e-6]
+        assert r["lang_pred"] in {model.languages[i] for i in near}
+        assert r["rejected"] in {bool(cosines[i] < model.limits[i]) for i in near}
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = QUERIES["op9_language_id"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").toPandas()

@@ -41,6 +41,30 @@ def test_shards_are_exact_and_slots_gapless(spark, n, shards):
     assert Counter(r["shard"] for r in again) == sizes
 
 
+def test_no_row_is_lost_when_the_staged_files_are_split_anew(spark):
+    names = ["spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"]
+    rows = spark.range(20_000, numPartitions=6).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 4).alias("text"))
+    seen = []
+    for now, later in (("1", "64"), ("64", "1")):
+        spark.conf.set(names[0], now)
+        spark.conf.set(names[1], "1")
+        got = sharding.shard_rows(rows, 16)
+        spark.conf.set(names[0], later)
+        spark.conf.set(names[2], "10000")
+        try:
+            found = got.select("doc_id", "shard", "slot").collect()
+        finally:
+            for name in names:
+                spark.conf.unset(name)
+        assert sorted(r["doc_id"] for r in found) == list(range(20_000))
+        sizes = Counter(r["shard"] for r in found)
+        assert sorted(sizes) == list(range(16)) and set(sizes.values()) == {1250}
+        for s in range(16):
+            assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(1250))
+        seen.append({r["doc_id"]: (r["shard"], r["slot"]) for r in found})
+    assert len(set(seen[0].values())) == 20_000
+
+
 def test_the_shuffle_is_uniform(spark):
     rows = spark.range(4000, numPartitions=4).withColumnRenamed("id", "doc_id")
     got = sharding.shard_rows(rows, 4, seed=5).collect()
