@@ -94,6 +94,26 @@ def dataset_summary(bars: DataFrame, meta: DataFrame | None = None) -> DataFrame
     return out
 
 
+def summary_cube(bars: DataFrame, meta: DataFrame, dims: Sequence[str], how: str = "cube") -> DataFrame:
+    """P6 for every combination of ``dims`` (``cube``) or their prefixes (``rollup``).
+
+    ``grouping_id`` tells a subtotal from a NULL category.  Tickers are counted once
+    in a first aggregate, so the expansion repeats one narrow row a ticker; the
+    exact medians aggregate counts of equal values before they are shuffled.
+    """
+    from surveil.operators.features import dedupe_metadata
+
+    per = bars.groupBy("ticker").agg(F.count("date").alias("_days"), F.max("label").alias("_tp"))
+    per = per.join(dedupe_metadata(meta).select("ticker", *dims), "ticker", "left").select(*dims, "_days", "_tp")
+    if how not in ("cube", "rollup"):
+        raise ValueError("how must be 'cube' or 'rollup'")
+    grouped = per.cube(*dims) if how == "cube" else per.rollup(*dims)
+    return grouped.agg(
+        F.grouping_id().alias("grouping_id"), F.count(F.lit(1)).alias("n_tickers"), F.count_if(F.col("_tp") == 1).alias("n_tp_tickers"),
+        F.sum("_days").alias("n_rows"), F.percentile("_days", 0.5).alias("median_days"),
+        F.min("_days").alias("min_days"), F.max("_days").alias("max_days"))
+
+
 def removed_keys(before: DataFrame, after: DataFrame, meta: DataFrame | None = None,
                  key: Sequence[str] = ("ticker",)) -> DataFrame:
     """Keys present before a filter and absent after it, with their metadata."""

@@ -82,9 +82,12 @@ def user_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F_sup: daily bars per supplier from line items."""
-    li = table(spark, sf_dir, "lineitem")
+    return supplier_bars_of(table(spark, sf_dir, "lineitem"))
+
+
+def supplier_bars_of(lines: DataFrame) -> DataFrame:
     return ticks_to_bars(
-        li,
+        lines,
         key="l_suppkey",
         ts="l_shipdate",
         price=F.col("l_extendedprice") / F.col("l_quantity"),
