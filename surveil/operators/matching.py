@@ -190,14 +190,14 @@ def distance_cutoff(assigned: DataFrame, pct: float | None) -> DataFrame:
     return join_groups(assigned, cut, []).filter(F.col("distance") <= F.col("_cut")[0]).drop("_cut")
 
 
-def _hash_order(key: Sequence[str], seed: int) -> Column:
+def hash_order(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
 
 
 def sample_random(pool: DataFrame, n: int, key: Sequence[str], seed: int = RANDOM_STATE,
                   by: Sequence[str] = ()) -> DataFrame:
     """``n`` per centroid in seeded hash order, without replacement (pool < n → whole pool)."""
-    w = Window.partitionBy(*by, "centroid_idx").orderBy(_hash_order(key, seed), *key)
+    w = Window.partitionBy(*by, "centroid_idx").orderBy(hash_order(key, seed), *key)
     return pool.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
@@ -246,9 +246,9 @@ def sample_stratified(
     binned = distance_bins(pool, n_bins, by)
     info = binned.groupBy(*part, "_bin").agg(F.count(F.lit(1)).alias("_n")).groupBy(*part).agg(
         F.sum("_n").alias("_pool"), F.count(F.lit(1)).alias("_bins"))
-    order = [_hash_order(key, seed), *key]
+    order = [hash_order(key, seed), *key]
     if bin_weights == "closer_weighted":
-        u = (F.conv(F.substring(_hash_order(key, seed), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+        u = (F.conv(F.substring(hash_order(key, seed), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
         order = [-F.log(u) * (F.col("distance") + F.lit(1e-9)), *key]
     drawn = join_groups(_first(binned, max(n, 1), [*part, "_bin"], order), info, part)
     chosen = drawn.filter((F.col("_pool") >= 2 * n_bins) & (F.col("_r") <= F.greatest(F.lit(1), F.floor(F.lit(n) / F.col("_bins")))))

@@ -4,12 +4,14 @@ Every fold leaves out one D-date; the final model is the fold that leaves out
 nothing, trained by the same code.
 
 * Matching keeps one row per candidate: the positives and the folds' scaler
-  statistics are broadcast in bounded blocks, a task measures its candidates
-  against every fold and emits only ``(fold, centroid, key, distance)``.
-* Vectors are fetched for the selected keys alone (at most cases × ratio a fold).
-* Statistics, forests and scores are grouped by ``fold`` in single jobs; the
-  training rows are written once, partitioned by fold, so the MLlib tree of a
-  fold reads only its own rows.
+  statistics are broadcast in bounded blocks; a task measures its candidates
+  against every fold and keeps only the best ``ratio`` of each (fold, centroid),
+  so at most tasks x folds x centroids x ratio rows are staged.  Stratified
+  selection needs the quantiles of all distances, hence a row per candidate and fold.
+* Vectors are fetched for the selected keys alone (at most cases x ratio a fold).
+* Statistics, forests, scores and trees of all folds, and of all settings of a
+  grid, come from single jobs grouped by (config, fold): their number does not
+  depend on either.  The final tree is MLlib's.
 * A test row belongs to one fold, that of its own D-date; it meets that fold's
   forest and tree in a cogroup, split by a salt.
 """
@@ -20,8 +22,8 @@ import datetime as dt
 import json
 import os
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,10 +46,14 @@ from surveil.functions.constants import (
 )
 from surveil.operators import forest as fr
 from surveil.operators import matching as mt
-from surveil.session import cut_lineage, scratch_path, ship_package
+from surveil.operators import trees as tr
+from surveil.session import cut_lineage, ship_package
 
 KEY = ["ticker", "d_date"]
 FOLD = "fold"
+CONFIG = "config"
+#: What a model is fitted for.
+GROUP = [CONFIG, FOLD]
 #: The fold that leaves out nothing: the final model.
 ALL = dt.date(1000, 1, 1)
 #: Folds whose scaler statistics travel in one broadcast.
@@ -102,6 +108,14 @@ def keyed_scale(df: DataFrame, stats: DataFrame, by: Sequence[str], vec: str = "
     return j.withColumn(out, z).drop("stats")
 
 
+def keyed_fill(df: DataFrame, stats: DataFrame, by: Sequence[str], width: int, vec: str = "x", out: str = "v") -> DataFrame:
+    """Impute ``vec`` with the medians of the row's group, places kept; features without values in training become 0."""
+    median = lambda i: F.get(F.filter("stats", lambda s: s["i"] == i), F.lit(0))["median"]
+    wide = stats.select(*by, F.transform(F.sequence(F.lit(0), F.lit(width - 1)), median).alias("_medians"))
+    filled = F.zip_with(vec, "_medians", lambda v, m: F.coalesce(v, m, F.lit(0.0)))
+    return df.join(wide, list(by)).withColumn(out, filled).drop("_medians")
+
+
 # ---------------------------------------------------------------------------
 # M9 — folds
 # ---------------------------------------------------------------------------
@@ -230,7 +244,6 @@ class CVConfig:
     criterion: str = "gini"
     seed: int = RANDOM_STATE
     baseline: str = "selected"
-    threads: int = 4
 
 
 def _select(pool: DataFrame, cfg: CVConfig) -> DataFrame:
@@ -245,17 +258,24 @@ def _select(pool: DataFrame, cfg: CVConfig) -> DataFrame:
 
 @dataclass
 class Matched:
-    """Vectors of both classes and the distance pool of every fold (all staged tables)."""
+    """Vectors of both classes and the distance pools of every fold (all staged tables)."""
 
     positives: DataFrame  # ticker, d_date, label, x
     candidates: DataFrame
     folds: list
-    pool: DataFrame       # fold, ticker, d_date, centroid_idx, distance
+    pools: DataFrame      # method, fold, ticker, d_date, centroid_idx, distance
+    width: int            # features of a vector
 
+    def pool(self, method: str) -> DataFrame:
+        """What ``method`` selects from: the best candidates of every task, or all of them for stratified selection."""
+        return self.pools.filter(F.col("method") == method).drop("method")
 
-def match_folds(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], folds: Sequence | None = None) -> Matched:
-    """C0–C3 for every fold.  The pool does not depend on the selection method or its ratio."""
+
+def match_folds(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], folds: Sequence | None = None,
+                needs: dict[str, int] | None = None, seed: int = RANDOM_STATE) -> Matched:
+    """C0–C3 for every fold.  ``needs``: the methods and the greatest ratio that each will be asked for."""
     cols = list(feature_cols)
+    needs = needs or {"distance_ranked": TN_TP_RATIO}
     ship_package(tp.sparkSession)
     vectors = lambda df, label: cut_lineage(mt.as_vector(df, cols).select(*KEY, F.lit(label).alias("label"), "x"))
     tpv, tnv = vectors(tp, 1), vectors(tn, 0)
@@ -266,101 +286,138 @@ def match_folds(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], folds
     long = tpv.select("d_date", F.posexplode("x").alias("i", "v")).select(F.explode(trained).alias(FOLD), "i", "v")
     stats = cut_lineage(_packed_stats(long, [FOLD]))
     ranked = mt.index_centroids(tpv, KEY)
-    schema = "fold date, ticker string, d_date date, d2 double, centroid_idx int"
-    pool = tp.sparkSession.createDataFrame([], schema)
     shape = ranked.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     n_blocks = -(-int(shape[0]) * int(shape[1] or 1) * 8 // mt.BLOCK_BYTES)
+    blocks = []
+    for b in range(n_blocks):
+        rows = ranked.filter(F.pmod("centroid_idx", F.lit(n_blocks)) == b).orderBy("centroid_idx").collect()
+        matrix = np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float)
+        blocks.append(tp.sparkSession.sparkContext.broadcast((np.array([r["d_date"] for r in rows], dtype=object),
+                                                              np.array([r["centroid_idx"] for r in rows]), matrix)))
+    schema = "method string, fold date, ticker string, d_date date, d2 double, centroid_idx int"
+    pools = tp.sparkSession.createDataFrame([], schema)
+    given = tnv.withColumn("_hash", mt.hash_order(KEY, seed))
     for i in range(0, len(folds), FOLDS_PER_BLOCK):
         some = stats.filter(F.col(FOLD).isin(folds[i:i + FOLDS_PER_BLOCK])).collect()
         scalers = [(r[FOLD], *(np.array([s[c] for s in r["stats"]]) for c in ("i", "median", "center", "scale"))) for r in some]
-        for b in range(n_blocks):
-            rows = ranked.filter(F.pmod("centroid_idx", F.lit(n_blocks)) == b).orderBy("centroid_idx").collect()
-            matrix = np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float)
-            block = tp.sparkSession.sparkContext.broadcast((scalers, [r["d_date"] for r in rows], [r["centroid_idx"] for r in rows], matrix))
-            pool = pool.unionByName(tnv.mapInPandas(_fold_distances(block), schema))
-    if n_blocks > 1:
-        pool = pool.groupBy(FOLD, *KEY).agg(F.min(F.struct("d2", "centroid_idx")).alias("_b")).select(FOLD, *KEY, "_b.*")
-    pool = cut_lineage(pool.select(FOLD, *KEY, "centroid_idx", F.sqrt("d2").alias("distance")))
-    return Matched(tpv, tnv, folds, pool)
-
-
-def _fold_distances(block):
-    """Distances of a batch of candidates to the closest positive of every fold that does not hold them out."""
-    def measured(batches):
-        scalers, dates, names, matrix = block.value
-        dates, names = np.array(dates, dtype=object), np.array(names)
+        pools = pools.unionByName(given.mapInPandas(_fold_pools(tp.sparkSession.sparkContext.broadcast(scalers), blocks, needs), schema))
+    pools = cut_lineage(pools.select("method", FOLD, *KEY, "centroid_idx", F.sqrt("d2").alias("distance")))
+    return Matched(tpv, tnv, folds, pools, len(cols))
+
+
+class _Best:
+    """The first ``k`` rows of every centroid by some order, of all rows offered so far."""
+
+    def __init__(self, k: int):
+        self.k, self.rows, self.full = k, pd.DataFrame(), {}
+
+    def offer(self, rows: pd.DataFrame) -> None:
+        """``rows`` have ``centroid_idx`` and the order ``_o1``, ``ticker``, ``d_date``; those behind k others go at once."""
+        if self.full:
+            bound = rows["centroid_idx"].map(self.full)
+            rows = rows[bound.isna() | ~(rows["_o1"] > bound)]
+        if len(rows):
+            rows = pd.concat([self.rows, rows]) if len(self.rows) else rows
+            rows = rows.sort_values(["centroid_idx", "_o1", "ticker", "d_date"], kind="stable")
+            self.rows = rows.groupby("centroid_idx", sort=False).head(self.k)
+            last = self.rows.groupby("centroid_idx")["_o1"].agg(["size", "max"])
+            self.full = last["max"][last["size"] == self.k].to_dict()
+
+
+def _fold_pools(scalers, blocks, needs):
+    """A task's candidates with the closest positive of every fold that does not hold them out, as far as a method needs them."""
+    def pooled(batches):
+        best: dict[tuple, _Best] = {}
         for pdf in batches:
             if not len(pdf):
                 continue
             x = np.stack([np.asarray(v, dtype=float) for v in pdf["x"]])
             own = pdf["d_date"].to_numpy()
-            for fold, i, median, center, scale in scalers:
-                rows, cents = np.flatnonzero(own != fold), np.flatnonzero(dates != fold)
-                if not len(rows) or not len(cents):
-                    continue
+            for fold, i, median, center, scale in scalers.value:
+                rows = np.flatnonzero(own != fold)
                 scaled = lambda m: (np.where(np.isnan(m[:, i]), median, m[:, i]) - center) / scale  # noqa: B023, E731
-                d2, at = mt.nearest(scaled(x[rows]), scaled(matrix[cents]))
-                yield pd.DataFrame({FOLD: fold, "ticker": pdf["ticker"].to_numpy()[rows], "d_date": own[rows], "d2": d2,
-                                    "centroid_idx": names[cents][at]})
+                d2, idx = np.full(len(rows), np.inf), np.full(len(rows), -1, dtype=np.int64)
+                for block in blocks if len(rows) else ():
+                    dates, names, matrix = block.value
+                    cents = np.flatnonzero(dates != fold)
+                    if not len(cents):
+                        continue
+                    got, at = mt.nearest(scaled(x[rows]), scaled(matrix[cents]))
+                    got_idx = names[cents][at]
+                    closer = (got < d2) | ((got == d2) & (got_idx < idx))
+                    d2, idx = np.where(closer, got, d2), np.where(closer, got_idx, idx)
+                rows, d2, idx = rows[idx >= 0], d2[idx >= 0], idx[idx >= 0]
+                if not len(rows):
+                    continue
+                found = pd.DataFrame({FOLD: fold, "ticker": pdf["ticker"].to_numpy()[rows], "d_date": own[rows], "d2": d2, "centroid_idx": idx})
+                for method, k in needs.items():
+                    if method == "stratified":
+                        yield found.assign(method=method)[["method", FOLD, *KEY, "d2", "centroid_idx"]]
+                        continue
+                    order = np.sqrt(d2) if method == "distance_ranked" else pdf["_hash"].to_numpy()[rows]
+                    best.setdefault((method, fold), _Best(k)).offer(found.assign(_o1=order))
+        for (method, _), kept in best.items():
+            if len(kept.rows):
+                yield kept.rows.assign(method=method)[["method", FOLD, *KEY, "d2", "centroid_idx"]]
 
-    return measured
+    return pooled
 
 
 @dataclass
 class FoldModels:
-    """Fitted tables, one entry per fold: scaler of the anomaly score, medians of the tree, nodes, trees."""
+    """Fitted tables keyed by (config, fold): scaler of the anomaly score, medians of the tree, forest nodes; training rows; trees."""
 
     scorer: DataFrame
     fill: DataFrame
     nodes: DataFrame
-    trees: dict
+    width: int = 0
+    training: DataFrame | None = None
+    trees: dict[tuple, tr.Tree] = field(default_factory=dict)
+
 
+def fit_folds(matched: Matched, cfgs: dict[str, CVConfig], grow: bool = True) -> FoldModels:
+    """C4–C12, M1–M5 for every setting and fold: select, fit the scorer, score the training rows, grow the trees.
 
-def fit_folds(matched: Matched, cfg: CVConfig) -> FoldModels:
-    """C4–C12, M1–M5 for every fold: select, fit the scorer, score the training rows, fit the trees."""
-    spark = matched.positives.sparkSession
-    keys = _select(matched.pool, cfg).select(FOLD, *KEY)
-    selected = cut_lineage(keys.join(matched.candidates, KEY).select(FOLD, *KEY, "label", "x"))
-    present = sorted(r[0] for r in selected.select(FOLD).distinct().collect())
+    Settings may differ in method, ratio and bins; forests and trees are sized by the first.
+    """
+    cfg = next(iter(cfgs.values()))
+    keys = [_select(matched.pool(c.method), c).select(F.lit(name).alias(CONFIG), FOLD, *KEY) for name, c in cfgs.items()]
+    keys = reduce(DataFrame.unionByName, keys)
+    selected = cut_lineage(keys.join(matched.candidates, KEY).select(*GROUP, *KEY, "label", "x"))
+    present = sorted(map(tuple, selected.select(*GROUP).distinct().collect()))
     if not present:
-        return FoldModels(selected, selected, selected, {})
-    usable = F.array(*[F.lit(f) for f in present]).cast("array<date>")
+        return FoldModels(selected, selected, selected)
+    usable = F.array(*[F.struct(F.lit(c).alias(CONFIG), F.lit(f).cast("date").alias(FOLD)) for c, f in present])
     outside = lambda df: df.select(
-        F.explode(F.filter(usable, lambda f: ~f.eqNullSafe(F.col("d_date")))).alias(FOLD), *KEY, "label", "x")
+        F.explode(F.filter(usable, lambda g: ~g[FOLD].eqNullSafe(F.col("d_date")))).alias("_g"), *KEY, "label", "x").select(
+            "_g.*", *KEY, "label", "x")
     base = selected if cfg.baseline == "selected" else outside(matched.candidates)
-    scorer = cut_lineage(keyed_stats(base, [FOLD]))
-    nodes = cut_lineage(fr.fit_forest(keyed_scale(base, scorer, [FOLD]), KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=[FOLD]))
+    scorer = cut_lineage(keyed_stats(base, GROUP))
+    nodes = cut_lineage(fr.fit_forest(keyed_scale(base, scorer, GROUP), KEY, "z", cfg.n_trees, cfg.max_samples, cfg.seed, by=GROUP))
     train = cut_lineage(outside(matched.positives).unionByName(selected))
-    fill = cut_lineage(keyed_stats(train, [FOLD]))
-    ready = cut_lineage(keyed_scale(keyed_scale(train, scorer, [FOLD]), fill, [FOLD], "x", "v", scale=False).drop("x"))
-    scored = fr.score_forests(ready, nodes, [FOLD], KEY)
-    scored = scored.withColumn("v", F.concat("v", F.array(fr.SCORE_COL)))
-    path = scratch_path(spark, "training")
-    scored.select(FOLD, *KEY, "label", "v").repartition(FOLD).write.partitionBy(FOLD).parquet(path)
-    table = spark.read.parquet(path)
-    sizes = {r[0]: r[1] for r in table.groupBy(FOLD).count().collect()}
-
-    def one(fold):
-        rows = table.filter(F.col(FOLD) == F.lit(fold))
-        return fold, fit_tree(rows, "v", cfg.max_depth, cfg.min_leaf, cfg.criterion, cfg.seed, n_rows=sizes[fold])
+    fill = cut_lineage(keyed_stats(train, GROUP))
+    scaled = keyed_scale(train, scorer, GROUP)
+    # trees of many folds share their features' places; the final tree sees those that had values
+    filled = keyed_fill(scaled, fill, GROUP, matched.width) if grow else keyed_scale(scaled, fill, GROUP, "x", "v", scale=False)
+    ready = cut_lineage(filled.drop("x"))
+    scored = fr.score_forests(ready, nodes, GROUP, KEY)
+    training = cut_lineage(scored.select(*GROUP, *KEY, "label", F.concat("v", F.array(fr.SCORE_COL)).alias("v")))
+    trees = tr.fit_trees(training, GROUP, "v", cfg.max_depth, cfg.min_leaf, cfg.criterion) if grow else {}
+    return FoldModels(scorer, fill, nodes, matched.width, training, trees)
 
-    with ThreadPoolExecutor(max_workers=max(1, cfg.threads)) as workers:
-        trees = dict(workers.map(one, sorted(sizes)))
-    return FoldModels(scorer, fill, nodes, trees)
 
-
-_OOF = "fold date, ticker string, d_date date, true_label int, pred_proba double"
+_OOF = "config string, fold date, ticker string, d_date date, true_label int, pred_proba double"
 
 
 def predict_folds(models: FoldModels, rows: DataFrame) -> DataFrame:
-    """Out-of-fold predictions of ``rows`` (``fold, ticker, d_date, label, x``) by the models of their folds."""
+    """Out-of-fold predictions of ``rows`` (``config, fold, ticker, d_date, label, x``) by the models of their folds."""
     spark = rows.sparkSession
-    trees = [(fold, DECISION_TREE, n, f, t, left, right, 0, 0, p)
-             for fold, model in models.trees.items() for n, f, t, left, right, _, p in _tree_nodes(model)]
-    nodes = models.nodes.withColumn("p", F.lit(0.0)).select(FOLD, *[f.name for f in fr.NODE_SCHEMA.fields], "p")
+    trees = [(*group, DECISION_TREE, n, f, t, left, right, 0, 0, p)
+             for group, tree in models.trees.items() for n, f, t, left, right, _, p in tree.rows()]
+    nodes = models.nodes.withColumn("p", F.lit(0.0)).select(*GROUP, *[f.name for f in fr.NODE_SCHEMA.fields], "p")
     nodes = nodes.unionByName(spark.createDataFrame(trees, nodes.schema))
-    ready = keyed_scale(keyed_scale(rows, models.scorer, [FOLD]), models.fill, [FOLD], "x", "v", scale=False)
-    ready = cut_lineage(ready.select(FOLD, *KEY, F.col("label").cast("int").alias("true_label"), "z", "v"))
+    ready = keyed_fill(keyed_scale(rows, models.scorer, GROUP), models.fill, GROUP, models.width)
+    ready = cut_lineage(ready.select(*GROUP, *KEY, F.col("label").cast("int").alias("true_label"), "z", "v"))
 
     def predicted(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         own = right["tree_id"] == DECISION_TREE
@@ -376,23 +433,32 @@ def predict_folds(models: FoldModels, rows: DataFrame) -> DataFrame:
         return left.assign(pred_proba=p[at])
 
     schema = T.StructType([*[f for f in ready.schema.fields if f.name not in ("z", "v")], T.StructField("pred_proba", T.DoubleType())])
-    return fr.with_group_models(ready, nodes, [FOLD], KEY, predicted, schema)
+    return fr.with_group_models(ready, nodes, GROUP, KEY, predicted, schema)
 
 
-def cross_validate(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None,
-                   matched: Matched | None = None) -> DataFrame:
-    """Out-of-fold predictions ``fold, ticker, d_date, true_label, pred_proba``.
+def needed(cfgs: dict[str, CVConfig]) -> dict[str, int]:
+    """The greatest ratio of every method."""
+    return {m: max(c.ratio for c in cfgs.values() if c.method == m) for m in sorted({c.method for c in cfgs.values()})}
 
-    A fold without training positives or candidates has no model and no predictions.
-    """
-    cfg = cfg or CVConfig()
-    matched = matched or match_folds(tp, tn, feature_cols)
-    models = fit_folds(matched, cfg)
+
+def cross_validate_all(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfgs: dict[str, CVConfig]) -> DataFrame:
+    """M10 of several settings at once: ``config, fold, ticker, d_date, true_label, pred_proba``."""
+    matched = match_folds(tp, tn, feature_cols, needs=needed(cfgs), seed=next(iter(cfgs.values())).seed)
+    models = fit_folds(matched, cfgs)
     if not models.trees:
         return tp.sparkSession.createDataFrame([], _OOF)
     both = matched.positives.unionByName(matched.candidates)
-    test = both.filter(F.col("d_date").isin(list(models.trees))).withColumn(FOLD, F.col("d_date"))
-    return predict_folds(models, test).select(FOLD, *KEY, "true_label", "pred_proba")
+    fitted = tp.sparkSession.createDataFrame(sorted(models.trees), f"{CONFIG} string, {FOLD} date")  # a row a model
+    test = both.join(F.broadcast(fitted), F.col("d_date") == F.col(FOLD))
+    return predict_folds(models, test).select(*GROUP, *KEY, "true_label", "pred_proba")
+
+
+def cross_validate(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
+    """Out-of-fold predictions ``fold, ticker, d_date, true_label, pred_proba``.
+
+    A fold without training positives or candidates has no model and no predictions.
+    """
+    return cross_validate_all(tp, tn, feature_cols, {"": cfg or CVConfig()}).drop(CONFIG)
 
 
 @dataclass
@@ -428,11 +494,12 @@ def _stats_of(table: DataFrame) -> mt.ScalerStats:
 def fit_final(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None,
               threshold: float | None = None) -> FinalModel:
     """Selection, scorer and tree fitted on all data (the fold that leaves out nothing)."""
-    models = fit_folds(match_folds(tp, tn, feature_cols, [ALL]), cfg or CVConfig())
-    if not models.trees:
+    cfgs = {"": cfg or CVConfig()}
+    models = fit_folds(match_folds(tp, tn, feature_cols, [ALL], needed(cfgs), cfgs[""].seed), cfgs, grow=False)
+    if models.training is None:
         raise ValueError("no training positives, or no candidates to match")
-    return FinalModel(list(feature_cols), _stats_of(models.scorer), models.nodes.drop(FOLD), _stats_of(models.fill),
-                      models.trees[ALL], threshold)
+    tree = fit_tree(models.training, "v", cfgs[""].max_depth, cfgs[""].min_leaf, cfgs[""].criterion, cfgs[""].seed)
+    return FinalModel(list(feature_cols), _stats_of(models.scorer), models.nodes.drop(*GROUP), _stats_of(models.fill), tree, threshold)
 
 
 def with_score(model: FinalModel, features: DataFrame) -> DataFrame:
@@ -516,31 +583,41 @@ def train(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConf
 # ---------------------------------------------------------------------------
 
 
-def oof_metrics(oof: DataFrame) -> dict:
-    from surveil.operators.metrics import rank_metrics
+def compared(oof: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per setting (``by``): rows, positives and the exact ROC-AUC and AP (V3, V4) of out-of-fold predictions."""
+    from surveil.operators.metrics import grouped_rank_metrics
+
+    return grouped_rank_metrics(oof, by, label="true_label", score="pred_proba")
+
 
-    r = rank_metrics(oof, label="true_label", score="pred_proba").first()
-    return {"roc_auc": r["roc_auc"], "pr_auc": r["pr_auc"]}
+def grid_oof(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], methods: Sequence[str], ratios: Sequence[int],
+             base: CVConfig | None = None) -> DataFrame:
+    """Out-of-fold predictions of every ``method`` and ``ratio``, all settings in the same jobs."""
+    cfgs = {f"{m}/{int(r)}": replace(base or CVConfig(), method=m, ratio=int(r)) for m in methods for r in ratios}
+    part = F.split(CONFIG, "/")
+    oof = cross_validate_all(tp, tn, feature_cols, cfgs)
+    return oof.select(part[0].alias("method"), part[1].cast("int").alias("ratio"), *[c for c in oof.columns if c != CONFIG])
 
 
 def grid_search(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], methods: Sequence[str],
                 ratios: Sequence[int], base: CVConfig | None = None) -> DataFrame:
-    """OOF ROC-AUC / AUC-PR for every ``(method, ratio)`` configuration; the distance pool is shared."""
-    base = base or CVConfig()
-    matched = match_folds(tp, tn, feature_cols)
-    rows = []
-    for m in methods:
-        for r in ratios:
-            oof = cut_lineage(cross_validate(tp, tn, feature_cols, replace(base, method=m, ratio=int(r)), matched))
-            rows.append((m, int(r), *oof_metrics(oof).values()))
-    return tp.sparkSession.createDataFrame(rows, "method string, ratio int, roc_auc double, pr_auc double")
+    """OOF ROC-AUC / AUC-PR for every ``(method, ratio)``."""
+    return compared(cut_lineage(grid_oof(tp, tn, feature_cols, methods, ratios, base)), ["method", "ratio"])
 
 
-def lookback_comparison(feats: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
-    """OOF AUC-PR per lookback from a feature matrix keyed by ``(lookback, ticker, d_date)``."""
-    rows = []
+def lookback_oof(feats: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
+    """Out-of-fold predictions per lookback from a feature matrix keyed by ``(lookback, ticker, d_date)``."""
+    out = None
     for lb in sorted(r[0] for r in feats.select("lookback").distinct().collect()):
         part = feats.filter(F.col("lookback") == lb).drop("lookback")
         oof = cut_lineage(cross_validate(part.filter("label = 1"), part.filter("label = 0"), feature_cols, cfg))
-        rows.append((int(lb), *oof_metrics(oof).values()))
-    return feats.sparkSession.createDataFrame(rows, "lookback int, roc_auc double, pr_auc double")
+        oof = oof.select(F.lit(int(lb)).alias("lookback"), *oof.columns)
+        out = oof if out is None else out.unionByName(oof)
+    if out is None:
+        raise ValueError("there are no lookbacks to compare")
+    return out
+
+
+def lookback_comparison(feats: DataFrame, feature_cols: Sequence[str], cfg: CVConfig | None = None) -> DataFrame:
+    """OOF ROC-AUC / AUC-PR per lookback."""
+    return compared(lookback_oof(feats, feature_cols, cfg), ["lookback"])

@@ -1072,29 +1072,63 @@ def q_multi_lookback(spark, sf):
     return round_doubles(feat.transform(win.multi_lookback_windows(w, _X3_LOOKBACKS), key=["lookback", "ticker", "d_date"]))
 
 
-_COMPARED_SQL = f"(SELECT count(*) FROM {_FOLDS_SQL} f) > 1 AS compared"
+def _compared_sql(settings: str, columns: str) -> str:
+    """Per setting the rows that cross-validation must score, and whether the metrics agree."""
+    return f"""
+SELECT {columns}, n_rows, n_positive, true AS agrees
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive FROM ({_TESTED_SQL}) t) n, (VALUES {settings}) v({columns})
+WHERE n_rows > 0"""
+
+
+def _agrees(spark, oof, by: list[str]):
+    """The operator's metrics against others computed in plain SQL: mid-ranks for ROC-AUC, a join of thresholds for AP."""
+    oof = md.cut_lineage(oof)
+    oof.createOrReplaceTempView("compared_oof")
+    g, same = ", ".join(by), lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in by)
+    plain = spark.sql(f"""
+      WITH r AS (SELECT {g}, true_label AS y, pred_proba AS s,
+                        rank() OVER (PARTITION BY {g} ORDER BY pred_proba)
+                        + (count(*) OVER (PARTITION BY {g}, pred_proba) - 1) / 2.0D AS mid FROM compared_oof),
+           u AS (SELECT {g}, sum(y) AS p, count(*) - sum(y) AS n, sum(CASE WHEN y = 1 THEN mid END) AS ranks FROM r GROUP BY {g}),
+           d AS (SELECT {g}, s, sum(y) AS pos, count(*) AS rows FROM r GROUP BY {g}, s),
+           a AS (SELECT {', '.join('d.' + c for c in by)}, d.s, first(d.pos) AS pos, sum(e.pos) AS tp, sum(e.rows) AS pred
+                 FROM d JOIN d e ON {same('d', 'e')} AND e.s >= d.s GROUP BY {', '.join('d.' + c for c in by)}, d.s)
+      SELECT {', '.join('u.' + c for c in by)}, first((u.ranks - u.p * (u.p + 1) / 2.0D) / (u.p * u.n)) AS auc, sum(a.pos * a.tp / a.pred) / first(u.p) AS ap
+      FROM u JOIN a ON {same('u', 'a')} GROUP BY {', '.join('u.' + c for c in by)}""")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 6e-5
+    both = md.compared(oof, by).join(plain, by)
+    return both.select(*by, "n_rows", "n_positive", F.coalesce(near("roc_auc", "auc") & near("pr_auc", "ap"), F.lit(False)).alias("agrees"))
+
+
+def _lookback_features(spark, sf):
+    w = win.multi_lookback_windows(fx.supplier_windows(spark, sf, 120), _X3_LOOKBACKS)
+    return md.cut_lineage(feat.transform(w, key=["lookback", "ticker", "d_date"]))
 
 
-def _compared():
-    """Both rank metrics exist and are shares."""
-    return F.coalesce(F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1), F.lit(False)).alias("compared")
+@register("x3_lookback_comparison_sup")
+def q_lookback_cmp(spark, sf):
+    return md.lookback_comparison(_lookback_features(spark, sf), feature_names())
 
 
-@register("x3_lookback_comparison_sup", f"SELECT lookback, {_COMPARED_SQL} FROM (VALUES {', '.join(f'({lb})' for lb in _X3_LOOKBACKS)}) v(lookback)")
-def q_lookback_cmp(spark, sf):
-    w = win.multi_lookback_windows(fx.supplier_windows(spark, sf, 120), _X3_LOOKBACKS)
-    f = md.cut_lineage(feat.transform(w, key=["lookback", "ticker", "d_date"]))
-    return md.lookback_comparison(f, feature_names()).select("lookback", _compared())
+@register("x3_lookback_comparison_checked_sup", _compared_sql(", ".join(f"({lb})" for lb in _X3_LOOKBACKS), "lookback"))
+def q_lookback_checked(spark, sf):
+    return _agrees(spark, md.lookback_oof(_lookback_features(spark, sf), feature_names()), ["lookback"])
 
 
 _X2_GRID = [(m, r) for m in ("distance_ranked", "random", "stratified") for r in (3, 5)]
+_X2_METHODS, _X2_RATIOS = sorted({m for m, _ in _X2_GRID}), sorted({r for _, r in _X2_GRID})
 
 
-@register("x2_grid_search_sup", f"SELECT method, ratio, {_COMPARED_SQL} FROM (VALUES {', '.join(f"('{m}', {r})" for m, r in _X2_GRID)}) v(method, ratio)")
+@register("x2_grid_search_sup")
 def q_grid(spark, sf):
     tp, tn = supplier_feature_sets(spark, sf)
-    grid = md.grid_search(tp, tn, feature_names(), sorted({m for m, _ in _X2_GRID}), sorted({r for _, r in _X2_GRID}))
-    return grid.select("method", "ratio", _compared())
+    return md.grid_search(tp, tn, feature_names(), _X2_METHODS, _X2_RATIOS)
+
+
+@register("x2_grid_search_checked_sup", _compared_sql(", ".join(f"('{m}', {r})" for m, r in _X2_GRID), "method, ratio"))
+def q_grid_checked(spark, sf):
+    tp, tn = supplier_feature_sets(spark, sf)
+    return _agrees(spark, md.grid_oof(tp, tn, feature_names(), _X2_METHODS, _X2_RATIOS), ["method", "ratio"])
 
 
 @register("e17_ranked_positives_events", f"""
