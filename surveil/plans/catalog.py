@@ -871,16 +871,60 @@ def q_feature_stratified(spark, sf):
 # ---------------------------------------------------------------------------
 
 from surveil.streaming import bars as stb  # noqa: E402
+from surveil.streaming import stateful as st  # noqa: E402
 
 
 @register("st1_stream_bars_user", f"SELECT * FROM ({osql.USER_BARS_SQL}) b")
 def q_stream_bars(spark, sf):
     """Events arrive in several micro-batches, some a day late; after a closing batch the stream equals the batch bars."""
     ev = fx.table(spark, sf, "events")
-    path = stb.land_in_order(ev, "events", "ts", late=F.col("event_id") % 7 == 0, close={"user_id": -1})
-    bars = stb.run_stream_bars(spark, path, ev.schema, max_files_per_trigger=1, key="user_id", ts="ts", price="value", size=None,
-                               order_cols=["event_id"])
-    return bars.filter(F.col("ticker") != "-1")
+    path = st.arrivals(ev, "events", "ts", late=F.col("event_id") % 7 == 0, close={"user_id": -1})
+    out = scratch_path(spark, "stream-bars")
+    with stb.utc(spark):
+        st.feed(spark, [(path, ev.schema)], lambda ticks: stb.bars_to(ticks, out, key="user_id", ts="ts", price="value", size=None,
+                                                                  order_cols=["event_id"]))
+    return spark.read.parquet(out).filter(F.col("ticker") != "-1")
+
+
+@register("t3_stream_sessions_events", osql.sessions_sql(osql.EVENT_TICKS_SQL, "6 HOURS"))
+def q_stream_sessions(spark, sf):
+    """The sessions of the batch query from a stream with late ticks."""
+    ev = fx.table(spark, sf, "events").withColumn("ticker", F.col("user_id").cast("string"))
+    path = st.arrivals(ev, "ticks", "ts", late=F.col("event_id") % 7 == 0, close={"ticker": "-1"})
+    out = scratch_path(spark, "stream-sessions")
+    with stb.utc(spark):
+        st.feed(spark, [(path, ev.schema)], lambda ticks: st.append_to(st.stream_sessions(ticks, ["ticker"], "ts", 6 * 3600, "value"), out))
+    return spark.read.parquet(out).filter(F.col("ticker") != "-1")
+
+
+def _bar_arrivals(spark, sf):
+    """Daily bars of users as a stream in which some come a day late, and the cases, whose D-dates follow the last events."""
+    bars = fx.user_bars(spark, sf)
+    late = F.pmod(F.xxhash64("ticker", "date"), F.lit(7)) == 0
+    return bars, st.arrivals(bars, "bars", "date", late=late, close={"ticker": "-1"})
+
+
+@register("t4_stream_features_user", osql.features_sql(osql.USER_CASE_WINDOWS_SQL))
+def q_stream_features(spark, sf):
+    """F0 of the case windows from a stream of bars: windows kept in keyed state, closed by event-time timers."""
+    bars, path = _bar_arrivals(spark, sf)
+    cases = fx.user_cases(spark, sf)
+    out = scratch_path(spark, "stream-features")
+    with stb.utc(spark):
+        st.feed(spark, [(path, bars.schema)], lambda b: st.features_to(st.stream_windows(b, cases), out))
+    return round_doubles(spark.read.parquet(out).drop("batch"))
+
+
+@register("t5_stream_case_bars_user", f"SELECT ticker, date, close, d_date, label FROM ({osql.USER_CASE_WINDOWS_SQL}) w")
+def q_stream_case_bars(spark, sf):
+    """W1 from a stream of bars and a stream of cases, which are filed after their bars have come; trimmed when all have met."""
+    bars, path = _bar_arrivals(spark, sf)
+    cases = fx.user_cases(spark, sf)
+    filed = st.arrivals(cases, "cases", "d_date", late=F.pmod(F.xxhash64("ticker"), F.lit(3)) == 0, close={"ticker": "-2"})
+    out = scratch_path(spark, "stream-case-bars")
+    with stb.utc(spark):
+        st.feed(spark, [(path, bars.schema), (filed, cases.schema)], lambda b, c: st.append_to(st.stream_case_bars(b, c), out))
+    return win.trim_last(spark.read.parquet(out), 90).select("ticker", "date", "close", "d_date", "label")
 
 
 _SAME_SQL = f"SELECT ticker, d_date, label, true AS same FROM ({osql.SUP_KEYS_SQL}) k"

@@ -69,32 +69,17 @@ def q_asof_metadata(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-def sessions_sql(rows_sql: str, gap: str) -> str:
-    """Sessions of (ticker, ts, px, size)."""
-    return f"""
-SELECT ticker, count(*) AS n_ticks, min(ts) AS first_ts, max(ts) AS last_ts, sum(size) AS volume, min(px) AS low, max(px) AS high
-FROM (SELECT *, sum(starts) OVER (PARTITION BY ticker ORDER BY ts, starts DESC ROWS UNBOUNDED PRECEDING) AS session
-      FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY ticker ORDER BY ts) < INTERVAL {gap} THEN 0 ELSE 1 END AS starts
-            FROM ({rows_sql}) r) q) s
-GROUP BY ticker, session"""
-
-
-EVENT_TICKS_SQL = "SELECT CAST(user_id AS VARCHAR) AS ticker, ts, value AS px, CAST(1 AS DOUBLE) AS size FROM events"
-LINE_TICKS_SQL = ("SELECT CAST(l_suppkey AS VARCHAR) AS ticker, l_shipdate AS ts, l_extendedprice / l_quantity AS px, "
-                  "l_quantity AS size FROM lineitem")
-
-
 def event_sessions(spark, sf, **kw):
     ticks = fx.table(spark, sf, "events").withColumn("ticker", F.col("user_id").cast("string"))
     return tm.sessions(ticks, ["ticker"], "ts", 6 * 3600, "value", **kw)
 
 
-@register("t3_sessions_events", sessions_sql(EVENT_TICKS_SQL, "6 HOURS"))
+@register("t3_sessions_events", osql.sessions_sql(osql.EVENT_TICKS_SQL, "6 HOURS"))
 def q_sessions_events(spark, sf):
     return event_sessions(spark, sf)
 
 
-@register("t3_sessions_sup", sessions_sql(LINE_TICKS_SQL, "4 DAYS"))
+@register("t3_sessions_sup", osql.sessions_sql(osql.LINE_TICKS_SQL, "4 DAYS"))
 def q_sessions_sup(spark, sf):
     ticks = fx.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("ticker"), "l_shipdate", (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"), "l_quantity")
@@ -106,7 +91,7 @@ SELECT w.ticker, w.d_date, s.first_day, s.last_day, s.n_ticks,
        CAST(least(w.hi, s.last_day) - greatest(w.lo, s.first_day) + 1 AS INTEGER) AS overlap_days
 FROM (SELECT ticker, d_date, d_date - 20 AS lo, d_date - 5 AS hi FROM ({osql.USER_WINDOWS_SQL}) w GROUP BY ticker, d_date) w
 JOIN (SELECT ticker, CAST(first_ts AS DATE) AS first_day, CAST(last_ts AS DATE) AS last_day, n_ticks
-      FROM ({sessions_sql(EVENT_TICKS_SQL, "6 HOURS")}) q) s
+      FROM ({osql.sessions_sql(osql.EVENT_TICKS_SQL, "6 HOURS")}) q) s
 ON w.ticker = s.ticker AND w.lo <= s.last_day AND s.first_day <= w.hi""")
 def q_overlaps(spark, sf):
     windows = fx.user_windows(spark, sf).select("ticker", "d_date").distinct().withColumn("lo", F.date_sub("d_date", 20)).withColumn(
