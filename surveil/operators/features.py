@@ -207,12 +207,18 @@ def market_cap_tier(market_cap: Column) -> Column:
     return expr
 
 
+#: Most one-hot columns that are discovered from the data.
+MAX_CATEGORIES = 10_000
+
+
 def metadata_categories(metadata: DataFrame) -> dict[str, list[str]]:
     """Discovery pass for F16: distinct category values of every one-hot column (one job)."""
     enc = _categorical_frame(metadata)
     kinds = [F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in enc.columns if c != "ticker"]
-    # one-hot columns are a schema, so the driver has to know the values; for high-cardinality columns use metadata_terms
-    rows = enc.select(F.explode(F.array(*kinds)).alias("kv")).select("kv.k", "kv.v").distinct().collect()
+    # one-hot columns are a schema, so the driver has to know the values
+    rows = enc.select(F.explode(F.array(*kinds)).alias("kv")).select("kv.k", "kv.v").distinct().limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} category values: give the list of those wanted, or use metadata_terms")
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["k"], []).append(r["v"])

@@ -30,6 +30,7 @@ from surveil.functions.constants import (
     OPTIMISER_THRESHOLDS,
     SUMMARY_THRESHOLDS,
 )
+from surveil.session import cut_lineage
 from surveil.functions.quantiles import running_sums
 
 
@@ -121,7 +122,11 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score") -> Da
 
     Columns: ``s, pos, neg, pos_below, neg_below, P, N``.
     """
-    t = running_sums(distinct_scores(df, label, score), "_s", ["pos", "neg"])
+    return _score_table(distinct_scores(df, label, score))
+
+
+def _score_table(scores: DataFrame) -> DataFrame:
+    t = running_sums(scores, "_s", ["pos", "neg"])
     return t.select(F.col("_s").alias("s"), "pos", "neg", "pos_below", "neg_below",
                     F.col("pos_total").alias("P"), F.col("neg_total").alias("N"))
 
@@ -132,7 +137,11 @@ def rank_metrics(df: DataFrame, label: str = "label", score: str = "score") -> D
     ROC-AUC is Mann–Whitney with ties at one half (exact, integer numerator);
     AP is the step-wise ``Σ ΔRecall · Precision`` over distinct scores, descending.
     """
-    t = score_table(df, label, score)
+    return _rank_metrics(distinct_scores(df, label, score))
+
+
+def _rank_metrics(scores: DataFrame) -> DataFrame:
+    t = _score_table(scores)
     tp_at = F.col("P") - F.col("pos_below")
     fp_at = F.col("N") - F.col("neg_below")
     agg = t.agg(
@@ -208,9 +217,14 @@ def threshold_sweep(
     with_rank_metrics: bool = True,
 ) -> DataFrame:
     """V6: all metrics at every threshold, from the table of distinct scores."""
+    scores = distinct_scores(df, label, score)
+    return _sweep(scores, _rank_metrics(scores) if with_rank_metrics else None, thresholds, fp_cost, fn_cost)
+
+
+def _sweep(scores: DataFrame, ranks: DataFrame | None, thresholds: Sequence[float] | None, fp_cost: float, fn_cost: float) -> DataFrame:
     ths = sorted(float(t) for t in (thresholds if thresholds is not None else summary_thresholds()))
-    spark = df.sparkSession
-    counts = distinct_scores(df, label, score).groupBy(_bucket(F.col("_s"), ths).alias("_j")).agg(
+    spark = scores.sparkSession
+    counts = scores.groupBy(_bucket(F.col("_s"), ths).alias("_j")).agg(
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # k+1 bucket rows: bucket j holds scores in [t_j, t_{j+1}); a suffix sum from j
     # gives the rows predicted positive at threshold j
@@ -229,8 +243,8 @@ def threshold_sweep(
         (F.col("_N") - F.col("fp")).cast("long").alias("tn"), (F.col("_P") - F.col("tp")).cast("long").alias("fn"),
     )
     out = with_rates(base, fp_cost, fn_cost)
-    if with_rank_metrics:
-        out = out.crossJoin(F.broadcast(rank_metrics(df, label, score)))  # one row
+    if ranks is not None:
+        out = out.crossJoin(F.broadcast(ranks))  # one row
     else:
         out = out.withColumn("roc_auc", F.lit(None).cast("double")).withColumn("pr_auc", F.lit(None).cast("double"))
     return out.select(*METRIC_COLS, "raw_threshold")
@@ -245,7 +259,10 @@ def optimise_threshold(
     fn_cost: float = DEFAULT_FN_COST,
 ) -> DataFrame:
     """V7: the grid row with minimum cost; the lowest threshold wins ties."""
-    sweep = threshold_sweep(df, optimiser_thresholds(n_thresholds), label, score, fp_cost, fn_cost)
+    return _optimum(threshold_sweep(df, optimiser_thresholds(n_thresholds), label, score, fp_cost, fn_cost))
+
+
+def _optimum(sweep: DataFrame) -> DataFrame:
     best = sweep.agg(F.min_by(F.struct(*sweep.columns), F.struct("cost", "raw_threshold")).alias("b"))
     return best.select("b.*").drop("raw_threshold")
 
@@ -263,12 +280,13 @@ def holdout_report(
     ``fixed``: the metrics at the chosen (stored) threshold, if one is given;
     ``optimised``: the cost optimum on this data; ``summary``: the summary grid.
     """
-    grid = threshold_sweep(df, None, label, score, fp_cost, fn_cost).drop("raw_threshold").withColumn("mode", F.lit("summary"))
-    best = optimise_threshold(df, OPTIMISER_THRESHOLDS, label, score, fp_cost, fn_cost).withColumn("mode", F.lit("optimised"))
-    out = grid.unionByName(best)
+    scores = cut_lineage(distinct_scores(df, label, score))  # all three sweeps start from it
+    ranks = cut_lineage(_rank_metrics(scores))
+    sweep = lambda ths: _sweep(scores, ranks, ths, fp_cost, fn_cost)
+    out = sweep(None).drop("raw_threshold").withColumn("mode", F.lit("summary")).unionByName(
+        _optimum(sweep(optimiser_thresholds(OPTIMISER_THRESHOLDS))).withColumn("mode", F.lit("optimised")))
     if threshold is not None:
-        fixed = threshold_sweep(df, [threshold], label, score, fp_cost, fn_cost).drop("raw_threshold")
-        out = out.unionByName(fixed.withColumn("mode", F.lit("fixed")))
+        out = out.unionByName(sweep([threshold]).drop("raw_threshold").withColumn("mode", F.lit("fixed")))
     return out
 
 

@@ -745,6 +745,27 @@ def q_folds(spark, sf):
     return md.leave_one_group_out(w.select("ticker", "d_date", "label"), folds).select("fold", "ticker", "d_date", "label", "role")
 
 
+def supplier_keys(spark, sf):
+    """Keys of the supplier feature matrix; its features are pruned from the plan."""
+    return feat.transform(fx.supplier_windows(spark, sf)).select("ticker", "d_date", "label")
+
+
+@register("m4_class_weights_sup", f"""
+SELECT ticker, d_date, label, round(count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY label)), 6) AS weight
+FROM ({osql.SUP_KEYS_SQL}) f""")
+def q_class_weights_sup(spark, sf):
+    return round_doubles(md.class_weights(supplier_keys(spark, sf)))
+
+
+@register("m9_fold_membership_sup", f"""
+SELECT f.fold, x.ticker, x.d_date, x.label, CASE WHEN x.d_date = f.fold THEN 'test' ELSE 'train' END AS role
+FROM ({osql.SUP_KEYS_SQL}) x, (SELECT DISTINCT d_date AS fold FROM ({osql.SUP_KEYS_SQL}) c WHERE label = 1) f""")
+def q_folds_sup(spark, sf):
+    keys = supplier_keys(spark, sf)
+    folds = md.fold_dates(keys.filter(F.col("label") == 1))
+    return md.leave_one_group_out(keys, folds).select("fold", "ticker", "d_date", "label", "role")
+
+
 @register("m1_m3_isolation_forest_emb", "SELECT vec_id, label, true AS in_bounds, true AS same_again FROM embeddings")
 def q_forest(spark, sf):
     """Scores of all rows: inside (0, 1], and the same from a second fit on rows dealt out otherwise."""

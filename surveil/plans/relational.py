@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from surveil.functions.columns import round_doubles
+from surveil.functions.registry import feature_names
+from surveil.functions.sql import register_scorer, register_universe
 from surveil.operators import features as feat
+from surveil.operators import model as md
 from surveil.operators import reconcile as rec
 from surveil.operators import scope as sc
 from surveil.operators import temporal as tm
 from surveil.plans import fixtures as fx
 from surveil.plans import oracle as osql
-from surveil.plans.catalog import register
+from surveil.plans.catalog import _FILTERED_SQL, _SAME_SQL, _same_scores, register, supplier_feature_sets
 
 # ---------------------------------------------------------------------------
 # As-of joins
@@ -198,3 +201,37 @@ def q_reconcile(spark, sf):
     lines = fx.table(spark, sf, "lineitem")
     sides = [fx.supplier_bars_of(lines.filter(c)) for c in ("l_returnflag <> 'R'", "l_linestatus = 'F' OR l_returnflag = 'R'")]
     return rec.reconcile(*sides, ["ticker", "date"], ["close", "volume"])
+
+
+# ---------------------------------------------------------------------------
+# SQL functions
+# ---------------------------------------------------------------------------
+
+
+@register("t11_sql_universe", f"""
+SELECT ticker, source, listing_row, substr(ticker, 1, 1) AS initial FROM ({_FILTERED_SQL}) f""")
+def q_sql_universe(spark, sf):
+    """U1 to U3 from SQL, by registered functions."""
+    register_universe(spark)
+    listings = fx.supplier_listing(spark, sf).unionByName(fx.customer_listing(spark, sf))
+    return spark.sql("""SELECT normal_symbol(ticker) AS ticker, source, listing_row, substr(normal_symbol(ticker), 1, 1) AS initial
+                        FROM {listings} WHERE is_common_stock(ticker, test_issue, etf)""", listings=listings)
+
+
+@register("t11_sql_tiers_customers", f"SELECT ticker, {osql.mktcap_tier_sql()} AS tier FROM ({osql.CUSTOMER_META_SQL}) m")
+def q_sql_tiers(spark, sf):
+    register_universe(spark)
+    return spark.sql("SELECT ticker, market_cap_tier(market_cap) AS tier FROM {meta}", meta=fx.customer_metadata(spark, sf))
+
+
+@register("t11_sql_scores_sup", _SAME_SQL)
+def q_sql_scores(spark, sf):
+    """M12 from SQL by a registered function, against the batch scorer."""
+    tp, tn = supplier_feature_sets(spark, sf)
+    feats = tp.unionByName(tn)
+    fm = md.fit_final(tp, tn, feature_names(), threshold=0.5)
+    register_scorer(spark, fm)
+    features = ", ".join(f"`{c}`" for c in fm.feature_cols)
+    other = spark.sql(f"""SELECT ticker, d_date, p AS fraud_proba, CAST(p >= 0.5 AS INT) AS fraud_flag
+                          FROM (SELECT ticker, d_date, fraud_proba(array({features})) AS p FROM {{feats}})""", feats=feats)
+    return _same_scores(feats, fm, other)
