@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-HEAVY = ("m10_", "m5_", "m7_", "m11_", "st2_")
+HEAVY = ("m10_", "m5_", "m7_", "m11_", "st2_", "x2_", "x3_")
 
 
 def _norm(v):
