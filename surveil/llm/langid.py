@@ -22,7 +22,8 @@ Defined cases: null texts and texts without letters are ``und`` with score 0;
 texts of which no trigram is known to the model have score 0; null ids are
 predicted but never learned from; rows with a null language are never learned
 from; repeated rows are treated alike; without training rows everything is
-``und``; an empty table gives an empty result; extra columns are kept.
+``und``; an empty table gives an empty result; extra columns are kept, but for any
+named ``lang_pred``, ``score``, ``rejected`` or ``_found``, which are replaced or dropped.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ vector, of fixed size, comes to the driver and is broadcast.
 Defined cases: null and empty texts score by the intercept; rows with a null id
 are scored but never trained on; ids with contradicting or null labels are not
 trained on; repeated rows score alike; an empty table, or one without labels of
-both kinds, gives score 0.5; extra columns are kept.
+both kinds, gives score 0.5; extra columns are kept, but for one named like the score,
+which is replaced.
 """
 
 from __future__ import annotations
