@@ -22,6 +22,7 @@ import datetime as dt
 import json
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -569,13 +570,15 @@ def train(tp: DataFrame, tn: DataFrame, feature_cols: Sequence[str], cfg: CVConf
     Out-of-fold predictions of one class only say nothing about a threshold:
     then there are no metrics and the model keeps ``DEFAULT_THRESHOLD``.
     """
-    oof = cut_lineage(cross_validate(tp, tn, feature_cols, cfg))
-    classes = {r[0] for r in oof.select("true_label").distinct().collect()}
-    metrics, threshold = None, DEFAULT_THRESHOLD
-    if classes == {0, 1}:
-        metrics = cut_lineage(oof_optimum(oof, fp_cost, fn_cost))
-        threshold = float(metrics.first()["threshold"])
-    return Trained(oof, metrics, fit_final(tp, tn, feature_cols, cfg, threshold))
+    with ThreadPoolExecutor(max_workers=1) as beside:  # the final fit's jobs fill the cores that the folds' leave idle
+        final = beside.submit(fit_final, tp, tn, feature_cols, cfg)
+        oof = cut_lineage(cross_validate(tp, tn, feature_cols, cfg))
+        classes = {r[0] for r in oof.select("true_label").distinct().collect()}
+        metrics, threshold = None, DEFAULT_THRESHOLD
+        if classes == {0, 1}:
+            metrics = cut_lineage(oof_optimum(oof, fp_cost, fn_cost))
+            threshold = float(metrics.first()["threshold"])
+        return Trained(oof, metrics, replace(final.result(), threshold=threshold))
 
 
 # ---------------------------------------------------------------------------
