@@ -30,7 +30,6 @@ from surveil.functions.constants import (
     OPTIMISER_THRESHOLDS,
     SUMMARY_THRESHOLDS,
 )
-from surveil.session import cut_lineage
 from surveil.functions.quantiles import running_sums
 
 
@@ -280,14 +279,17 @@ def holdout_report(
     ``fixed``: the metrics at the chosen (stored) threshold, if one is given;
     ``optimised``: the cost optimum on this data; ``summary``: the summary grid.
     """
-    scores = cut_lineage(distinct_scores(df, label, score))  # all three sweeps start from it
-    ranks = cut_lineage(_rank_metrics(scores))
-    sweep = lambda ths: _sweep(scores, ranks, ths, fp_cost, fn_cost)
-    out = sweep(None).drop("raw_threshold").withColumn("mode", F.lit("summary")).unionByName(
-        _optimum(sweep(optimiser_thresholds(OPTIMISER_THRESHOLDS))).withColumn("mode", F.lit("optimised")))
-    if threshold is not None:
-        out = out.unionByName(sweep([threshold]).drop("raw_threshold").withColumn("mode", F.lit("fixed")))
-    return out
+    wanted = {"summary": summary_thresholds(), "optimised": optimiser_thresholds(OPTIMISER_THRESHOLDS),
+              "fixed": [] if threshold is None else [threshold]}
+    scores = distinct_scores(df, label, score)
+    # one sweep over the thresholds of all modes
+    every = sorted({float(t) for ths in wanted.values() for t in ths})
+    sweep = _sweep(scores, _rank_metrics(scores), every, fp_cost, fn_cost)
+    modes = df.sparkSession.createDataFrame([(mode, float(t)) for mode, ths in wanted.items() for t in ths], "mode string, raw_threshold double")
+    rows = sweep.join(F.broadcast(modes), "raw_threshold")
+    best = F.row_number().over(Window.partitionBy("mode").orderBy("cost", "raw_threshold"))  # a few hundred rows
+    rows = rows.withColumn("_best", best).filter((F.col("mode") != "optimised") | (F.col("_best") == 1))
+    return rows.select(*METRIC_COLS, "mode")
 
 
 def cost_curve(sweep: DataFrame) -> DataFrame:
