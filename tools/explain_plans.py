@@ -25,6 +25,10 @@ SHOW = {
     "e4_median_trajectory_user": catalog.QUERIES["e4_median_trajectory_user"],
     "p1_filter_scope_user": catalog.QUERIES["p1_filter_scope_user"],
     "a6_build_cases": catalog.QUERIES["a6_build_cases"],
+    "t1_asof_previous_bar_sup": catalog.QUERIES["t1_asof_previous_bar_sup"],
+    "t3_sessions_sup": catalog.QUERIES["t3_sessions_sup"],
+    "t8_calendar_features_sup": catalog.QUERIES["t8_calendar_features_sup"],
+    "t9_reconcile_bars_sup": catalog.QUERIES["t9_reconcile_bars_sup"],
 }
 
 
@@ -42,6 +46,11 @@ NOTES = {
     "e4_median_trajectory_user": "A sketch brackets the wanted ranks, values outside are clamped to the bracket, equal values are counted, "
     "and the exact percentile sees (value, count) pairs only.",
     "p1_filter_scope_user": "A plain semi-join: the planner broadcasts the ticker list where its real size allows it.",
+    "t1_asof_previous_bar_sup": "Both sides meet in one ordered union, shuffled by (ticker, cell); the carries of the cells are a small "
+    "aggregate joined by the same key. No pair of rows is formed.",
+    "t3_sessions_sup": "One exchange by (ticker, cell) serves the window and the pieces' aggregate; only pieces near a cell's edge are shuffled by ticker.",
+    "t8_calendar_features_sup": "Bars are aggregated once, then framed by (ticker, cell); history rows that a later cell needs are repeated before that exchange.",
+    "t9_reconcile_bars_sup": "Both sides are aggregated by (ticker, date), then meet in a full outer join by null-safe keys.",
     "a6_build_cases": "First hit per (ticker, date) as a partial min_by aggregate; one shuffle plus the final sort.",
 }
 
