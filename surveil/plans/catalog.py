@@ -1025,8 +1025,13 @@ FROM ({_listing_sql(tbl, key, name, layout)}) l WHERE ticker IS NOT NULL AND tic
 @register("s5_read_listing_suppliers", _read_listing_sql("supplier", "s_suppkey", "s_name", "nasdaq"))
 def q_read_listing(spark, sf):
     path = scratch_path(spark, "listing")
-    # one file, so that its first line is the header
-    _listing_lines(fx.supplier_listing(spark, sf), spark, "nasdaq").orderBy(~F.startswith("value", F.lit("Symbol|"))).coalesce(1).write.text(path)
+    # every file begins with the header, so the listing is written by as many tasks as it has
+    rows = fx.supplier_listing(spark, sf).select(F.col("ticker").alias("Symbol"), F.col("security_name").alias("Security Name"),
+                                                 F.col("test_issue").alias("Test Issue"), F.col("etf").alias("ETF"))
+    trailer = spark.range(1).select(F.lit("File Creation Time: 0000000000").alias("Symbol"),
+                                    *[F.lit(None).cast("string").alias(c) for c in rows.columns[1:]])
+    rows.unionByName(trailer).write.csv(path, sep="|", header=True, ignoreLeadingWhiteSpace=False,
+                                                       ignoreTrailingWhiteSpace=False)
     return src.read_listing(spark, path, "nasdaq").select("ticker", "security_name", "test_issue", "etf", "source")
 
 
