@@ -11,9 +11,12 @@ and the items.
 of the text, and documents of which more than ``max_coverage`` of the words are
 hit are dropped.
 
-The benchmark is cut into blocks of items of at most about ``BLOCK_WORDS`` words; each
-block has its automaton, broadcast behind that bound, and the documents stream
-past all of them, so a benchmark of any size is searched completely.
+The benchmark is cut into blocks of at most ``BLOCK_WORDS`` words, and tasks build
+an automaton of each into a staged table: the driver sees neither items nor all
+automata.  One block at a time is broadcast behind its bound, and the documents
+stream past all of them, so a benchmark of any size is searched completely.  An
+item that is larger than a block is cut into pieces that overlap by all but one
+word of a window: no window is lost, only ``longest`` ends at a piece's edge.
 
 Defined cases: null texts have no words; items without words never match; a null
 item id is listed as ``null``; repeated items and documents are treated alike; an
@@ -24,10 +27,14 @@ named like its results).
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -35,8 +42,10 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from surveil.llm.common import stage
 
 WINDOW = 10
-#: Words of the benchmark in one automaton, at most about (it has two states a word at most).
+#: Words of the benchmark in one automaton, at most (it has two states a word at most).
 BLOCK_WORDS = 100_000
+#: Blocks that one task builds, about; more to a task leave fewer blocks half full.
+BLOCKS_A_TASK = 8
 #: Automata that the documents stream past before they are staged, so that few Python workers run at a time.
 BLOCKS_AT_A_TIME = 4
 #: Documents with a larger share of hit words are dropped, not cut.
@@ -179,33 +188,77 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+class Blocks:
+    """Automata over blocks of the items: rows (``block``, pickled ``body``) of a staged table."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        self.numbers = sorted(r["block"] for r in rows.select("block").collect())
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def broadcast(self, n: int) -> Broadcast[bytes]:
+        """The n-th automaton, bounded by ``BLOCK_WORDS``; of an empty benchmark, one that matches nothing."""
+        body = self.rows.filter(F.col("block") == self.numbers[n]).first()["body"] if self.numbers else pickle.dumps(SuffixAutomaton([]))
+        return self.rows.sparkSession.sparkContext.broadcast(bytes(body))
+
+
 def build_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, item_id: str = "item_id",
-                 text: str = "text") -> list:
-    """Broadcast automata over blocks of the items; every block's size is bounded before it is collected."""
-    spark = items.sparkSession
+                 text: str = "text") -> Blocks:
+    """Automata over blocks of the items, built in tasks."""
+    size = max(block_words, 2 * window)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, t in zip(*(batch.column(c).to_pylist() for c in ("item", "text"))):
+                words = words_of(t)
+                starts = range(0, max(len(words) - window + 1, 1), size - window + 1) if words else ()
+                cut = [words[i:i + size] for i in starts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item] * len(cut), pa.string()), pa.array(range(len(cut)), pa.int64()),
+                     pa.array([len(c) for c in cut], pa.int64()), pa.array([b" ".join(c) for c in cut], pa.binary())],
+                    ["item", "piece", "n_words", "body"])
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def body(part: list[tuple[str, list[bytes]]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(SuffixAutomaton(part, window))], pa.binary())], ["body"])
+
+        todo: list[tuple[str, list[bytes]]] = []
+        held = 0
+        for batch in batches:
+            for item, n, raw in zip(*(batch.column(c).to_pylist() for c in ("item", "n_words", "body"))):
+                if held + n > size:
+                    yield body(todo)
+                    todo, held = [], 0
+                todo.append((item, raw.split(b" ")))
+                held += n
+        if todo:
+            yield body(todo)
+
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.coalesce(text, F.lit("")).alias("text"))
-    chars = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-chars // (block_words * 2)))  # a word takes two bytes at least
-    out = []
-    for b in range(n_blocks):
-        rows = named.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()
-        out.append(spark.sparkContext.broadcast(SuffixAutomaton(sorted((r["item"], words_of(r["text"])) for r in rows), window)))
-    return out
+    cut = stage(named.distinct().mapInArrow(pieces, "item string, piece long, n_words long, body binary"), "decontaminate-items")
+    words = cut.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    spread = cut.repartition(max(1, -(-words // (size * BLOCKS_A_TASK))), "item", "piece")
+    return Blocks(stage(spread.mapInArrow(built, "body binary").withColumn("block", F.monotonically_increasing_id()), "decontaminate-automata"))
 
 
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
 
-def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") -> DataFrame:
+def scan(docs: DataFrame, blocks: Blocks, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with (names after ``prefix``) ``n_words``, ``spans`` (hit word intervals), ``items`` (sorted ids) and ``longest`` (match, in words)."""
     kinds = {"n_words": LongType(), "spans": ArrayType(_SPAN), "items": ArrayType(StringType()), "longest": LongType()}
     name = {k: prefix + k for k in kinds}
     docs = docs.drop(*name.values())
     schema = StructType([*docs.schema.fields, *(StructField(name[k], kind) for k, kind in kinds.items())])
     out = docs.withColumns({name[k]: (F.lit(0) if kind == LongType() else F.array()).cast(kind) for k, kind in kinds.items()})
-    for n, block in enumerate(blocks):
-        def matched(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            automaton = block.value
+    live: list[Broadcast[bytes]] = []
+    for n in range(max(1, len(blocks))):
+        live.append(blocks.broadcast(n))
+
+        def matched(batches: Iterator[pd.DataFrame], block=live[-1]) -> Iterator[pd.DataFrame]:
+            automaton = pickle.loads(block.value)
             for pdf in batches:
                 sizes, spans, items, longest = [], [], [], []
                 for t, old, had, top in zip(pdf[text], *(pdf[name[k]] for k in ("spans", "items", "longest"))):
@@ -219,6 +272,8 @@ def scan(docs: DataFrame, blocks: list, text: str = "text", prefix: str = "") ->
         out = out.mapInPandas(matched, schema)
         if (n + 1) % BLOCKS_AT_A_TIME == 0 and n + 1 < len(blocks):
             out = stage(out, "decontaminate-blocks")
+            while live:
+                live.pop().unpersist()
     return out
 
 
@@ -244,25 +299,34 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def decontaminate(docs: DataFrame, blocks: list, max_coverage: float = MAX_COVERAGE, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, blocks: Blocks, max_coverage: float = MAX_COVERAGE, text: str = "text") -> DataFrame:
     """The clean documents, with hit spans cut out; those of which too many words are hit are gone.
 
     Cutting can bring the two ends of another window together, so a text is
-    searched again until nothing is found.
+    searched again until nothing is found: with one block in the task that cuts
+    it, with several in rounds over the documents cut last, block by block.
     """
-    columns = docs.columns
+    columns, schema = docs.columns, docs.schema
     found = scan(docs, blocks, text, "__").filter(hit_words("__") <= F.col("__n_words") * max_coverage)
+    only = blocks.broadcast(0) if len(blocks) <= 1 else None
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automata = [b.value for b in blocks]
+        automaton = pickle.loads(only.value) if only else None
         for pdf in batches:
             texts = []
             for t, spans in zip(pdf[text], pdf["__spans"]):
                 todo = [(s["start"], s["end"]) for s in spans]
                 while todo:
                     t = cut_spans(t, todo)
-                    todo = merged([s for a in automata for s in a.match(word_slices(t))[0]])
+                    todo = automaton.match(word_slices(t))[0] if automaton else []
                 texts.append(t)
             yield pdf.assign(**{text: texts})[columns]
 
-    return found.mapInPandas(cut, docs.schema)
+    if only:
+        return found.mapInPandas(cut, schema)
+    found = stage(found, "decontaminate-found")
+    clean = [found.filter(F.size("__spans") == 0).select(*columns)]
+    while not (hit := found.filter(F.size("__spans") > 0)).isEmpty():
+        found = stage(scan(hit.mapInPandas(cut, schema), blocks, text, "__"), "decontaminate-again")
+        clean.append(found.filter(F.size("__spans") == 0).select(*columns))
+    return reduce(DataFrame.unionAll, clean)

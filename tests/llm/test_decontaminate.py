@@ -107,3 +107,33 @@ def test_awkward_and_empty_tables(spark, wide):
     assert dc.decontaminate(docs_frame(spark, []), blocks).count() == 0
     none = dc.build_blocks(bench(spark).filter("1 = 0"))
     assert dc.decontaminate(docs, none).count() == docs.count()
+
+
+@pytest.mark.parametrize("block_words", [100_000, 20])
+def test_cutting_in_rounds_equals_cutting_in_the_task(spark, block_words):
+    a, b = prose(40, 50).split(), prose(12, 51).split()
+    nested = a[:6] + b + a[6:14]  # cutting one item joins a window of another, which another block may hold
+    rows = [*leaky_docs(), (200, " ".join(prose(50, 70).split() + nested + prose(50, 71).split())), (201, None), (202, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = dc.build_blocks(bench(spark), block_words=block_words)
+    assert (len(blocks) > 1) == (block_words == 20)
+    got = dc.decontaminate(docs, blocks)
+    assert got.schema == docs.schema
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert set(texts) == {100, 102, 103, 104, 200, 201, 202} and texts[201] is None and texts[202] == ""
+    assert brute_words(texts[200]) == brute_words(prose(50, 70) + " " + prose(50, 71))
+    assert texts[103] == prose(100, 62) + ",  " + prose(100, 63)
+
+
+@pytest.mark.parametrize("block_words", [20, 25, 64])
+def test_blocks_are_bounded_and_no_window_is_lost(spark, block_words):
+    """An item of many blocks, one of one word more than a block, and one repeated a hundred times."""
+    items = [(1, prose(700, 80)), (2, prose(block_words + 1, 81)), *[(3, prose(15, 82))] * 100]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    blocks = dc.build_blocks(table, block_words=block_words)
+    held = [len(a.length) for a in (dc.pickle.loads(r["body"]) for r in blocks.rows.collect())]
+    assert len(held) == len(blocks) and max(held) <= 2 * block_words + 1
+    long = prose(700, 80).split()
+    docs = spark.createDataFrame([(i, " ".join(long[i:i + 10])) for i in range(691)], "doc_id long, text string")
+    got = dc.scan(docs, blocks).collect()
+    assert len(got) == 691 and all(r["items"] == ["1"] and r["spans"][0]["end"] == 10 for r in got)
