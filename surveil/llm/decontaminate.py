@@ -44,8 +44,8 @@ from surveil.llm.common import stage
 WINDOW = 10
 #: Words of the benchmark in one automaton, at most (it has two states a word at most).
 BLOCK_WORDS = 100_000
-#: Blocks that one task builds, about; more to a task leave fewer blocks half full.
-BLOCKS_A_TASK = 8
+#: Blocks that are built from one group of items, about; larger groups leave fewer blocks half full.
+BLOCKS_A_GROUP = 4
 #: Automata that the documents stream past before they are staged, so that few Python workers run at a time.
 BLOCKS_AT_A_TIME = 4
 #: Documents with a larger share of hit words are dropped, not cut.
@@ -220,27 +220,25 @@ def build_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOC
                      pa.array([len(c) for c in cut], pa.int64()), pa.array([b" ".join(c) for c in cut], pa.binary())],
                     ["item", "piece", "n_words", "body"])
 
-    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def body(part: list[tuple[str, list[bytes]]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(SuffixAutomaton(part, window))], pa.binary())], ["body"])
-
-        todo: list[tuple[str, list[bytes]]] = []
-        held = 0
-        for batch in batches:
-            for item, n, raw in zip(*(batch.column(c).to_pylist() for c in ("item", "n_words", "body"))):
-                if held + n > size:
-                    yield body(todo)
-                    todo, held = [], 0
-                todo.append((item, raw.split(b" ")))
-                held += n
-        if todo:
-            yield body(todo)
+    def built(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts: list[list[tuple[str, list[bytes]]]] = []
+        held = size
+        for item, n, body in zip(pdf["item"], pdf["n_words"], pdf["body"]):
+            if held + n > size:
+                parts.append([])
+                held = 0
+            parts[-1].append((item, body.split(b" ")))
+            held += n
+        return pd.DataFrame({"body": [pickle.dumps(SuffixAutomaton(part, window)) for part in parts]})
 
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.coalesce(text, F.lit("")).alias("text"))
     cut = stage(named.distinct().mapInArrow(pieces, "item string, piece long, n_words long, body binary"), "decontaminate-items")
     words = cut.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    spread = cut.repartition(max(1, -(-words // (size * BLOCKS_A_TASK))), "item", "piece")
-    return Blocks(stage(spread.mapInArrow(built, "body binary").withColumn("block", F.monotonically_increasing_id()), "decontaminate-automata"))
+    # by a key, not by partitions: the number of blocks must not follow the cluster's
+    groups = max(1, -(-words // (size * BLOCKS_A_GROUP)))
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("item", "piece"), F.lit(groups)))
+    automata = dealt.groupBy("group").applyInPandas(built, "body binary").withColumn("block", F.monotonically_increasing_id())
+    return Blocks(stage(automata, "decontaminate-automata"))
 
 
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
