@@ -72,3 +72,25 @@ def test_differing_texts_under_one_fingerprint_are_found_and_split(spark):
     differ = spark.createDataFrame([(5, 1)], "fp long, fp_len long")
     got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in ed.group_copies(forged, differ).collect()}
     assert got == {1: (1, 2, True), 2: (1, 2, False), 3: (3, 1, True), 4: (4, 1, True)}
+
+
+@pytest.mark.parametrize("part_chars", [1, 5, 1000])
+def test_parts_hashed_apart_give_the_fingerprint_of_the_whole(spark, part_chars):
+    """Long documents are hashed part by part in several tasks and combined in order."""
+    rnd = random.Random(part_chars)
+    rows = [(i, "".join(rnd.choice("ab \t\né\x0b日") for _ in range(rnd.choice([0, 1, 4, 30, 90])))) for i in range(60)]
+    if part_chars == 1000:
+        rows = [(i, "".join(rnd.choice("ab \té") for _ in range(20_000 + i))) for i in range(4)]
+    rows += [(100, None), (101, "   \t  \n "), (102, " "), (None, rows[0][1]), (2**60 + 1, rows[3][1].replace(" ", "\n \t")), rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ed.fingerprints(docs, part_chars=part_chars).collect()
+    assert sorted(((r["doc_id"], r["fp"], r["fp_len"], r["text_sha256"]) for r in got), key=str) == sorted(((i, *ed.fingerprint_of(t)) for i, t in rows), key=str)
+    assert len({r["row"] for r in got}) == len(rows)
+    parts = spark.createDataFrame(
+        [(7, n, rows[3][1][i:i + part_chars].encode(), bool(n) and rows[3][1][i - 1] in " \t\n\x0b\x0c\r")
+         for n, i in enumerate(range(0, len(rows[3][1]), part_chars))], "row long, part long, piece binary, blank boolean")
+    if rows[3][1]:
+        spread = ed.combined_parts(parts.orderBy(F.desc("part"))).first()
+        assert (spread["fp"], spread["fp_len"]) == ed.polynomial_of(rows[3][1])
+    result = ed.exact_duplicates(docs, part_chars=part_chars).collect()
+    assert sorted((tuple(r) for r in result), key=str) == brute(rows)
