@@ -5,8 +5,11 @@ the longest fitting rule wins.  URLs that no rule fits are judged by a logistic
 regression over hashed character n-grams of host and path, trained from a small
 labelled table of URLs.
 
-Rules are a parameter of bounded length, so they travel inside the expression
-and no URL is shuffled, whatever host is the most common one.
+A short list of rules travels inside the expression, so no URL is shuffled,
+whatever host is the most common one.  A longer list, or a table of rules of any
+size, is joined: each distinct (host, path) probes the suffixes of its host with
+the prefixes of its path that are as long as some rule's, so neither all rules of
+a host nor all its URLs ever meet in one row.
 
 Defined cases: a null URL and one without ``://`` have an empty host and path
 (judged by the model's intercept); repeated rows are judged alike; null page ids
@@ -31,7 +34,8 @@ NGRAMS = (2, 3, 4, 5)
 DIMENSIONS = 1 << 14
 #: Most labelled URLs of each verdict that the model is fitted to.
 MAX_LABELLED = 1000
-MAX_RULES = 10_000
+#: So many rules are part of the expression; more are joined.  The results are the same.
+INLINE_RULES = 50
 
 
 @dataclass(frozen=True)
@@ -56,8 +60,6 @@ def url_path(url: Column) -> Column:
 
 def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """The longest fitting rule as a struct (name, verdict), or null."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are inlined")
     ranked = sorted(rules, key=lambda r: (-len(r.name), r.name, r.verdict))
     out = F.lit(None).cast("struct<name:string,verdict:string>")
     for rule in reversed(ranked):
@@ -66,6 +68,33 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
+def joined_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """``urls`` with ``__rule`` as ``matching_rule`` names it, from a table of rules (``verdict``, ``host``, ``path``; nulls fit nothing)."""
+    known = rules.dropna(subset=["verdict", "host", "path"]).groupBy(F.col("host").alias("__on"), F.col("path").alias("__prefix")).agg(
+        F.min("verdict").alias("__says"))
+    lengths = known.groupBy("__on").agg(F.collect_set(F.char_length("__prefix")).alias("__lengths"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    probes = urls.select("host", "path").distinct().withColumn("__on", F.explode(suffixes)).join(lengths, "__on")
+    fitting = F.filter("__lengths", lambda n: n <= F.char_length("path"))
+    probes = probes.withColumn("__length", F.explode(fitting)).withColumn("__prefix", F.col("path").substr(F.lit(1), F.col("__length")))
+    name = F.concat("__on", "__prefix")
+    ranked = F.struct((-F.char_length(name)).alias("rank"), name.alias("name"), F.col("__says").alias("verdict"))
+    best = probes.join(known, ["__on", "__prefix"]).groupBy("host", "path").agg(F.min(ranked).alias("__rule"))
+    # a table of its own, so that the planner knows its size and can split the join of a hot URL
+    best = stage(best.withColumn("__rule", F.struct("__rule.name", "__rule.verdict")), "url-rules")
+    return urls.join(best, ["host", "path"], "left").select(*urls.columns, "__rule")
+
+
+def with_rules(urls: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
+    """``urls`` with ``__rule``: the longest fitting rule, or null."""
+    if isinstance(rules, list) and len(rules) <= INLINE_RULES:
+        return urls.withColumn("__rule", matching_rule(F.col("host"), F.col("path"), rules))
+    if isinstance(rules, list):
+        rules = urls.sparkSession.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    return joined_rules(urls, rules)
+
+
 def char_ngrams(text: Column, tag: str) -> Column:
     """All character n-grams of a text with its ends marked, prefixed by ``tag``."""
     marked = F.concat(F.lit("^"), text, F.lit("$"))
@@ -106,15 +135,16 @@ def train(labelled: DataFrame) -> LogisticRegressionModel | None:
                               predictionCol="__prediction", maxIter=100, regParam=0.001).fit(rows)
 
 
-def judge(pages: DataFrame, rules: list[Rule], url: str = "url", labelled: DataFrame | None = None,
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame, url: str = "url", labelled: DataFrame | None = None,
           max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``block_score``.
 
+    ``rules``: a list, or a table (verdict, host, path) of any size.
     ``labelled`` (host, path, verdict) trains the model; without it, the URLs
     that a rule decides do.
     """
     urls = pages.withColumn("host", url_host(F.col(url))).withColumn("path", url_path(F.col(url)))
-    urls = urls.withColumn("__rule", matching_rule(F.col("host"), F.col("path"), rules))
+    urls = with_rules(urls, rules)
     ruled = labelled if labelled is not None else urls.select("host", "path", F.col("__rule.verdict").alias("verdict"))
     model = train(labelled_sample(ruled, max_labelled))
     if model is None:
