@@ -114,7 +114,12 @@ def digest_of(text: str | None) -> str:
 
 
 def fingerprint_of(text: str | None) -> tuple[int, int, str]:
-    return *polynomial_of(text), digest_of(text)
+    """(packed value, length in bytes, SHA-256) of the normalised text, which is normalised once."""
+    whole, sha = EMPTY, hashlib.sha256()
+    for piece in normalised_pieces(text):
+        sha.update(piece)
+        whole = combine(whole, chunk_fingerprint(piece)) if whole[2] else chunk_fingerprint(piece)
+    return whole[0] << 31 | whole[1], whole[2], sha.hexdigest()
 
 
 #: A long document's part: its fingerprint, and the powers that shift what stands before it.
