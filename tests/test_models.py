@@ -143,3 +143,17 @@ def test_nearest_uses_exact_distances(spark):
     d2, at = mt.nearest(points, cents)
     full = ((points[:, None] - cents[None]) ** 2).sum(axis=2)
     assert (at == full.argmin(axis=1)).all() and np.array_equal(d2, full.min(axis=1)) and 7 not in at
+
+
+def test_scaler_builds_a_vector_once_a_row(spark):
+    """The vector is an expression over wide columns; inside the function over its places it would be built for every place."""
+    from surveil.operators import matching as mt
+
+    rows = [(1.0, None, 3.0, None), (None, 5.0, float("nan"), 2.0)]
+    df = mt.as_vector(spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(2), ["a", "b", "c", "d"])
+    stats = mt.ScalerStats([0, 2, 3], [10.0, 20.0, 30.0], [1.0, 2.0, 3.0], [2.0, 4.0, 8.0])
+    for out, want in ((mt.apply_scaler(df, stats), {(0.0, 0.25, 3.375), (4.5, 4.5, -0.125)}),
+                      (mt.impute(df, stats, out="z"), {(1.0, 3.0, 30.0), (10.0, 20.0, 2.0)})):
+        assert {tuple(r["z"]) for r in out.select("z").collect()} == want
+        plan = out.select("z")._jdf.queryExecution().optimizedPlan().toString()
+        assert "nanvl(" in plan and "nanvl(" not in plan.split("lambdafunction(", 1)[1]
