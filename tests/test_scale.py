@@ -126,3 +126,18 @@ def test_shared_storage_is_required_outside_a_single_process(spark, monkeypatch)
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_quantiles_and_weights_by_few_groups_shuffle_no_rows_by_group(spark):
+    """A join on a label of two values would bring half of all rows into one task."""
+    from surveil.operators import model as md
+
+    rows = spark.range(1000).select(F.expr("IF(id % 7 = 0, NULL, id % 2)").alias("label"), (F.col("id") % 90).cast("double").alias("v"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")  # as if the tables were too large to broadcast by their size
+        for out in (qt.exact_median(rows, "v", ["label"]), md.class_weights(rows.select("label"))):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
