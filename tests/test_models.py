@@ -157,3 +157,21 @@ def test_scaler_builds_a_vector_once_a_row(spark):
         assert {tuple(r["z"]) for r in out.select("z").collect()} == want
         plan = out.select("z")._jdf.queryExecution().optimizedPlan().toString()
         assert "nanvl(" in plan and "nanvl(" not in plan.split("lambdafunction(", 1)[1]
+
+
+def test_lookbacks_run_beside_each_other_with_the_same_results(spark, monkeypatch):
+    import threading
+
+    f = _features(spark)
+    feats = f.withColumn("lookback", F.lit(30)).unionByName(f.withColumn("lookback", F.lit(60)).withColumn("f1", F.col("f1") * F.col("f2")))
+    cfg, met, validate = md.CVConfig(n_trees=5, ratio=3), threading.Barrier(2, timeout=120), md.cross_validate
+
+    def beside(*args):
+        met.wait()  # raises unless another lookback is on its way
+        return validate(*args)
+
+    alone = {lb: sorted(map(tuple, validate(p.filter("label = 1"), p.filter("label = 0"), ["f1", "f2", "f3"], cfg).collect()))
+             for lb in (30, 60) for p in [feats.filter(F.col("lookback") == lb).drop("lookback")]}
+    monkeypatch.setattr(md, "cross_validate", beside)
+    oof = md.lookback_oof(feats, ["f1", "f2", "f3"], cfg)
+    assert {lb: sorted(map(tuple, oof.filter(F.col("lookback") == lb).drop("lookback").collect())) for lb in (30, 60)} == alone
