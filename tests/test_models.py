@@ -175,3 +175,13 @@ def test_lookbacks_run_beside_each_other_with_the_same_results(spark, monkeypatc
     monkeypatch.setattr(md, "cross_validate", beside)
     oof = md.lookback_oof(feats, ["f1", "f2", "f3"], cfg)
     assert {lb: sorted(map(tuple, oof.filter(F.col("lookback") == lb).drop("lookback").collect())) for lb in (30, 60)} == alone
+
+
+def test_keys_of_the_supplier_matrix_are_computed_once(spark):
+    """Weights and folds read the keys twice; the windows behind them are built once."""
+    from conftest import SF_SMALL
+    from surveil.plans import catalog
+
+    for name in ("m4_class_weights_sup", "m9_fold_membership_sup"):
+        plan = catalog.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_shipdate" not in plan and "Window" not in plan
