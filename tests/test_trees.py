@@ -120,3 +120,25 @@ def test_a_grid_is_one_run_and_equals_its_settings(spark):
         alone = rank_metrics(rows, "true_label", "pred_proba").first()
         assert (r["roc_auc"], r["pr_auc"]) == (alone["roc_auc"], alone["pr_auc"])
         assert 0.0 <= r["roc_auc"] <= 1.0
+
+
+def test_a_plan_does_not_grow_with_the_settings_of_a_grid(spark, monkeypatch):
+    """Every plan is held by the driver, as text and as a tree, each time it changes while it runs."""
+    sizes, keep = [], md.cut_lineage
+
+    def measured(df):
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df)
+
+    monkeypatch.setattr(md, "cut_lineage", measured)
+    monkeypatch.setattr(md.mt, "cut_lineage", measured)
+    f = _points(spark)
+    tp, tn = f.filter("label = 1"), f.filter("label = 0")
+    base = md.CVConfig(n_trees=5, n_bins=2, min_leaf=1)
+    largest = {}
+    for ratios in ([2], [2, 3, 4]):
+        sizes.clear()
+        cfgs = {f"stratified/{r}": md.replace(base, method="stratified", ratio=r) for r in ratios}
+        md.fit_folds(md.match_folds(tp, tn, ["f1", "f2"], needs=md.needed(cfgs)), cfgs, grow=False)
+        largest[len(cfgs)] = max(sizes)
+    assert largest[3] < 1.5 * largest[1]
