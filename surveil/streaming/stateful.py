@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,18 +118,18 @@ def _keep_last(n: int):
             yield pd.DataFrame({"ticker": key[0], "d_date": key[1], "label": label,
                                 "date": pd.to_datetime(pd.Series(days), unit="D").dt.date, **dict(zip(_VALUES, values))})
             return
-        rows = pd.concat(list(batches))
-        closes = int(rows["_closes_ms"].iloc[0])
+        parts = list(batches)
+        closes = int(parts[0]["_closes_ms"].iloc[0])
         if closes <= state.getCurrentWatermarkMs():  # the window has been handed on, these bars are too late for it
             return
-        label = int(rows["label"].iloc[0])
-        rows = rows[["_day", *_VALUES]]
+        # plain arrays: a group brings a few bars at a time, so the frames around them would cost more than they do
+        found = [[part[c].to_numpy(dtype=float) for part in parts] for c in ("_day", *_VALUES)]
         if state.exists:
-            _, _, days, *values = state.get
-            rows = pd.concat([pd.DataFrame({"_day": days, **dict(zip(_VALUES, values))}), rows])
-        rows = rows.sort_values("_day", kind="stable").tail(n)
-        arrays = [[None if pd.isna(v) else float(v) for v in rows[c]] for c in _VALUES]
-        state.update((label, closes, rows["_day"].astype(int).tolist(), *arrays))
+            found = [[np.array(held, dtype=float), *new] for held, new in zip(state.get[2:], found)]
+        days, *values = map(np.concatenate, found)
+        last = np.argsort(days, kind="stable")[-n:]
+        arrays = [[None if v != v else v for v in column[last].tolist()] for column in values]
+        state.update((int(parts[0]["label"].iloc[0]), closes, days[last].astype(int).tolist(), *arrays))
         state.setTimeoutTimestamp(closes)
         yield from ()
 

@@ -103,3 +103,42 @@ def test_streamed_cases_meet_their_bars_and_state_is_evicted(spark, daily):
     assert sum(o["numRowsRemoved"] for o in ops) > 40  # bars and cases that nothing can meet any more
     assert max(o["numRowsTotal"] for o in ops) < bars.count() + cases.count()
     assert ops[-1]["numRowsTotal"] <= 6
+
+
+class _State:
+    """What a group's state does between batches, without a stream."""
+
+    hasTimedOut = False
+
+    def __init__(self):
+        self.get = None
+
+    exists = property(lambda self: self.get is not None)
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+    def update(self, value):
+        self.get = value
+
+    def setTimeoutTimestamp(self, at):
+        self.at = at
+
+
+def test_an_open_window_keeps_its_last_bars_without_building_frames(monkeypatch):
+    import pandas as pd
+
+    rnd = random.Random(5)
+    days = list(range(30))
+    rnd.shuffle(days)
+    bars = [(d, *[None if rnd.random() < 0.2 else float(rnd.randrange(50)) for _ in st._VALUES]) for d in days]
+    frames = [pd.DataFrame(bars[i:i + 7], columns=["_day", *st._VALUES]).assign(label=1, _closes_ms=10**12) for i in range(0, 30, 7)]
+    frames = [f.astype({c: float for c in st._VALUES}) for f in frames]
+    for name in ("concat", "DataFrame", "Series"):
+        monkeypatch.setattr(st.pd, name, None)  # each would cost a group more than its bars
+    state, step = _State(), st._keep_last(12)
+    assert list(step(("a", None), iter(frames[:2]), state)) == []
+    for f in frames[2:]:
+        assert list(step(("a", None), iter([f]), state)) == []
+    want = sorted(bars)[-12:]
+    assert state.get == (1, 10**12, *[[b[i] for b in want] for i in range(len(st._VALUES) + 1)]) and state.at == 10**12
