@@ -141,3 +141,39 @@ def test_quantiles_and_weights_by_few_groups_shuffle_no_rows_by_group(spark):
             assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_windows_of_d_dates_are_broadcast_once_whatever_the_shuffle_partitions(spark):
+    """Repeated for salts, the windows of 18,000 D-dates and 600 partitions were 50 million rows in the driver."""
+    import datetime as dt
+
+    from surveil.operators import windows as win
+
+    day = dt.date(2024, 1, 1)
+    bars = spark.createDataFrame([(t, day + dt.timedelta(days=i), 1.0) for t in "ABC" for i in range(90)], "ticker string, date date, close double")
+    dates = spark.createDataFrame([(day + dt.timedelta(days=i),) for i in (60, 75, 90)], "d_date date")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    rows = []
+    try:
+        for n, v in zip(names, ("5", "-1", "false")):
+            spark.conf.set(n, v)
+        for salts in ("5", "50"):
+            spark.conf.set(names[0], salts)
+            df = win.candidate_windows(bars, bars.select("ticker"), dates, lookback_bars=20)
+            plan = df._jdf.queryExecution().executedPlan()
+            assert "BroadcastHashJoin [_bucket" in plan.toString()
+            broadcast = [n for n in _nodes(plan) if n.nodeName() == "BroadcastExchange"]
+            assert len(df.collect()) == 3 * 3 * 20
+            rows.append([n.metrics().apply("numOutputRows").value() for n in broadcast])
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    assert rows[0] == rows[1] and len(rows[0]) == 1 and rows[0][0] <= 3 * 7
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
