@@ -142,3 +142,78 @@ def test_a_plan_does_not_grow_with_the_settings_of_a_grid(spark, monkeypatch):
         md.fit_folds(md.match_folds(tp, tn, ["f1", "f2"], needs=md.needed(cfgs)), cfgs, grow=False)
         largest[len(cfgs)] = max(sizes)
     assert largest[3] < 1.5 * largest[1]
+
+
+def test_statistics_of_bounded_groups_are_the_distributed_ones(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    rows = []
+    for g, n in (("a", 1), ("b", 2), ("c", 57), ("d", 200)):
+        x = np.round(rng.normal(size=(n, 7)) * 10.0 ** rng.integers(-3, 6, 7), 3)
+        x[rng.random(x.shape) < 0.3] = np.nan
+        x[:, 2], x[:, 5] = 4.25, np.nan  # no spread, no values
+        rows += [(g, [None if v != v else float(v) for v in row]) for row in x]
+    df = spark.createDataFrame(rows, "g string, x array<double>").repartition(5)
+    want = {r["g"]: r["stats"] for r in md.keyed_stats(df, ["g"]).collect()}
+    for features in (64, 3):
+        monkeypatch.setattr(md, "FEATURES_PER_TASK", features)
+        got = {r["g"]: r["stats"] for r in md.bounded_stats(df, ["g"]).collect()}
+        assert got == want and all(s["i"] != 5 for r in got.values() for s in r)
+
+
+def test_vectors_of_a_group_move_once_for_all_trees(spark, monkeypatch):
+    """They moved once a tree: 100 times the vectors of every fold."""
+    from surveil.operators import forest as fr
+
+    rng = np.random.default_rng(22)
+    rows = [(g, f"{g}{k}", rng.normal(size=3).tolist()) for g, n in (("a", 90), ("b", 700)) for k in range(n)]
+    df = spark.createDataFrame(rows, "g string, id string, z array<double>").repartition(4)
+    drawn = fr._drawn(df, ["id"], "z", 40, 64, 5, ["g"])
+    moved = {r["g"]: r["count"] for r in drawn.groupBy("g").count().collect()}
+    assert moved["a"] == 90 and moved["b"] <= min(fr.TREE_BLOCKS * 700, 40 * (2 * 64 + 64) * 2)
+    # the rows that tree_samples draws, tree by tree, grown in the order of their keys
+    nodes = {}
+    for r in fr.fit_forest(df, ["id"], "z", 40, 64, 5, ["g"]).collect():
+        nodes.setdefault((r["g"], r["tree_id"]), []).append((r["node"], r["feature"], r["threshold"], r["left"], r["right"], r["size"]))
+    samples = {}
+    for r in fr.tree_samples(df, ["id"], "z", 40, 64, 5, ["g"]).collect():
+        samples.setdefault((r["g"], r["tree_id"]), []).append((r["id"], r["z"]))
+    import zlib
+
+    assert set(nodes) == set(samples) and len(nodes) == 80
+    for (g, t), rows in samples.items():
+        x = np.array([z for _, z in sorted(rows)])
+        want = fr.grow_tree(x, np.random.default_rng([5, t, zlib.crc32(g.encode())]), int(np.ceil(np.log2(len(x)))))
+        assert sorted(nodes[(g, t)]) == sorted(want)
+
+
+def test_many_rows_get_the_scores_of_few(spark, monkeypatch):
+    from surveil.operators import forest as fr
+
+    rng = np.random.default_rng(23)
+    df = spark.createDataFrame([(k, rng.normal(size=4).tolist()) for k in range(300)], "id int, z array<double>")
+    trees = fr.fit_trees(df, ["id"], "z", 20, 64, 5)
+    forest = fr.Forest.from_trees(trees.toPandas())
+    same = fr.Forest.from_nodes(fr.node_rows(trees).toPandas())
+    x = rng.normal(size=(500, 4)) * 3
+    x[::7, 1] = np.nan
+    few = forest.score(x)
+    monkeypatch.setattr(fr, "MANY_ROWS", 1)
+    assert (forest.score(x) == few).all() and (same.score(x) == few).all()
+
+
+def test_a_row_meets_the_models_of_all_settings_once(spark, monkeypatch):
+    """It was staged and shuffled once a setting, scaled and filled: twice its vector each time."""
+    f = _points(spark)
+    tp, tn = f.filter("label = 1"), f.filter("label = 0")
+    met_, keep = [], md.fr.with_group_models
+
+    def counted(rows, models, by, key, fn, schema):
+        met_.append((list(by), rows.count(), [c for c, kind in rows.dtypes if kind == "array<double>"]))
+        return keep(rows, models, by, key, fn, schema)
+
+    monkeypatch.setattr(md.fr, "with_group_models", counted)
+    base = md.CVConfig(n_trees=5)
+    cfgs = {f"{m}/{r}": md.replace(base, method=m, ratio=r) for m in ("distance_ranked", "random") for r in (2, 3)}
+    oof = md.cross_validate_all(tp, tn, ["f1", "f2"], cfgs)
+    assert met_[-1] == ([md.FOLD], f.count(), ["x"])
+    assert oof.count() == 4 * f.count() == oof.select("config", "ticker", "d_date").distinct().count()
