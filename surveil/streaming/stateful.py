@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from surveil.functions.constants import DEFAULT_BUFFER_DAYS, DEFAULT_LOOKBACK_BARS, TP_MARGIN_DAYS
 from surveil.operators.windows import _range_join, _window_bounds
 from surveil.schemas import BAR_VALUE_COLS
-from surveil.session import scratch_path, ship_package
+from surveil.session import scratch_path, ship_package, stage_table
 
 DAY_MS = 86_400_000
 BATCH = "_batch"
@@ -57,21 +57,29 @@ def arrivals(df: DataFrame, name: str, ts: str, late: Column, close: dict, days_
     return path
 
 
-def feed(spark: SparkSession, staged: Sequence[tuple[str, StructType]], start: Callable[..., StreamingQuery]) -> list:
+def feed(spark: SparkSession, staged: Sequence[tuple[str, StructType]], start: Callable[..., StreamingQuery], idle: bool = True) -> list:
     """Let the batches of one or several ``arrivals`` (folder, schema) come in order; ``start`` starts the (same) query on their streams.
 
     Every batch is added to its table's landing folder by many tasks, and the query,
     restarted from its checkpoint, takes all of it as one micro-batch.  Returns the
-    progress of every run.
+    progress of every run.  Without ``idle``, what a batch's watermark closes leaves with the
+    next batch instead of a micro-batch without rows in between; the second closing batch
+    is there for the last real one.
     """
     tables = [spark.read.schema(StructType(list(schema.fields)).add(BATCH, "long")).parquet(path) for path, schema in staged]
     landings = [scratch_path(spark, "landing") for _ in staged]
     progress = []
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
     for (batch,) in reduce(DataFrame.union, [t.select(BATCH) for t in tables]).distinct().orderBy(BATCH).collect():  # a number a batch
         for table, landing, (_, schema) in zip(tables, landings, staged):
             table.filter(F.col(BATCH) == batch).select(*schema.names).write.mode("append").parquet(landing)
-        query = start(*[spark.readStream.schema(schema).parquet(landing) for landing, (_, schema) in zip(landings, staged)])
-        query.awaitTermination()
+        spark.conf.set(name, before if idle else "false")
+        try:
+            query = start(*[spark.readStream.schema(schema).parquet(landing) for landing, (_, schema) in zip(landings, staged)])
+            query.awaitTermination()
+        finally:
+            spark.conf.set(name, before)
         progress += query.recentProgress
     return progress
 
@@ -111,16 +119,21 @@ _WINDOW = "ticker string, d_date date, label int, date date, " + ", ".join(f"{c}
 
 def _keep_last(n: int):
     """Keep the last ``n`` bars of a (ticker, D-date); hand them on when the watermark passes the window's end."""
+    def handed_on(key: tuple, state: GroupState) -> pd.DataFrame:
+        label, _, days, *values = state.get
+        state.remove()
+        return pd.DataFrame({"ticker": key[0], "d_date": key[1], "label": label,
+                             "date": pd.to_datetime(pd.Series(days), unit="D").dt.date, **dict(zip(_VALUES, values))})
+
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            label, _, days, *values = state.get
-            state.remove()
-            yield pd.DataFrame({"ticker": key[0], "d_date": key[1], "label": label,
-                                "date": pd.to_datetime(pd.Series(days), unit="D").dt.date, **dict(zip(_VALUES, values))})
+            yield handed_on(key, state)
             return
         parts = list(batches)
         closes = int(parts[0]["_closes_ms"].iloc[0])
-        if closes <= state.getCurrentWatermarkMs():  # the window has been handed on, these bars are too late for it
+        if closes <= state.getCurrentWatermarkMs():  # these bars are too late for the window; a call with rows unsets its timer
+            if state.exists:
+                yield handed_on(key, state)
             return
         # plain arrays: a group brings a few bars at a time, so the frames around them would cost more than they do
         found = [[part[c].to_numpy(dtype=float) for part in parts] for c in ("_day", *_VALUES)]
@@ -151,11 +164,16 @@ def stream_windows(bars: DataFrame, cases: DataFrame, lookback_bars: int = DEFAU
 
 
 def features_to(windows: DataFrame, out: str, **transform) -> StreamingQuery:
-    """F0 of every window that a stream hands on, a folder a micro-batch (written anew if a batch is repeated)."""
+    """F0 of every window that a stream hands on, a folder a micro-batch (written anew if a batch is repeated).
+
+    Most micro-batches close no window.  They leave no folder, but for the first, which gives ``out`` its schema.
+    """
     from surveil.operators.features import transform as features
 
     def write(batch: DataFrame, number: int) -> None:
-        features(batch, **transform).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        closed = stage_table(batch, "closed-windows")  # the state is stepped once, whatever is done with its rows
+        if number == 0 or not closed.isEmpty():
+            features(closed, **transform).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return windows.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", out + "-ckpt").trigger(
         availableNow=True).start()

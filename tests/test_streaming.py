@@ -142,3 +142,32 @@ def test_an_open_window_keeps_its_last_bars_without_building_frames(monkeypatch)
         assert list(step(("a", None), iter([f]), state)) == []
     want = sorted(bars)[-12:]
     assert state.get == (1, 10**12, *[[b[i] for b in want] for i in range(len(st._VALUES) + 1)]) and state.at == 10**12
+
+
+def test_a_closed_window_that_gets_late_bars_is_handed_on_once(monkeypatch):
+    """A call with rows unsets the group's timer, so a window that is closed by then must leave with that call."""
+    import pandas as pd
+
+    frame = lambda d: pd.DataFrame([(d, *[float(d)] * len(st._VALUES))], columns=["_day", *st._VALUES]).assign(label=1, _closes_ms=1000)
+    state, step = _State(), st._keep_last(12)
+    assert list(step(("a", None), iter([frame(3)]), state)) == []
+    monkeypatch.setattr(_State, "getCurrentWatermarkMs", lambda self: 2000)
+    monkeypatch.setattr(_State, "remove", lambda self: setattr(self, "get", None), raising=False)
+    out = list(step(("a", None), iter([frame(4)]), state))
+    assert len(out) == 1 and out[0]["close"].tolist() == [3.0] and not state.exists
+    assert list(step(("a", None), iter([frame(5)]), state)) == [] and not state.exists
+
+
+def test_a_batch_is_one_micro_batch_and_features_run_where_windows_close(spark, daily):
+    import os
+
+    bars, cases = daily
+    path = st.arrivals(bars, "bars", "date", late=F.lit(False), close={"ticker": "end"}, days_per_batch=4)
+    out = scratch_path(spark, "f")
+    some = cases.filter("d_date = date'%s'" % (DAY0 + dt.timedelta(days=40)).date())
+    with stb.utc(spark):
+        progress = st.feed(spark, [(path, bars.schema)], lambda b: st.features_to(st.stream_windows(b, some, lookback_bars=15), out), idle=False)
+    batches = spark.read.parquet(path).select(st.BATCH).distinct().count()
+    assert batches >= 15 and len({p["batchId"] for p in progress if p["durationMs"].get("addBatch")}) == batches
+    assert len([d for d in os.listdir(out) if d.startswith("batch=")]) <= 3 and spark.read.parquet(out).count() > 1
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
