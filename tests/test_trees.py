@@ -217,3 +217,14 @@ def test_a_row_meets_the_models_of_all_settings_once(spark, monkeypatch):
     oof = md.cross_validate_all(tp, tn, ["f1", "f2"], cfgs)
     assert met_[-1] == ([md.FOLD], f.count(), ["x"])
     assert oof.count() == 4 * f.count() == oof.select("config", "ticker", "d_date").distinct().count()
+
+
+def test_stratified_bins_are_computed_once(spark, monkeypatch):
+    """Two plans use the bins; each computed the quantiles of the whole pool again."""
+    staged, keep = [], mt.cut_lineage
+    monkeypatch.setattr(mt, "cut_lineage", lambda df: staged.append(df.columns) or keep(df))
+    rng = np.random.default_rng(31)
+    pool = spark.createDataFrame([(f"N{k}", k % 3, float(d)) for k, d in enumerate(rng.random(120))], "ticker string, centroid_idx int, distance double")
+    got = mt.sample_stratified(pool, 5, ["ticker"])
+    assert [c for c in staged if "_edges" in c] == [["centroid_idx", "_edges"]]
+    assert got.groupBy("centroid_idx").count().collect().__len__() == 3 and got.count() == 15
